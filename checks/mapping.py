@@ -15,7 +15,8 @@ from rostermart.sources import scratch
 from rostermart.sources.star_store import StarStore
 
 AS_OF = dt.date(2002, 1, 1)
-FIRST_AS_OF = dt.date(2000, 1, 1)
+FIRST_AS_OF = dt.date(2000, 7, 1)
+FIRST_BATCH_END = dt.date(2000, 7, 1)
 LOAD_TIME = dt.datetime(2002, 1, 1)
 JOB = JobSpec.default()
 
@@ -97,7 +98,7 @@ def store(spark: SparkSession, sf_dir: str) -> StarStore:
 
 
 def first_batch(rows: DataFrame) -> DataFrame:
-    return rows.where(F.col("hire_date") < F.lit(dt.date(2000, 7, 1)))
+    return rows.where(F.col("hire_date") < F.lit(FIRST_BATCH_END))
 
 
 def store_of_two_loads(spark: SparkSession, sf_dir: str) -> StarStore:

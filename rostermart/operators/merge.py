@@ -32,10 +32,10 @@ def _differs(columns: Sequence[str]) -> Column:
     return reduce(Column.__or__, unequal, F.lit(False))
 
 
-def merge_type1(target: DataFrame, source: DataFrame, keys: Sequence[str], updatable: Sequence[str],
+def merge_type1(target: DataFrame | None, source: DataFrame, keys: Sequence[str], updatable: Sequence[str],
                 surrogate: str, update: str = "changed", high_water: int = 0,
                 order: Sequence[str] | None = None, keep_known: Sequence[str] = ()) -> DataFrame:
-    """The merged table plus ``merge_action`` (INSERT, UPDATE or KEEP).
+    """The merged table plus ``merge_action`` (INSERT, UPDATE or KEEP); no target means all new.
 
     ``update`` is ``changed`` (some updatable column differs), ``always`` or
     ``never``. Rows only in the target stay. New rows get surrogate keys after
@@ -45,10 +45,10 @@ def merge_type1(target: DataFrame, source: DataFrame, keys: Sequence[str], updat
     """
     if update not in ("changed", "always", "never"):
         raise ValueError(f"Unknown update rule: {update}")
-    fresh = source.join(target.select(*keys), list(keys), "left_anti") if _has_rows(target) else source
+    fresh = source if target is None else source.join(target.select(*keys), list(keys), "left_anti")
     inserts = dense_ids(fresh, list(order or keys), surrogate, high_water).withColumn(
         ACTION, F.lit("INSERT"))
-    if fresh is source:
+    if target is None:
         return inserts
     matched = reduce(Column.__and__, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys])
     both = target.alias("t").join(source.withColumn("_hit", F.lit(True)).alias("s"), matched, "left")
@@ -86,7 +86,3 @@ def insert_absent(target: DataFrame | None, source: DataFrame, keys: Sequence[st
         source = source.join(target.select(*keys), list(keys), "left_anti")
     fresh = dense_ids(source, list(keys), surrogate, high_water)
     return fresh if target is None else target.unionByName(fresh)
-
-
-def _has_rows(df: DataFrame) -> bool:
-    return not df.isEmpty()

@@ -16,8 +16,11 @@ import datetime as dt
 import logging
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -203,7 +206,6 @@ class StarStore:
         water = dict(state["high_water"]) if state else {}
         rule = "changed" if reset_constants else "never"
         employees = s.employee_source(staged, as_of)
-        require_unique(employees, ["employee_id"])
         # table: source, natural key, updatable columns, update rule
         merges = {
             "department": (s.department_source(staged), ["department_name"],
@@ -214,21 +216,35 @@ class StarStore:
                          [c for c in DIMENSIONS["employee"] if c not in ("employee_key", "employee_id")],
                          "always"),
         }
-        tables: dict[str, str] = {}
-        for name, (source, keys, updatable, update) in merges.items():
-            key = KEY_OF[name]
-            merged = merge_type1(
-                self._dimension(name, state), source, keys, updatable, key, update, water.get(name, 0),
-                keep_known=["termination_date"] if keep_first and name == "employee" else [])
-            tables[name] = self._path(run_id, f"dim_{name}")
-            done = self._write_merged(merged, tables[name])
-            result.counts |= {f"{name}_{k}": v for k, v in done.items()}
-            water[name] = water.get(name, 0) + done["inserted"]
-        known = self._dimension("date", state)
-        fresh = s.new_dates(known, staged).withColumn(ACTION, F.lit("INSERT"))
-        dates = known.withColumn(ACTION, F.lit("KEEP")).unionByName(fresh)
-        tables["date"] = self._path(run_id, "dim_date")
-        result.counts["date_inserted"] = self._write_merged(dates, tables["date"])["inserted"]
+        tables = {n: self._path(run_id, f"dim_{n}") for n in DIMENSIONS}
+
+        def merge(name: str) -> dict[str, int]:
+            source, keys, updatable, update = merges[name]
+            if name == "employee":
+                require_unique(source, keys)
+            return self._write_merged(merge_type1(
+                self._dimension(name, state) if state else None, source, keys, updatable,
+                KEY_OF[name], update, water.get(name, 0),
+                keep_known=["termination_date"] if keep_first and name == "employee" else []),
+                tables[name])
+
+        def add_dates() -> dict[str, int]:
+            known = self._dimension("date", state)
+            fresh = s.new_dates(known, staged).withColumn(ACTION, F.lit("INSERT"))
+            return self._write_merged(known.withColumn(ACTION, F.lit("KEEP")).unionByName(fresh),
+                                      tables["date"])
+
+        # The dimensions do not depend on one another, so their jobs run side by side.
+        with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
+            running = {n: pool.submit(inheritable_thread_target(self.spark)(partial(merge, n)))
+                       for n in merges}
+            running["date"] = pool.submit(inheritable_thread_target(self.spark)(add_dates))
+            for name, job in running.items():
+                done = job.result()
+                if name == "date":
+                    done.pop("updated")
+                result.counts |= {f"{name}_{k}": v for k, v in done.items()}
+                water[name] = water.get(name, 0) + done["inserted"]
 
         written = {n: self.spark.read.schema(ddl(DIMENSIONS[n])).parquet(p) for n, p in tables.items()}
         resolved_path = self._path(run_id, "resolved")
@@ -243,11 +259,12 @@ class StarStore:
         keys = ["employee_key", "date_key"]
         require_unique(source, keys)
         held = dict(state["fact_years"]) if state else {}
-        target = self._fact({y: r for y, r in held.items() if y in years})
+        touched = {y: r for y, r in held.items() if y in years}
+        target = self._fact(touched) if touched else None
         merged = merge_type1(target, source, keys,
                              [c for c in FACT if c not in ("metric_id", *keys)], "metric_id", "always",
                              water.get("fact", 0), order=["date_key", "employee_key"])
-        if any(y in held for y in years):
+        if touched:
             # Old and new rows come in different layouts; AQE evens them out by year
             # and splits a year that is too large for one task.
             merged = merged.hint("rebalance", F.col(s.PARTITION))
