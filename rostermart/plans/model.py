@@ -20,6 +20,7 @@ from pyspark.sql.types import NumericType
 from rostermart.config import ModelSpec
 from rostermart.operators.ordering import quantiles
 from rostermart.operators.quality import class_counts
+from rostermart.sources import scratch
 
 LABEL = "attrition"
 PROBABILITY = "attrition_probability"
@@ -161,10 +162,10 @@ def train(df: DataFrame, spec: ModelSpec, key: Sequence[str] = ("employee_id",),
     try:
         rows = placed.count()
         for algorithm in spec.algorithms:
-            fitted = Pipeline(stages=[
+            fitted = _stored(Pipeline(stages=[
                 VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error"),
                 estimator(algorithm, spec.params.get(algorithm, {}), spec.seed, rows),
-            ]).fit(placed)
+            ]).fit(placed), spark)
             scored = fitted.transform(test).select(
                 LABEL, "prediction", "rawPrediction", "probability").persist(StorageLevel.MEMORY_AND_DISK)
             try:
@@ -184,6 +185,17 @@ def train(df: DataFrame, spec: ModelSpec, key: Sequence[str] = ("employee_id",),
                           metrics, models, features)
 
 
+def _stored(model: PipelineModel, spark) -> PipelineModel:
+    """The model as read back from its artifact.
+
+    A freshly fitted linear model carries its training summary, and with it the
+    session, which cannot be sent to tasks once the session has observed a job.
+    """
+    path = scratch.new_path(spark, "fitted")
+    save_model(model, path)
+    return load_model(path)
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
