@@ -491,7 +491,9 @@ def scored_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(load_model(path), frame)
 
 
-@query("stage_name:s status:s row_count:i")
+@query("stage_name:s status:s row_count:i", with_level("cur", """
+  SELECT stage_name, 'success' AS status, (SELECT count(*) FROM cur) AS row_count FROM (VALUES
+    ('ingestion'), ('transformation'), ('modeling'), ('sql_loading')) AS t(stage_name)"""))
 def run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole run from a CSV of every record to the published star."""
     source = scratch.new_path(spark, "source")

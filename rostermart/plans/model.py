@@ -143,9 +143,10 @@ def train(df: DataFrame, spec: ModelSpec, key: Sequence[str] = ("employee_id",),
           exact_split: bool = False) -> TrainingResult:
     """Fit and compare the configured algorithms on a numeric table with an ``attrition`` column.
 
-    Training rows are placed by key into a stated number of partitions and
-    sorted there, so that a repeat run sees the same order. The best model has
-    the greatest AUC; ties keep the configured order.
+    ``key`` names a row. Training rows are placed by all their values into a
+    stated number of partitions and sorted there, so that a repeat run sees the
+    same order and a frequent key does not fill one partition. The best model
+    has the greatest AUC; ties keep the configured order.
     """
     for algorithm in spec.algorithms:
         if algorithm not in ALGORITHMS:
@@ -155,7 +156,9 @@ def train(df: DataFrame, spec: ModelSpec, key: Sequence[str] = ("employee_id",),
     key = [k for k in key if k in df.columns] or list(df.columns)
     training, test = stratified_split(df, LABEL, spec.test_size, spec.seed, key, exact_split)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = training.repartition(n, *key).sortWithinPartitions(*key).persist(StorageLevel.MEMORY_AND_DISK)
+    order = [*key, *[c for c in df.columns if c not in key]]
+    placed = training.repartition(n, *order).sortWithinPartitions(*order).persist(
+        StorageLevel.MEMORY_AND_DISK)
     features = feature_columns(df, identity)
     metrics: dict[str, dict[str, float]] = {}
     models: dict[str, PipelineModel] = {}

@@ -45,12 +45,14 @@ class Star:
         """Facts with the wanted columns of the wanted dimensions.
 
         No join hint: the dimensions are written tables, so Spark broadcasts
-        the ones that are small enough by file size and shuffles the rest.
+        the ones that are small enough by file size and shuffles the rest. The
+        employees come first, as the one dimension that grows with the facts:
+        a shuffle then carries keys and numbers but no names.
         """
         rows = self.fact
-        for name, columns in needed.items():
+        for name in sorted(needed, key=lambda n: n != "employee"):
             key = KEY_OF[name]
-            wanted = [c for c in columns if c != key]
+            wanted = [c for c in needed[name] if c != key]
             rows = rows.join(self.dimensions[name].select(key, *wanted), key)
         return rows
 

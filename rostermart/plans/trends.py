@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rostermart.functions.bands import RISK_REFERENCE
+from rostermart.functions.dates import date_key
 from rostermart.functions.ratios import mean, percent, safe_divide
 from rostermart.plans.filters import DEMOGRAPHICS, FilterContext, rows_in_context
 from rostermart.plans.measures import ALL, MEASURES, evaluate
-from rostermart.plans.star import Star
+from rostermart.plans.star import PARTITION, Star
 
 
 def month_index(year: Column, month: Column) -> Column:
@@ -34,11 +35,12 @@ def yoy_diversity(star: Star, column: str, by: Sequence[str] = (), context: Filt
     shares = counted.select(*by, "year", "category",
                             percent(F.nullif("n", F.lit(0)), total).alias("share"))
     shares = shares.where("share is not null")
-    # Every share appears in its own year and as the previous share of the next.
-    no_share = F.lit(None).cast("double")
-    pairs = shares.withColumn("previous_share", no_share).unionByName(
-        shares.select(*by, (F.col("year") + 1).alias("year"), "category", no_share.alias("share"),
-                      F.col("share").alias("previous_share")))
+    # Every share counts in its own year and as the previous share of the next one.
+    blank = F.lit(None).cast("double")
+    pairs = shares.select(*by, "category", F.inline(F.array(
+        F.struct("year", "share", blank.alias("previous_share")),
+        F.struct((F.col("year") + 1).alias("year"), blank.alias("share"),
+                 F.col("share").alias("previous_share")))))
     paired = pairs.groupBy(*by, "year", "category").agg(
         F.max("share").alias("share"), F.max("previous_share").alias("previous_share"))
     years = star.dimensions["date"].select("year").distinct()
@@ -88,9 +90,12 @@ def sparklines(star: Star, by: Sequence[str] = ("department_name",), context: Fi
     """
     calendar = star.dimensions["date"]
     last = calendar.select(F.max("full_date")).scalar()
-    undated = context.without_table("date")
-    rows = rows_in_context(star, [*by, "full_date", "year", "month"], undated)
-    recent = rows.where((F.col("full_date") > F.add_months(last, -12)) & (F.col("full_date") <= last))
+    before = F.add_months(last, -12)
+    # The same bound on the fact's own columns prunes year folders and row groups.
+    recent_fact = star.fact.where((F.col(PARTITION) >= F.year(before)) & (F.col("date_key") > date_key(before)))
+    rows = rows_in_context(star.with_fact(recent_fact), [*by, "full_date", "year", "month"],
+                           context.without_table("date"))
+    recent = rows.where((F.col("full_date") > before) & (F.col("full_date") <= last))
     wide = recent.groupBy(*by, "year", "month").agg(
         *[MEASURES[m](True).cast("double").alias(m) for m in SPARK_MEASURES])
     long = wide.unpivot([*by, "year", "month"], list(SPARK_MEASURES), "measure", "value")
