@@ -30,5 +30,5 @@ def blank_if_zero(count: Column, blank: bool) -> Column:
 
 def tenth_percent(part: Column, whole: Column) -> Column:
     """Percentage rounded half up to one place, in whole numbers until the last step."""
-    tenths = F.floor(F.try_divide((part * 2000 + whole).cast("decimal(38,0)"), whole * 2))
-    return tenths.cast("double") / 10
+    doubled, twice = part * 2000 + whole, whole * 2
+    return F.when(whole != 0, (doubled - doubled % twice) / twice / 10)
