@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rostermart.config import JobSpec
-from rostermart.functions.naming import renamed_columns, standardize_columns
+from rostermart.functions.naming import renamed_columns, snake_case, standardize_columns
 from rostermart.functions.parsing import parse_number
 from rostermart.operators.clean import change_log, coerce_types, coercion_log, feature_log
 from rostermart.operators.encode import bucket_columns, encode_categoricals, model_frame, text_columns
@@ -56,9 +56,9 @@ class RunResult:
 
 
 def first_seen_order(job: JobSpec) -> list:
-    """Order of appearance after ingestion: latest first, then by key."""
-    day = F.coalesce(-F.unix_date(F.col(job.ingest.latest_by)), F.lit(2**31 - 1))
-    return [day, F.col(job.ingest.key)]
+    """Order of appearance after ingestion: latest first, then by key (cleaned names)."""
+    day = F.coalesce(-F.unix_date(F.col(snake_case(job.ingest.latest_by))), F.lit(2**31 - 1))
+    return [day, F.col(snake_case(job.ingest.key))]
 
 
 def ingest(raw: DataFrame, job: JobSpec) -> DataFrame:
@@ -67,11 +67,6 @@ def ingest(raw: DataFrame, job: JobSpec) -> DataFrame:
     return keep_latest(known, job.ingest.key, job.ingest.latest_by)
 
 
-def clean(ingested: DataFrame) -> DataFrame:
-    """Names, types and repeats; the one cleaned table behind staging and models."""
-    return drop_repeated_rows(coerce_types(standardize_columns(ingested)))
-
-
 def counted_save(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     seen = Observation()
     table = scratch.saved(df.observe(seen, F.count("*").alias("rows")), label)
@@ -80,7 +75,7 @@ def counted_save(df: DataFrame, label: str) -> tuple[DataFrame, int]:
 
 def encoded_frame(featured: DataFrame, job: JobSpec, skip: Sequence[str] = ()) -> DataFrame:
     """The key and the numeric columns for the models, from the featured table."""
-    buckets, key = bucket_columns(job.clean.features), job.ingest.key
+    buckets, key = bucket_columns(job.clean.features), snake_case(job.ingest.key)
     texts = text_columns(featured, but=[*buckets, *skip, key])
     encoded = encode_categoricals(featured.drop(*skip), job.clean.encoding, texts, first_seen_order(job))
     return model_frame(encoded, buckets, keep=[key])
@@ -97,7 +92,7 @@ def run_job(spark: SparkSession, job: JobSpec, source: str, store_root: str, as_
     """
     result = RunResult(uuid.uuid4().hex[:12])
     began = time.monotonic()
-    store = StarStore(spark, store_root)
+    store, key = StarStore(spark, store_root), snake_case(job.ingest.key)
     tables: dict[str, DataFrame] = {}
 
     def ingestion() -> int:
@@ -114,17 +109,17 @@ def run_job(spark: SparkSession, job: JobSpec, source: str, store_root: str, as_
         result.log = change_log(
             renamed_columns(tables["ingested"]), coercion_log(named), result.stages[0].row_count, n,
             feature_log(tables["featured"], job.clean.features), job.clean.encoding,
-            text_columns(tables["featured"], but=[*buckets, "name", job.ingest.key]))
+            text_columns(tables["featured"], but=[*buckets, "name", key]))
         return n
 
     def modeling() -> int:
         frame, n = counted_save(encoded_frame(tables["featured"], job, skip=("name",)), "model")
-        result.training = train(frame, job.model, key=(job.ingest.key,))
+        result.training = train(frame, job.model, key=(key,))
         best = result.training.models[result.training.best_name]
         if model_path:
             save_model(best, model_path)
-        scores = score(best, frame).select(job.ingest.key, "attrition_probability")
-        tables["scored"] = tables["featured"].join(scores, job.ingest.key, "left")
+        scores = score(best, frame).select(key, "attrition_probability")
+        tables["scored"] = tables["featured"].join(scores, key, "left")
         return n
 
     def star_load() -> int:
