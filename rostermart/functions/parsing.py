@@ -39,10 +39,14 @@ def parse_date(text: Column, formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> C
 
     The shape is checked first, since Spark would read ``2023-02`` as a date.
     """
-    return F.coalesce(*[
-        F.to_date(F.try_to_timestamp(F.when(text.rlike(_shape_of(f)), text), F.lit(f)))
-        for f in formats
-    ])
+
+    def read(date_format: str) -> Column:
+        fitting = F.when(text.rlike(_shape_of(date_format)), text)
+        if date_format == "yyyy-MM-dd":
+            return fitting.try_cast("date")  # the same days, without a formatter per row
+        return F.to_date(F.try_to_timestamp(fitting, F.lit(date_format)))
+
+    return F.coalesce(*[read(f) for f in formats])
 
 
 def parse_number(text: Column) -> Column:

@@ -17,10 +17,20 @@ class RepeatedSourceKeyError(ValueError):
     """The merge source holds a key more than once."""
 
 
-def require_unique(source: DataFrame, keys: Sequence[str]) -> None:
-    """Raise if a fully known key repeats; keys with a null never match and may repeat."""
-    known = source.select(*keys).na.drop("any")
-    hit = known.groupBy(*keys).count().where("count > 1").limit(1).collect()
+def require_unique(source: DataFrame, keys: Sequence[str], equal_rows: bool = False) -> None:
+    """Raise if a fully known key has two rows; with ``equal_rows``, two different ones.
+
+    The usual case takes one pass over the keys alone. Whole rows are looked at
+    only for keys that occur more than once.
+    """
+    known = source.na.drop("any", subset=list(keys))
+    repeated = known.groupBy(*keys).count().where("count > 1").select(*keys)
+    if repeated.isEmpty():
+        return
+    rows = known.join(repeated, list(keys), "left_semi")
+    if equal_rows:
+        rows = rows.distinct()
+    hit = rows.groupBy(*keys).count().where("count > 1").limit(1).collect()
     if hit:
         shown = ", ".join(f"{k}={hit[0][k]}" for k in keys)
         raise RepeatedSourceKeyError(f"The source repeats the key {shown}")

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rostermart.schemas import Constraints
 
@@ -21,6 +23,20 @@ class CountMismatchError(RuntimeError):
     """The written table does not hold the rows that were sent."""
 
 
+def _overflows(df: DataFrame, column: str, precision: int, scale: int) -> Column:
+    """Whether the value rounded to ``scale`` needs more than ``precision`` digits.
+
+    Numbers are compared with the first value that rounds out of range, which
+    spares a conversion per row.
+    """
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.StringType):
+        return F.col(column).isNotNull() & F.col(column).try_cast(f"decimal({precision},{scale})").isNull()
+    limit = Decimal(10) ** (precision - scale) - Decimal(5).scaleb(-scale - 1)
+    edge = F.lit(float(limit)) if isinstance(kind, (T.FloatType, T.DoubleType)) else F.lit(limit)
+    return F.abs(F.col(column)) >= edge
+
+
 def broken_rules(df: DataFrame, rules: Constraints) -> dict[str, Column]:
     """A condition per rule that is true where the row breaks it."""
     broken: dict[str, Column] = {}
@@ -32,8 +48,7 @@ def broken_rules(df: DataFrame, rules: Constraints) -> dict[str, Column]:
             broken[f"max_length:{c}"] = F.length(F.col(c).cast("string")) > longest
     for c, (precision, scale) in rules.decimals.items():
         if c in df.columns:
-            fits = F.col(c).try_cast(f"decimal({precision},{scale})")
-            broken[f"decimal:{c}"] = F.col(c).isNotNull() & fits.isNull()
+            broken[f"decimal:{c}"] = _overflows(df, c, precision, scale)
     for c, (low, high) in rules.between.items():
         if c in df.columns:
             broken[f"between:{c}"] = ~F.col(c).between(low, high)

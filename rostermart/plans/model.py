@@ -165,7 +165,7 @@ def train(df: DataFrame, spec: ModelSpec, key: Sequence[str] = ("employee_id",),
     try:
         rows = placed.count()
         for algorithm in spec.algorithms:
-            fitted = _stored(Pipeline(stages=[
+            fitted = _without_summary(Pipeline(stages=[
                 VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error"),
                 estimator(algorithm, spec.params.get(algorithm, {}), spec.seed, rows),
             ]).fit(placed), spark)
@@ -188,12 +188,14 @@ def train(df: DataFrame, spec: ModelSpec, key: Sequence[str] = ("employee_id",),
                           metrics, models, features)
 
 
-def _stored(model: PipelineModel, spark) -> PipelineModel:
-    """The model as read back from its artifact.
+def _without_summary(model: PipelineModel, spark) -> PipelineModel:
+    """The model without its training summary, by way of its artifact.
 
-    A freshly fitted linear model carries its training summary, and with it the
-    session, which cannot be sent to tasks once the session has observed a job.
+    The summary of a freshly fitted linear model holds the session, which
+    cannot be sent to tasks once the session has observed a job.
     """
+    if not getattr(model.stages[-1], "hasSummary", False):
+        return model
     path = scratch.new_path(spark, "fitted")
     save_model(model, path)
     return load_model(path)

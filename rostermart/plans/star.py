@@ -91,10 +91,11 @@ def location_source(staging: DataFrame) -> DataFrame:
 
 
 def employee_source(staging: DataFrame, as_of: dt.date) -> DataFrame:
+    """Employee attributes of every staging row; equal rows are still to be made one."""
     return staging.select(
         "employee_id", F.col("name").alias("full_name"), "gender", "ethnicity", "age_group", "hire_date",
         F.when(F.col("attrition") == 1, F.lit(as_of)).alias("termination_date"), "salary_band",
-        F.col("promotion_date").isNotNull().cast("int").alias("promotion_recent")).distinct()
+        F.col("promotion_date").isNotNull().cast("int").alias("promotion_recent"))
 
 
 def new_dates(existing: DataFrame, staging: DataFrame) -> DataFrame:

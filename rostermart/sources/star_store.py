@@ -220,8 +220,11 @@ class StarStore:
 
         def merge(name: str) -> dict[str, int]:
             source, keys, updatable, update = merges[name]
+            # A null key can match nothing; its rows are rejected at the fact.
+            source = source.na.drop("any", subset=keys)
             if name == "employee":
-                require_unique(source, keys)
+                require_unique(source, keys, equal_rows=True)
+                source = source.distinct()
             return self._write_merged(merge_type1(
                 self._dimension(name, state) if state else None, source, keys, updatable,
                 KEY_OF[name], update, water.get(name, 0),

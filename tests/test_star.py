@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import mapping as m
-from rostermart.operators.merge import RepeatedSourceKeyError, insert_absent, merge_type1
+from rostermart.operators.merge import RepeatedSourceKeyError, insert_absent, merge_type1, require_unique
 from rostermart.operators.quality import EmptyInputError, check_rules, check_star, require_same_count, with_defaults
 from rostermart.plans.star import resolve_keys, to_staging
 from rostermart.schemas import STAGING_RULES
@@ -70,6 +70,29 @@ def test_rejects_and_facts_add_up(store, staged):
     assert {tuple(r["reject_reasons"]) for r in rejected.collect()} == {("date",)}
 
 
+def test_null_keys_are_rejected_and_make_no_dimension_rows(store, staged):
+    gaps = staged.withColumns({
+        "department": F.when(F.col("age") > 30, F.col("department")),
+        "employee_id": F.when(F.col("age") < 60, F.col("employee_id"))})
+    for _ in range(2):
+        result = store.load(gaps, m.AS_OF)
+        star = store.star()
+        assert star.dimension("department").where("department_name is null").count() == 0
+        assert star.dimension("employee").where("employee_id is null").count() == 0
+        reasons = {r for row in store.rejects(result.run_id).collect() for r in row["reject_reasons"]}
+        assert reasons == {"employee", "department"}
+        assert result.inserted + result.updated + result.rejected == result.staging_rows
+
+
+def test_whole_rows_may_repeat_but_not_facts(spark):
+    same = spark.createDataFrame([(1, "a"), (1, "a"), (None, "b"), (None, "c")], "k int, v string")
+    require_unique(same, ["k"], equal_rows=True)
+    with pytest.raises(RepeatedSourceKeyError, match="k=1"):
+        require_unique(same, ["k"])
+    with pytest.raises(RepeatedSourceKeyError, match="k=1"):
+        require_unique(same.unionByName(spark.createDataFrame([(1, "z")], "k int, v string")), ["k"], True)
+
+
 def test_a_failed_load_leaves_the_star(spark, store, staged):
     store.load(staged, m.AS_OF)
     before, runs = rows(store.star().fact.drop("date_year")), store.current()["run_id"]
@@ -156,6 +179,19 @@ def test_staging_projection_and_rules(spark):
     assert broken["not_null:employee_id"] == 0 and "not_null:promotion_date" not in broken
 
 
+def test_decimal_range(spark):
+    from decimal import Decimal
+
+    from rostermart.schemas import Constraints
+
+    texts = ["99.99", "99.994", "99.995", "-99.995", "100", "1e9", "NaN", None]
+    df = spark.createDataFrame([(None if t is None else float(t), t) for t in texts], "d double, t string")
+    rules = Constraints(decimals={"d": (4, 2), "t": (4, 2)})
+    assert rows(check_rules(df, rules)) == [("decimal:d", 5), ("decimal:t", 5)]
+    exact = spark.createDataFrame([(Decimal("99.994"),), (Decimal("99.995"),)], "d decimal(10,3)")
+    assert rows(check_rules(exact, Constraints(decimals={"d": (4, 2)}))) == [("decimal:d", 1)]
+
+
 def test_defaults_and_counts(spark, tmp_path):
     df = spark.createDataFrame([(None,), (2,)], "promotion_recent int")
     out = with_defaults(df, {"promotion_recent": 0, "headcount": 1})
