@@ -32,8 +32,12 @@ def feature_logic(name: str) -> Callable[[FeatureLogic], FeatureLogic]:
 
 
 def months_between_dates(day: Column, as_of: dt.date) -> Column:
-    """Mean-length months from ``day`` to ``as_of``, one decimal; null for no date."""
-    return F.round(F.datediff(F.lit(as_of), day) / F.lit(DAYS_PER_MONTH), 1)
+    """Mean-length months from ``day`` to ``as_of``, one decimal; null for no date.
+
+    Days are whole days passed: a time of day within ``day`` takes one off.
+    """
+    passed = F.datediff(F.lit(as_of), day) - (day > F.to_date(day)).cast("int")
+    return F.round(passed / F.lit(DAYS_PER_MONTH), 1)
 
 
 def bucket_label(value: Column, edges: Sequence[float], labels: Sequence[str]) -> Column:

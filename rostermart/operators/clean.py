@@ -12,9 +12,7 @@ from pyspark.sql import types as T
 from rostermart.config import FeatureSpec
 from rostermart.functions.derive import usable_features
 from rostermart.functions.parsing import DEFAULT_DATE_FORMATS, parse_date, parse_number
-
-# The columns that hold numbers.
-NUMERIC_COLUMNS = ("age", "salary", "satisfaction_score", "overtime_hours")
+from rostermart.operators.nulls import NUMERIC_COLUMNS
 
 LOG_SCHEMA = "column_name string, operation string, rows_affected bigint, values_imputed bigint"
 

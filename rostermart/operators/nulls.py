@@ -9,6 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rostermart.functions.naming import snake_case
+
+# The strategies, and the columns that hold numbers.
+NUMERIC_COLUMNS = ("age", "salary", "satisfaction_score", "overtime_hours")
+NUMBER_TEXTS = (*NUMERIC_COLUMNS, "attrition")
 NULL_STRATEGIES = ("drop", "fill_default")
 
 
@@ -57,8 +62,13 @@ def null_counts(df: DataFrame, required: Iterable[str]) -> DataFrame:
     ])))
 
 
-def treat_nulls(df: DataFrame, strategy: str, required: Iterable[str]) -> DataFrame:
-    """Drop rows with a null in a required column, or fill with ``""`` and ``0``."""
+def treat_nulls(df: DataFrame, strategy: str, required: Iterable[str],
+                number_texts: Iterable[str] = NUMBER_TEXTS) -> DataFrame:
+    """Drop rows with a null in a required column, or fill with ``""`` and ``0``.
+
+    ``number_texts`` names (in snake case) the columns that hold numbers even
+    while they are text, as after reading a CSV; these get ``"0"``.
+    """
     if strategy not in NULL_STRATEGIES:
         raise ValueError(f"Unknown null strategy: {strategy}")
     names = _present_in(df, required)
@@ -68,7 +78,7 @@ def treat_nulls(df: DataFrame, strategy: str, required: Iterable[str]) -> DataFr
     for c in names:
         kind = df.schema[c].dataType
         if isinstance(kind, T.StringType):
-            defaults[c] = ""
+            defaults[c] = "0" if snake_case(c) in number_texts else ""
         elif isinstance(kind, T.NumericType):
             defaults[c] = 0
     return df.na.fill(defaults) if defaults else df

@@ -107,6 +107,13 @@ def test_flag_and_months(spark):
     assert [r[1] for r in got] == [round(31 / 30.44, 1), None, round(1554 / 30.44, 1), 0.0]
 
 
+def test_months_count_whole_days(spark):
+    df = spark.sql("select timestamp_ntz'2024-06-01 12:00:00' a, timestamp_ntz'2024-05-01 00:00:00' b, "
+                   "timestamp'2024-05-01 08:00:00' c")
+    got = df.select(*[months_between_dates(F.col(c), AS_OF) for c in "abc"]).first()
+    assert list(got) == [round(-1 / 30.44, 1) + 0.0, round(31 / 30.44, 1), round(30 / 30.44, 1)]
+
+
 def test_features_in_order_and_skips(spark, caplog):
     specs = CleanSpec(features=(
         FeatureSpec("months", "hire_date", "months_since_hire"),

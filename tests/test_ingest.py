@@ -93,6 +93,11 @@ def test_fill(spark, csv):
     assert len(rows) == 4 and rows["2"]["name"] == "" and rows["3"]["department"] == ""
 
 
+def test_fill_number_columns_that_are_still_text(spark, csv):
+    df = read_employees(spark, csv("Age,name,note\n,,\n"))
+    assert treat_nulls(df, "fill_default", ["Age", "name"]).collect() == [("0", "", None)]
+
+
 def test_fill_numbers_and_leave_other_columns(spark):
     df = spark.createDataFrame([(None, None, None)], "age int, score double, note string")
     assert treat_nulls(df, "fill_default", ["age", "score"]).collect() == [(0, 0.0, None)]
