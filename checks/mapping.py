@@ -101,7 +101,7 @@ def first_batch(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("hire_date") < F.lit(FIRST_BATCH_END))
 
 
-def store_of_two_loads(spark: SparkSession, sf_dir: str) -> StarStore:
+def store_of_three_loads(spark: SparkSession, sf_dir: str) -> StarStore:
     """Hires before July 2000 first, then everybody, then everybody again."""
 
     def fill(s: StarStore) -> None:

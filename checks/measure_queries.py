@@ -263,7 +263,7 @@ def trend_with_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
 keys AS (SELECT employee_id, row_number() OVER (ORDER BY hire_date >= DATE '2000-07-01', employee_id)
          AS employee_key FROM stg)"""))
 def risk_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t.risk_history(m.store_of_two_loads(spark, sf_dir).risk_history())
+    return t.risk_history(m.store_of_three_loads(spark, sf_dir).risk_history())
 
 
 RISK_LEVEL = """CASE WHEN attrition_probability >= 0.30 THEN 'High'

@@ -76,14 +76,14 @@ ids AS (SELECT * FROM first_ids UNION ALL SELECT * FROM later_ids)"""
          CASE WHEN promotion_date IS NOT NULL THEN 1 ELSE 0 END AS promotion_recent
   FROM stg JOIN keys USING (employee_id)""", KEYED))
 def dim_employee_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m.store_of_two_loads(spark, sf_dir).star().dimension("employee")
+    return m.store_of_three_loads(spark, sf_dir).star().dimension("employee")
 
 
 @query("metric_id:i employee_key:i date_key:i salary:d", with_level(
     "batch", "SELECT metric_id, employee_key, date_key, salary FROM stg JOIN keys USING (employee_id) "
              "JOIN ids USING (employee_key, date_key)", KEYED))
 def fact_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m.store_of_two_loads(spark, sf_dir).star().fact
+    return m.store_of_three_loads(spark, sf_dir).star().fact
 
 
 def _action_counts() -> str:
@@ -105,7 +105,7 @@ def _action_counts() -> str:
 
 @query("load_number:i table_name:s action:s rows:i", with_level("batch", _action_counts()))
 def merge_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m.store_of_two_loads(spark, sf_dir).audit()
+    return m.store_of_three_loads(spark, sf_dir).audit()
 
 
 @query("load_number:i load_status:s load_mode:s as_of:s staging_rows:i rejected_rows:i", with_level(
@@ -114,7 +114,7 @@ def merge_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT 2, 'SUCCESS', 'merge', {AS_OF}, count(*), 0 FROM stg
     UNION ALL SELECT 3, 'SUCCESS', 'merge', {AS_OF}, count(*), 0 FROM stg"""))
 def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m.store_of_two_loads(spark, sf_dir).load_log()
+    return m.store_of_three_loads(spark, sf_dir).load_log()
 
 
 @query("table_name:s row_count:i", with_level("dims", """
@@ -134,12 +134,8 @@ def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     CASE WHEN date_key NOT IN (SELECT date_key FROM b1) THEN 'date' END) AS reasons
   FROM stg WHERE employee_id NOT IN (SELECT employee_id FROM b1)"""))
 def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Everybody against the dimensions of the first batch alone."""
-
-    def fill(store) -> None:
-        store.load(m.first_batch(m.staging(spark, sf_dir)), m.FIRST_AS_OF)
-
-    old = m._store(spark, sf_dir, "first", fill).star()
+    """Everybody against the dimensions as the first of the loads left them."""
+    old = m.store_of_three_loads(spark, sf_dir).star(load_number=1)
     found = rejects_of(resolve_keys(m.staging(spark, sf_dir), old.dimensions))
     return found.withColumn("reasons", F.array_join("reject_reasons", ","))
 

@@ -17,6 +17,8 @@ from rostermart.sources import scratch
 
 log = logging.getLogger(__name__)
 
+CODE = "_code_"
+
 
 def text_columns(df: DataFrame, but: Sequence[str] = ()) -> list[str]:
     return [f.name for f in df.schema.fields
@@ -106,17 +108,23 @@ def encode_categoricals(df: DataFrame, strategy: str, columns: Sequence[str],
     return label_encode(df, columns, order)
 
 
-def model_frame(df: DataFrame, buckets: dict[str, list[str]], keep: Sequence[str] = ()) -> DataFrame:
-    """Only numbers: dates and texts dropped, bucket labels to codes, null to 0.
+def model_columns(df: DataFrame, buckets: dict[str, list[str]], but: Sequence[str] = ()) -> list[Column]:
+    """The numeric columns; bucket labels as codes, null as 0, dates and texts left out.
 
-    ``keep`` columns pass as they are, whatever their type.
+    A column ``_code_<name>`` gives ``<name>``: that is how codes stand beside their text.
     """
     chosen = []
     for f in df.schema.fields:
-        if f.name in keep:
-            chosen.append(F.col(f.name))
-        elif f.name in buckets:
+        if f.name in but:
+            continue
+        if f.name in buckets:
             chosen.append(bucket_code(F.col(f.name), buckets[f.name]).alias(f.name))
         elif isinstance(f.dataType, T.NumericType):
-            chosen.append(F.coalesce(F.col(f.name), F.lit(0).cast(f.dataType)).alias(f.name))
-    return df.select(*chosen)
+            value = F.coalesce(F.col(f.name), F.lit(0).cast(f.dataType))
+            chosen.append(value.alias(f.name.removeprefix(CODE)))
+    return chosen
+
+
+def model_frame(df: DataFrame, buckets: dict[str, list[str]], keep: Sequence[str] = ()) -> DataFrame:
+    """Only numbers, plus the ``keep`` columns as they are."""
+    return df.select(*keep, *model_columns(df, buckets, keep))

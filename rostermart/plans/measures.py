@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from rostermart.functions.ratios import blank_if_zero, mean, percent, safe_divid
 from rostermart.operators.ordering import quantiles
 from rostermart.plans.filters import DEMOGRAPHICS, HOME, FilterContext, rows_in_context
 from rostermart.plans.star import Star
+from rostermart.session import side_by_side
 
 ALL = FilterContext()
 
@@ -190,8 +192,10 @@ def employee_profile(staging: DataFrame, approximate: bool = False) -> DataFrame
     flat = one.select(F.inline(F.array(*[
         F.struct(F.lit(s).alias("section"), F.lit(i).alias("item"), F.lit(m).alias("metric"),
                  v.alias("value")) for s, i, m, v in cells])))
-    quartiles = [("describe", c, name, value) for c in numbers for name, value in zip(
-        ("25%", "50%", "75%"), quantiles(staging, c, [0.25, 0.5, 0.75], approximate), strict=True)]
+    found = side_by_side(spark, {
+        c: partial(quantiles, staging, c, [0.25, 0.5, 0.75], approximate) for c in numbers})
+    quartiles = [("describe", c, name, value) for c in numbers
+                 for name, value in zip(("25%", "50%", "75%"), found[c], strict=True)]
     spread = spark.createDataFrame(quartiles, "section string, item string, metric string, value double")
     departments = staging.groupBy("department").agg(F.count("*").cast("double").alias("value")).select(
         F.lit("department").alias("section"), F.col("department").alias("item"),

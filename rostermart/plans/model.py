@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -138,24 +139,29 @@ def feature_importance(model: PipelineModel, features: Sequence[str], spark) ->
         F.col("importance").desc(), "position")
 
 
+def training_partitions(rows: int) -> int:
+    """A partition count that depends on the data alone: small ones while there are few rows."""
+    return max(1, min(math.ceil(rows / 2000), max(64, math.ceil(rows / 500_000))))
+
+
 def train(df: DataFrame, spec: ModelSpec, key: Sequence[str] = ("employee_id",),
           identity: Sequence[str] = IDENTITY, partitions: int | None = None,
           exact_split: bool = False) -> TrainingResult:
     """Fit and compare the configured algorithms on a numeric table with an ``attrition`` column.
 
     ``key`` names a row. Training rows are placed by all their values into a
-    stated number of partitions and sorted there, so that a repeat run sees the
-    same order and a frequent key does not fill one partition. The best model
-    has the greatest AUC; ties keep the configured order.
+    number of partitions set by the row count and sorted there, so that a
+    repeat run sees the same order and a frequent key does not fill one
+    partition. The best model has the greatest AUC; ties keep the configured order.
     """
     for algorithm in spec.algorithms:
         if algorithm not in ALGORITHMS:
             raise ValueError(f"Unsupported algorithm: {algorithm}")
     spark = df.sparkSession
-    class_counts(df, LABEL)
+    total = sum(class_counts(df, LABEL).values())
     key = [k for k in key if k in df.columns] or list(df.columns)
     training, test = stratified_split(df, LABEL, spec.test_size, spec.seed, key, exact_split)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or training_partitions(total)
     order = [*key, *[c for c in df.columns if c not in key]]
     placed = training.repartition(n, *order).sortWithinPartitions(*order).persist(
         StorageLevel.MEMORY_AND_DISK)

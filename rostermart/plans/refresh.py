@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rostermart.operators.merge import insert_absent
 from rostermart.operators.ordering import dense_ids
+from rostermart.session import side_by_side
 from rostermart.sources import scratch
 
 EMPLOYEE_COLUMNS = ("employee_id", "name", "gender", "ethnicity", "age", "age_group", "hire_date",
@@ -26,20 +27,20 @@ def refresh_star(staging: DataFrame, root: str | None = None) -> dict[str, DataF
         df.write.mode("overwrite").parquet(path)
         return staging.sparkSession.read.schema(df.schema).parquet(path)
 
+    def dimension(name: str, source: DataFrame, natural: str) -> DataFrame:
+        known = source.where(F.col(natural).isNotNull())
+        return stored(f"dim_{name}", insert_absent(None, known, [natural], f"{name}_key"))
+
     def names(column: str, as_name: str) -> DataFrame:
-        return staging.select(F.col(column).alias(as_name)).where(F.col(as_name).isNotNull())
-
-    tables = {
-        "dim_department": stored("dim_department", insert_absent(
-            None, names("department", "department_name"), ["department_name"], "department_key")),
-        "dim_job_role": stored("dim_job_role", insert_absent(
-            None, names("job_role", "job_title"), ["job_title"], "job_role_key")),
-        "dim_location": stored("dim_location", insert_absent(
-            None, names("location", "location_name"), ["location_name"], "location_key")),
-        "dim_employee": stored("dim_employee", insert_absent(
-            None, staging.select(*EMPLOYEE_COLUMNS).where("employee_id is not null"), ["employee_id"],
-            "employee_key")),
-    }
+        return staging.select(F.col(column).alias(as_name))
+
+    tables = side_by_side(staging.sparkSession, {
+        "dim_department": lambda: dimension(
+            "department", names("department", "department_name"), "department_name"),
+        "dim_job_role": lambda: dimension("job_role", names("job_role", "job_title"), "job_title"),
+        "dim_location": lambda: dimension("location", names("location", "location_name"), "location_name"),
+        "dim_employee": lambda: dimension("employee", staging.select(*EMPLOYEE_COLUMNS), "employee_id"),
+    })
     joined = (
         staging.join(tables["dim_employee"].select("employee_id", "employee_key"), "employee_id")
         .join(tables["dim_department"].withColumnRenamed("department_name", "department"), "department")

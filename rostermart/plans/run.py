@@ -15,11 +15,12 @@ from rostermart.config import JobSpec
 from rostermart.functions.naming import renamed_columns, snake_case, standardize_columns
 from rostermart.functions.parsing import parse_number
 from rostermart.operators.clean import change_log, coerce_types, coercion_log, feature_log
-from rostermart.operators.encode import bucket_columns, encode_categoricals, model_frame, text_columns
+from rostermart.operators.encode import (
+    CODE, bucket_columns, encode_categoricals, model_columns, text_columns)
 from rostermart.operators.features import derive_features
 from rostermart.operators.latest import drop_repeated_rows, keep_latest
 from rostermart.operators.nulls import treat_nulls
-from rostermart.plans.model import TrainingResult, save_model, score, train
+from rostermart.plans.model import PROBABILITY, TrainingResult, save_model, score, train
 from rostermart.plans.star import to_staging
 from rostermart.sources import scratch
 from rostermart.sources.employees import read_employees
@@ -73,12 +74,24 @@ def counted_save(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     return table, seen.get["rows"]
 
 
+def rows_with_model_input(featured: DataFrame, job: JobSpec, skip: Sequence[str] = ()) -> DataFrame:
+    """Two structs per row: ``row`` as it is, and ``model`` with the numeric columns made from it.
+
+    Keeping both side by side spares a join between scores and rows later.
+    ``skip`` texts are not encoded.
+    """
+    buckets, key = bucket_columns(job.clean.features), snake_case(job.ingest.key)
+    codes = {f"{CODE}{c}": F.col(c) for c in text_columns(featured, but=[*buckets, *skip, key])}
+    encoded = encode_categoricals(featured.withColumns(codes), job.clean.encoding, list(codes),
+                                  first_seen_order(job))
+    return encoded.select(F.struct(*featured.columns).alias("row"),
+                          F.struct(*model_columns(encoded, buckets, but=[key])).alias("model"))
+
+
 def encoded_frame(featured: DataFrame, job: JobSpec, skip: Sequence[str] = ()) -> DataFrame:
     """The key and the numeric columns for the models, from the featured table."""
-    buckets, key = bucket_columns(job.clean.features), snake_case(job.ingest.key)
-    texts = text_columns(featured, but=[*buckets, *skip, key])
-    encoded = encode_categoricals(featured.drop(*skip), job.clean.encoding, texts, first_seen_order(job))
-    return model_frame(encoded, buckets, keep=[key])
+    both = rows_with_model_input(featured, job, skip)
+    return both.select(f"row.{snake_case(job.ingest.key)}", "model.*")
 
 
 def run_job(spark: SparkSession, job: JobSpec, source: str, store_root: str, as_of: dt.date, *,
@@ -113,13 +126,13 @@ def run_job(spark: SparkSession, job: JobSpec, source: str, store_root: str, as_
         return n
 
     def modeling() -> int:
-        frame, n = counted_save(encoded_frame(tables["featured"], job, skip=("name",)), "model")
-        result.training = train(frame, job.model, key=(key,))
+        both, n = counted_save(rows_with_model_input(tables["featured"], job, skip=("name",)), "model")
+        result.training = train(both.select(f"row.{key}", "model.*"), job.model, key=(key,))
         best = result.training.models[result.training.best_name]
         if model_path:
             save_model(best, model_path)
-        scores = score(best, frame).select(key, "attrition_probability")
-        tables["scored"] = tables["featured"].join(scores, key, "left")
+        scored = score(best, both.select("row", "model.*"))
+        tables["scored"] = scored.select("row.*", PROBABILITY)
         return n
 
     def star_load() -> int:

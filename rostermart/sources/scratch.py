@@ -42,3 +42,10 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete what this application wrote with ``new_path``; results not stored elsewhere go with it."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        f"{shared_folder(spark)}/rostermart/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -16,11 +16,9 @@ import datetime as dt
 import logging
 import uuid
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import partial
 
-from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +27,7 @@ from rostermart.operators.merge import ACTION, merge_type1, require_unique
 from rostermart.operators.quality import EmptyInputError, check_rules, require_same_count
 from rostermart.plans import star as s
 from rostermart.schemas import DIMENSIONS, FACT, KEY_OF, STAGING_RULES, ddl
+from rostermart.session import side_by_side
 
 log = logging.getLogger(__name__)
 
@@ -83,13 +82,16 @@ class StarStore:
                 raise
             return self.spark.createDataFrame([], LOG_SCHEMA)
 
-    def current(self) -> Row | None:
-        """The log row of the published state."""
-        return (self.load_log().where("load_status = 'SUCCESS'")
-                .orderBy(F.col("load_number").desc(), F.col("load_end_time").desc()).first())
+    def current(self, load_number: int | None = None) -> Row | None:
+        """The log row of the published state, or of an earlier load."""
+        done = self.load_log().where("load_status = 'SUCCESS'")
+        if load_number is not None:
+            done = done.where(F.col("load_number") == load_number)
+        return done.orderBy(F.col("load_number").desc(), F.col("load_end_time").desc()).first()
 
-    def star(self) -> s.Star:
-        state = self.current()
+    def star(self, load_number: int | None = None) -> s.Star:
+        """The published star, or the one an earlier load published (its folders stay as they were)."""
+        state = self.current(load_number)
         if state is None:
             raise FileNotFoundError(f"No star has been published below {self.root}")
         return s.Star(self._fact(state["fact_years"]), {n: self._dimension(n, state) for n in DIMENSIONS})
@@ -237,17 +239,13 @@ class StarStore:
             return self._write_merged(known.withColumn(ACTION, F.lit("KEEP")).unionByName(fresh),
                                       tables["date"])
 
-        # The dimensions do not depend on one another, so their jobs run side by side.
-        with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
-            running = {n: pool.submit(inheritable_thread_target(self.spark)(partial(merge, n)))
-                       for n in merges}
-            running["date"] = pool.submit(inheritable_thread_target(self.spark)(add_dates))
-            for name, job in running.items():
-                done = job.result()
-                if name == "date":
-                    done.pop("updated")
-                result.counts |= {f"{name}_{k}": v for k, v in done.items()}
-                water[name] = water.get(name, 0) + done["inserted"]
+        # The dimensions do not depend on one another.
+        merged_tables = side_by_side(
+            self.spark, {**{n: partial(merge, n) for n in merges}, "date": add_dates})
+        for name, done in merged_tables.items():
+            water[name] = water.get(name, 0) + done["inserted"]
+            result.counts |= {f"{name}_{k}": v for k, v in done.items()}
+        del result.counts["date_updated"]
 
         written = {n: self.spark.read.schema(ddl(DIMENSIONS[n])).parquet(p) for n, p in tables.items()}
         resolved_path = self._path(run_id, "resolved")

@@ -153,6 +153,14 @@ def test_first_termination_date(store, staged, keep):
     assert days == {None, dt.date(2001, 9, 1) if keep else m.AS_OF}
 
 
+def test_an_earlier_load_can_be_read(store, staged):
+    store.load(m.first_batch(staged), m.AS_OF)
+    store.load(staged, m.AS_OF)
+    assert store.star(1).fact.count() == m.first_batch(staged).count() < store.star().fact.count()
+    with pytest.raises(FileNotFoundError):
+        store.star(7)
+
+
 def test_history_keeps_every_load(store, staged):
     store.load(staged, dt.date(2001, 9, 1))
     store.load(staged, m.AS_OF)
