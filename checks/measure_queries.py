@@ -290,9 +290,9 @@ DEPARTURE_SHAPE = ("employee_key:i full_name:s job_title:s hire_date:s terminati
                    "satisfaction_score:d overtime_hours:i salary_band:s")
 
 
-@query(DEPARTURE_SHAPE, _sql("SELECT * FROM wide WHERE attrition_flag = 1 AND department_name = 'BUILDING'"))
+@query(DEPARTURE_SHAPE, _sql("SELECT * FROM wide WHERE attrition_flag = 1"))
 def departure_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p.departure_records(m.star(spark, sf_dir), FilterContext().where(department_name="BUILDING"), None)
+    return p.departure_records(m.star(spark, sf_dir), rows=None)
 
 
 @query(DEPARTURE_SHAPE, _sql("""SELECT * FROM wide WHERE attrition_flag = 1 AND department_name = 'BUILDING'
@@ -347,13 +347,12 @@ def band_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("employee_key:i full_name:s department_name:s job_title:s city:s region:s tenure_months:d "
-       "attrition_probability:d risk_level:s above_target:i promotion_recent:i", _sql(f"""
+       "attrition_probability:d risk_level:s above_target:i promotion_recent:i salary_band:s "
+       "satisfaction_score:d overtime_hours:i", _sql(f"""
   SELECT *, {RISK_LEVEL} AS risk_level, CASE WHEN attrition_probability > 0.15 THEN 1 ELSE 0 END AS above_target
-  FROM wide WHERE employee_key = 7"""))
-def risk_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nothing = spark.createDataFrame([], "position int, feature string, importance double")
-    return p.risk_profile_page(m.star(spark, sf_dir), 7, nothing,
-                               m.store(spark, sf_dir).risk_history())["profile"]
+  FROM wide"""))
+def risk_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p.employee_profiles(m.star(spark, sf_dir))
 
 
 # -- access ----------------------------------------------------------------
@@ -455,6 +454,20 @@ def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.groupBy("part").agg(F.count("*").alias("rows"), F.sum("attrition").alias("departures"))
 
 
+@query("attrition:i rows:i in_both:i share_holds:i", """
+  SELECT CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS attrition, count(*) AS rows, 0 AS in_both,
+         1 AS share_holds FROM orders GROUP BY 1""")
+def split_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per class: all rows are in one part and the test part has a fifth, within four deviations."""
+    parts = stratified_split(_scored(spark, sf_dir), "attrition", 0.2, 42, ["o_orderkey"])
+    marked = parts[0].withColumn("test", F.lit(0)).unionByName(parts[1].withColumn("test", F.lit(1)))
+    per_row = marked.groupBy("o_orderkey", "attrition").agg(
+        F.max("test").alias("test"), (F.max("test") - F.min("test")).alias("both"))
+    off = F.abs(F.avg("test") - 0.2) <= 4 * F.sqrt(F.lit(0.16) / F.count("*"))
+    return per_row.groupBy("attrition").agg(
+        F.count("*").alias("rows"), F.sum("both").alias("in_both"), off.cast("int").alias("share_holds"))
+
+
 _trained: dict = {}
 
 
@@ -491,6 +504,16 @@ def scored_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(load_model(path), frame)
 
 
+@query("attrition:i rows:i outside:i", with_level("cur", """
+  SELECT attrition, count(*) AS rows, 0 AS outside FROM cur GROUP BY attrition"""))
+def score_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every employee has a probability from 0 to 1."""
+    result, frame = _training(spark, sf_dir)
+    inside = F.coalesce(F.col("attrition_probability").between(0, 1), F.lit(False))
+    return score(result.models[result.best_name], frame).groupBy("attrition").agg(
+        F.count("*").alias("rows"), F.count_if(~inside).alias("outside"))
+
+
 @query("stage_name:s status:s row_count:i", with_level("cur", """
   SELECT stage_name, 'success' AS status, (SELECT count(*) FROM cur) AS row_count FROM (VALUES
     ('ingestion'), ('transformation'), ('modeling'), ('sql_loading')) AS t(stage_name)"""))

@@ -149,18 +149,21 @@ def departures_page(star: Star, department: str, context: FilterContext = ALL) -
     }
 
 
-def risk_profile_page(star: Star, employee_key: int, importance: DataFrame, history: DataFrame,
-                      context: FilterContext = ALL) -> dict[str, DataFrame]:
-    """Drill-through on one employee."""
-    inside = context.where(employee_key=employee_key)
+def employee_profiles(star: Star, context: FilterContext = ALL) -> DataFrame:
+    """Who the employee is, where, and how high the risk: one row per fact in the context."""
     columns = ["employee_key", "full_name", "department_name", "job_title", "city", "region",
                "tenure_months", "attrition_probability", "satisfaction_score", "overtime_hours",
                "salary_band", "promotion_recent"]
-    profile = rows_in_context(star, columns, inside).select(*columns)
+    return rows_in_context(star, columns, context).select(*columns).withColumns({
+        "risk_level": bands.risk_level(F.col("attrition_probability")),
+        "above_target": bands.above_target(F.col("attrition_probability"))})
+
+
+def risk_profile_page(star: Star, employee_key: int, importance: DataFrame, history: DataFrame,
+                      context: FilterContext = ALL) -> dict[str, DataFrame]:
+    """Drill-through on one employee."""
     return {
-        "profile": profile.withColumns({
-            "risk_level": bands.risk_level(F.col("attrition_probability")),
-            "above_target": bands.above_target(F.col("attrition_probability"))}),
+        "profile": employee_profiles(star, context.where(employee_key=employee_key)),
         "factors": top_factors(importance),
         "history": risk_history(history, [employee_key]),
     }

@@ -84,6 +84,11 @@ def test_null_keys_are_rejected_and_make_no_dimension_rows(store, staged):
         assert result.inserted + result.updated + result.rejected == result.staging_rows
 
 
+def test_a_dimension_without_rows(store, staged):
+    with pytest.raises(LoadFailedError):
+        store.load(staged.withColumn("department", F.lit(None).cast("string")), m.AS_OF)
+
+
 def test_whole_rows_may_repeat_but_not_facts(spark):
     same = spark.createDataFrame([(1, "a"), (1, "a"), (None, "b"), (None, "c")], "k int, v string")
     require_unique(same, ["k"], equal_rows=True)
