@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -26,14 +26,15 @@ class Condition:
     high: object = None
 
     def test(self) -> Column:
+        """True where the row fits; null counts as false, and a plain comparison reaches the scan."""
         if self.values:
-            return F.coalesce(F.col(self.column).isin(*self.values), F.lit(False))
+            return F.col(self.column).isin(*self.values)
         bounds = []
         if self.low is not None:
             bounds.append(F.col(self.column) >= F.lit(self.low))
         if self.high is not None:
             bounds.append(F.col(self.column) <= F.lit(self.high))
-        return F.coalesce(reduce(Column.__and__, bounds, F.lit(True)), F.lit(False))
+        return reduce(Column.__and__, bounds, F.lit(True))
 
 
 @dataclass(frozen=True)
@@ -97,8 +98,8 @@ def rows_in_context(star: Star, columns: Iterable[str], context: FilterContext,
                     tests_later: Iterable[str] = ()) -> DataFrame:
     """Facts joined with the dimensions that ``columns`` and ``context`` name, filtered.
 
-    Conditions on the day become ranges on the fact's date key and year folder,
-    which prune files without a join. ``tests_later`` columns are joined but
+    Ranges of days become ranges on the fact's date key and year folder, which
+    prune files without a join; conditions on the year prune folders too. ``tests_later`` columns are joined but
     their conditions are left to the caller.
     """
     later = set(tests_later)
@@ -110,6 +111,8 @@ def rows_in_context(star: Star, columns: Iterable[str], context: FilterContext,
                 fact = fact.where((F.col("date_key") >= day_number(c.low)) & (F.col(PARTITION) >= c.low.year))
             if c.high is not None:
                 fact = fact.where((F.col("date_key") <= day_number(c.high)) & (F.col(PARTITION) <= c.high.year))
+        if c.column == "year":
+            fact = fact.where(replace(c, column=PARTITION).test())
     needed: dict[str, list[str]] = {}
     ranged = {c.column for c in now.conditions if c.column == "full_date" and not c.values}
     tested = [c for c in now.columns if c not in ranged or c in columns]

@@ -82,15 +82,22 @@ def risk_table(star: Star, context: FilterContext = ALL, rows: int | None = RISK
 
 def departure_records(star: Star, context: FilterContext = ALL, rows: int | None = DEPARTURE_ROWS,
                       after: tuple | None = None) -> DataFrame:
-    """Departed employees, latest termination first; ``after`` = last (date, key) shown."""
-    employee = ["full_name", "hire_date", "termination_date", "salary_band"]
-    columns = ["employee_key", *employee, "job_title", "tenure_months", "satisfaction_score",
-               "overtime_hours", "attrition_flag"]
-    left = rows_in_context(star, columns, context.where(attrition_flag=1))
-    left = _after(left, "termination_date", after).select(*[c for c in columns if c != "attrition_flag"])
-    if rows is None:
-        return left
-    return left.orderBy(F.col("termination_date").desc_nulls_last(), "employee_key").limit(rows)
+    """Departed employees, latest termination first; ``after`` = last (date, key) shown.
+
+    As in ``risk_table``, a page is ordered and cut before names are joined.
+    """
+    columns = ["employee_key", "job_role_key", "termination_date", "tenure_months", "satisfaction_score",
+               "overtime_hours"]
+    left = rows_in_context(star, columns, context.where(attrition_flag=1)).select(*columns)
+    left = _after(left, "termination_date", after)
+    order = [F.col("termination_date").desc_nulls_last(), F.col("employee_key")]
+    page = left if rows is None else left.orderBy(*order).limit(rows)
+    people = star.dimensions["employee"].select("employee_key", "full_name", "hire_date", "salary_band")
+    shown = (page.join(people, "employee_key")
+             .join(star.dimensions["job_role"].select("job_role_key", "job_title"), "job_role_key")
+             .select("employee_key", "full_name", "hire_date", "termination_date", "salary_band", "job_title",
+                     "tenure_months", "satisfaction_score", "overtime_hours"))
+    return shown if rows is None else shown.orderBy(*order)
 
 
 def common_roles(star: Star, context: FilterContext = ALL) -> DataFrame:

@@ -20,24 +20,25 @@ def _not_found(error: AnalysisException) -> bool:
 
 
 def read_employees(spark: SparkSession, path: str, required: Sequence[str] = (),
-                   file_order: bool = False) -> DataFrame:
+                   file_order: bool = False, multi_line: bool = False) -> DataFrame:
     """Read a headered CSV as text columns, or parquet as it is.
 
     The header line alone gives the names; no pass infers types. Cells that
     hold a null token become null. A missing path raises ``FileNotFoundError``
     and an absent required column ``MissingColumnsError``, both before any scan
-    of the data. ``file_order`` adds the sortable ``src_ordinal``.
+    of the data. ``file_order`` adds the sortable ``src_ordinal``. ``multi_line``
+    allows line breaks inside quotes, at the price of one task per file.
     """
     try:
         if path.rstrip("/").endswith(".parquet"):
             table = spark.read.parquet(path)
         else:
-            table = spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"')
+            form = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
+            table = spark.read.csv(path, inferSchema=False, **form)
             names = table.columns
             schema = ", ".join(f"`{n}` string" for n in names)
             # enforceSchema=False: every file's header has to match these names.
-            table = spark.read.csv(path, header=True, schema=schema, enforceSchema=False,
-                                   quote='"', escape='"')
+            table = spark.read.csv(path, schema=schema, enforceSchema=False, **form)
     except AnalysisException as error:
         if _not_found(error):
             raise FileNotFoundError(path) from error

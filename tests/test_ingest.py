@@ -62,6 +62,12 @@ def test_null_tokens(spark, csv):
     assert kept == {"none", " NA", "0", "nil"}
 
 
+def test_quotes_and_line_breaks(spark, csv):
+    path = csv('a,b\n1,"x, ""y"""\n2,"two\nlines"\n')
+    assert sorted(read_employees(spark, path, multi_line=True).collect()) == [
+        ("1", 'x, "y"'), ("2", "two\nlines")]
+
+
 def test_parquet_source(spark, tmp_path):
     path = str(tmp_path / "in.parquet")
     spark.createDataFrame([(1, "NA"), (2, "x")], "employee_id long, name string").write.parquet(path)

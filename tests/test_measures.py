@@ -256,6 +256,21 @@ def test_date_filters_prune_the_fact(star):
     assert "GreaterThanOrEqual(date_key,20230101)" in plan and "dim" not in plan
 
 
+def test_year_filters_prune_folders(spark, tmp_path, star):
+    path = str(tmp_path / "by_year")
+    star.fact.write.partitionBy("date_year").parquet(path)
+    by_year = star.with_fact(spark.read.parquet(path))
+    df = g.evaluate(by_year, ["headcount"], [], FilterContext().where(year=[2023, 2024]))
+    assert df.first()[0] == 7
+    partitions = plan_of(df).split("PartitionFilters: [")[1]
+    assert "date_year" in partitions[:partitions.index("]")] and "IN (2023,2024)" in partitions
+
+
+def test_conditions_reach_the_scan(star):
+    plan = plan_of(g.evaluate(star, ["headcount"], [], FilterContext().where(gender=["F", "M"], city="C")))
+    assert "In(gender, [F,M])" in plan and "EqualTo(city,C)" in plan
+
+
 def test_views(spark, star):
     register_views({"vw_diversity_metrics": g.diversity_metrics(star)})
     assert spark.sql("select sum(headcount) from vw_diversity_metrics").first()[0] == 10
