@@ -112,16 +112,19 @@ def model_columns(df: DataFrame, buckets: dict[str, list[str]], but: Sequence[st
     """The numeric columns; bucket labels as codes, null as 0, dates and texts left out.
 
     A column ``_code_<name>`` gives ``<name>``: that is how codes stand beside their text.
+    Dots in a name, as a one-hot value may bring, become underscores, since the
+    model stages would read them as nested fields.
     """
     chosen = []
     for f in df.schema.fields:
         if f.name in but:
             continue
+        value = F.col(f"`{f.name}`")
         if f.name in buckets:
-            chosen.append(bucket_code(F.col(f.name), buckets[f.name]).alias(f.name))
+            chosen.append(bucket_code(value, buckets[f.name]).alias(f.name))
         elif isinstance(f.dataType, T.NumericType):
-            value = F.coalesce(F.col(f.name), F.lit(0).cast(f.dataType))
-            chosen.append(value.alias(f.name.removeprefix(CODE)))
+            filled = F.coalesce(value, F.lit(0).cast(f.dataType))
+            chosen.append(filled.alias(f.name.removeprefix(CODE).replace(".", "_")))
     return chosen
 
 

@@ -4,9 +4,10 @@ import random
 
 import pytest
 
-from rostermart.config import DEFAULT_JOB, JobSpec
+from rostermart.config import DEFAULT_JOB, JobSpec, ModelSpec
 from rostermart.plans import measures as g
-from rostermart.plans.run import run_job
+from rostermart.plans.model import score, train
+from rostermart.plans.run import encoded_frame, run_job
 from rostermart.sources.star_store import StarStore
 
 AS_OF = dt.date(2024, 6, 1)
@@ -59,6 +60,20 @@ def test_whole_run(spark, source, tmp_path):
     assert spark.read.parquet(f"{root}/stage_log").count() == 4
 
 
+def test_onehot_model_input(spark):
+    job = JobSpec.from_mapping({**DEFAULT_JOB, "transformation": {
+        **DEFAULT_JOB["transformation"], "encoding_strategy": "onehot"}})
+    rows = [(f"E{i}", AS_OF, "Sr. Dev" if i % 2 else "Lead", "Under 25", float(i), i % 3 == 0) for i in range(200)]
+    featured = spark.createDataFrame(
+        rows, "employee_id string, hire_date date, job_role string, age_group string, age double, left boolean"
+    ).selectExpr("* except (left)", "cast(left as int) as attrition")
+    frame = encoded_frame(featured, job)
+    assert frame.columns == ["employee_id", "age_group", "age", "attrition", "job_role_Lead", "job_role_Sr_ Dev"]
+    result = train(frame, ModelSpec(("logistic_regression",), 0.2, 42, {}))
+    scored = score(result.models["logistic_regression"], frame)
+    assert scored.where("attrition_probability between 0 and 1").count() == 200
+
+
 def test_stops_at_the_first_failure(spark, source, tmp_path):
     job = small_job(required_columns=["Employee ID", "Badge"])
     done = run_job(spark, job, source, str(tmp_path / "star"), AS_OF)
