@@ -137,7 +137,7 @@ def _searched(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
             ids = np.asarray(left["vec_id"])
             tree = BallTree(_matrix(left["v"], width))
             ids = ids[tree.order]
-            vectors = _matrix(right["v"], width)
+            vectors = _matrix(right["q"], width)
             floors = right["floor"].to_pylist()
             for i, own in enumerate(right["query_id"].to_pylist()):
                 best = _Best(k, floors[i])
@@ -164,12 +164,12 @@ def top_k(table: DataFrame, is_query: Column, k: int = 5, scale: int = 256, shar
     n_shards, n_parts = max(1, -(-n // shard_rows)), max(1, -(-asked.count() // block))
     shard = F.pmod(F.xxhash64("vec_id", "v"), F.lit(n_shards)).cast("int")
     rows = vectors.select("vec_id", "v", F.size("v").alias("width"), shard.alias("shard"))
-    queries = asked.select(F.col("vec_id").alias("query_id"), "v").distinct().select(
-        "query_id", "v", F.size("v").alias("width"), F.xxhash64("query_id", "v").alias("key"),
-        F.pmod(F.xxhash64("v", "query_id"), F.lit(n_parts)).cast("int").alias("part"))
+    queries = asked.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")).distinct().select(
+        "query_id", "q", F.size("q").alias("width"), F.xxhash64("query_id", "q").alias("key"),
+        F.pmod(F.xxhash64("q", "query_id"), F.lit(n_parts)).cast("int").alias("part"))
 
     def against(shards: Column, some: DataFrame) -> DataFrame:
-        return some.select("query_id", "key", "v", "width", "part", "floor", F.explode(shards).alias("shard"))
+        return some.select("query_id", "key", "q", "width", "part", "floor", F.explode(shards).alias("shard"))
 
     def all_parts(some: DataFrame) -> DataFrame:
         return some.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))))
