@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rostermart.llm import chat_examples, decontaminate, mix_sources, near_dedup, quality_net, top_k, toxic_neighbours, url_filter
+from rostermart.llm import chat_examples, context_tree, decontaminate, mix_sources, near_dedup, quality_net, top_k, toxic_neighbours, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -87,6 +87,11 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_examples.digests(chat_examples.expand(chat_examples.format_conversations(said)))
 
 
+@query()
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources.taken(mix_sources.mix_sources(table(spark, sf_dir, "documents")))
