@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rostermart.llm import chat_examples, context_tree, decontaminate, mix_sources, near_dedup, quality_net, top_k, toxic_neighbours, url_filter
+from rostermart.llm import chat_examples, context_tree, decontaminate, html_main, mix_sources, near_dedup, quality_net, top_k, toxic_neighbours, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -102,6 +102,11 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_net.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query()
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.main_texts(table(spark, sf_dir, "pages"))
+
+
 @query()
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxic_neighbours.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
