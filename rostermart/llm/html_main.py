@@ -236,7 +236,12 @@ class Trees:
 
 def boost(x: np.ndarray, y: np.ndarray, rounds: int = 40, depth: int = 4, rate: float = 0.3, bins: int = 32, l2: float = 1.0) -> Trees:
     """Newton boosting of the log loss, level by level over histograms."""
-    edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(x.shape[1])]
+    edges = []
+    for column in x.T:
+        values = np.unique(column)
+        if len(values) > bins:  # else every value has its own bin, however rare
+            values = np.unique(np.quantile(column, np.linspace(0, 1, bins)))
+        edges.append((values[:-1] + values[1:]) / 2)
     share = np.clip(y.mean(), 1e-3, 1 - 1e-3)
     model = Trees(edges, np.zeros((0, 2 ** depth - 1), np.int64), np.zeros((0, 2 ** depth - 1), np.int64), np.zeros((0, 2 ** depth)), float(np.log(share / (1 - share))))
     b = model.binned(x).astype(np.int64)

@@ -36,9 +36,11 @@ def training_sample(documents: DataFrame, labels: DataFrame, label: str, per_cla
 def fitted(sample: DataFrame, fit: Callable[[pd.DataFrame], Any]) -> Any:
     """What ``fit`` makes of the sample's rows, in the order of doc_id, in one task; the driver gets the result alone."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(list(batches), schema).to_pandas().sort_values("doc_id", ignore_index=True)
+        some = list(batches)
+        rows = (pa.Table.from_batches(some) if some else schema.empty_table()).to_pandas().sort_values("doc_id", ignore_index=True)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(rows))], pa.binary())], names=["made"])
 
     sample = sample.select(F.col("doc_id").cast("string").alias("doc_id"), "text", "y")
     schema = pa.schema([("doc_id", pa.string()), ("text", pa.string()), ("y", pa.int32())])
-    return pickle.loads(sample.coalesce(1).mapInArrow(run, "made binary").first().made)
+    made = sample.coalesce(1).mapInArrow(run, "made binary").first()
+    return pickle.loads(made.made) if made else fit(schema.empty_table().to_pandas())

@@ -68,7 +68,7 @@ def _features(hosts: pa.Array, paths: pa.Array) -> Iterator[tuple[np.ndarray, np
             row = np.searchsorted(part.offsets, place, "right") - 1
             ends = part.offsets[1:][row]
             total = np.zeros(len(low), U64)
-            for k in range(max(SIZES)):
+            for k in range(min(max(SIZES), len(low))):
                 total[:len(low) - k] = total[:len(low) - k] * U64(257) + low[k:] + U64(1)
                 if k + 1 in SIZES:
                     whole = place + k < ends
