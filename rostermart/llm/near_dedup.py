@@ -10,9 +10,13 @@
    pairs with one pivot, not all pairs. Pairs whose sizes or signatures cannot
    reach the threshold go (signature agreement more than seven deviations below
    it); the others are compared on their full sets. Links form components.
-4. A pivot has met its whole bucket and leaves it. Buckets that still hold members
-   of different components send pairs with further pivots, four times as many in
-   each round, until every pair of a bucket is either compared or in one component.
+4. A pivot has met its whole bucket and leaves it. For members of buckets that still
+   hold several components, the shingles that no other such member has are counted:
+   they are in no intersection, which bounds the similarity to any partner. Members
+   that the bound rules out for their whole bucket leave it, and pairs that it rules
+   out are not sent. Further pivots follow, those with the fewest such shingles
+   first and four times as many in each round, until every pair of a bucket is
+   compared, ruled out or in one component.
 
 A link is missed only if no band agrees: at similarity 0.85, with 25 bands of 5,
 that has a probability of 4e-7; at 0.8 of 5e-5.
@@ -194,6 +198,22 @@ def components(links: DataFrame) -> DataFrame:
         roots.select(F.col("root").alias("node"), "root").distinct())
 
 
+def _own_shingles(texts: DataFrame, k: int) -> DataFrame:
+    """cls, own: how many shingles of a class no other class of the table has."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, values, first in shingle_sets(batch.column("text"), k):
+                owner = pa.array(np.repeat(np.arange(lo, lo + len(first) - 1), np.diff(first)))
+                for at in range(0, len(values), 1 << 16):
+                    yield pa.RecordBatch.from_arrays([batch.column("cls").take(owner[at:at + (1 << 16)]),
+                                                      pa.array(values[at:at + (1 << 16)].view(np.int64))], names=["cls", "shingle"])
+
+    alone = (texts.mapInArrow(spread, "cls binary, shingle long").groupBy("shingle").agg(F.count("*").alias("many"), F.min("cls").alias("cls"))
+             .where("many = 1"))
+    return alone.groupBy("cls").agg(F.count("*").alias("own"))
+
+
 def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, row, n_shingles, component_id (smallest doc_id of its component), lead (the row key that stands for it)."""
     spark = documents.sparkSession
@@ -201,41 +221,56 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     classes = saved(signed.where("n > 0").groupBy("cls").agg(
         F.min("doc_id").alias("doc_id"), F.min("row").alias("row"), F.max("n").alias("n"), F.max("sig").alias("sig")), "classes")
     texts_of = documents.select(row_key(F.col("doc_id"), F.col("text")).alias("row"), "text")
+    least = int(USED * (percent / 100 - 7 * (percent / 100 * (1 - percent / 100) / USED) ** 0.5))
+    side = classes.select("cls", "sig")
 
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
                         lambda i: F.xxhash64(i, F.substring("sig", i * 4 * BAND_ROWS + 1, F.lit(4 * BAND_ROWS))))
-    all_buckets = classes.select("cls", F.explode(bands).alias("band"))
-    shared = all_buckets.groupBy("band").agg(F.count("*").alias("many")).where("many > 1").select("band")
-    buckets = saved(all_buckets.join(shared, "band"), "buckets")
+    banded = classes.select("cls", "n", F.lit(0).cast("long").alias("own"), F.explode(bands).alias("band"))
+    buckets = saved(banded.join(banded.groupBy("band").agg(F.count("*").alias("many")).where("many > 1").select("band"), "band"), "buckets")
 
     links = spark.createDataFrame([], "a binary, b binary")
     roots = spark.createDataFrame([], "node binary, root binary")
-    least = int(USED * (percent / 100 - 7 * (percent / 100 * (1 - percent / 100) / USED) ** 0.5))
-    side = classes.select(F.col("cls"), "n", "sig")
+
+    def texts_for(wanted: DataFrame) -> DataFrame:
+        """cls, text for some classes: one text each."""
+        chosen = wanted.join(classes.select("cls", "row"), "cls")
+        return saved(texts_of.join(chosen, "row").select("cls", "text").dropDuplicates(["cls"]), "texts")
+
+    def still_open(members: DataFrame) -> DataFrame:
+        """Members (band, cls, n, own, root) of bands that hold several components, without those that can have no partner there."""
+        known = members.select("band", "cls", "n", "own").join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+        several = known.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("least_n")).where("lo <> hi")
+        partner = F.greatest(F.ceil(F.col("n") * percent / 100), F.col("least_n"))
+        return known.join(several.select("band", "least_n"), "band").where(
+            (100 + percent) * (F.col("n") - F.col("own")) >= percent * (F.col("n") + partner)).drop("least_n")
+
     pivots = 1
     while True:
-        known = buckets.join(roots, buckets["cls"] == roots["node"], "left").select("band", "cls", F.coalesce("root", "cls").alias("root"))
-        open_bands = known.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band")
-        buckets = saved(known.join(open_bands, "band"), "buckets")
+        buckets = saved(still_open(buckets), "buckets")
+        if pivots == 4:
+            own = _own_shingles(texts_for(buckets.select("cls").distinct()), k)
+            counted = buckets.drop("own").join(own, "cls", "left").withColumn("own", F.coalesce("own", F.lit(0).cast("long")))
+            # twice: members that go can leave others without a partner or a second component
+            buckets = saved(still_open(still_open(counted)), "buckets")
         if buckets.isEmpty():
             break
-        order = Window.partitionBy("band").orderBy("cls")
-        lead = saved(buckets.withColumn("no", F.row_number().over(order)).where(F.col("no") <= pivots)
-                     .select("band", F.col("cls").alias("a"), F.col("root").alias("root_a")), "pivots")
-        pairs = (buckets.join(lead, "band").where((F.col("root") != F.col("root_a")) & (F.col("cls") != F.col("a")))
-                 .select(F.least("a", "cls").alias("a"), F.greatest("a", "cls").alias("b")).distinct())
-        sized = (pairs.join(side.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a")), "a")
-                 .join(side.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b")), "b")
-                 .where((100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))))
-        near = saved(_plausible(sized.select("a", "b", "sig_a", "sig_b"), least), "plausible")
-        wanted = near.select("a").unionByName(near.select(F.col("b").alias("a"))).distinct()
-        chosen = wanted.join(classes.select(F.col("cls").alias("a"), "row"), "a")
-        texts = saved(texts_of.join(chosen, "row").select(F.col("a").alias("cls"), "text").dropDuplicates(["cls"]), "texts")
-        new = saved(_verified(near, texts, k, percent), "links")
+        order = Window.partitionBy("band").orderBy(F.col("own") / F.col("n"), "cls")
+        lead = saved(buckets.withColumn("no", F.row_number().over(order)).where(F.col("no") <= pivots).select(
+            "band", F.col("cls").alias("pivot"), F.col("n").alias("n_pivot"), F.col("own").alias("own_pivot"), F.col("root").alias("root_pivot")), "pivots")
+        shared = F.least(F.col("n") - F.col("own"), F.col("n_pivot") - F.col("own_pivot"))
+        fits = ((F.col("root") != F.col("root_pivot")) & (100 * F.least("n", "n_pivot") >= percent * F.greatest("n", "n_pivot"))
+                & ((100 + percent) * shared >= percent * (F.col("n") + F.col("n_pivot"))))
+        pairs = buckets.join(lead, "band").where(fits).select(F.least("pivot", "cls").alias("a"), F.greatest("pivot", "cls").alias("b")).distinct()
+        sized = (pairs.join(side.select(F.col("cls").alias("a"), F.col("sig").alias("sig_a")), "a")
+                 .join(side.select(F.col("cls").alias("b"), F.col("sig").alias("sig_b")), "b"))
+        near = saved(_plausible(sized, least), "plausible")
+        wanted = near.select(F.col("a").alias("cls")).unionByName(near.select(F.col("b").alias("cls"))).distinct()
+        new = saved(_verified(near, texts_for(wanted), k, percent), "links")
         if not new.isEmpty():
             links = links.unionByName(new)
             roots = saved(components(links), "roots")
-        buckets = buckets.select("band", "cls").join(lead.select("band", F.col("a").alias("cls")), ["band", "cls"], "left_anti")
+        buckets = buckets.join(lead.select("band", F.col("pivot").alias("cls")), ["band", "cls"], "left_anti")
         pivots *= 4
 
     rooted = classes.join(roots, classes["cls"] == roots["node"], "left").select("cls", "doc_id", "row", F.coalesce("root", "cls").alias("root"))
