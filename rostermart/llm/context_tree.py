@@ -248,8 +248,7 @@ def _tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def learn(counts: DataFrame) -> DataFrame:
     """key, value: the log10 of every string's last byte; ``counts`` (key, n) has each string once, n = 0 if not learned from."""
-    subtrees = saved(counts.repartition(F.shiftrightunsigned("key", 8 * (DEPTH - 1))), "strings")
-    together = subtrees.repartition(F.shiftrightunsigned("key", 8 * (DEPTH - 1)))
+    together = counts.repartition(F.shiftrightunsigned("key", 8 * (DEPTH - 1)))
     sums = [np.zeros(256 * 256) for _ in range(3)]
     tops = together.mapInArrow(_tops, "slot long, n0 double, n1 double, below double").groupBy("slot").agg(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("below").alias("below")).toPandas()
