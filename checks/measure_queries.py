@@ -120,6 +120,18 @@ def sliced_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.evaluate(m.star(spark, sf_dir), g.SCORECARD, ["department_name", "gender"], context)
 
 
+@query(f"day:s {SCORE_SHAPE}", _sql(f"""
+  SELECT CAST(full_date AS VARCHAR) AS day, {SCORECARD} FROM wide
+  WHERE full_date IN (DATE '2000-03-15', DATE '2000-03-16', DATE '1993-05-05')
+    AND full_date BETWEEN DATE '2000-01-01' AND DATE '2000-12-31' GROUP BY full_date"""))
+def sliced_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range on the day and chosen days hold together."""
+    context = (FilterContext().between("full_date", dt.date(2000, 1, 1), dt.date(2000, 12, 31))
+               .where(full_date=[dt.date(2000, 3, 15), dt.date(2000, 3, 16), dt.date(1993, 5, 5)]))
+    return g.evaluate(m.star(spark, sf_dir), g.SCORECARD, ["full_date"], context).withColumnRenamed(
+        "full_date", "day").withColumn("day", F.col("day").cast("string"))
+
+
 LAST_YEAR = """full_date > (SELECT max(full_date) FROM dat) - INTERVAL 12 MONTH"""
 
 
@@ -410,6 +422,19 @@ def rls_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secure(star, "ben@example.com", [MANAGER], _mapped(star)).dimension("employee")
 
 
+@query("who:s employee_key:i year:i month:i attrition_probability:d", _sql("""
+  SELECT who, employee_key, 2002 AS year, 1 AS month, attrition_probability
+  FROM wide JOIN (SELECT * FROM (VALUES ('chief', ''), ('building', 'BUILDING'), ('ana', 'AUTOMOBILE'), ('ana', 'BUILDING'), ('ana', 'FURNITURE')) AS v(who, d))
+    ON d = department_name OR d = ''"""))
+def rls_risk_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The risk history under each kind of right; a user without a known role sees none."""
+    star = _headed(spark, sf_dir)
+    seen = {"chief": secure(star, "chief@example.com", [EXECUTIVE]), "building": secure(star, "building@example.com", [MANAGER]),
+            "ana": secure(star, "ana@example.com", [MANAGER], _mapped(star)), "intern": secure(star, "building@example.com", ["Intern"])}
+    parts = [t.risk_history(s.history).select(F.lit(who).alias("who"), "employee_key", "year", "month", "attrition_probability") for who, s in seen.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
 @query("who:s has_access:i", """SELECT 'building@example.com' AS who, 1 AS has_access UNION ALL
   SELECT 'nobody@example.com', 0""")
 def rls_has_access(spark: SparkSession, sf_dir: str) -> DataFrame:

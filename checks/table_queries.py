@@ -141,13 +141,13 @@ def coercion_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coercion_log(_as_text(spark, sf_dir))
 
 
-@query("order_key:i over_time_hours:i salary:d score:i", """
-  SELECT o_orderkey AS order_key, o_orderkey % 31 AS over_time_hours, o_totalprice AS salary,
-         o_custkey AS score FROM orders""")
+@query("order_key:i night_shift_days:i price:d buyer:i", """
+  SELECT o_orderkey AS order_key, o_orderkey % 31 AS night_shift_days, o_totalprice AS price,
+         o_custkey AS buyer FROM orders""")
 def standardized_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standardize_columns(m.table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("Order Key"), (F.col("o_orderkey") % 31).alias("Over-Time Hours"),
-        F.col("o_totalprice").alias("salary($)"), F.col("o_custkey").alias(" Score% ")))
+        F.col("o_orderkey").alias("Order Key"), (F.col("o_orderkey") % 31).alias("Night-Shift  Days"),
+        F.col("o_totalprice").alias("price(€)"), F.col("o_custkey").alias(" Buyer% ")))
 
 
 @query(FEATURE_SHAPE, with_level("feat", "SELECT * FROM feat"))

@@ -8,6 +8,9 @@ from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
 
+from rostermart.functions.parsing import DEFAULT_DATE_FORMATS
+from rostermart.operators.nulls import NUMERIC_COLUMNS
+
 # The default job. Bin edges, labels, thresholds and model
 # settings decide results, so they are stated here as they must be.
 DEFAULT_JOB: dict[str, Any] = {
@@ -70,6 +73,8 @@ class FeatureSpec:
 class CleanSpec:
     encoding: str = "label"
     features: tuple[FeatureSpec, ...] = ()
+    number_columns: tuple[str, ...] = NUMERIC_COLUMNS
+    date_formats: tuple[str, ...] = DEFAULT_DATE_FORMATS
 
 
 @dataclass(frozen=True)
@@ -108,6 +113,8 @@ class JobSpec:
                     FeatureSpec(f["name"], f["source"], f["logic"], f.get("params", {}))
                     for f in clean.get("feature_derivations", [])
                 ),
+                number_columns=tuple(clean.get("number_columns", NUMERIC_COLUMNS)),
+                date_formats=tuple(clean.get("date_formats", DEFAULT_DATE_FORMATS)),
             ),
             model=ModelSpec(
                 algorithms=tuple(model["algorithms"]),

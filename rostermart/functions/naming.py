@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame
 
 
 def snake_case(name: str) -> str:
-    """Lower case, blanks and hyphens to one underscore, other signs removed."""
+    """Lower case, blanks and hyphens to one underscore, other signs removed.
+
+    Fixed values: the two character classes decide the names.
+    """
     words = re.sub(r"[\s-]+", "_", name.lower())
     kept = re.sub(r"[^a-z0-9_]", "", words)
     return "_".join(part for part in kept.split("_") if part)

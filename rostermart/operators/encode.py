@@ -69,15 +69,16 @@ def label_encode(df: DataFrame, columns: Sequence[str], order: Sequence[Column])
     return df
 
 
-def onehot_encode(df: DataFrame, columns: Sequence[str], max_categories: int = 200) -> DataFrame:
+def onehot_encode(df: DataFrame, columns: Sequence[str], max_categories: int | None = None) -> DataFrame:
     """Replace each text column by 0/1 columns ``<column>_<value>`` in value order.
 
-    A null row is all zeros. More than ``max_categories`` values in a column is
-    an error; use ``onehot_vector`` there.
+    A null row is all zeros. Every value becomes a column, which the caller may
+    bound: more than ``max_categories`` values are an error then, and
+    ``onehot_vector`` takes any number.
     """
     values = scratch.saved(_melted(df, columns).distinct(), "categories")
     sizes = {r["slot"]: r["count"] for r in values.groupBy("slot").count().collect()}
-    wide = [columns[s] for s, n in sorted(sizes.items()) if n > max_categories]
+    wide = [columns[s] for s, n in sorted(sizes.items()) if max_categories is not None and n > max_categories]
     if wide:
         raise ValueError(f"More than {max_categories} categories in: " + ", ".join(wide))
     found = sorted((r["slot"], r["value"]) for r in values.collect())

@@ -5,6 +5,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,10 +93,17 @@ def check_star(star) -> DataFrame:
         for keys in rules.unique:
             found.append(repeated_keys(table, keys).agg(F.count("*").alias("violations")).select(
                 F.lit(f"{name}:unique:{'+'.join(keys)}").alias("rule"), "violations"))
-    for dim, key in KEY_OF.items():
-        lost = orphans(star.fact, key, star.dimension(dim), key)
-        found.append(lost.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("violations")).select(
-            F.lit(f"fact:foreign_key:{key}").alias("rule"), "violations"))
+    # All references in one scan: the fact's distinct keys, one column below the other.
+    def named(column):
+        return F.struct(F.lit(column).alias("key"), F.col(column).cast("long").alias("value"))
+
+    used = (star.fact.select(F.explode(F.array(*[named(k) for k in KEY_OF.values()])).alias("k")).select("k.*")
+            .where("value IS NOT NULL").groupBy("key", "value").agg(F.count("*").alias("rows")))
+    parents = reduce(DataFrame.unionByName, [star.dimension(d).select(named(k).alias("k")).select("k.*") for d, k in KEY_OF.items()])
+    lost = used.join(parents, ["key", "value"], "left_anti").groupBy("key").agg(F.sum("rows").alias("violations"))
+    keys = star.fact.sparkSession.createDataFrame([(k,) for k in KEY_OF.values()], "key string")
+    found.append(keys.join(lost, "key", "left").select(
+        F.concat(F.lit("fact:foreign_key:"), "key").alias("rule"), F.coalesce("violations", F.lit(0)).alias("violations")))
     result = found[0]
     for more in found[1:]:
         result = result.unionByName(more)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +30,8 @@ def secure(star: Star, user: str, roles: Iterable[str], department_map: DataFram
     departments = star.dimensions["department"]
     if MANAGER not in held:
         nothing = {n: t.where(F.lit(False)) for n, t in star.dimensions.items()}
-        return replace(star, fact=star.fact.where(F.lit(False)), dimensions=nothing, restricted=True)
+        history = None if star.history is None else star.history.where(F.lit(False))
+        return Star(star.fact.where(F.lit(False)), nothing, history, restricted=True)
     headed = F.col("department_head") == user
     if department_map is None:
         visible = departments.where(headed)
@@ -40,7 +40,7 @@ def secure(star: Star, user: str, roles: Iterable[str], department_map: DataFram
         own = departments.where(headed).select("department_key").unionByName(mapped).distinct()
         visible = departments.join(own, "department_key", "left_semi")
     fact = star.fact.join(visible.select("department_key"), "department_key", "left_semi")
-    return replace(star, fact=fact, dimensions={**star.dimensions, "department": visible}, restricted=True)
+    return star.narrowed(fact, visible)
 
 
 def has_access(star: Star) -> DataFrame:

@@ -114,14 +114,14 @@ def rows_in_context(star: Star, columns: Iterable[str], context: FilterContext,
         if c.column == "year":
             fact = fact.where(replace(c, column=PARTITION).test())
     needed: dict[str, list[str]] = {}
-    ranged = {c.column for c in now.conditions if c.column == "full_date" and not c.values}
-    tested = [c for c in now.columns if c not in ranged or c in columns]
-    for column in dict.fromkeys([*columns, *tested, *later]):
+    # Ranges of days are done; any other condition, also one on the day, is still to be tested.
+    rest = FilterContext(tuple(c for c in now.conditions if c.column != "full_date" or c.values))
+    for column in dict.fromkeys([*columns, *rest.columns, *later]):
         home = _home(column)
         if home and column not in needed.setdefault(home, []):
             needed[home].append(column)
     rows = star.with_fact(fact).joined(needed)
-    return rows.where(now.without(ranged).test()) if now.conditions else rows
+    return rows.where(rest.test()) if rest.conditions else rows
 
 
 def last_twelve_months(star: Star, context: FilterContext | None = None) -> FilterContext:

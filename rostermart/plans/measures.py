@@ -106,11 +106,14 @@ def distribution(star: Star, column: str, by: Sequence[str] = (), context: Filte
     rows = rows_in_context(star, [*by, column], context, tests_later=employee)
     counted = rows.groupBy(*by, column).agg(
         F.count_if(own.test()).alias("part"), F.count_if(others.test()).alias("rest"))
-    shares = counted.select(
+    if by:
+        whole = counted.withColumn("whole", F.sum("rest").over(Window.partitionBy(*by)))
+    else:  # one row for the total, whatever the number of values
+        whole = counted.withColumn("whole", counted.agg(F.sum("rest")).scalar())
+    shares = whole.select(
         *by, column,
         F.nullif(F.sum("part").over(Window.partitionBy(*outer, column)), F.lit(0)).alias("n"),
-        F.nullif(F.sum("rest").over(Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))),
-                 F.lit(0)).alias("total"))
+        F.nullif("whole", F.lit(0)).alias("total"))
     shown = shares.withColumn("pct", percent(F.col("n"), F.col("total")))
     return shown.where("n is not null")
 

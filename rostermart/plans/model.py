@@ -10,7 +10,8 @@ from typing import Any
 
 from pyspark import StorageLevel
 from pyspark.ml import Model, Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import (
+    LogisticRegression, LogisticRegressionModel, RandomForestClassificationModel, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -28,7 +29,17 @@ PROBABILITY = "attrition_probability"
 METRICS = ("accuracy", "precision", "recall", "f1", "auc_roc")
 # Identity columns say nothing about a person's risk; pass identity=() to use them as features.
 IDENTITY = ("employee_id", "name")
-ALGORITHMS = ("logistic_regression", "random_forest")
+# The algorithms and their settings; any other name is an error.
+KNOWN_PARAMS = {
+    "logistic_regression": ("max_iter", "solver", "C", "tol", "penalty", "fit_intercept"),
+    "random_forest": ("n_estimators", "max_depth", "min_samples_split", "min_samples_leaf", "max_features", "criterion"),
+}
+ALGORITHMS = tuple(KNOWN_PARAMS)
+# What a feature weighs in a fitted model, by its class.
+WEIGHTS = {
+    LogisticRegressionModel: lambda model: [abs(float(x)) for x in model.coefficients],
+    RandomForestClassificationModel: lambda model: [float(x) for x in model.featureImportances.toArray()],
+}
 _SPLIT_STEPS = 1_000_000
 
 
@@ -71,23 +82,32 @@ def estimator(algorithm: str, params: Mapping[str, Any], seed: int, train_rows:
     The inverse penalty ``C`` counts over the sum of row losses, MLlib's over
     their mean, hence ``regParam = 1 / (C * rows)``.
     """
+    if algorithm not in KNOWN_PARAMS:
+        raise ValueError(f"Unsupported algorithm: {algorithm}")
+    unknown = sorted(set(params) - set(KNOWN_PARAMS[algorithm]))
+    if unknown:
+        raise ValueError(f"Unsupported settings of {algorithm}: " + ", ".join(unknown))
     if algorithm == "logistic_regression":
         solver = params.get("solver", "lbfgs")
         if solver != "lbfgs":
             raise ValueError(f"Unsupported solver: {solver}")
+        penalty = params.get("penalty", "l2")
+        if penalty not in (None, "l1", "l2"):
+            raise ValueError(f"Unsupported penalty: {penalty}")
         return LogisticRegression(
-            labelCol=LABEL, regParam=1.0 / (float(params.get("C", 1.0)) * max(train_rows, 1)),
-            elasticNetParam=0.0, standardization=False, maxIter=int(params.get("max_iter", 100)),
+            labelCol=LABEL, regParam=0.0 if penalty is None else 1.0 / (float(params.get("C", 1.0)) * max(train_rows, 1)),
+            elasticNetParam=1.0 if penalty == "l1" else 0.0, fitIntercept=bool(params.get("fit_intercept", True)), standardization=False, maxIter=int(params.get("max_iter", 100)),
             tol=float(params.get("tol", 1e-8)))
-    if algorithm == "random_forest":
-        if params.get("min_samples_split", 2) > 2:
-            warnings.warn("min_samples_split has no counterpart here and is not used; "
-                          "min_samples_leaf limits the nodes", UserWarning, stacklevel=2)
-        return RandomForestClassifier(
-            labelCol=LABEL, numTrees=int(params.get("n_estimators", 100)),
-            maxDepth=int(params.get("max_depth") or 30), featureSubsetStrategy="sqrt", seed=seed,
-            minInstancesPerNode=int(params.get("min_samples_leaf", 1)))
-    raise ValueError(f"Unsupported algorithm: {algorithm}")
+    depth = params.get("max_depth", 10)
+    if depth is None or not 0 <= int(depth) <= 30:
+        raise ValueError("max_depth has to be given, from 0 to 30: deeper trees cannot be built here")
+    if params.get("min_samples_split", 2) > 2:
+        warnings.warn("min_samples_split has no counterpart here and is not used; "
+                      "min_samples_leaf limits the nodes", UserWarning, stacklevel=2)
+    return RandomForestClassifier(
+        labelCol=LABEL, numTrees=int(params.get("n_estimators", 100)), maxDepth=int(depth),
+        featureSubsetStrategy=str(params.get("max_features", "sqrt") or "all"), impurity=params.get("criterion", "gini"),
+        seed=seed, minInstancesPerNode=int(params.get("min_samples_leaf", 1)))
 
 
 def confusion(scored: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:
@@ -125,28 +145,23 @@ def feature_columns(df: DataFrame, identity: Sequence[str] = IDENTITY) -> list[s
 def feature_importance(model: PipelineModel, features: Sequence[str], spark) -> DataFrame:
     """``(position, feature, importance)``, greatest first; ties in feature order.
 
-    Forest importances, the size of linear coefficients, or equal weights.
+    Forest importances or the size of linear coefficients.
     """
     last: Model = model.stages[-1]
-    if hasattr(last, "featureImportances"):
-        weights = [float(x) for x in last.featureImportances.toArray()]
-    elif hasattr(last, "coefficients"):
-        weights = [abs(float(x)) for x in last.coefficients.toArray()]
-    else:
-        weights = [1.0 / len(features)] * len(features)
+    weights = WEIGHTS[type(last)](last)
     rows = list(zip(range(len(features)), features, weights, strict=True))
     return spark.createDataFrame(rows, "position int, feature string, importance double").orderBy(
         F.col("importance").desc(), "position")
 
 
-def training_partitions(rows: int) -> int:
-    """A partition count that depends on the data alone: small ones while there are few rows."""
-    return max(1, min(math.ceil(rows / 2000), max(64, math.ceil(rows / 500_000))))
+def training_partitions(rows: int, rows_per_partition: int = 20_000) -> int:
+    """A partition count that depends on the data alone."""
+    return max(1, math.ceil(rows / rows_per_partition))
 
 
 def train(df: DataFrame, spec: ModelSpec, key: Sequence[str] = ("employee_id",),
           identity: Sequence[str] = IDENTITY, partitions: int | None = None,
-          exact_split: bool = False) -> TrainingResult:
+          exact_split: bool = True) -> TrainingResult:
     """Fit and compare the configured algorithms on a numeric table with an ``attrition`` column.
 
     ``key`` names a row. Training rows are placed by all their values into a

@@ -166,13 +166,13 @@ def employee_profiles(star: Star, context: FilterContext = ALL) -> DataFrame:
         "above_target": bands.above_target(F.col("attrition_probability"))})
 
 
-def risk_profile_page(star: Star, employee_key: int, importance: DataFrame, history: DataFrame,
+def risk_profile_page(star: Star, employee_key: int, importance: DataFrame,
                       context: FilterContext = ALL) -> dict[str, DataFrame]:
-    """Drill-through on one employee."""
+    """Drill-through on one employee, as far as the star's rights go."""
     return {
         "profile": employee_profiles(star, context.where(employee_key=employee_key)),
         "factors": top_factors(importance),
-        "history": risk_history(history, [employee_key]),
+        "history": risk_history(star.history, [employee_key]),
     }
 
 

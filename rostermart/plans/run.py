@@ -21,10 +21,12 @@ from rostermart.operators.features import derive_features
 from rostermart.operators.latest import drop_repeated_rows, keep_latest
 from rostermart.operators.nulls import treat_nulls
 from rostermart.plans.model import PROBABILITY, TrainingResult, save_model, score, train
-from rostermart.plans.star import to_staging
+from rostermart.plans.star import misfits, to_staging
+from rostermart.schemas import STAGING_RULES
 from rostermart.sources import scratch
 from rostermart.sources.employees import read_employees
 from rostermart.sources.star_store import LoadResult, StarStore
+from rostermart.sources.tables import write_staging
 
 STAGE_SCHEMA = ("run_id string, stage_name string, status string, start_time timestamp, "
                 "end_time timestamp, row_count long, error_message string")
@@ -64,7 +66,7 @@ def first_seen_order(job: JobSpec) -> list:
 
 def ingest(raw: DataFrame, job: JobSpec) -> DataFrame:
     """Nulls treated and the latest row per key kept."""
-    known = treat_nulls(raw, job.ingest.null_strategy, job.ingest.required)
+    known = treat_nulls(raw, job.ingest.null_strategy, job.ingest.required, (*job.clean.number_columns, "attrition"))
     return keep_latest(known, job.ingest.key, job.ingest.latest_by)
 
 
@@ -95,13 +97,16 @@ def encoded_frame(featured: DataFrame, job: JobSpec, skip: Sequence[str] = ()) -
 
 
 def run_job(spark: SparkSession, job: JobSpec, source: str, store_root: str, as_of: dt.date, *,
-            model_path: str | None = None, started: dt.datetime | None = None,
+            model_path: str | None = None, staging_folder: str | None = None, started: dt.datetime | None = None,
             **load_options) -> RunResult:
     """Run the four stages in order and stop at the first failure.
 
     Plans stay lazy within a stage; each stage ends in one written table, whose
     row count the write itself reports. Names and ids are no features, so they
-    are not encoded, which spares a code table as long as the data.
+    are not encoded, which spares a code table as long as the data. With a
+    ``staging_folder`` the staging table is also stored there, under the job's name
+    for it. Values that do not fit a staging column that must not be null fail the
+    load; other misfits are counted in the load result as ``misfit_<column>``.
     """
     result = RunResult(uuid.uuid4().hex[:12])
     began = time.monotonic()
@@ -115,12 +120,13 @@ def run_job(spark: SparkSession, job: JobSpec, source: str, store_root: str, as_
 
     def transformation() -> int:
         named = standardize_columns(tables["ingested"])
-        typed = drop_repeated_rows(coerce_types(named)).transform(_typed_label)
+        options = {"numeric_columns": job.clean.number_columns, "date_formats": job.clean.date_formats}
+        typed = drop_repeated_rows(coerce_types(named, **options)).transform(_typed_label)
         derived = derive_features(typed, job.clean.features, as_of)
         tables["featured"], n = counted_save(derived, "featured")
         buckets = bucket_columns(job.clean.features)
         result.log = change_log(
-            renamed_columns(tables["ingested"]), coercion_log(named), result.stages[0].row_count, n,
+            renamed_columns(tables["ingested"]), coercion_log(named, **options), result.stages[0].row_count, n,
             feature_log(tables["featured"], job.clean.features), job.clean.encoding,
             text_columns(tables["featured"], but=[*buckets, "name", key]))
         return n
@@ -136,9 +142,15 @@ def run_job(spark: SparkSession, job: JobSpec, source: str, store_root: str, as_
         return n
 
     def star_load() -> int:
-        loaded = dt.datetime.combine(as_of, dt.time())
-        result.load = store.load(to_staging(tables["scored"], loaded), as_of, run_id=result.run_id,
-                                 started=started, **load_options)
+        lost = misfits(tables["scored"])
+        needed = [f"{c} ({n})" for c, n in lost.items() if c in STAGING_RULES.required]
+        if needed:
+            raise ValueError("Values that do not fit the staging table: " + ", ".join(needed))
+        staged = to_staging(tables["scored"], dt.datetime.combine(as_of, dt.time()))
+        if staging_folder:
+            write_staging(staged, f"{staging_folder.rstrip('/')}/{job.staging_table}")
+        result.load = store.load(staged, as_of, run_id=result.run_id, started=started, **load_options)
+        result.load.counts |= {f"misfit_{c}": n for c, n in lost.items()}
         return result.load.staging_rows
 
     stages: list[tuple[str, Callable[[], int]]] = [
@@ -162,7 +174,12 @@ def run_job(spark: SparkSession, job: JobSpec, source: str, store_root: str, as_
 
 
 def _typed_label(df: DataFrame) -> DataFrame:
-    """A text label column becomes 0/1."""
-    if "attrition" in df.columns and dict(df.dtypes)["attrition"] == "string":
-        return df.withColumn("attrition", parse_number(F.col("attrition")).cast("int"))
-    return df
+    """A text or boolean label column becomes 0/1; a text that is no number fails the run."""
+    kind, label = dict(df.dtypes).get("attrition"), F.col("attrition")
+    if kind == "boolean":
+        return df.withColumn("attrition", label.cast("int"))
+    if kind != "string":
+        return df
+    number = parse_number(label)
+    wrong = F.raise_error(F.concat(F.lit("The label is no number: "), label)).cast("double")
+    return df.withColumn("attrition", F.when(label.isNotNull() & number.isNull(), wrong).otherwise(number).cast("int"))

@@ -24,19 +24,25 @@ PARTITION = "date_year"
 
 @dataclass(frozen=True)
 class Star:
-    """Fact and dimensions; ``restricted`` marks a star narrowed by access rights."""
+    """Fact, dimensions and the risk history (one row per employee and load); ``restricted`` marks a star narrowed by access rights."""
 
     fact: DataFrame
     dimensions: dict[str, DataFrame]
+    history: DataFrame | None = None
     restricted: bool = False
+    # What visible facts are joined with: their keys lead to visible rows alone, so the narrowing is not repeated.
+    _whole: dict[str, DataFrame] | None = None
 
     def dimension(self, name: str) -> DataFrame:
-        """A dimension as the user may see it: under restriction, rows of visible facts only."""
-        table = self.dimensions[name]
-        if not self.restricted or name in ("department", "date"):
-            return table
-        key = KEY_OF[name]
-        return table.join(self.fact.select(key).distinct(), key, "left_semi")
+        """A dimension as the user may see it."""
+        return self.dimensions[name]
+
+    def narrowed(self, fact: DataFrame, departments: DataFrame) -> Star:
+        """Only these facts and departments; the dimensions (but for days) and the history follow the facts."""
+        used = {n: fact.select(KEY_OF[n]).distinct() for n in ("employee", "job_role", "location")}
+        seen = {n: self.dimensions[n].join(keys, KEY_OF[n], "left_semi") for n, keys in used.items()}
+        history = None if self.history is None else self.history.join(used["employee"], "employee_key", "left_semi")
+        return Star(fact, {**self.dimensions, **seen, "department": departments}, history, True, self._whole or self.dimensions)
 
     def with_fact(self, fact: DataFrame) -> Star:
         return replace(self, fact=fact)
@@ -53,7 +59,7 @@ class Star:
         for name in sorted(needed, key=lambda n: n != "employee"):
             key = KEY_OF[name]
             wanted = [c for c in needed[name] if c != key]
-            rows = rows.join(self.dimensions[name].select(key, *wanted), key)
+            rows = rows.join((self._whole or self.dimensions)[name].select(key, *wanted), key)
         return rows
 
 
@@ -71,6 +77,13 @@ def to_staging(df: DataFrame, load_time: dt.datetime) -> DataFrame:
     return df.select(*chosen)
 
 
+def misfits(df: DataFrame) -> dict[str, int]:
+    """Per staging column, the values that are there and do not fit; columns without any are left out."""
+    names = [c for c in STAGING if c in df.columns]
+    lost = df.agg(*[F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(STAGING[c]).isNull()).alias(c) for c in names]).first()
+    return {c: lost[c] for c in names if lost[c]}
+
+
 def department_source(staging: DataFrame) -> DataFrame:
     return staging.select(F.col("department").alias("department_name")).distinct().withColumns({
         "department_head": F.lit(TO_BE_DEFINED), "cost_center": F.lit(TO_BE_DEFINED)})

@@ -105,13 +105,15 @@ def sparklines(star: Star, by: Sequence[str] = ("department_name",), context: Fi
         (F.col("value") == F.max("value").over(line)).cast("int").alias("is_max"))
 
 
-def trend_with_reference(star: Star, by: Sequence[str] = (), context: FilterContext = ALL) -> DataFrame:
-    """Monthly attrition rate with the overall rate as a constant; both from the monthly sums."""
-    sums = evaluate(star, ["headcount", "departures"], [*by, "year", "month"], context)
-    whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    return sums.select(
-        *by, "year", "month", percent(F.col("departures"), F.col("headcount")).alias("attrition_rate"),
-        percent(F.sum("departures").over(whole), F.sum("headcount").over(whole)).alias("reference_rate"))
+def trend_with_reference(star: Star, by: Sequence[str] = (), context: FilterContext = ALL,
+                         reference: str = "attrition_rate") -> DataFrame:
+    """Monthly attrition rate with the whole period's ``reference`` measure as a constant."""
+    monthly = evaluate(star, ["attrition_rate"], [*by, "year", "month"], context)
+    whole = evaluate(star, [reference], [*by], context).withColumnRenamed(reference, "reference_rate")
+    if not by:
+        return monthly.withColumn("reference_rate", whole.scalar())
+    same = [F.col(f"m.{c}").eqNullSafe(F.col(f"w.{c}")) for c in by]
+    return monthly.alias("m").join(whole.alias("w"), same).select("m.*", "w.reference_rate")
 
 
 def risk_history(history: DataFrame, employee_keys: Sequence[int] | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ Layout below the root::
 
     runs/<run id>/<table>    parquet; the fact in folders by year
     load_log                 one row per load; the newest SUCCESS row is the published state
+    claims/<load number>     made by the one load that may publish this number
 
 The log row names the folder of every dimension and, per year, the run that
 holds the fact rows of that year. It is appended last, as one file, so readers
@@ -40,6 +41,10 @@ LOG_SCHEMA = (
 )
 
 
+class ConcurrentLoadError(RuntimeError):
+    """Another load that began from the same state has been published, or is being published."""
+
+
 class LoadFailedError(RuntimeError):
     """No fact row came out of a staging table that had rows."""
 
@@ -94,14 +99,15 @@ class StarStore:
         state = self.current(load_number)
         if state is None:
             raise FileNotFoundError(f"No star has been published below {self.root}")
-        return s.Star(self._fact(state["fact_years"]), {n: self._dimension(n, state) for n in DIMENSIONS})
+        return s.Star(self._fact(state["fact_years"]), {n: self._dimension(n, state) for n in DIMENSIONS},
+                      self.risk_history(load_number))
 
     def table(self, name: str) -> DataFrame:
         return self.star().fact if name == "fact" else self.star().dimensions[name]
 
-    def risk_history(self) -> DataFrame:
+    def risk_history(self, load_number: int | None = None) -> DataFrame:
         """One row per employee and load: ``as_of`` and the probability of that load."""
-        state = self.current()
+        state = self.current(load_number)
         paths = list(state["histories"]) if state else []
         wanted = "employee_key long, department_key long, attrition_probability decimal(5,4), as_of date"
         if not paths:
@@ -189,10 +195,24 @@ class StarStore:
             result.error = str(error)
             self._record(result, state, as_of, started, {}, "merge")
             raise
+        claim = self._claim((state["load_number"] if state else 0) + 1)
         result.status = "SUCCESS"
-        self._record(result, state, as_of, started, entry, "merge")
+        try:
+            self._record(result, state, as_of, started, entry, "merge")
+        except Exception:
+            claim.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(claim, False)
+            raise
         return result
 
+    def _claim(self, load_number: int):
+        """Reserve a load number for this load alone: a file that only one load can create."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/claims/{load_number}")
+        files = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(path.getParent())
+        if not files.createNewFile(path):
+            raise ConcurrentLoadError(f"Load {load_number} below {self.root} belongs to another run")
+        return path
+
     def _load(self, staging, as_of, run_id, state, result, reset_constants, keep_first, strict,
               collation) -> dict:
         staged_path = self._path(run_id, "staging")

@@ -19,7 +19,7 @@ def frame(spark, n, seed=42):
     rows = [(i, rng.gauss(0, 1), rng.gauss(5, 1000), rng.randrange(10), rng.random(), int(rng.random() < 0.3))
             for i in range(n)]
     return scratch.saved(spark.createDataFrame(
-        rows, "employee_id long, feature_1 double, feature_2 double, feature_3 int, feature_4 double, attrition int"),
+        rows, "employee_id long, shift_load double, pay_gap double, team_size int, commute double, attrition int"),
         "frame")
 
 
@@ -102,7 +102,7 @@ def test_split_is_stable_and_stratified(spark):
 
 def test_penalty_equals_the_summed_objective(spark):
     """Coefficients against Newton steps on sum of log losses + |w|^2 / (2 C)."""
-    df = frame(spark, 600).select("employee_id", "feature_1", "feature_4", "attrition")
+    df = frame(spark, 600).select("employee_id", "shift_load", "commute", "attrition")
     c = 0.05
     result = ml.train(df, ModelSpec(("logistic_regression",), 0.2, 42, {
         "logistic_regression": {"C": c, "max_iter": 500, "tol": 1e-12}}))
