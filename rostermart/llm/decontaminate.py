@@ -9,8 +9,8 @@ words around it; a plain join on the shingle, the length bound (the document has
 as many words), the positional bound (the window fits before and after) and a
 comparison of the very words leave the exact occurrences.
 
-The bitmap has ``BITMAP_BITS`` bits whatever the benchmark's size; a larger
-benchmark lets more rows through to the join and changes no result.
+The bitmap has a fixed size whatever the benchmark's; a larger benchmark lets more
+rows through to the join and changes no result.
 
 Defined cases: null or wordless texts have no words and no windows; a null
 item_id is the item with the empty id; rows of one item_id count as one item;
@@ -27,12 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rostermart.llm.bitmaps import bitmap, passes
 from rostermart.llm.texts import (LETTERS, U64, Words, find_words, hash_runs, hash_words, lowered, row_key, run_starts,
                                   slices)
 from rostermart.sources.scratch import saved
 
 SHINGLE = 3
-BITMAP_BITS = 1 << 22
 
 
 def _windows(benchmark: DataFrame, window: int) -> DataFrame:
@@ -63,27 +63,13 @@ def _windows(benchmark: DataFrame, window: int) -> DataFrame:
     return items.mapInArrow(cut, "item_id string, words string, length int, shingles array<long>").dropDuplicates(["item_id", "words"])
 
 
-def _bitmap(shingles: DataFrame) -> np.ndarray:
-    """A bitmap of the column ``shingle``; at most BITMAP_BITS / 8 rows reach the driver."""
-    rows = (shingles.selectExpr(f"pmod(shingle, {BITMAP_BITS}) AS slot")
-            .selectExpr("slot div 8 AS byte", "shiftleft(1, cast(slot % 8 AS int)) AS bit").groupBy("byte").agg(F.bit_or("bit").alias("bits")).toPandas())
-    bits = np.zeros(BITMAP_BITS // 8, np.uint8)
-    bits[rows["byte"].to_numpy()] = rows["bits"].to_numpy().astype(np.uint8)
-    return bits
-
-
-def _passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    slot = (hashes.view(np.int64) & np.int64(BITMAP_BITS - 1))
-    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & np.uint8(1) == 1
-
-
 def _hits(found: Words, hashes: np.ndarray, sizes: list[int], bits: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Word places and hashes of the shingles that pass."""
     for k in sizes:
         starts = run_starts(found, k)
         if len(starts):
             mine = hash_runs(hashes, k)[starts]
-            passed = _passes(bits, mine)
+            passed = passes(bits, mine)
             yield starts[passed], mine[passed]
 
 
@@ -136,11 +122,11 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int =
     distinct = windows.dropDuplicates(["words"]).select("words", "length", "shingles")
     tokens = distinct.select("words", "length", F.posexplode("shingles").alias("offset", "shingle"))
     sizes = sorted(r.k for r in distinct.select(F.least(F.lit(SHINGLE), "length").alias("k")).distinct().collect())
-    counted = _frequencies(documents, sizes, _bitmap(tokens))
+    counted = _frequencies(documents, sizes, bitmap(tokens.select("shingle")))
     prefix = saved(tokens.join(counted, "shingle", "left").groupBy("words", "length")
                    .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "shingle", "offset")).alias("rarest"))
                    .select("words", "length", "rarest.shingle", "rarest.offset"), "prefix")
-    docs = saved(_candidates(documents, sizes, _bitmap(prefix), window), "candidates")
+    docs = saved(_candidates(documents, sizes, bitmap(prefix.select("shingle")), window), "candidates")
 
     candidates = docs.select("row", "n_words", F.explode("found").alias("c")).select("row", "n_words", "c.*")
     start = F.col("at") - F.col("offset")

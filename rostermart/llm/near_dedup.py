@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rostermart.llm.bitmaps import bitmap, sifted
 from rostermart.llm.texts import SPACED, U64, find_words, hash_runs, hash_words, mix, row_key, run_starts, slices
 from rostermart.sources.scratch import saved
 
@@ -173,15 +174,41 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int, group: i
     return together.mapInArrow(verify, "a binary, b binary")
 
 
-def components(links: DataFrame) -> DataFrame:
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Union-find over the edges of one partition: every node but the roots with its root, the smallest node."""
+    up: dict[bytes, bytes] = {}
+
+    def root(x: bytes) -> bytes:
+        top = x
+        while up.setdefault(top, top) != top:
+            top = up[top]
+        while up[x] != top:
+            up[x], x = top, up[x]
+        return top
+
+    for batch in batches:
+        for a, b in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), strict=True):
+            x, y = root(a), root(b)
+            if x != y:
+                up[max(x, y)] = min(x, y)
+    rooted = [(x, root(x)) for x in up]
+    u, v = zip(*[r for r in rooted if r[0] != r[1]], strict=True) if any(x != r for x, r in rooted) else ((), ())
+    yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], names=["u", "v"])
+
+
+def components(links: DataFrame, task_edges: int = 1 << 18) -> DataFrame:
     """node, root (the smallest node of its component) for every node of ``links`` (a, b).
 
-    Union-find by alternating large and small stars: in each step every node tells
-    its neighbours the smallest node that it knows, until nothing changes.
+    Tasks of about ``task_edges`` links run union-find on their own. What they leave
+    is joined up by alternating large and small stars: in each step every node
+    tells its neighbours the smallest node that it knows, until nothing changes.
     """
-    edges = saved(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    named = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    edges = saved(named, "edges")
+    parts = max(1, -(-edges.count() // task_edges))
+    edges = saved(edges.repartition(parts).mapInArrow(_forest, "u binary, v binary"), "edges")
     before = None
-    while True:
+    while parts > 1:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("low")).withColumn("low", F.least("low", "u"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).where("u <> v").distinct()
@@ -193,9 +220,8 @@ def components(links: DataFrame) -> DataFrame:
         if now == before:
             break
         before = now
-    roots = edges.groupBy("u").agg(F.min("v").alias("root"))
-    return roots.select(F.col("u").alias("node"), "root").unionByName(
-        roots.select(F.col("root").alias("node"), "root").distinct())
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+        edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
 def _own_shingles(texts: DataFrame, k: int) -> DataFrame:
@@ -216,26 +242,36 @@ def _own_shingles(texts: DataFrame, k: int) -> DataFrame:
 
 def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, row, n_shingles, component_id (smallest doc_id of its component), lead (the row key that stands for it)."""
-    spark = documents.sparkSession
     signed = saved(_signed(documents, k), "signed")
     classes = saved(signed.where("n > 0").groupBy("cls").agg(
         F.min("doc_id").alias("doc_id"), F.min("row").alias("row"), F.max("n").alias("n"), F.max("sig").alias("sig")), "classes")
-    texts_of = documents.select(row_key(F.col("doc_id"), F.col("text")).alias("row"), "text")
     least = int(USED * (percent / 100 - 7 * (percent / 100 * (1 - percent / 100) / USED) ** 0.5))
     side = classes.select("cls", "sig")
 
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
                         lambda i: F.xxhash64(i, F.substring("sig", i * 4 * BAND_ROWS + 1, F.lit(4 * BAND_ROWS))))
-    banded = classes.select("cls", "n", F.lit(0).cast("long").alias("own"), F.explode(bands).alias("band"))
-    buckets = saved(banded.join(banded.groupBy("band").agg(F.count("*").alias("many")).where("many > 1").select("band"), "band"), "buckets")
+    banded = classes.select("cls", "n", F.explode(bands).alias("band"))
+    first = banded.groupBy("band").agg(F.count("*").alias("many"), F.min(F.struct("cls", "n")).alias("p")).where("many > 1")
+    met = saved(banded.join(first.select("band", F.col("p.cls").alias("pivot"), F.col("p.n").alias("n_pivot")), "band").where("cls <> pivot"), "buckets")
 
-    links = spark.createDataFrame([], "a binary, b binary")
-    roots = spark.createDataFrame([], "node binary, root binary")
+    # One text of each class that shares a bucket; only rows that a bitmap of their keys lets through are shuffled.
+    pooled = met.select("cls").unionByName(met.select(F.col("pivot").alias("cls"))).distinct().join(classes.select("cls", "row"), "cls")
+    pooled = saved(pooled, "pooled")
+    texts_of = documents.select(row_key(F.col("doc_id"), F.col("text")).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+    pool = saved(sifted(texts_of, "row", bitmap(pooled.select("row"))).join(pooled, "row").dropDuplicates(["cls"]), "pool")
 
     def texts_for(wanted: DataFrame) -> DataFrame:
-        """cls, text for some classes: one text each."""
-        chosen = wanted.join(classes.select("cls", "row"), "cls")
-        return saved(texts_of.join(chosen, "row").select("cls", "text").dropDuplicates(["cls"]), "texts")
+        """cls, text for some classes."""
+        rows = saved(wanted.join(pooled, "cls").select("row", "cls"), "wanted")
+        return sifted(pool.select("row", "text"), "row", bitmap(rows.select("row"))).join(rows, "row").select("cls", "text")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Of the pairs (a, b), those that reach the threshold."""
+        sized = (pairs.distinct().join(side.select(F.col("cls").alias("a"), F.col("sig").alias("sig_a")), "a")
+                 .join(side.select(F.col("cls").alias("b"), F.col("sig").alias("sig_b")), "b"))
+        near = saved(_plausible(sized, least), "plausible")
+        wanted = near.select(F.col("a").alias("cls")).unionByName(near.select(F.col("b").alias("cls"))).distinct()
+        return saved(_verified(near, texts_for(wanted), k, percent), "links")
 
     def still_open(members: DataFrame) -> DataFrame:
         """Members (band, cls, n, own, root) of bands that hold several components, without those that can have no partner there."""
@@ -245,32 +281,27 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
         return known.join(several.select("band", "least_n"), "band").where(
             (100 + percent) * (F.col("n") - F.col("own")) >= percent * (F.col("n") + partner)).drop("least_n")
 
-    pivots = 1
-    while True:
-        buckets = saved(still_open(buckets), "buckets")
-        if pivots == 4:
-            own = _own_shingles(texts_for(buckets.select("cls").distinct()), k)
-            counted = buckets.drop("own").join(own, "cls", "left").withColumn("own", F.coalesce("own", F.lit(0).cast("long")))
-            # twice: members that go can leave others without a partner or a second component
-            buckets = saved(still_open(still_open(counted)), "buckets")
-        if buckets.isEmpty():
-            break
+    fits = 100 * F.least("n", "n_pivot") >= percent * F.greatest("n", "n_pivot")
+    links = linked(met.where(fits).select(F.col("pivot").alias("a"), F.col("cls").alias("b")))
+    roots = saved(components(links), "roots")
+    # The first pivots have met their buckets and are settled.
+    buckets = saved(still_open(met.select("band", "cls", "n", F.lit(0).cast("long").alias("own"))), "buckets")
+    own = _own_shingles(texts_for(buckets.select("cls").distinct()), k)
+    counted = saved(buckets.drop("own").join(own, "cls", "left").withColumn("own", F.coalesce("own", F.lit(0).cast("long"))), "counted")
+    buckets = saved(still_open(counted), "buckets")
+    pivots = 4
+    while not buckets.isEmpty():
         order = Window.partitionBy("band").orderBy(F.col("own") / F.col("n"), "cls")
         lead = saved(buckets.withColumn("no", F.row_number().over(order)).where(F.col("no") <= pivots).select(
             "band", F.col("cls").alias("pivot"), F.col("n").alias("n_pivot"), F.col("own").alias("own_pivot"), F.col("root").alias("root_pivot")), "pivots")
         shared = F.least(F.col("n") - F.col("own"), F.col("n_pivot") - F.col("own_pivot"))
-        fits = ((F.col("root") != F.col("root_pivot")) & (100 * F.least("n", "n_pivot") >= percent * F.greatest("n", "n_pivot"))
-                & ((100 + percent) * shared >= percent * (F.col("n") + F.col("n_pivot"))))
-        pairs = buckets.join(lead, "band").where(fits).select(F.least("pivot", "cls").alias("a"), F.greatest("pivot", "cls").alias("b")).distinct()
-        sized = (pairs.join(side.select(F.col("cls").alias("a"), F.col("sig").alias("sig_a")), "a")
-                 .join(side.select(F.col("cls").alias("b"), F.col("sig").alias("sig_b")), "b"))
-        near = saved(_plausible(sized, least), "plausible")
-        wanted = near.select(F.col("a").alias("cls")).unionByName(near.select(F.col("b").alias("cls"))).distinct()
-        new = saved(_verified(near, texts_for(wanted), k, percent), "links")
+        apart = (F.col("root") != F.col("root_pivot")) & ((100 + percent) * shared >= percent * (F.col("n") + F.col("n_pivot")))
+        new = linked(buckets.join(lead, "band").where(fits & apart).select(F.least("pivot", "cls").alias("a"), F.greatest("pivot", "cls").alias("b")))
         if not new.isEmpty():
             links = links.unionByName(new)
             roots = saved(components(links), "roots")
-        buckets = buckets.join(lead.select("band", F.col("pivot").alias("cls")), ["band", "cls"], "left_anti")
+        left = buckets.join(lead.select("band", F.col("pivot").alias("cls")), ["band", "cls"], "left_anti")
+        buckets = saved(still_open(left), "buckets")
         pivots *= 4
 
     rooted = classes.join(roots, classes["cls"] == roots["node"], "left").select("cls", "doc_id", "row", F.coalesce("root", "cls").alias("root"))

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 
 from rostermart.llm import decontaminate, near_dedup
 from tests.llm import brute
@@ -109,10 +110,11 @@ def test_repeated_rows_and_null_ids(spark):
     assert near_dedup.near_duplicates(docs.limit(0)).count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("task_edges", [1000, 9])
+def test_components(spark, task_edges):
     digest = lambda i: hashlib.md5(str(i).encode()).digest()
     links = [(i, i + 1) for i in range(20)] + [(100, i) for i in range(101, 150)] + [(149, 200), (300, 301)]
-    rows = near_dedup.components(spark.createDataFrame([(digest(a), digest(b)) for a, b in links], "a binary, b binary")).collect()
+    rows = near_dedup.components(spark.createDataFrame([(digest(a), digest(b)) for a, b in links], "a binary, b binary"), task_edges).collect()
     sets = [set(range(21)), {*range(100, 150), 200}, {300, 301}]
     assert {bytes(r.node): bytes(r.root) for r in rows} == {digest(i): min(map(digest, s)) for s in sets for i in s}
     assert len(rows) == sum(map(len, sets))
