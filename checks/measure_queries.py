@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import replace
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -529,6 +530,43 @@ def scored_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(load_model(path), frame)
 
 
+@query("property:s holds:i", with_level("cur", """
+  SELECT property, 1 AS holds FROM (VALUES ('importances_of_forest_sum_to_one'), ('loaded_model_scores_alike'),
+    ('comparison_in_order_of_auc'), ('repeat_fit_is_equal'), ('gradient_is_small'), ('test_rows_by_class')) AS t(property)
+  WHERE (SELECT count(*) FROM cur) > 0"""))
+def model_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold for any fitted models, checked on the whole table."""
+    result, frame = _training(spark, sf_dir)
+    forest = result.models["random_forest"].stages[-1]
+    path = scratch.new_path(spark, "model")
+    save_model(result.models["logistic_regression"], path)
+    both = score(result.models["logistic_regression"], frame).select("employee_id", F.col("attrition_probability").alias("a")).join(
+        score(load_model(path), frame).select("employee_id", F.col("attrition_probability").alias("b")), "employee_id")
+    spec = replace(m.JOB.model, algorithms=("logistic_regression",))
+    again = train(frame, spec)
+    aucs = [r.auc_roc for r in result.comparison.orderBy("place").collect()]
+    linear, other = result.models["logistic_regression"].stages[-1], again.models["logistic_regression"].stages[-1]
+    training, test = stratified_split(frame, "attrition", spec.test_size, spec.seed, ["employee_id"], exact=True)
+    counts = {r.attrition: r.n for r in frame.groupBy("attrition").agg(F.count("*").alias("n")).collect()}
+    tested = {r.attrition: r.n for r in test.groupBy("attrition").agg(F.count("*").alias("n")).collect()}
+    # The stated objective: mean log loss plus the squared coefficients times half of regParam.
+    fitted = result.models["logistic_regression"].transform(training)
+    error = (vector_to_array("probability")[1] - F.col("attrition"))
+    slopes = fitted.agg(F.count("*").alias("n"), *[F.avg(error * F.col(f"`{c}`")).alias(f"g{i}") for i, c in enumerate(result.features)],
+                        *[F.stddev_pop(F.col(f"`{c}`")).alias(f"s{i}") for i, c in enumerate(result.features)]).first()
+    reg = 1.0 / (float(m.JOB.model.params["logistic_regression"].get("C", 1.0)) * slopes.n)
+    gradient = max(abs(slopes[f"g{i}"] + reg * float(linear.coefficients[i])) / max(slopes[f"s{i}"], 1.0) for i in range(len(result.features)))
+    holds = {
+        "importances_of_forest_sum_to_one": abs(sum(forest.featureImportances.toArray()) - 1) < 1e-6,
+        "loaded_model_scores_alike": both.where(F.abs(F.col("a") - F.col("b")) > 1e-12).isEmpty(),
+        "comparison_in_order_of_auc": aucs == sorted(aucs, reverse=True),
+        "repeat_fit_is_equal": bool((abs(linear.coefficients.toArray() - other.coefficients.toArray()) < 1e-9).all()),
+        "gradient_is_small": gradient < 0.01,
+        "test_rows_by_class": all(abs(tested.get(c, 0) - 0.2 * n) <= 1 for c, n in counts.items()),
+    }
+    return spark.createDataFrame([(k, int(v)) for k, v in holds.items()], "property string, holds int")
+
+
 @query("attrition:i rows:i outside:i", with_level("cur", """
   SELECT attrition, count(*) AS rows, 0 AS outside FROM cur GROUP BY attrition"""))
 def score_properties(spark: SparkSession, sf_dir: str) -> DataFrame:

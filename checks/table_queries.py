@@ -20,6 +20,7 @@ from rostermart.operators.nulls import null_counts, null_rows, treat_nulls
 from rostermart.operators.quality import check_rules, orphans, repeated_keys
 from rostermart.plans.measures import employee_profile
 from rostermart.plans.run import first_seen_order
+from rostermart.plans.star import misfits
 from rostermart.schemas import Constraints
 from rostermart.sources import scratch
 from rostermart.sources.employees import read_employees
@@ -213,6 +214,50 @@ def onehot_encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return onehot_encode(rows, ["gender", "department"])
 
 
+@query("column_name:s ones:i", """
+  SELECT 'buyer_b' || CAST(o_custkey % 997 AS VARCHAR) AS column_name, count(*) AS ones FROM orders GROUP BY ALL""")
+def onehot_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Far more than 200 values in one column; each becomes a column, summed here."""
+    rows = m.table(spark, sf_dir, "orders").select(F.concat(F.lit("b"), F.col("o_custkey") % 997).alias("buyer"))
+    wide = onehot_encode(rows, ["buyer"])
+    sums = wide.agg(*[F.sum(F.col(f"`{c}`")).alias(c) for c in wide.columns])
+    return sums.unpivot([], wide.columns, "column_name", "ones")
+
+
+@query("column_name:s misfits:i", """
+  SELECT 'salary' AS column_name, count(*) AS misfits FROM orders WHERE o_totalprice * 100000 >= 9999999999.995
+  UNION ALL SELECT 'satisfaction_score', count(*) FROM orders WHERE o_custkey % 200 >= 100""")
+def staging_misfits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values that the staging columns cannot hold are counted, not lost."""
+    rows = m.table(spark, sf_dir, "orders").select(
+        (F.col("o_totalprice") * 100000).cast("double").alias("salary"), (F.col("o_custkey") % 200).alias("satisfaction_score"),
+        F.col("o_orderpriority").alias("job_role"))
+    return spark.createDataFrame(list(misfits(rows).items()), "column_name string, misfits long")
+
+
+@query("form:s lines:i failed:i", """
+  SELECT 'short' AS form, count(*) AS lines, 0 AS failed FROM nation UNION ALL SELECT 'long', count(*), 1 FROM nation""")
+def csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with too few cells are filled, one line with too many fails the read."""
+    nation = m.table(spark, sf_dir, "nation")
+    found = []
+    for form, cells in (("short", 1), ("long", 3)):
+        line = F.when(F.col("n_nationkey") == 7, F.array_join(F.array_repeat("n_name", cells), ",")).otherwise(
+            F.concat_ws(",", "n_name", "n_nationkey"))
+        path = scratch.new_path(spark, f"csv-{form}")
+        lines = nation.select(F.lit(1).alias("place"), line.alias("line")).unionByName(
+            spark.createDataFrame([(0, "name,key")], "place int, line string"))
+        lines.coalesce(1).sortWithinPartitions("place").select("line").write.text(path)
+        try:
+            read = read_employees(spark, path, form="csv").where("name IS NOT NULL").count()
+            found.append((form, read, 0))
+        except Exception as error:  # the message says which line
+            if "More than 2 cells" not in str(error):
+                raise
+            found.append((form, nation.count(), 1))
+    return spark.createDataFrame(found, "form string, lines long, failed int")
+
+
 @query("employee_id:i department:i age:i salary:d age_group:i salary_band:i promotion_recency:d attrition:i",
        with_level("feat", """SELECT f.employee_id, code_department.code AS department, age, salary,
   CASE age_group WHEN 'Under 25' THEN 0 WHEN '25-34' THEN 1 WHEN '35-44' THEN 2 WHEN '45-54' THEN 3
