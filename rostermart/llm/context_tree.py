@@ -12,12 +12,13 @@ How it is spread:
 
 1. Documents belong to blocks (file splits, divided by hash to at most
    ``block_bytes`` of text). A block gives its distinct strings of DEPTH + 1 bytes
-   and its distinct words, with their counts in documents learned from.
-2. Counts are summed over blocks. Contexts that share their last two bytes form
-   subtrees, worked out side by side; only the 256 * 255 nodes of one byte of
+   and its distinct words, with their counts in documents learned from. They
+   travel packed: one row for each block and part, parts being hashes of the keys.
+2. A part sums its counts over the blocks. Contexts that share their last two bytes
+   form subtrees, worked out side by side; only the 256 * 255 nodes of one byte of
    context and the 255 of none meet on the driver, a bound that no input changes.
-3. The logarithm of each string's last byte, and each word's count, go back to the
-   blocks that hold it and meet the block's texts.
+3. The logarithm of each string's last byte, and each word's count, go back part by
+   part to the blocks that hold it and meet the block's texts.
 
 Learned from are documents whose crc32(doc_id as text) mod ``held_out`` is not 0.
 
@@ -35,6 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,7 +47,9 @@ DEPTH = 5
 MARK = 0xFF
 STRING, WORD = 0, 1
 END_WORD = U64(0x5851F42D4C957F2D)
-MERGE_AT = 1 << 22
+MERGE_AT = 1 << 20
+SLICE = 1 << 19
+PART_BYTES = 64 << 20
 
 
 def strings_of(part: Slice) -> tuple[np.ndarray, np.ndarray]:
@@ -81,9 +85,9 @@ class Counts:
             some = np.sort(keys[weights == w])
             if len(some):
                 first = np.flatnonzero(np.concatenate([[True], some[1:] != some[:-1]]))
-                self._put(some[first], w * np.diff(np.append(first, len(some))))
+                self.put(some[first], w * np.diff(np.append(first, len(some))))
 
-    def _put(self, keys: np.ndarray, counts: np.ndarray) -> None:
+    def put(self, keys: np.ndarray, counts: np.ndarray) -> None:
         self.keys.append(keys)
         self.counts.append(counts)
         self.held += len(keys)
@@ -111,8 +115,21 @@ def words_of(part: Slice) -> tuple[np.ndarray, np.ndarray]:
     return out, first
 
 
-def _needs(blocked: DataFrame) -> DataFrame:
-    """block, kind, key, n: what each block holds and how often it is learned from."""
+def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    return ((keys * U64(0xD6E8FEB86659FD93)) >> U64(32)) % U64(parts)
+
+
+def pack(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences, byte plane by byte plane, which compresses well."""
+    return np.diff(keys, prepend=U64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(8, -1).T).view(U64).reshape(-1), dtype=U64)
+
+
+def _needs(blocked: DataFrame, parts: int) -> DataFrame:
+    """part, block, kind, keys, n: what each block holds and how often it is learned from, packed."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[Counts, Counts]] = {}
         for batch in batches:
@@ -120,21 +137,63 @@ def _needs(blocked: DataFrame) -> DataFrame:
             for one in np.unique(block):
                 own = np.flatnonzero(block == one)
                 counts = held.setdefault(int(one), (Counts(), Counts()))
-                for part in slices(batch.column("text") if len(own) == len(block) else batch.column("text").take(pa.array(own))):
+                for part in slices(batch.column("text") if len(own) == len(block) else batch.column("text").take(pa.array(own)), SLICE):
                     weight = learn[own[part.lo:part.hi]]
                     for kind, of in ((STRING, strings_of), (WORD, words_of)):
                         keys, first = of(part)
                         counts[kind].add(keys, np.repeat(weight, np.diff(first)))
-        for one, both in held.items():
-            for kind, counts in enumerate(both):
+        for one in list(held):
+            for kind, counts in enumerate(held.pop(one)):
                 keys, n = counts.merge()
-                for lo in range(0, len(keys), 1 << 16):
-                    k, m = keys[lo:lo + (1 << 16)], n[lo:lo + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(k), one)), pa.array(np.full(len(k), kind, np.int8)), pa.array(k.view(np.int64)), pa.array(m.astype(np.int64))],
-                        names=["block", "kind", "key", "n"])
-
-    return blocked.select("block", F.col("learn").cast("int").alias("learn"), "text").mapInArrow(count, "block long, kind byte, key long, n long")
+                part = part_of(keys, parts)
+                order = np.argsort(part, kind="stable")
+                keys, n, ends = keys[order], n[order].astype(np.uint32), np.searchsorted(part[order], np.arange(parts + 1))
+                for p in range(parts):
+                    own = slice(ends[p], ends[p + 1])
+                    if ends[p] < ends[p + 1]:
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([p], pa.int32()), pa.array([one]), pa.array([kind], pa.int8()), pa.array([pack(keys[own])]), pa.array([n[own].tobytes()])],
+                            names=["part", "block", "kind", "keys", "n"])
+
+    return blocked.select("block", F.col("learn").cast("int").alias("learn"), "text").mapInArrow(
+        count, "part int, block long, kind byte, keys binary, n binary")
+
+
+def _totals(needs: DataFrame) -> DataFrame:
+    """part, kind, key, n: every key once, with its count over all blocks."""
+    def total(rows: pa.Table) -> pa.Table:
+        out: list[pa.Table] = []
+        kinds = rows["kind"].to_pylist()
+        for kind in (STRING, WORD):
+            own = [i for i, k in enumerate(kinds) if k == kind]
+            sums = Counts()
+            for i in own:
+                sums.put(unpack(rows["keys"][i].as_py()), np.frombuffer(rows["n"][i].as_py(), np.uint32).astype(np.int64))
+            keys, n = sums.merge()
+            part = rows["part"][0].as_py()
+            out.append(pa.table({"part": pa.array(np.full(len(keys), part, np.int32)), "kind": pa.array(np.full(len(keys), kind, np.int8)),
+                                 "key": pa.array(keys.view(np.int64)), "n": pa.array(n.astype(np.int64))}))
+        return pa.concat_tables(out)
+
+    return needs.groupBy("part").applyInArrow(total, "part int, kind byte, key long, n long")
+
+
+def _answered(needs: DataFrame, values: DataFrame) -> DataFrame:
+    """block, kind, keys, found: the value of each key that a block holds, in the order of its packed keys."""
+    def answer(rows: pa.Table, known: pa.Table) -> pa.Table:
+        kind, key, value = (known[c].combine_chunks().to_numpy(zero_copy_only=False) for c in ("kind", "key", "value"))
+        tables = []
+        for k in (STRING, WORD):
+            own = kind == k
+            order = np.argsort(key[own].view(U64))
+            tables.append((key[own].view(U64)[order], value[own][order]))
+        found = []
+        for k, packed in zip(rows["kind"].to_pylist(), rows["keys"].to_pylist(), strict=True):
+            keys, of = tables[k]
+            found.append(of[np.searchsorted(keys, unpack(packed))].astype(np.float32 if k == STRING else np.float64).tobytes())
+        return pa.table({"block": rows["block"], "kind": rows["kind"], "keys": rows["keys"], "found": pa.array(found, pa.binary())})
+
+    return needs.drop("n").groupBy("part").cogroup(values.groupBy("part")).applyInArrow(answer, "block long, kind byte, keys binary, found binary")
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -246,8 +305,8 @@ def _tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(slots), *map(pa.array, sums)], names=["slot", "n0", "n1", "below"])
 
 
-def learn(counts: DataFrame) -> DataFrame:
-    """key, value: the log10 of every string's last byte; ``counts`` (key, n) has each string once, n = 0 if not learned from."""
+def learn(counts: DataFrame, parts: int) -> DataFrame:
+    """part, key, value: the log10 of every string's last byte; ``counts`` (key, n) has each string once, n = 0 if not learned from."""
     together = counts.repartition(F.shiftrightunsigned("key", 8 * (DEPTH - 1)))
     sums = [np.zeros(256 * 256) for _ in range(3)]
     tops = together.mapInArrow(_tops, "slot long, n0 double, n1 double, below double").groupBy("slot").agg(
@@ -259,9 +318,10 @@ def learn(counts: DataFrame) -> DataFrame:
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, n = _whole(batches)
         if len(keys):
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(log10_of(keys, n, top))], names=["key", "value"])
+            yield pa.RecordBatch.from_arrays([pa.array(part_of(keys, parts).astype(np.int32)), pa.array(keys.view(np.int64)), pa.array(log10_of(keys, n, top))],
+                                             names=["part", "key", "value"])
 
-    return together.mapInArrow(predict, "key long, value double")
+    return together.mapInArrow(predict, "part int, key long, value double")
 
 
 class Lookup:
@@ -295,41 +355,46 @@ class Lookup:
         return self.values[row]
 
 
-def _blocked(documents: DataFrame, held_out: int, block_bytes: int) -> DataFrame:
-    """doc_id, text, block, held_out, learn."""
+def _blocked(documents: DataFrame, held_out: int, block_bytes: int) -> tuple[DataFrame, int]:
+    """doc_id, text, block, held_out, learn; and the bytes of all texts."""
     text = F.coalesce("text", F.lit(""))
     split = F.xxhash64(F.input_file_name(), F.input_file_block_start())
     docs = documents.select("doc_id", text.alias("text"), split.alias("split"))
-    largest = docs.groupBy("split").agg(F.sum(F.octet_length("text") + 1).alias("bytes")).agg(F.max("bytes")).first()[0] or 0
-    share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, -(-largest // block_bytes))))
+    sizes = docs.groupBy("split").agg(F.sum(F.octet_length("text") + 1).alias("bytes")).agg(F.max("bytes").alias("most"), F.sum("bytes").alias("all")).first()
+    share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, -(-(sizes["most"] or 0) // block_bytes))))
     out = held_out_expr(F.col("doc_id"), held_out)
-    return docs.select("doc_id", "text", F.xxhash64("split", share).alias("block"), out.alias("held_out"), (~out).alias("learn"))
+    return docs.select("doc_id", "text", F.xxhash64("split", share).alias("block"), out.alias("held_out"), (~out).alias("learn")), sizes["all"] or 0
 
 
 def score(documents: DataFrame, held_out: int = 10, block_bytes: int = 48 << 20) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte."""
-    blocked = _blocked(documents, held_out, block_bytes)
-    needs = saved(_needs(blocked), "needs")
-    counts = saved(needs.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
+    blocked, size = _blocked(documents, held_out, block_bytes)
+    parts = max(1, -(-size // PART_BYTES))
+    needs = saved(_needs(blocked, parts), "needs")
+    counts = saved(_totals(needs), "counts")
     words = counts.where(F.col("kind") == WORD)
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
-    learned = learn(counts.where(F.col("kind") == STRING).select("key", "n"))
-    values = learned.select(F.lit(STRING).cast("byte").alias("kind"), "key", "value").unionByName(
-        words.select("kind", "key", F.col("n").cast("double").alias("value")))
-    tables = needs.select("block", "kind", "key").join(saved(values, "values"), ["kind", "key"]).select("block", "kind", "key", F.col("value").cast("float").alias("value"))
+    learned = learn(counts.where(F.col("kind") == STRING).select("key", "n"), parts)
+    values = learned.select("part", F.lit(STRING).cast("byte").alias("kind"), "key", "value").unionByName(
+        words.select("part", "kind", "key", F.col("n").cast("double").alias("value")))
+    tables = _answered(needs, values)
     least = np.log10(total.n + 0.1 * (total.v + 1))
 
     def run(docs: pa.Table, table: pa.Table) -> pa.Table:
-        kind, keys, value = (table[c].combine_chunks().to_numpy(zero_copy_only=False) for c in ("kind", "key", "value"))
-        find = [Lookup(keys[kind == k].view(U64), value[kind == k].astype(np.float64)) for k in (STRING, WORD)]
+        find = []
+        for k, form in ((STRING, np.float32), (WORD, np.float64)):
+            rows = table.filter(pc.equal(table["kind"], k))
+            keys = [unpack(p) for p in rows["keys"].to_pylist()]
+            values = [np.frombuffer(p, form) for p in rows["found"].to_pylist()]
+            find.append(Lookup(np.concatenate([np.zeros(0, U64), *keys]), np.concatenate([np.zeros(0, form), *values])))
         out: list[list[np.ndarray]] = [[], [], [], [], []]
-        for part in slices(docs["text"]):
+        for part in slices(docs["text"], SLICE):
             keys, first = words_of(part)
             c = find[WORD](keys)
             strings, begin = strings_of(part)
             for into, what in zip(out, (np.diff(first), np.add.reduceat((c > 0).astype(np.int64), first[:-1]),
                                         np.add.reduceat(np.log10(c + 0.1) - least, first[:-1]),
-                                        np.add.reduceat(find[STRING](strings), begin[:-1]), np.diff(begin)), strict=True):
+                                        np.add.reduceat(find[STRING](strings).astype(np.float64), begin[:-1]), np.diff(begin)), strict=True):
                 into.append(what)
         n, known, base, scored, size = (np.concatenate(x) if x else np.zeros(0) for x in out)
         return pa.table({"doc_id": docs["doc_id"], "held_out": docs["held_out"], "n_tokens": pa.array(n, pa.int64()), "n_known": pa.array(known, pa.int64()),
