@@ -177,8 +177,12 @@ def train(sample: pd.DataFrame, seed: int = 7, steps: int = 700, batch: int = 48
 
 
 def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = 1200) -> Net:
-    sample, _ = training_sample(documents, labels, label, per_class)
-    return fitted(sample, train)
+    """A network trained on a sample of as many rows of either label, its probabilities moved to the share of label 1 among all labels."""
+    sample, share = training_sample(documents, labels, label, per_class)
+    net = fitted(sample, train)
+    if 0 < share < 1:
+        net.out_bias = net.out_bias + np.float32(np.log(share / (1 - share)))
+    return net
 
 
 def score(documents: DataFrame, net: Net) -> DataFrame:
