@@ -22,7 +22,8 @@ def shared_folder(spark: SparkSession) -> str:
         folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):  # one JVM only; local-cluster has executors of its own
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_folders:
