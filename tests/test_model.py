@@ -41,11 +41,18 @@ def test_comparison(trained):
         assert all(0.0 <= v <= 1.0 for v in found.values())
 
 
+def test_unknown_settings_and_depths_are_errors():
+    for algorithm, params in (("logistic_regression", {"class_weight": "balanced"}), ("logistic_regression", {"penalty": "l3"}),
+                              ("random_forest", {"max_depth": None}), ("random_forest", {"max_depth": 31}), ("boosting", {})):
+        with pytest.raises(ValueError):
+            ml.estimator(algorithm, params, 1, 100)
+
+
 def test_importances(trained, spark):
     _, result = trained
     for name, model in result.models.items():
         rows = ml.feature_importance(model, result.features, spark).collect()
-        assert {r["feature"] for r in rows} == {f"feature_{i}" for i in range(1, 5)}
+        assert {r["feature"] for r in rows} == {"shift_load", "pay_gap", "team_size", "commute"}
         weights = [r["importance"] for r in rows]
         assert weights == sorted(weights, reverse=True)
         if name == "random_forest":
@@ -106,7 +113,7 @@ def test_penalty_equals_the_summed_objective(spark):
     c = 0.05
     result = ml.train(df, ModelSpec(("logistic_regression",), 0.2, 42, {
         "logistic_regression": {"C": c, "max_iter": 500, "tol": 1e-12}}))
-    rows = np.array(ml.stratified_split(df, "attrition", 0.2, 42, ["employee_id"])[0].drop("employee_id").collect(),
+    rows = np.array(ml.stratified_split(df, "attrition", 0.2, 42, ["employee_id"], exact=True)[0].drop("employee_id").collect(),
                     dtype=float)
     x, y = np.c_[np.ones(len(rows)), rows[:, :2]], rows[:, 2]
     w, ridge = np.zeros(3), np.diag([0.0, 1 / c, 1 / c])
