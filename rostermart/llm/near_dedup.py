@@ -244,7 +244,8 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     """doc_id, row, n_shingles, component_id (smallest doc_id of its component), lead (the row key that stands for it)."""
     signed = saved(_signed(documents, k), "signed")
     classes = saved(signed.where("n > 0").groupBy("cls").agg(
-        F.min("doc_id").alias("doc_id"), F.min("row").alias("row"), F.max("n").alias("n"), F.max("sig").alias("sig")), "classes")
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("lead"),
+        F.max("n").alias("n"), F.max("sig").alias("sig")).withColumn("row", F.col("lead.row")), "classes")
     least = int(USED * (percent / 100 - 7 * (percent / 100 * (1 - percent / 100) / USED) ** 0.5))
     side = classes.select("cls", "sig")
 
@@ -304,9 +305,9 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
         buckets = saved(still_open(left), "buckets")
         pivots *= 4
 
-    rooted = classes.join(roots, classes["cls"] == roots["node"], "left").select("cls", "doc_id", "row", F.coalesce("root", "cls").alias("root"))
-    first = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("lead"))
-    names = rooted.select("cls", "root").join(first, "root").select("cls", "component_id", F.col("lead.row").alias("lead"))
+    rooted = classes.join(roots, classes["cls"] == roots["node"], "left").select("cls", "lead", F.coalesce("root", "cls").alias("root"))
+    first = rooted.groupBy("root").agg(F.min("lead").alias("lead"))
+    names = rooted.select("cls", "root").join(first, "root").select("cls", F.col("lead.doc_id").alias("component_id"), F.col("lead.row").alias("lead"))
     return signed.select("doc_id", "row", "n", "cls").join(names, "cls", "left").select(
         "doc_id", "row", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.when(F.col("n") > 0, F.col("lead")).otherwise(F.col("row")).alias("lead"))

@@ -99,6 +99,8 @@ def test_groups(spark):
 
 def test_repeated_rows_and_null_ids(spark):
     rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (2, "a b c d e f g"), (None, "a b c d e f g"), (None, "p q r s t u"), (3, None), (3, None), (4, "")]
+    copies = spark.createDataFrame([(i, f"the same words {i // 10} for all of these") for i in range(300)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in near_dedup.deduplicate(copies).collect()) == list(range(0, 300, 10))
     docs = spark.createDataFrame([(*r, 7) for r in rows], "doc_id long, text string, row long")
     found = near_dedup.near_duplicates(docs)
     assert sorted((r.doc_id, r.component_id) for r in found.where("n_shingles = 3").collect() if r.doc_id) == [(1, 1), (1, 1), (2, 1)]
