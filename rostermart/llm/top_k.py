@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 
 from rostermart.sources.scratch import saved
 
-LEAF = 64
+LEAF = 256
+EXACT = 2 ** 53  # whole numbers below it are exact as doubles
 
 
 @dataclass
@@ -38,6 +39,7 @@ class Node:
     radius: float
     lo: int
     hi: int
+    reach: float
     children: tuple[Node, Node] | None = None
 
 
@@ -50,12 +52,14 @@ class BallTree:
         self.leaf = leaf
         self.root = self._node(0, len(vectors)) if len(vectors) else None
         self.vectors = vectors[self.order]
+        self.most = float(np.abs(vectors).max()) if vectors.size else 0.0
+        self.floats = self.vectors.astype(np.float64)
 
     def _node(self, lo: int, hi: int) -> Node:
         rows = self.vectors[self.order[lo:hi]].astype(np.float64)
         centre = rows.mean(0)
         away = np.sqrt(((rows - centre) ** 2).sum(1))
-        node = Node(centre, float(away.max()), lo, hi)
+        node = Node(centre, float(away.max()), lo, hi, float(np.abs(centre).max()))
         if hi - lo > self.leaf and node.radius > 0:
             far = rows[int(away.argmax())]
             other = rows[int(((rows - far) ** 2).sum(1).argmax())]
@@ -78,9 +82,8 @@ class _Best:
         return held if self.floor is None else max(held, float(self.floor))
 
     def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
-        near = scores >= self.kth()
-        if near.any():
-            scores, ids = np.concatenate([self.scores, scores[near]]), np.concatenate([self.ids, ids[near]])
+        if len(scores):
+            scores, ids = np.concatenate([self.scores, scores]), np.concatenate([self.ids, ids])
             first = np.lexsort((ids, -scores))[:self.k]
             self.scores, self.ids = scores[first], ids[first]
 
@@ -93,8 +96,9 @@ def search(tree: BallTree, ids: np.ndarray, query: np.ndarray, own: int, best: _
 
     def bound(node: Node) -> float:
         b = float(q @ node.centre) + length * node.radius
-        return b + 1e-9 * (abs(b) + length * (node.radius + float(np.abs(node.centre).max())) + 1)
+        return b + 1e-9 * (abs(b) + length * (node.radius + node.reach) + 1)
 
+    floats = tree.floats if tree.most * float(np.abs(query).sum()) < EXACT else None
     heap = [(-bound(tree.root), 0, tree.root)] if tree.root else []
     made = 1
     while heap:
@@ -108,10 +112,15 @@ def search(tree: BallTree, ids: np.ndarray, query: np.ndarray, own: int, best: _
                     heapq.heappush(heap, (-b, made, child))
                     made += 1
         else:
-            mine = ids[node.lo:node.hi]
-            scores = tree.vectors[node.lo:node.hi] @ query
-            other = mine != own
-            best.add(scores[other], mine[other])
+            if floats is not None:  # no partial sum can leave the exact range
+                scores = (floats[node.lo:node.hi] @ q).astype(np.int64)
+            else:
+                scores = tree.vectors[node.lo:node.hi] @ query
+            near = np.flatnonzero(scores >= best.kth())
+            if len(near):
+                mine = ids[node.lo + near]
+                other = mine != own
+                best.add(scores[near[other]], mine[other])
 
 
 def integer_vectors(table: DataFrame, scale: int) -> DataFrame:
