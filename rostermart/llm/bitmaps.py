@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rostermart.llm.tidy import tidy
+
 BITS = 1 << 22
 
 
@@ -37,4 +39,4 @@ def sifted(rows: DataFrame, key: str, bits: np.ndarray) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(passes(bits, np.asarray(batch.column(key)))))
 
-    return rows.mapInArrow(run, rows.schema)
+    return rows.mapInArrow(tidy(run), rows.schema)

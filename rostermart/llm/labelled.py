@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rostermart.llm.texts import held_out_expr
+from rostermart.llm.tidy import tidy
 
 
 def training_sample(documents: DataFrame, labels: DataFrame, label: str, per_class: int, mod: int = 5) -> tuple[DataFrame, float]:
@@ -42,5 +43,5 @@ def fitted(sample: DataFrame, fit: Callable[[pd.DataFrame], Any]) -> Any:
 
     sample = sample.select(F.col("doc_id").cast("string").alias("doc_id"), "text", "y")
     schema = pa.schema([("doc_id", pa.string()), ("text", pa.string()), ("y", pa.int32())])
-    made = sample.coalesce(1).mapInArrow(run, "made binary").first()
+    made = sample.coalesce(1).mapInArrow(tidy(run), "made binary").first()
     return pickle.loads(made.made) if made else fit(schema.empty_table().to_pandas())

@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from rostermart.llm.bitmaps import bitmap, sifted
 from rostermart.llm.texts import SPACED, U64, find_words, hash_runs, hash_words, mix, row_key, run_starts, slices
+from rostermart.llm.tidy import tidy
 from rostermart.sources.scratch import saved
 
 PLACES = 128
@@ -124,7 +125,7 @@ def _signed(documents: DataFrame, k: int) -> DataFrame:
                     names=["doc_id", "row", "n", "cls", "sig"])
 
     docs = documents.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("row"), "text")
-    return docs.mapInArrow(sign, f"doc_id {dict(docs.dtypes)['doc_id']}, row long, n long, cls binary, sig binary")
+    return docs.mapInArrow(tidy(sign), f"doc_id {dict(docs.dtypes)['doc_id']}, row long, n long, cls binary, sig binary")
 
 
 def _plausible(pairs: DataFrame, least: int) -> DataFrame:
@@ -137,7 +138,7 @@ def _plausible(pairs: DataFrame, least: int) -> DataFrame:
                 near = pa.array((a == b).sum(1) >= least)
                 yield pa.RecordBatch.from_arrays([batch.column("a").filter(near), batch.column("b").filter(near)], names=["a", "b"])
 
-    return pairs.mapInArrow(agree, "a binary, b binary")
+    return pairs.mapInArrow(tidy(agree), "a binary, b binary")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int, group: int = 64) -> DataFrame:
@@ -171,7 +172,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int, group: i
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(near), batch.column("b").filter(near)], names=["a", "b"])
 
     together = heads.unionByName(members).repartition("a", "salt").sortWithinPartitions("a", "salt", "side")
-    return together.mapInArrow(verify, "a binary, b binary")
+    return together.mapInArrow(tidy(verify), "a binary, b binary")
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,7 +207,7 @@ def components(links: DataFrame, task_edges: int = 1 << 18) -> DataFrame:
     named = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     edges = saved(named, "edges")
     parts = max(1, -(-edges.count() // task_edges))
-    edges = saved(edges.repartition(parts).mapInArrow(_forest, "u binary, v binary"), "edges")
+    edges = saved(edges.repartition(parts).mapInArrow(tidy(_forest), "u binary, v binary"), "edges")
     before = None
     while parts > 1:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -235,7 +236,7 @@ def _own_shingles(texts: DataFrame, k: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([batch.column("cls").take(owner[at:at + (1 << 16)]),
                                                       pa.array(values[at:at + (1 << 16)].view(np.int64))], names=["cls", "shingle"])
 
-    alone = (texts.mapInArrow(spread, "cls binary, shingle long").groupBy("shingle").agg(F.count("*").alias("many"), F.min("cls").alias("cls"))
+    alone = (texts.mapInArrow(tidy(spread), "cls binary, shingle long").groupBy("shingle").agg(F.count("*").alias("many"), F.min("cls").alias("cls"))
              .where("many = 1"))
     return alone.groupBy("cls").agg(F.count("*").alias("own"))
 

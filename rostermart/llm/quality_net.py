@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from rostermart.llm.labelled import fitted, training_sample
 from rostermart.llm.texts import held_out_expr, slices
+from rostermart.llm.tidy import tidy
 
 CHUNK, STEP = 512, 448
 WIDTH, STRIDE = 8, 2
@@ -193,7 +194,7 @@ def score(documents: DataFrame, net: Net) -> DataFrame:
             yield pa.RecordBatch.from_arrays([rows, pa.array(net.scores(rows.field("text")))], names=["row", "score"])
 
     packed = documents.select(F.struct(*documents.columns).alias("row"))
-    return packed.mapInArrow(run, f"row {dict(packed.dtypes)['row']}, score double")
+    return packed.mapInArrow(tidy(run), f"row {dict(packed.dtypes)['row']}, score double")
 
 
 def judged(documents: DataFrame, labels: DataFrame, threshold: float = 0.3, per_class: int = 1200) -> DataFrame:
@@ -205,7 +206,7 @@ def judged(documents: DataFrame, labels: DataFrame, threshold: float = 0.3, per_
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(net.scores(batch.column("text")))], names=["doc_id", "score"])
 
     narrow = documents.select("doc_id", "text")
-    scored = narrow.mapInArrow(run, f"doc_id {dict(narrow.dtypes)['doc_id']}, score double")
+    scored = narrow.mapInArrow(tidy(run), f"doc_id {dict(narrow.dtypes)['doc_id']}, score double")
     return scored.select("doc_id", held_out_expr(F.col("doc_id"), 5).alias("held_out"), "score",
                          F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
 

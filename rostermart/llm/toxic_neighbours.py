@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from rostermart.llm.labelled import fitted, training_sample
 from rostermart.llm.texts import (BYTE_VALUES, LETTERS, U64, _powers, find_words, held_out_expr, mix, slices)
+from rostermart.llm.tidy import tidy
 
 PREFIXES = (4, 5, 6)
 CHI, MAX_TERMS = 25.0, 1024
@@ -101,7 +102,7 @@ def count_documents(documents: DataFrame, terms: np.ndarray) -> tuple[np.ndarray
 
     if not len(terms):
         return np.zeros(0), 0
-    counted = documents.select("text").mapInArrow(run, "n long, df array<long>")
+    counted = documents.select("text").mapInArrow(tidy(run), "n long, df array<long>")
     n = counted.select("n", F.posexplode("df").alias("term", "df")).groupBy("term").agg(F.sum("df").alias("df"), F.sum("n").alias("n")).collect()
     out = np.zeros(len(terms))
     for r in n:
@@ -256,7 +257,7 @@ def judge(documents: DataFrame, index: Index) -> DataFrame:
             yield pa.RecordBatch.from_arrays([rows, pa.array(index.score(raw)), pa.array(evidence, kind)], names=["row", "score", "evidence"])
 
     packed = documents.select(F.struct(*documents.columns).alias("row"))
-    return packed.mapInArrow(run, f"row {dict(packed.dtypes)['row']}, score double, evidence array<struct<doc_id:string,similarity:double,label:int>>")
+    return packed.mapInArrow(tidy(run), f"row {dict(packed.dtypes)['row']}, score double, evidence array<struct<doc_id:string,similarity:double,label:int>>")
 
 
 def judged(documents: DataFrame, labels: DataFrame, threshold: float = 0.5, per_class: int = 3000) -> DataFrame:
