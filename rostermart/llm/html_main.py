@@ -148,11 +148,9 @@ def parse(source: str) -> Page:
             fresh = fresh or tag not in INLINE
             continue
         if tag == "head" or tag in SILENT:
-            silent = source.lower().find(f"</{tag}", at)
-            if tag == "head" and silent < 0:
-                continue
-            if silent >= 0:
-                at = source.find(">", silent) + 1 or len(source)
+            end = re.compile(rf"</{tag}(?![^\s/>])[^>]*>?", re.I | re.A).search(source, at)
+            if end:
+                at = end.end()
             continue
         if tag in CLOSES_P and "p" in names:
             close(len(names) - 1 - names[::-1].index("p"))

@@ -50,6 +50,18 @@ def test_blocks(source, text):
     assert h.extract([source], None) == [text]
 
 
+@pytest.mark.parametrize("tag", ["button", "svg", "select", "template", "BUTTON"])
+def test_letters_that_grow_in_lower_case(tag):
+    dots = "\u0130" * 40
+    source = f"<p>{dots}</p><p>a<{tag}>x</{tag.lower()}> kept text, all of it</p><p>next</p>"
+    assert h.extract([source], None) == [f"{dots}\n\na kept text, all of it\n\nnext"]
+
+
+def test_a_head_ends_at_its_own_tag():
+    assert h.extract(["<head><title>no</title></head><header>a</header>b"], None) == ["a\n\nb"]
+    assert h.extract(["<head><header>a</header>b"], None) == ["a\n\nb"]
+
+
 def test_nothing_is_kept_inside_something_dropped():
     page = h.parse("<div><p>a</p><div><p>b</p></div></div>")
     assert page.tags == ["body", "div", "p", "div", "p"]
