@@ -1,22 +1,24 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Terms are words and their first 4, 5 and 6 bytes (so that inflected words share a
-term). Of these the vocabulary takes those whose presence depends on the label in
-the sample (chi-square at least ``CHI``, the ``MAX_TERMS`` largest); inverse
-document frequencies are counted over all documents. Weights are
-``(1 + ln tf) * idf`` over the vocabulary, of length one.
-
-Examples lie in blocks of BLOCK, sorted by their heaviest term. Postings are
-grouped by term and block; each term holds its largest weight in every block. A
-text's bound for a block is the sum of its weights times these; blocks are opened
-by falling bound until the bound is below the K-th similarity, so the K nearest
-are exact (ties to the earlier example).
+term). All terms of the examples are weighed and indexed. Weights are
+``(1 + ln tf) * idf * (1 + ln(1 + chi))``, of length one: inverse document
+frequencies are counted over all documents, and ``chi`` is the chi-square of the
+term's presence and the label in the sample, so that a term of both labels alike
+counts least, but counts.
+
+Examples lie in blocks of BLOCK, sorted by their heaviest term. Rare terms have
+postings; terms in more than a share COMMON of the examples have a row of weights
+in each block and their largest weight there. A text's bound for a block is its
+largest sum over the rare terms in the block and its weights times these largest
+ones; the FIRST blocks of highest bound are opened, then all whose bound reaches
+the K-th similarity found, so the K nearest are exact (ties to the earlier example).
 
 Neighbours vote by ``1 / (1 - similarity + SOFT)``, weighted so that the sample's
 label shares become those of all labels, next to a vote for the overall share. A
 logistic curve fitted on each example's own leave-one-out vote calibrates it.
 
-Defined cases: texts without a term of the vocabulary, null and empty ones among
+Defined cases: texts without a term of any example, null and empty ones among
 them, have no neighbour and get the score of the overall share; with labels of
 one class only, all scores are that label, with none 0.5; repeated rows get equal
 scores; an empty table gives no rows.
@@ -38,8 +40,8 @@ from rostermart.llm.texts import (BYTE_VALUES, LETTERS, U64, _powers, find_words
 from rostermart.llm.tidy import tidy
 
 PREFIXES = (4, 5, 6)
-CHI, MAX_TERMS = 25.0, 1024
 BLOCK, K, SOFT, PRIOR = 64, 15, 0.1, 1.0
+COMMON, FIRST, AT_ONCE = 0.1, 8, 128
 
 
 def terms_of(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -63,59 +65,43 @@ def terms_of(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
 
 
 def choose_terms(sample: pd.DataFrame) -> np.ndarray:
-    """Sorted hashes of the vocabulary."""
+    """Sorted hashes of all terms of the sample."""
     y = sample["y"].to_numpy()
     if not len(y) or y.min() == y.max():
         return np.zeros(0, np.int64)
-    pairs = []
-    for lo, _, rows, hashes in terms_of(pa.array(sample["text"], pa.string())):
-        order = np.lexsort((hashes, rows))
-        r, h = rows[order], hashes[order]
-        first = np.ones(len(r), bool)
-        first[1:] = (r[1:] != r[:-1]) | (h[1:] != h[:-1])
-        pairs.append((r[first] + lo, h[first]))
-    rows, hashes = (np.concatenate(x) for x in zip(*pairs, strict=True))
-    each, at = np.unique(hashes, return_inverse=True)
-    n, ones = float(len(y)), float(y.sum())
-    in_one = np.bincount(at, y[rows], minlength=len(each))
-    in_any = np.bincount(at, minlength=len(each)).astype(float)
-    difference = n * in_one - ones * in_any
-    chi = n * difference ** 2 / np.maximum(ones * (n - ones) * in_any * (n - in_any), 1e-9)
-    best = np.lexsort((each, -chi))[:MAX_TERMS]
-    return np.sort(each[best[chi[best] >= CHI]].view(np.int64))
+    each = [np.unique(hashes) for _, _, _, hashes in terms_of(pa.array(sample["text"], pa.string()))]
+    return np.sort(np.unique(np.concatenate(each)).view(np.int64))
 
 
 def count_documents(documents: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, int]:
     """In how many documents each term occurs, over all of them, and the number of documents."""
-    places = terms.view(U64)
-    sort = np.argsort(places)
-    sorted_terms = places[sort]
+    if not len(terms):
+        return np.zeros(0), 0
+    sent = documents.sparkSession.sparkContext.broadcast(np.sort(terms.view(U64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, seen = np.zeros(len(terms), np.int64), 0
+        known = sent.value
         for batch in batches:
-            seen += batch.num_rows
+            total = np.zeros(len(known), np.int64)
             for _, _, rows, hashes in terms_of(batch.column(0)):
-                r, t = _known(rows, hashes, sorted_terms)
-                total += np.bincount(np.unique(r * len(terms) + t) % len(terms), minlength=len(terms))
-        yield pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([total[np.argsort(sort)].tolist()], pa.list_(pa.int64()))], names=["n", "df"])
-
-    if not len(terms):
-        return np.zeros(0), 0
-    counted = documents.select("text").mapInArrow(tidy(run), "n long, df array<long>")
-    n = counted.select("n", F.posexplode("df").alias("term", "df")).groupBy("term").agg(F.sum("df").alias("df"), F.sum("n").alias("n")).collect()
+                r, t = _known(rows, hashes, known)
+                total += np.bincount(np.unique(r * len(known) + t) % len(known), minlength=len(known))
+            found = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(known[found].view(np.int64), 0)), pa.array(np.append(total[found], 0)),
+                                              pa.array(np.append(np.zeros(len(found), np.int64), batch.num_rows))], names=["term", "df", "n"])
+
+    counted = documents.select("text").mapInArrow(tidy(run), "term long, df long, n long").groupBy("term").agg(F.sum("df").alias("df"), F.sum("n").alias("n")).toArrow()
+    term, df = counted.column("term").to_numpy(), counted.column("df").to_numpy()
+    sort = np.argsort(terms)
+    at = np.minimum(np.searchsorted(terms[sort], term), len(terms) - 1)
+    same = terms[sort][at] == term
     out = np.zeros(len(terms))
-    for r in n:
-        out[r.term] = r.df
-    return out, n[0].n if n else 0
+    out[sort[at[same]]] = df[same]
+    return out, int(counted.column("n").to_numpy().sum())
 
 
 def _known(rows: np.ndarray, hashes: np.ndarray, sorted_terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The occurrences of known terms, as rows and places in ``sorted_terms``."""
-    quick = np.zeros(1 << 16, bool)
-    quick[(sorted_terms >> U64(48)).astype(np.int64)] = True
-    maybe = np.flatnonzero(quick[(hashes >> U64(48)).astype(np.int64)])
-    rows, hashes = rows[maybe], hashes[maybe]
     at = np.minimum(np.searchsorted(sorted_terms, hashes), len(sorted_terms) - 1)
     same = sorted_terms[at] == hashes
     return rows[same], at[same]
@@ -124,11 +110,13 @@ def _known(rows: np.ndarray, hashes: np.ndarray, sorted_terms: np.ndarray) -> tu
 @dataclass
 class Index:
     terms: np.ndarray
-    idf: np.ndarray
+    factor: np.ndarray
     share: float
     y: np.ndarray
     names: list
     vote: np.ndarray
+    common: np.ndarray
+    blocks: np.ndarray
     largest: np.ndarray
     pointer: np.ndarray
     ids: np.ndarray
@@ -145,29 +133,54 @@ class Index:
             r, t = _known(rows, hashes, self.terms)
             key, tf = np.unique(r * len(self.terms) + t, return_counts=True)
             r, t = key // len(self.terms), key % len(self.terms)
-            w = (1 + np.log(tf)) * self.idf[t]
+            w = (1 + np.log(tf)) * self.factor[t]
             length = np.sqrt(np.bincount(r, w * w, minlength=n))
             yield lo, n, r, t, w / length[r]
 
     def nearest(self, t: np.ndarray, w: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The K examples of highest similarity above 0 and these similarities."""
-        bound = w @ self.largest[t]
-        order = np.argsort(-bound, kind="stable")
-        sims, ids = np.zeros(0), np.zeros(0, np.int64)
-        for block in order:
-            if bound[block] <= 0 or (len(sims) == K and bound[block] < sims[-1] - 1e-12):
-                break
-            lo, hi = self.pointer[t, block], self.pointer[t, block + 1]
-            many = hi - lo
-            at = np.repeat(lo - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
-            found = np.bincount(self.ids[at] - block * BLOCK, self.weights[at] * np.repeat(w, many), minlength=BLOCK)
-            mine = np.flatnonzero(found > 0)
-            sims, ids = np.concatenate([sims, found[mine]]), np.concatenate([ids, mine + block * BLOCK])
-            if skip >= 0:
-                sims, ids = sims[ids != skip], ids[ids != skip]
-            first = np.lexsort((ids, -sims.round(12)))[:K]
-            sims, ids = sims[first], ids[first]
-        return sims, ids
+        return next(self.nearest_of(1, np.zeros(len(t), np.int64), t, w, np.array([skip])))
+
+    def nearest_of(self, n: int, r: np.ndarray, t: np.ndarray, w: np.ndarray, skip: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of each of ``n`` vectors, whose parts are sorted by vector."""
+        for lo in range(0, n, AT_ONCE):
+            hi = min(n, lo + AT_ONCE)
+            own = slice(*np.searchsorted(r, [lo, hi]))
+            sims = self._similarities(hi - lo, r[own] - lo, t[own], w[own], np.full(hi - lo, -1) if skip is None else skip[lo:hi]).round(12)
+            for mine in sims:
+                some = np.flatnonzero(mine >= max(_kth(mine), 1e-12))
+                some = some[np.lexsort((some, -mine[some]))[:K]]
+                yield mine[some], some
+
+    def _similarities(self, n: int, r: np.ndarray, t: np.ndarray, w: np.ndarray, skip: np.ndarray) -> np.ndarray:
+        """Similarities to all examples; exact in each block that may hold one of the K nearest."""
+        many_blocks = self.largest.shape[1]
+        sims, dense = np.zeros((n, many_blocks * BLOCK)), np.zeros((n, len(self.largest)))
+        often = self.common[t] >= 0
+        dense[r[often], self.common[t[often]]] = w[often]
+        r, t, w = r[~often], t[~often], w[~often]
+        lo, many = self.pointer[t], self.pointer[t + 1] - self.pointer[t]
+        edges = np.searchsorted(r, np.arange(n + 1))
+        for i in np.flatnonzero(np.diff(edges)):
+            own = slice(edges[i], edges[i + 1])
+            before = np.cumsum(many[own]) - many[own]
+            at = np.repeat(lo[own] - before, many[own]) + np.arange(many[own].sum())
+            sims[i] = np.bincount(self.ids[at], self.weights[at] * np.repeat(w[own], many[own]), minlength=sims.shape[1])
+        skipped = np.flatnonzero(skip >= 0)
+        bound = sims.reshape(n, many_blocks, BLOCK).max(2) + dense @ self.largest
+        best = np.argsort(-bound, axis=1, kind="stable")[:, :FIRST]
+        wanted = np.zeros(bound.shape, bool)
+        np.put_along_axis(wanted, best, True, 1)
+        closed = ~wanted
+        for last in (False, True):
+            for block in np.flatnonzero(wanted.any(0)):
+                q = np.flatnonzero(wanted[:, block])
+                sims[q, block * BLOCK:(block + 1) * BLOCK] += dense[q] @ self.blocks[block]
+            sims[skipped, skip[skipped]] = -1
+            if not last:
+                floor = np.array([_kth(mine) for mine in sims])
+                wanted = closed & (bound > 0) & (bound >= floor[:, None] - 1e-11)
+        return sims
 
     def raw(self, sims: np.ndarray, ids: np.ndarray) -> float:
         """The log odds of the votes."""
@@ -179,16 +192,36 @@ class Index:
         return 1 / (1 + np.exp(-np.clip(self.slope * np.asarray(raw) + self.offset, -30, 30)))
 
 
+def _kth(sims: np.ndarray) -> float:
+    """The K-th largest."""
+    return float(np.partition(sims, -K)[-K])
+
+
+def label_dependence(sample: pd.DataFrame, sorted_terms: np.ndarray) -> np.ndarray:
+    """The chi-square of each term's presence and the label."""
+    y, many = sample["y"].to_numpy(np.int64), len(sorted_terms)
+    in_any, in_one = np.zeros(many), np.zeros(many)
+    for lo, _, rows, hashes in terms_of(pa.array(sample["text"], pa.string())):
+        r, t = _known(rows, hashes, sorted_terms)
+        key = np.unique(r * many + t)
+        in_any += np.bincount(key % many, minlength=many)
+        in_one += np.bincount(key % many, y[lo + key // many], minlength=many)
+    n, ones = float(len(y)), float(y.sum())
+    return n * (n * in_one - ones * in_any) ** 2 / np.maximum(ones * (n - ones) * in_any * (n - in_any), 1e-9)
+
+
 def build(sample: pd.DataFrame, terms: np.ndarray, df: np.ndarray, n: int, share: float) -> Index:
     """The index of the sample's examples, calibrated."""
     sort = np.argsort(terms.view(U64))
     idf = np.log((1 + n) / (1 + df[sort])) + 1 if len(terms) else np.zeros(0)
     y = sample["y"].to_numpy(np.int64)
-    index = Index(terms.view(U64)[sort], idf, share, y, [], np.zeros(0), np.zeros((len(terms), 0)), np.zeros((len(terms), 1), np.int64),
-                  np.zeros(0, np.int64), np.zeros(0))
+    index = Index(terms.view(U64)[sort], idf, share, y, [], np.zeros(0), np.full(len(terms), -1), np.zeros((0, 0, BLOCK)), np.zeros((0, 0)),
+                  np.zeros(len(terms) + 1, np.int64), np.zeros(0, np.int32), np.zeros(0))
     if not len(y) or y.min() == y.max():
         index.slope, index.offset = 0.0, 0.0 if not len(y) else 30.0 if y[0] else -30.0
         return index
+    if len(terms):
+        index.factor = idf * (1 + np.log1p(label_dependence(sample, index.terms)))
     parts = [(r + lo, t, w) for lo, _, r, t, w in index.vectors(pa.array(sample["text"], pa.string()))]
     r, t, w = (np.concatenate(x) for x in zip(*parts, strict=True))
     heaviest = np.full(len(y), len(terms))
@@ -200,17 +233,18 @@ def build(sample: pd.DataFrame, terms: np.ndarray, df: np.ndarray, n: int, share
     index.y, index.names = y[order], sample["doc_id"].to_numpy()[order].tolist()
     index.vote = np.where(index.y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
     e = place[r]
-    by_posting = np.lexsort((e, t))
-    t, e, w = t[by_posting], e[by_posting], w[by_posting]
     blocks = -(-len(y) // BLOCK)
-    index.ids, index.weights = e, w
-    index.largest = np.zeros((len(terms), blocks))
-    np.maximum.at(index.largest, (t, e // BLOCK), w)
-    index.pointer = np.searchsorted(t * (blocks + 1) + e // BLOCK, np.arange(len(terms))[:, None] * (blocks + 1) + np.arange(blocks + 1))
-    first = np.searchsorted(e[np.argsort(e, kind="stable")], np.arange(len(y) + 1))
-    by_example = np.argsort(e, kind="stable")
-    raw = np.array([index.raw(*index.nearest(t[own], w[own], skip=i)) for i in range(len(y))
-                    for own in [by_example[first[i]:first[i + 1]]]])
+    often = np.flatnonzero(np.bincount(t, minlength=len(terms)) > len(y) * COMMON)
+    index.common[often] = np.arange(len(often))
+    index.blocks = np.zeros((blocks, len(often), BLOCK))
+    rare = index.common[t] < 0
+    index.blocks[e[~rare] // BLOCK, index.common[t[~rare]], e[~rare] % BLOCK] = w[~rare]
+    index.largest = index.blocks.max(2).T
+    by_posting = np.flatnonzero(rare)[np.lexsort((e[rare], t[rare]))]
+    index.ids, index.weights = e[by_posting].astype(np.int32), w[by_posting]
+    index.pointer = np.searchsorted(t[by_posting], np.arange(len(terms) + 1))
+    by_example = np.lexsort((t, e))
+    raw = np.array([index.raw(*near) for near in index.nearest_of(len(y), e[by_example], t[by_example], w[by_example], np.arange(len(y)))])
     index.slope, index.offset = _calibrated(raw, index.y, index.vote)
     return index
 
@@ -229,7 +263,7 @@ def _calibrated(raw: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[flo
 
 
 def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 3000) -> Index:
-    """Vocabulary and examples from a bounded sample, document frequencies from all documents."""
+    """Terms and examples from a bounded sample, document frequencies from all documents."""
     sample, share = training_sample(documents, labels, label, per_class)
     terms = fitted(sample, choose_terms)
     df, n = count_documents(documents, terms)
@@ -248,10 +282,7 @@ def judge(documents: DataFrame, index: Index) -> DataFrame:
             rows = batch.column("row")
             raw, evidence = np.full(len(rows), alone), [[] for _ in range(len(rows))]
             for lo, n, r, t, w in index.vectors(rows.field("text")):
-                first = np.searchsorted(r, np.arange(n + 1))
-                for i in np.flatnonzero(np.diff(first)) if index.slope else ():
-                    own = slice(first[i], first[i + 1])
-                    sims, ids = index.nearest(t[own], w[own])
+                for i, (sims, ids) in enumerate(index.nearest_of(n, r, t, w)) if index.slope else ():
                     raw[lo + i] = index.raw(sims, ids)
                     evidence[lo + i] = [{"doc_id": index.names[e], "similarity": float(s), "label": int(index.y[e])} for s, e in zip(sims, ids, strict=True)]
             yield pa.RecordBatch.from_arrays([rows, pa.array(index.score(raw)), pa.array(evidence, kind)], names=["row", "score", "evidence"])

@@ -139,3 +139,53 @@ def test_nearest_equals_a_scan():
             want = [(s, e) for s, e in sorted(zip(-sims, range(400), strict=True)) if s < 0][:toxic_neighbours.K]
             got, ids = index.nearest(t[r == i], w[r == i])
             assert ids.tolist() == [e for _, e in want] and np.allclose(got, [-s for s, _ in want])
+
+
+def rare_words(seed):
+    """Texts of 400 examples; every toxic one has a word that only three others have."""
+    rng = random.Random(seed)
+    rows = [(f"{i}", " ".join(rng.choices([f"w{k}" for k in range(60)], k=25) + [f"x{rng.randrange(150)}"] + ([f"vile{i // 2 % 50}"] if i % 2 else [])), i % 2) for i in range(400)]
+    return pd.DataFrame(rows, columns=["doc_id", "text", "y"])
+
+
+def test_terms_of_few_examples_count():
+    sample = rare_words(3)
+    terms = toxic_neighbours.choose_terms(sample)
+    assert set(terms.view(np.uint64)) == {h for part in toxic_neighbours.terms_of(pa.array(sample["text"])) for h in part[3].tolist()}
+    index = toxic_neighbours.build(sample, terms, np.full(len(terms), 8.0), 1000, 0.5)
+    raw = {}
+    for text in ("w1 w2 w3 vile7", "w1 w2 w3", "vile7", "x3"):
+        ((_, n, r, t, w),) = index.vectors(pa.array([text]))
+        sims, ids = index.nearest(t, w)
+        assert len(ids)
+        raw[text] = index.raw(sims, ids)
+    assert raw["w1 w2 w3 vile7"] > raw["w1 w2 w3"] and index.score(raw["vile7"]) > 0.5
+
+
+def test_nearest_equals_a_scan_over_rare_terms():
+    sample = rare_words(4)
+    terms = toxic_neighbours.choose_terms(sample)
+    index = toxic_neighbours.build(sample, terms, np.arange(len(terms)) % 90 + 1.0, 1000, 0.5)
+    assert len(index.largest) and len(index.ids)
+    dense = np.zeros((448, len(terms)))
+    place = {n: k for k, n in enumerate(index.names)}
+    for lo, _, r, t, w in index.vectors(pa.array(sample["text"])):
+        dense[[place[sample["doc_id"][lo + i]] for i in r], t] = w
+    asked = pa.array([*sample["text"][:150], "", "vile3 vile4", "nothing", "x1 x2 x3", "w1"])
+    ((_, n, r, t, w),) = index.vectors(asked)
+    skip = np.array([place[str(i)] for i in range(150)] + [-1] * 5)
+    for i, (sims, ids) in enumerate(index.nearest_of(n, r, t, w, skip)):
+        q = np.zeros(len(terms))
+        q[t[r == i]] = w[r == i]
+        each = (dense @ q).round(12)
+        want = [(s, e) for s, e in sorted(zip(-each, range(448), strict=True)) if s < 0 and e != skip[i]][:toxic_neighbours.K]
+        assert ids.tolist() == [e for _, e in want] and np.allclose(sims, [-s for s, _ in want])
+
+
+def test_documents_of_each_term(spark):
+    texts = ["idiot one", "idiot idiot two", None, "", "three", "one two three four"] * 7
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    terms = toxic_neighbours.choose_terms(pd.DataFrame({"text": ["idiot", "one zebra"], "y": [1, 0]}))
+    df, n = toxic_neighbours.count_documents(docs, terms)
+    hashes = {w: int(h.view(np.int64)) for w in ("idiot", "one", "zebra") for h in [next(toxic_neighbours.terms_of(pa.array([w])))[3][0]]}
+    assert n == 42 and {w: df[terms.tolist().index(h)] for w, h in hashes.items()} == {"idiot": 14, "one": 14, "zebra": 0}
