@@ -13,7 +13,10 @@ menus, notices, adverts, forms, sidebars, footers and reader comments made of
 other pages' texts are put around and into it.
 
 Text runs end at block elements; in a run, white space becomes one blank; ``br``
-is white space. Scripts, styles, heads, comments and the like hold no text.
+is white space. Scripts, styles, templates, heads, titles, comments, ``noscript``,
+``iframe``, drawings (``svg``) and form controls (``textarea``, ``select``,
+``option``, ``button``, ``datalist``) hold no text. Formulas (``math``, cells and
+annotations set apart by a blank) and what ``object`` and ``canvas`` hold are text.
 
 Defined cases: null and empty html give an empty text; a page without elements is
 one body with its text; unclosed and misnested tags are closed as browsers do; no
@@ -38,10 +41,13 @@ from rostermart.llm.labelled import fitted
 
 # Kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style noscript template head title svg math iframe object textarea select option button datalist canvas".split())
+SILENT = frozenset("script style noscript template head title svg iframe textarea select option button datalist".split())
 RAW = frozenset("script style textarea title iframe noscript".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike "
-                   "strong sub sup time tt u var br wbr img".split())
+                   "strong sub sup time tt u var br wbr img object param canvas math semantics annotation annotation-xml maction menclose merror "
+                   "mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup "
+                   "mtable mtd mtext mtr munder munderover none".split())
+APART = frozenset("annotation annotation-xml mtd mtr".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                      "header hgroup hr main menu nav ol p pre section summary table ul".split())
 SAME = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
@@ -169,6 +175,8 @@ def parse(source: str) -> Page:
                 fresh = True
             continue
         fresh = fresh or tag not in INLINE
+        if tag in APART:
+            page.runs.append((stack[-1], " ", fresh))
         start(tag, attributes)
     close(0)
     return page

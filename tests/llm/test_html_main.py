@@ -57,6 +57,16 @@ def test_letters_that_grow_in_lower_case(tag):
     assert h.extract([source], None) == [f"{dots}\n\na kept text, all of it\n\nnext"]
 
 
+@pytest.mark.parametrize("source, text", [
+    ("<p>So <math><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></math> holds</p>", "So E=mc2 holds"),
+    ("<p>a <math><semantics><mi>x</mi><annotation encoding=t>\\x</annotation></semantics></math>, b</p>", "a x \\x, b"),
+    ("<p>a <math><mtable><mtr><mtd>1</mtd><mtd>2</mtd></mtr></mtable></math></p>", "a 1 2"),
+    ("<p>see <object data=f><param name=n>the text instead</object> here</p>", "see the text instead here"),
+    ("<p>a</p><object><p>b</p></object><canvas>c</canvas><button>no</button>", "a\n\nb\n\nc"), ("<p>a <svg><text>no</text></svg>b", "a b")])
+def test_formulas_and_texts_of_objects(source, text):
+    assert h.extract([source], None) == [text]
+
+
 def test_a_head_ends_at_its_own_tag():
     assert h.extract(["<head><title>no</title></head><header>a</header>b"], None) == ["a\n\nb"]
     assert h.extract(["<head><header>a</header>b"], None) == ["a\n\nb"]
