@@ -6,9 +6,8 @@ slide over a chunk, and the largest answer of each filter stands for the chunk.
 The chunks' answers, averaged and at their largest, go through one hidden layer
 into one probability.
 
-Training takes a bounded sample of labelled rows (``per_class`` of each label,
-and of a very long text at most TRAIN_CHUNKS evenly spread chunks); scoring
-always takes every chunk of every text.
+Training takes a bounded sample of labelled rows (``per_class`` of each label);
+training and scoring take every chunk of every text.
 
 Defined cases: null and empty texts are one chunk of padding and get a score like
 any other; with labels of one class only, all scores are that label, with none
@@ -34,8 +33,7 @@ CHUNK, STEP = 512, 448
 WIDTH, STRIDE = 8, 2
 VECTOR, FILTERS, HIDDEN = 6, 32, 16
 PAD = 256
-TRAIN_CHUNKS = 32
-AT_ONCE = 128
+AT_ONCE, KEPT = 128, 512
 
 
 def chunk_bounds(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,10 +110,37 @@ class Net:
         return np.concatenate(out).astype(np.float64)
 
 
-def _gradients(net: Net, chunks: np.ndarray, text: np.ndarray, y: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
+@dataclass
+class Cuts:
+    """The chunks of some texts in order, cut when they are asked for."""
+
+    data: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    text: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[bytes]) -> Cuts:
+        ends = np.cumsum([len(t) for t in texts])
+        sizes = np.diff(ends, prepend=0)
+        text, starts = chunk_bounds(sizes)
+        return cls(np.frombuffer(b"".join(texts), np.uint8), starts + (ends - sizes)[text], ends[text], text)
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def __getitem__(self, at: slice) -> np.ndarray:
+        return cut(self.data, self.starts[at], self.ends[at])
+
+
+def _gradients(net: Net, chunks: np.ndarray | Cuts, text: np.ndarray, y: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
     n = len(y)
-    parts = [net.pooled(chunks[i:i + AT_ONCE]) for i in range(0, len(chunks), AT_ONCE)]
-    answers = np.concatenate([p[0] for p in parts])
+    parts, found = [], []
+    for i in range(0, len(chunks), AT_ONCE):
+        part = net.pooled(chunks[i:i + AT_ONCE])
+        found.append(part[0])
+        parts.append(part if i < KEPT else None)  # windows of more chunks are made again below
+    answers = np.concatenate(found)
     first = np.searchsorted(text, np.arange(n))
     many = np.diff(np.append(first, len(text)))[:, None]
     top = np.maximum.reduceat(answers, first)
@@ -130,13 +155,15 @@ def _gradients(net: Net, chunks: np.ndarray, text: np.ndarray, y: np.ndarray, we
     d_answer = (d_both[:, :FILTERS] / many)[text] + (d_both[:, FILTERS:] / shared)[text] * is_top
     d_answer *= answers > 0
     d_filters, d_vectors = np.zeros_like(net.filters), np.zeros_like(net.vectors)
-    for k, (_, where, windows) in enumerate(parts):
-        at = slice(k * AT_ONCE, k * AT_ONCE + len(where))
+    for k, part in enumerate(parts):
+        at = slice(k * AT_ONCE, (k + 1) * AT_ONCE)
+        mine = chunks[at]
+        _, where, windows = part or net.pooled(mine)
         d = d_answer[at]
         seen = windows[np.arange(len(where))[:, None], where]
         d_filters += np.einsum("cf,cfk->kf", d, seen)
         d_seen = d[:, :, None] * net.filters.T[None]
-        bytes_at = chunks[at][np.arange(len(where))[:, None, None], where[:, :, None] * STRIDE + np.arange(WIDTH)]
+        bytes_at = mine[np.arange(len(where))[:, None, None], where[:, :, None] * STRIDE + np.arange(WIDTH)]
         flat = bytes_at.reshape(-1)
         d_seen = d_seen.reshape(-1, VECTOR)
         for v in range(VECTOR):
@@ -153,11 +180,6 @@ def train(sample: pd.DataFrame, seed: int = 7, steps: int = 700, batch: int = 48
         net.out_bias[:] = 0 if not len(y) else 20 if y[0] else -20
         return net
     raw = [t.encode("utf-8", "replace") for t in sample["text"]]
-    cuts = []
-    for t in raw:
-        _, starts = chunk_bounds(np.array([len(t)]))
-        starts = starts[np.linspace(0, len(starts) - 1, min(len(starts), TRAIN_CHUNKS)).astype(int)]
-        cuts.append(cut(np.frombuffer(t, np.uint8), starts, np.full(len(starts), len(t))).astype(np.int16))
     weight = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean())).astype(np.float32)
     rng = np.random.default_rng(seed)
     m, v = [np.zeros_like(w) for w in net.weights()], [np.zeros_like(w) for w in net.weights()]
@@ -166,11 +188,10 @@ def train(sample: pd.DataFrame, seed: int = 7, steps: int = 700, batch: int = 48
         order = rng.permutation(len(y))
         for lo in range(0, len(y), batch)[:steps - step]:
             rows = order[lo:lo + batch]
-            chunks = np.concatenate([cuts[i] for i in rows]).astype(np.int64)
-            text = np.repeat(np.arange(len(rows)), [len(cuts[i]) for i in rows])
+            chunks = Cuts.of([raw[i] for i in rows])
             step += 1
             now = rate * (1 - step / (steps + 1))
-            for w, g, m1, v1 in zip(net.weights(), _gradients(net, chunks, text, y[rows], weight[rows] / len(rows)), m, v, strict=True):
+            for w, g, m1, v1 in zip(net.weights(), _gradients(net, chunks, chunks.text, y[rows], weight[rows] / len(rows)), m, v, strict=True):
                 m1 += 0.1 * (g - m1)
                 v1 += 0.01 * (g * g - v1)
                 w -= now * (m1 / (1 - 0.9 ** step)) / (np.sqrt(v1 / (1 - 0.99 ** step)) + 1e-8)

@@ -189,3 +189,19 @@ def test_documents_of_each_term(spark):
     df, n = toxic_neighbours.count_documents(docs, terms)
     hashes = {w: int(h.view(np.int64)) for w in ("idiot", "one", "zebra") for h in [next(toxic_neighbours.terms_of(pa.array([w])))[3][0]]}
     assert n == 42 and {w: df[terms.tolist().index(h)] for w, h in hashes.items()} == {"idiot": 14, "one": 14, "zebra": 0}
+
+
+def test_training_sees_all_chunks(monkeypatch):
+    texts = ["good words " * 3000, "junk " * 20, "", "é" * 20000]
+    seen, real = [], quality_net._gradients
+    monkeypatch.setattr(quality_net, "_gradients", lambda net, chunks, *rest: seen.append(len(chunks)) or real(net, chunks, *rest))
+    quality_net.train(pd.DataFrame({"text": texts, "y": [1, 0, 0, 1]}), steps=1)
+    assert seen == [len(quality_net.chunk_bounds(np.array([len(t.encode()) for t in texts]))[0])]
+
+
+def test_gradients_do_not_depend_on_kept_windows(monkeypatch):
+    chunks, net = quality_net.Cuts.of([b"some words " * 4000, b"", b"x" * 30000]), quality_net.Net.new(3)
+    args = net, chunks, chunks.text, np.array([1, 0, 1], np.float32), np.ones(3, np.float32)
+    kept = quality_net._gradients(*args)
+    monkeypatch.setattr(quality_net, "KEPT", 0)
+    assert all(np.array_equal(a, b) for a, b in zip(kept, quality_net._gradients(*args), strict=True))
