@@ -2,7 +2,7 @@
 
 A text's bytes are cut into chunks of CHUNK bytes that overlap by CHUNK - STEP and
 cover all of it. Each byte has a learned vector; learned filters of WIDTH bytes
-slide over a chunk, and the largest answer of each filter stands for the chunk.
+slide over a chunk byte by byte, and the largest answer of each filter stands for the chunk.
 The chunks' answers, averaged and at their largest, go through one hidden layer
 into one probability.
 
@@ -30,7 +30,7 @@ from rostermart.llm.texts import held_out_expr, slices
 from rostermart.llm.tidy import tidy
 
 CHUNK, STEP = 512, 448
-WIDTH, STRIDE = 8, 2
+WIDTH = 8
 VECTOR, FILTERS, HIDDEN = 6, 32, 16
 PAD = 256
 AT_ONCE, KEPT = 128, 512
@@ -79,7 +79,7 @@ class Net:
     def pooled(self, chunks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The largest answer of each filter in each chunk, where it is, and the windows that were seen."""
         seen = self.vectors[chunks].reshape(len(chunks), -1)
-        windows = np.lib.stride_tricks.sliding_window_view(seen, WIDTH * VECTOR, axis=1)[:, ::STRIDE * VECTOR]
+        windows = np.lib.stride_tricks.sliding_window_view(seen, WIDTH * VECTOR, axis=1)[:, ::VECTOR]
         windows = np.ascontiguousarray(windows)
         answers = (windows.reshape(-1, WIDTH * VECTOR) @ self.filters).reshape(len(chunks), -1, FILTERS)
         where = answers.argmax(1)
@@ -88,7 +88,7 @@ class Net:
 
     def largest(self, chunks: np.ndarray) -> np.ndarray:
         seen = self.vectors[chunks].reshape(len(chunks), -1)
-        windows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(seen, WIDTH * VECTOR, axis=1)[:, ::STRIDE * VECTOR])
+        windows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(seen, WIDTH * VECTOR, axis=1)[:, ::VECTOR])
         answers = (windows.reshape(-1, WIDTH * VECTOR) @ self.filters).reshape(len(chunks), -1, FILTERS)
         return np.maximum(answers.max(1) + self.bias, 0)
 
@@ -163,7 +163,7 @@ def _gradients(net: Net, chunks: np.ndarray | Cuts, text: np.ndarray, y: np.ndar
         seen = windows[np.arange(len(where))[:, None], where]
         d_filters += np.einsum("cf,cfk->kf", d, seen)
         d_seen = d[:, :, None] * net.filters.T[None]
-        bytes_at = mine[np.arange(len(where))[:, None, None], where[:, :, None] * STRIDE + np.arange(WIDTH)]
+        bytes_at = mine[np.arange(len(where))[:, None, None], where[:, :, None] + np.arange(WIDTH)]
         flat = bytes_at.reshape(-1)
         d_seen = d_seen.reshape(-1, VECTOR)
         for v in range(VECTOR):

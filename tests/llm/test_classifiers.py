@@ -205,3 +205,11 @@ def test_gradients_do_not_depend_on_kept_windows(monkeypatch):
     kept = quality_net._gradients(*args)
     monkeypatch.setattr(quality_net, "KEPT", 0)
     assert all(np.array_equal(a, b) for a, b in zip(kept, quality_net._gradients(*args), strict=True))
+
+
+def test_filters_look_at_every_byte():
+    net = quality_net.Net.new(4)
+    chunks = np.full((2, quality_net.CHUNK), 32)
+    for row, at in enumerate((100, 101)):
+        chunks[row, at:at + 30] = np.arange(97, 127)
+    assert np.allclose(*net.largest(chunks), atol=1e-5) and np.allclose(*net.pooled(chunks)[0], atol=1e-5)
