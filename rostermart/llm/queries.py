@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rostermart.llm import chat_examples, context_tree, decontaminate, html_main, mix_sources, near_dedup, quality_net, top_k, toxic_neighbours, url_filter
+from rostermart.llm import chat_examples, context_tree, decontaminate, html_main, mix_sources, near_dedup, quality_net, top_k, toxic_neighbours, url_filter, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -152,3 +152,8 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """)
 def op10_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query()
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
