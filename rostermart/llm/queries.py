@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rostermart.llm import chat_examples, context_tree, decontaminate, html_main, mix_sources, near_dedup, quality_net, top_k, toxic_neighbours, url_filter, whitening
+from rostermart.llm import (chat_examples, context_tree, decontaminate, html_main, merkle_manifest, mix_sources, near_dedup, quality_net, top_k, toxic_neighbours,
+                            url_filter, whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -154,6 +155,59 @@ def op10_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _tree_sql(name: str, nodes: str, steps: int = 7) -> str:
+    """CTEs ``{name}{j}`` (k, i, h, c): the nodes left after j levels; ``{name}runs{j}``: the runs of each level; 8 ** steps leaves at most."""
+    out = [f"{name}0 AS (SELECT *, count(*) OVER (PARTITION BY k) AS c FROM {nodes})"]
+    for j in range(steps):
+        out.append(f"{name}runs{j} AS (SELECT k, i // 8 AS i, list(h ORDER BY i) AS hs FROM {name}{j} WHERE c > 1 GROUP BY k, i // 8)")
+        out.append(f"""{name}{j + 1} AS (SELECT *, count(*) OVER (PARTITION BY k) AS c FROM (
+          SELECT k, i, sha256(array_to_string(hs, '')) AS h FROM {name}runs{j} UNION ALL SELECT k, i, h FROM {name}{j} WHERE c = 1))""")
+    return ",\n".join(out)
+
+
+def _climb_sql(name: str, start: str, runs: str, steps: int = 7) -> str:
+    """CTEs ``{name}{j}``: rows of ``start`` (k, i, fold, proof and more) after j levels of a tree."""
+    out = [f"{name}0 AS (SELECT * FROM {start})"]
+    for j in range(steps):
+        out.append(f"""{name}{j + 1} AS (SELECT f.* REPLACE (CASE WHEN hs IS NULL THEN f.i ELSE f.i // 8 END AS i,
+          CASE WHEN hs IS NULL THEN fold ELSE sha256(array_to_string(hs[1:f.i % 8], '') || fold || array_to_string(hs[f.i % 8 + 2:], '')) END AS fold,
+          CASE WHEN hs IS NULL THEN proof ELSE proof || array_to_string(hs[1:f.i % 8], '') || array_to_string(hs[f.i % 8 + 2:], '') END AS proof)
+          FROM {name}{j} f LEFT JOIN {runs}runs{j} u ON u.k = f.k AND u.i = f.i // 8)""")
+    return ",\n".join(out)
+
+
+def _leaf_sql(text: str) -> str:
+    parts = [f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(parts)})"
+
+
+@query(f"""
+WITH read AS (
+  SELECT doc_id, source, lang, n_chars, text, CASE WHEN 0 = xor(4294967295, list_reduce(
+      list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1))))) % 3
+    THEN translate(text, '{UPPER}', '{LOWER}') ELSE text END AS said FROM documents),
+hashed AS (SELECT doc_id, coalesce('=' || lang, '') AS k, {_leaf_sql('text')} AS leaf, {_leaf_sql('said')} AS fold, '' AS proof FROM read),
+placed AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM hashed),
+nodes AS (SELECT k, i, leaf AS h FROM placed),
+{_tree_sql('t', 'nodes')},
+subroots AS (SELECT k AS lang_key, row_number() OVER (ORDER BY k) - 1 AS place, h AS subroot FROM t7),
+langs AS (SELECT '' AS k, place AS i, subroot AS h FROM subroots),
+{_tree_sql('g', 'langs', 4)},
+{_climb_sql('f', 'placed', 't')},
+over AS (SELECT f.* REPLACE ('' AS k, place AS i), subroot FROM f7 f JOIN subroots ON lang_key = f.k),
+{_climb_sql('o', 'over', 'g', 4)}
+SELECT doc_id, leaf, subroot, (SELECT h FROM g4) AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = (SELECT h FROM g4) AS verified FROM o4
+""")
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.translate("text", UPPER, LOWER)).otherwise(F.col("text"))
+    made = merkle_manifest.build(table(spark, sf_dir, "documents"), tampered)
+    return merkle_manifest.proofs(made).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 @query()
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
