@@ -96,12 +96,14 @@ def _repeats(leaves: DataFrame, words: DataFrame) -> tuple[DataFrame, DataFrame]
 
 def ranked_leaves(documents: DataFrame, claimed_text: Column | None = None) -> DataFrame:
     """k (language key), rank (from 0 in its language), doc_id, leaf, claimed (the leaf with the claimed text) of each row."""
-    claimed = F.lit(None).cast("binary") if claimed_text is None else leaf_of(claimed_text)
-    leaves = saved(documents.select(
+    read = documents.select("doc_id", "source", "lang", "n_chars", "text", (F.col("text") if claimed_text is None else claimed_text).alias("said"))
+    read = read.withColumn("leaf", leaf_of(F.col("text")))
+    claimed = F.when(F.col("said").eqNullSafe(F.col("text")), F.col("leaf")).otherwise(leaf_of(F.col("said")))
+    leaves = saved(read.select(
         F.coalesce(F.concat(F.lit("="), F.col("lang")), F.lit("")).alias("k"), F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.shiftright(F.col("doc_id").cast("long"), 6), F.lit(NO_ID)).alias("slot"),
         F.coalesce(F.col("doc_id").cast("long").bitwiseAND(63), F.lit(0)).cast("int").alias("bit"),
-        leaf_of(F.col("text")).alias("leaf"), claimed.alias("claimed")), "manifest-leaves")
+        "leaf", claimed.alias("claimed")), "manifest-leaves")
     words = saved(leaves.groupBy("k", "slot").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("mask"), F.count("*").alias("n")), "manifest-words")
     directory = counts_before(words, ["k"])
     below = F.col("before") + F.expr("bit_count(mask & ~shiftleft(-1L, bit))")
