@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rostermart.llm import (chat_examples, context_tree, decontaminate, html_main, merkle_manifest, mix_sources, near_dedup, quality_net, top_k, toxic_neighbours,
-                            url_filter, whitening)
+from rostermart.llm import (chat_examples, context_tree, decontaminate, html_main, language_id, merkle_manifest, mix_sources, near_dedup, quality_net, top_k,
+                            toxic_neighbours, url_filter, whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -211,3 +211,8 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.judged(table(spark, sf_dir, "documents"))
