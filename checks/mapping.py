@@ -113,5 +113,21 @@ def store_of_three_loads(spark: SparkSession, sf_dir: str) -> StarStore:
     return _store(spark, sf_dir, "three", fill)
 
 
+def late(rows: DataFrame) -> DataFrame:
+    """One employee of a hundred, with another salary."""
+    return rows.where(F.col("employee_id").cast("long") % 100 == 0).withColumn("salary", F.lit(1).cast("decimal(12,2)"))
+
+
+def store_with_late_rows(spark: SparkSession, sf_dir: str) -> StarStore:
+    """Everybody, then a hundredth of them again."""
+
+    def fill(s: StarStore) -> None:
+        rows = scratch.saved(staging(spark, sf_dir), "staging")
+        s.load(rows, AS_OF)
+        s.load(late(rows), AS_OF)
+
+    return _store(spark, sf_dir, "late", fill)
+
+
 def star(spark: SparkSession, sf_dir: str) -> Star:
     return store(spark, sf_dir).star()

@@ -16,6 +16,7 @@ from rostermart.plans.star import rejected_rows as rejects_of
 from rostermart.plans.star import resolve_keys
 from rostermart.schemas import DIMENSION_RULES, FACT_RULES, KEY_OF
 from rostermart.sources import scratch
+from rostermart.sources.star_store import BrokenRulesError, StarStore
 
 EMPLOYEE_SHAPE = ("employee_key:i employee_id:s full_name:s gender:s ethnicity:s age_group:s hire_date:s "
                   "termination_date:s salary_band:s promotion_recent:i")
@@ -187,3 +188,46 @@ def _star_rules() -> str:
 @query("rule:s violations:i", _star_rules())
 def star_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_star(m.star(spark, sf_dir))
+
+
+@query("date_year:i segment:i rows:i layers:i", with_level("stg", """
+  SELECT date_key // 10000 AS date_year, 0 AS segment, count(*) AS rows,
+    CASE WHEN count(*) = count(*) FILTER (employee_id::BIGINT % 100 = 0) THEN 1 ELSE 2 END AS layers
+  FROM stg GROUP BY 1 HAVING count(*) FILTER (employee_id::BIGINT % 100 = 0) > 0"""))
+def late_rows_rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load of one row in a hundred wrote of the stored fact: a layer on some segments, and no other."""
+    store = m.store_with_late_rows(spark, sf_dir)
+    return store.rewritten(store.current().run_id)
+
+
+@query("metric_id:i employee_id:s date_key:i salary:d", with_level("fact", """
+  SELECT f.metric_id, e.employee_id, f.date_key, CASE WHEN e.employee_id::BIGINT % 100 = 0 THEN 1 ELSE f.salary END AS salary
+  FROM fact f JOIN emp e USING (employee_key)"""))
+def fact_with_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star = m.store_with_late_rows(spark, sf_dir).star()
+    return star.fact.join(star.dimension("employee").select("employee_key", "employee_id"), "employee_key")
+
+
+@query("attempt:i rule:s violations:i published:i", with_level("stg", """
+  SELECT * FROM (
+    SELECT 1 AS attempt, 'dim_employee:not_null:gender' AS rule, count(*) FILTER (employee_id::BIGINT % 7 = 0) AS violations, 0 AS published FROM stg
+    UNION ALL SELECT 1, 'dim_employee:max_length:full_name', count(*) FILTER (employee_id::BIGINT % 11 = 0), 0 FROM stg
+    UNION ALL SELECT 2, 'fact:not_null:salary', count(*) FILTER (employee_id::BIGINT % 5 = 0), 0 FROM stg
+    UNION ALL SELECT 2, 'fact:between:attrition_flag', count(*) FILTER (employee_id::BIGINT % 13 = 0), 0 FROM stg
+  ) WHERE violations > 0"""))
+def star_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of rows that the tables may not hold: the rules they break, and that neither is published."""
+    rows, store = scratch.saved(m.staging(spark, sf_dir), "staging"), StarStore(spark, scratch.new_path(spark, "star-broken"))
+    number = F.col("employee_id").cast("long")
+    attempts = ({"gender": F.when(number % 7 != 0, F.col("gender")),
+                 "name": F.when(number % 11 == 0, F.repeat("name", F.lit(20))).otherwise(F.col("name"))},
+                {"salary": F.when(number % 5 != 0, F.col("salary")),
+                 "attrition": F.when(number % 13 == 0, 2).otherwise(F.col("attrition"))})
+    found = []
+    for i, changes in enumerate(attempts):
+        try:
+            store.load(rows.withColumns(changes), m.AS_OF)
+        except BrokenRulesError as error:
+            found += [(i + 1, rule, n) for rule, n in error.violations.items()]
+    published = store.load_log().where("load_status = 'SUCCESS'").count()
+    return spark.createDataFrame([(*f, published) for f in found], "attempt int, rule string, violations long, published long")

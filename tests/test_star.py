@@ -9,7 +9,8 @@ from rostermart.operators.quality import EmptyInputError, check_rules, check_sta
 from rostermart.plans.star import resolve_keys, to_staging
 from rostermart.schemas import STAGING_RULES
 from rostermart.sources import scratch
-from rostermart.sources.star_store import LoadFailedError, StarStore
+from rostermart.sources.lease import ConcurrentLoadError, Lease
+from rostermart.sources.star_store import BrokenRulesError, LoadFailedError, StarStore
 from rostermart.sources.tables import write_staging
 
 
@@ -62,12 +63,12 @@ def test_second_load_inserts_nothing_and_keeps_keys(store, staged):
 
 
 def test_rejects_and_facts_add_up(store, staged):
-    broken = staged.withColumn("hire_date", F.when(F.col("age") > 40, F.col("hire_date")))
+    broken = staged.withColumn("job_role", F.when(F.col("age") > 40, F.col("job_role")))
     result = store.load(broken, m.AS_OF)
     assert result.inserted + result.rejected == result.staging_rows == staged.count()
     rejected = store.rejects(result.run_id)
     assert rejected.count() == result.rejected > 0
-    assert {tuple(r["reject_reasons"]) for r in rejected.collect()} == {("date",)}
+    assert {tuple(r["reject_reasons"]) for r in rejected.collect()} == {("job_role",)}
 
 
 def test_null_keys_are_rejected_and_make_no_dimension_rows(store, staged):
@@ -100,47 +101,166 @@ def test_whole_rows_may_repeat_but_not_facts(spark):
 
 def test_a_failed_load_leaves_the_star(spark, store, staged):
     store.load(staged, m.AS_OF)
-    before, runs = rows(store.star().fact.drop("date_year")), store.current()["run_id"]
+    before, runs = rows(store.star().fact.drop("date_year")), store.current().run_id
     twice = staged.unionByName(staged.withColumn("name", F.lit("other")))
     with pytest.raises(RepeatedSourceKeyError):
         store.load(twice, m.AS_OF)
     with pytest.raises(EmptyInputError):
         store.load(staged.where("false"), m.AS_OF)
     with pytest.raises(LoadFailedError):
-        store.load(staged.withColumn("hire_date", F.lit(None).cast("date")), m.AS_OF)
-    assert store.current()["run_id"] == runs
+        store.load(staged.withColumn("job_role", F.lit(None).cast("string")), m.AS_OF)
+    assert store.current().run_id == runs
     assert rows(store.star().fact.drop("date_year")) == before
     failed = store.load_log().where("load_status = 'FAILED'")
     assert failed.count() == 3 and failed.where("error_message is null").count() == 0
 
 
 def test_strict_load_names_the_rule(store, staged):
-    with pytest.raises(ValueError, match="max_length:department"):
+    with pytest.raises(ValueError, match="staging:max_length:department"):
         store.load(staged.withColumn("department", F.repeat("department", F.lit(40))), m.AS_OF, strict=True)
     assert store.current() is None
     with pytest.raises(FileNotFoundError):
         store.star()
 
 
-def test_only_touched_years_are_rewritten(store, staged):
+def raised(staged, years):
+    return staged.where(F.year("hire_date").isin(*years)).withColumn("salary", F.lit(1).cast("decimal(12,2)"))
+
+
+def test_only_touched_segments_get_a_layer(spark, staged, tmp_path):
+    store = StarStore(spark, str(tmp_path / "star"), segment_rows=5)
     store.load(staged, m.AS_OF)
-    years = store.current()["fact_years"]
-    latest = max(years)
-    store.load(staged.where(F.year("hire_date") == latest).withColumn(
-        "salary", F.lit(1).cast("decimal(12,2)")), m.AS_OF)
-    now = store.current()["fact_years"]
-    assert {y for y in years if now[y] != years[y]} == {latest}
+    before = store.current().fact
+    years = sorted({y for y, _ in before})
+    assert any(n > 0 for _, n in before) and all(len(s.layers) == 1 for s in before.values())
+    one = staged.where(F.year("hire_date") == years[-1]).orderBy("employee_id").limit(1).withColumn("salary", F.lit(1).cast("decimal(12,2)"))
+    result = store.load(one, m.AS_OF)
+    after = store.current().fact
+    changed = [p for p in after if after[p] != before.get(p)]
+    assert len(changed) == 1 and changed[0][0] == years[-1] and store.rewritten(result.run_id).count() == 1
     fact = store.star().fact
-    assert fact.count() == staged.count()
-    assert fact.where("salary = 1").count() == staged.where(F.year("hire_date") == latest).count()
+    assert fact.count() == staged.count() == sum(s.rows for s in after.values())
+    assert fact.where("salary = 1").count() == 1
     assert fact.select("metric_id").distinct().count() == staged.count()
 
 
+def test_layers_are_made_one_again(spark, staged, tmp_path):
+    store = StarStore(spark, str(tmp_path / "star"), max_layers=2)
+    store.load(staged, m.AS_OF)
+    some = staged.where(F.col("age") % 2 == 0)
+    heights = []
+    for salary in (10, 20, 30, 40):
+        store.load(some.withColumn("salary", F.lit(salary).cast("decimal(12,2)")), m.AS_OF)
+        heights.append(max(len(v.layers) for v in store.current().fact.values()))
+        fact = store.star().fact
+        assert fact.where(F.col("salary") == salary).count() == some.count() and fact.count() == staged.count()
+    assert heights == [2, 1, 2, 1]
+    assert store.star(2).fact.where("salary = 10").count() == some.count()
+
+
+def test_a_layer_with_all_keys_replaces_those_below(store, staged):
+    for _ in range(3):
+        store.load(staged, m.AS_OF)
+    assert {len(v.layers) for v in store.current().fact.values()} == {1}
+
+
+def test_late_and_new_rows_in_one_load(spark, staged, tmp_path):
+    store = StarStore(spark, str(tmp_path / "star"), segment_rows=20)
+    old = staged.where(F.col("age") % 3 != 0)
+    store.load(old, m.AS_OF)
+    result = store.load(staged.where(F.col("age") % 3 != 1), m.AS_OF)
+    new, again = staged.where(F.col("age") % 3 == 0).count(), staged.where(F.col("age") % 3 == 2).count()
+    assert (result.inserted, result.updated) == (new, again)
+    ids = [r[0] for r in store.star().fact.select("metric_id").collect()]
+    assert sorted(ids) == list(range(1, staged.count() + 1))
+
+
+def test_broken_rules_publish_nothing(store, staged):
+    store.load(staged, m.AS_OF)
+    broken = staged.withColumns({"gender": F.when(F.col("age") > 40, F.col("gender")),
+                                 "salary_band": F.when(F.col("age") < 30, F.repeat("salary_band", F.lit(10))).otherwise(F.col("salary_band"))})
+    with pytest.raises(BrokenRulesError) as caught:
+        store.load(broken, m.AS_OF)
+    assert caught.value.violations == {"dim_employee:not_null:gender": staged.where("age <= 40").count(),
+                                       "dim_employee:max_length:salary_band": staged.where("age < 30 AND length(salary_band) > 3").count()}
+    unpaid = staged.withColumn("salary", F.when(F.col("age") > 30, F.col("salary")))
+    with pytest.raises(BrokenRulesError, match="fact:not_null:salary"):
+        store.load(unpaid, m.AS_OF)
+    flagged = staged.withColumn("attrition", F.lit(2))
+    with pytest.raises(BrokenRulesError, match="fact:between:attrition_flag"):
+        store.load(flagged, m.AS_OF)
+    assert store.current().load_number == 1 and check_star(store.star()).where("violations > 0").count() == 0
+    assert store.load_log().where("load_status = 'FAILED' AND error_message LIKE 'Table rules are broken%'").count() == 3
+    assert store.risk_history().count() == staged.count()
+
+
+def test_a_second_load_fails_before_its_work(spark, store, staged):
+    with Lease(spark, f"{store.root}/leases", "other") as other:
+        with pytest.raises(ConcurrentLoadError, match="other is under way"):
+            store.load(staged, m.AS_OF, run_id="late")
+        other.check()
+    assert not store._files.exists(f"{store.root}/runs/late")
+    store.load(staged, m.AS_OF)
+
+
+def test_a_dead_load_is_taken_over(spark, store, staged):
+    dead = Lease(spark, f"{store.root}/leases", "dead", seconds=-1)
+    dead._renew = lambda: None
+    dead.acquire()
+    assert store.load(staged, m.AS_OF).status == "SUCCESS"
+    with pytest.raises(ConcurrentLoadError, match="taken over"):
+        dead.check()
+
+
+def test_a_load_that_was_taken_over_does_not_publish(spark, store, staged, monkeypatch):
+    slow = StarStore(spark, store.root, lease_seconds=-1)  # runs out at once and is not renewed
+    monkeypatch.setattr(Lease, "_renew", lambda self: None)
+    inner = slow._load
+
+    def overtaken(*args):
+        made = inner(*args)
+        store.load(staged.where("age > 30"), m.AS_OF, run_id="fast")
+        return made
+
+    monkeypatch.setattr(slow, "_load", overtaken)
+    with pytest.raises(ConcurrentLoadError, match="taken over"):
+        slow.load(staged, m.AS_OF, run_id="slow")
+    assert store.current().run_id == "fast" and store.star().fact.count() == staged.where("age > 30").count()
+    assert {r[0] for r in store.risk_history().select("as_of").distinct().collect()} == {m.AS_OF}
+    assert store.risk_history().count() == staged.where("age > 30").count()
+
+
+def test_states_do_not_grow_with_the_loads(spark, store, staged):
+    few = staged.orderBy("employee_id").limit(3)
+    sizes = []
+    for _ in range(6):
+        store.load(few, m.AS_OF)
+        sizes.append(len(store._files.read(f"{store.root}/states/{len(sizes) + 1:012d}.json")))
+    assert max(sizes[1:]) - min(sizes[1:]) <= 8  # digits of counts and times alone
+
+
+def test_fact_wide_writes_of_a_load(spark, store, staged):
+    """Staging, resolved rows and the layer; ids are numbered on the keys alone."""
+    wide, at = [], scratch.saved
+
+    def watched(df, label):
+        wide.append((label, len(df.columns)))
+        return at(df, label)
+
+    scratch.saved = watched
+    try:
+        store.load(staged, m.AS_OF, run_id="one")
+    finally:
+        scratch.saved = at
+    assert all(n <= 10 for _, n in wide)  # no copy has the width of a fact
+    assert {n for n in store._files.names(f"{store.root}/runs/one") if not n.startswith("dim_")} == {"staging", "resolved", "fact"}
+
+
 def test_placeholders_do_not_reset_curated_values(spark, staged, tmp_path):
     for reset, wanted in ((False, "Ann"), (True, "TBD")):
         store = StarStore(spark, str(tmp_path / f"s{reset}"))
         store.load(staged, m.AS_OF)
-        path = store.current()["tables"]["department"]
+        path = f"{store.root}/{store.current().tables['department']}"
         curated = scratch.saved(store.star().dimension("department").withColumn(
             "department_head", F.lit("Ann")), "curated")
         curated.write.mode("overwrite").parquet(path)
