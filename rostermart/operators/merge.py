@@ -78,6 +78,40 @@ def merge_type1(target: DataFrame | None, source: DataFrame, keys: Sequence[str]
     return kept.unionByName(inserts)
 
 
+def one_row_per_key(source: DataFrame, keys: Sequence[str], partitions: int) -> tuple[DataFrame, Column]:
+    """The source with equal rows made one, lying by its keys after one shuffle, and whether a key had different rows."""
+    row = F.struct(*[c for c in source.columns if c not in keys])
+    found = source.repartition(partitions, *keys).groupBy(*keys).agg(F.min(row).alias("_row"), F.max(row).alias("_last"))
+    return found, ~F.col("_row").eqNullSafe(F.col("_last"))
+
+
+def merge_by_outer_join(target: DataFrame | None, source: DataFrame, ids: DataFrame, keys: Sequence[str], updatable: Sequence[str],
+                        surrogate: str, keep_known: Sequence[str] = ()) -> DataFrame:
+    """``merge_type1`` with rule ``always`` as one full outer join, for sides that lie by their keys.
+
+    The keys are known and unique on both sides; ``ids`` has the surrogate of each key that the target lacks.
+    """
+    source = source.join(ids, list(keys), "left")
+    if target is None:
+        return source.withColumn(ACTION, F.lit("INSERT"))
+    matched = reduce(Column.__and__, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys])
+    both = target.alias("t").join(source.withColumn("_hit", F.lit(True)).alias("s"), matched, "full_outer")
+    new, hit = F.col(f"t.{keys[0]}").isNull(), F.col("s._hit").isNotNull()
+
+    def merged(c: str) -> Column:
+        old, fresh = F.col(f"t.{c}"), F.col(f"s.{c}")
+        if c == surrogate or c in keys:
+            return F.coalesce(old, fresh).alias(c)
+        if c not in updatable:
+            return F.when(new, fresh).otherwise(old).alias(c)
+        if c in keep_known:
+            return F.when(new, fresh).when(hit & fresh.isNotNull(), F.coalesce(old, fresh)).when(hit, fresh).otherwise(old).alias(c)
+        return F.when(hit, fresh).otherwise(old).alias(c)
+
+    action = F.when(new, "INSERT").when(hit, "UPDATE").otherwise("KEEP")
+    return both.select(*[merged(c) for c in target.columns], action.alias(ACTION))
+
+
 def insert_absent(target: DataFrame | None, source: DataFrame, keys: Sequence[str], surrogate: str,
                   first_by: Sequence[Column] | None = None, high_water: int = 0) -> DataFrame:
     """Rows of the source whose key is not there yet, numbered; the target stays as it is.

@@ -20,20 +20,22 @@ import datetime as dt
 import json
 import logging
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable
+from contextlib import ExitStack
 from dataclasses import dataclass, field
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from rostermart.operators.merge import ACTION, merge_type1, require_unique
+from rostermart.operators.merge import (
+    ACTION, RepeatedSourceKeyError, merge_by_outer_join, merge_type1, one_row_per_key, require_unique)
 from rostermart.operators.ordering import positions
 from rostermart.operators.quality import EmptyInputError, broken_rules, check_rules, require_same_count
 from rostermart.plans import star as s
 from rostermart.schemas import DIMENSION_RULES, DIMENSIONS, FACT, FACT_RULES, KEY_OF, STAGING_RULES, ddl
 from rostermart.session import side_by_side
-from rostermart.sources import fact_layers
+from rostermart.sources import buckets, fact_layers
 from rostermart.sources.fact_layers import KEYS, SEGMENT, YEAR
 from rostermart.sources.files import Files
 from rostermart.sources.lease import ConcurrentLoadError, Lease
@@ -69,6 +71,8 @@ class State:
     tables: dict[str, str]
     fact: dict[fact_layers.Place, fact_layers.Segment]
     high_water: dict[str, int]
+    #: Buckets by natural key that the employees lie in.
+    buckets: int
 
 
 @dataclass
@@ -115,7 +119,7 @@ class StarStore:
         if name not in names:
             return None
         read = json.loads(self._files.read(f"{self.root}/states/{name}"))
-        return State(read["load_number"], read["run_id"], read["tables"], fact_layers.from_state(read["fact"]), read["high_water"])
+        return State(read["load_number"], read["run_id"], read["tables"], fact_layers.from_state(read["fact"]), read["high_water"], read["buckets"])
 
     def star(self, load_number: int | None = None) -> s.Star:
         """The published star, or the one an earlier load published (its folders stay as they were)."""
@@ -172,11 +176,12 @@ class StarStore:
         require_same_count(seen.get["rows"], self.spark.read.schema(df.schema).parquet(path).count(), path)
         return seen.get
 
-    def _write_merged(self, merged: DataFrame, path: str, name: str) -> tuple[dict[str, int], dict[str, int]]:
+    def _write_merged(self, merged: DataFrame, path: str, name: str,
+                      write: Callable[[DataFrame, str], None] = lambda df, path: df.write.parquet(path)) -> tuple[dict[str, int], dict[str, int]]:
         """Write a merged dimension without its action column; rows per action and per broken rule, from the same job."""
         seen, rules = Observation(), broken_rules(merged, DIMENSION_RULES[name])
         counted = {a: F.col(ACTION) == a for a in ("INSERT", "UPDATE")} | {f"r{i}": rule for i, rule in enumerate(rules.values())}
-        merged.observe(seen, *[F.count_if(c).alias(n) for n, c in counted.items()]).drop(ACTION).write.parquet(path)
+        write(merged.observe(seen, *[F.count_if(c).alias(n) for n, c in counted.items()]).drop(ACTION), path)
         broken = {f"dim_{name}:{rule}": seen.get[f"r{i}"] for i, rule in enumerate(rules) if seen.get[f"r{i}"]}
         return {"inserted": seen.get["INSERT"], "updated": seen.get["UPDATE"]}, broken
 
@@ -232,15 +237,16 @@ class StarStore:
             if broken:
                 raise BrokenRulesError({f"staging:{b['rule']}": b["violations"] for b in broken})
         water = dict(state.high_water) if state else {}
-        tables = self._merge_dimensions(staged, as_of, run_id, state, result, water, reset_constants, keep_first)
+        dealt = buckets.bucket_count(max(water.get("employee", 0), result.staging_rows), state.buckets if state else None)
+        tables = self._merge_dimensions(staged, as_of, run_id, state, result, water, reset_constants, keep_first, dealt)
         written = {n: self.spark.read.schema(ddl(DIMENSIONS[n])).parquet(f"{self.root}/{p}") for n, p in tables.items()}
         resolved = s.resolve_keys(staged, written, collation)
         fact = self._merge_fact(resolved, run_id, state, result, water)
-        return {"tables": tables, "fact": fact_layers.to_state(fact), "high_water": water,
+        return {"tables": tables, "fact": fact_layers.to_state(fact), "high_water": water, "buckets": dealt,
                 "history_rows": self._keep_history(run_id, as_of)}
 
     def _merge_dimensions(self, staged: DataFrame, as_of: dt.date, run_id: str, state: State | None, result: LoadResult,
-                          water: dict[str, int], reset_constants: bool, keep_first: bool) -> dict[str, str]:
+                          water: dict[str, int], reset_constants: bool, keep_first: bool, dealt: int) -> dict[str, str]:
         """Write all dimensions; their folders below the root."""
         rule = "changed" if reset_constants else "never"
         # table: source, natural key, updatable columns, update rule
@@ -249,9 +255,6 @@ class StarStore:
                            ["department_head", "cost_center"], rule),
             "job_role": (s.job_role_source(staged), ["job_title", "job_level"], ["job_family"], rule),
             "location": (s.location_source(staged), ["city", "state", "country"], ["region"], rule),
-            "employee": (s.employee_source(staged, as_of), ["employee_id"],
-                         [c for c in DIMENSIONS["employee"] if c not in ("employee_key", "employee_id")],
-                         "always"),
         }
         tables = {n: f"runs/{run_id}/dim_{n}" for n in DIMENSIONS}
 
@@ -259,15 +262,13 @@ class StarStore:
             source, keys, updatable, update = merges[name]
             # A null key can match nothing; its rows are rejected at the fact.
             source = source.na.drop("any", subset=keys)
-            if name == "employee":
-                require_unique(source, keys, equal_rows=True)
-                source = source.distinct()
             return self._write_merged(merge_type1(
-                self._dimension(name, state) if state else None, source, keys, updatable,
-                KEY_OF[name], update, water.get(name, 0),
-                keep_known=["termination_date"] if keep_first and name == "employee" else []),
+                self._dimension(name, state) if state else None, source, keys, updatable, KEY_OF[name], update, water.get(name, 0)),
                 f"{self.root}/{tables[name]}", name)
 
+        def merge_employees() -> tuple[dict[str, int], dict[str, int]]:
+            return self._merge_employees(s.employee_source(staged, as_of), run_id, state, water.get("employee", 0), dealt, keep_first)
+
         def add_dates() -> tuple[dict[str, int], dict[str, int]]:
             known = self._dimension("date", state)
             fresh = s.new_dates(known, staged).withColumn(ACTION, F.lit("INSERT"))
@@ -276,7 +277,7 @@ class StarStore:
 
         # The dimensions do not depend on one another.
         merged_tables = side_by_side(
-            self.spark, {**{n: partial(merge, n) for n in merges}, "date": add_dates})
+            self.spark, {**{n: partial(merge, n) for n in merges}, "employee": merge_employees, "date": add_dates})
         broken: dict[str, int] = {}
         for name, (done, wrong) in merged_tables.items():
             water[name] = water.get(name, 0) + done["inserted"]
@@ -287,6 +288,37 @@ class StarStore:
             raise BrokenRulesError(broken)
         return tables
 
+    def _merge_employees(self, source: DataFrame, run_id: str, state: State | None, water: int, dealt: int,
+                         keep_first: bool) -> tuple[dict[str, int], dict[str, int]]:
+        """The one dimension that grows with the facts lies in buckets by its natural key.
+
+        The source is shuffled once, into the same buckets; the target is joined as it lies.
+        """
+        keys, key = ["employee_id"], KEY_OF["employee"]
+        columns = DIMENSIONS["employee"]
+        given = {c: t for c, t in columns.items() if c != key}
+        one, differ = one_row_per_key(source.na.drop("any", subset=keys), keys, dealt)
+        seen, path = Observation(), self._path(run_id, "employee_source")
+        watched = one.observe(seen, F.count_if(differ).alias("differ"), F.min(F.when(differ, F.col(keys[0]))).alias("first"))
+        buckets.write(watched.select(*keys, "_row.*").select(*given), path, keys, dealt)
+        if seen.get["differ"]:
+            raise RepeatedSourceKeyError(f"The source repeats the key {keys[0]}={seen.get['first']}")
+        with ExitStack() as open_tables:
+            lying = open_tables.enter_context(buckets.opened(self.spark, path, given, keys, dealt))
+            target = None
+            if state and state.buckets == dealt:
+                held = f"{self.root}/{state.tables['employee']}"
+                target = open_tables.enter_context(buckets.opened(self.spark, held, columns, keys, dealt))
+            elif state:  # dealt anew this once
+                target = self._dimension("employee", state).repartition(dealt, *keys)
+            fresh = lying.select(*keys)
+            if target is not None:
+                fresh = fresh.join(target.select(*keys), keys, "left_anti")
+            ids = positions(fresh, keys, key, first=water + 1)
+            merged = merge_by_outer_join(target, lying, ids, keys, [c for c in given if c not in keys], key,
+                                         ["termination_date"] if keep_first else []).select(*columns, ACTION)
+            return self._write_merged(merged, self._path(run_id, "dim_employee"), "employee", partial(buckets.write, keys=keys, buckets=dealt))
+
     def _merge_fact(self, resolved: DataFrame, run_id: str, state: State | None, result: LoadResult,
                     water: dict[str, int]) -> dict[fact_layers.Place, fact_layers.Segment]:
         """Write the load's fact rows as a layer on the segments they fall in.

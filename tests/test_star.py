@@ -4,14 +4,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import mapping as m
-from rostermart.operators.merge import RepeatedSourceKeyError, insert_absent, merge_type1, require_unique
+from rostermart.operators.merge import (
+    RepeatedSourceKeyError, insert_absent, merge_by_outer_join, merge_type1, one_row_per_key, require_unique)
 from rostermart.operators.quality import EmptyInputError, check_rules, check_star, require_same_count, with_defaults
 from rostermart.plans.star import resolve_keys, to_staging
 from rostermart.schemas import STAGING_RULES
-from rostermart.sources import scratch
+from rostermart.sources import buckets, scratch
 from rostermart.sources.lease import ConcurrentLoadError, Lease
 from rostermart.sources.star_store import BrokenRulesError, LoadFailedError, StarStore
 from rostermart.sources.tables import write_staging
+from tests.conftest import plan_of
 
 
 @pytest.fixture(scope="module")
@@ -253,7 +255,63 @@ def test_fact_wide_writes_of_a_load(spark, store, staged):
     finally:
         scratch.saved = at
     assert all(n <= 10 for _, n in wide)  # no copy has the width of a fact
-    assert {n for n in store._files.names(f"{store.root}/runs/one") if not n.startswith("dim_")} == {"staging", "resolved", "fact"}
+    assert {n for n in store._files.names(f"{store.root}/runs/one") if not n.startswith("dim_")} == {
+        "staging", "resolved", "fact", "employee_source"}
+
+
+def test_outer_join_merge_equals_the_plain_one(spark):
+    old = [(i, f"k{i}", None if i % 4 == 0 else f"a{i}", i) for i in range(1, 40)]
+    new = [(f"k{i}", None if i % 5 == 0 else f"b{i}", -i) for i in range(25, 60)]
+    target = spark.createDataFrame(old, "id long, k string, kept string, v int")
+    source = spark.createDataFrame(new, "k string, kept string, v int")
+    plain = merge_type1(target, source, ["k"], ["kept", "v"], "id", "always", 39, keep_known=["kept"])
+    ids = plain.where("merge_action = 'INSERT'").select("k", "id")
+    joined = merge_by_outer_join(target, source, ids, ["k"], ["kept", "v"], "id", ["kept"])
+    assert joined.columns == plain.columns
+    assert sorted(map(tuple, joined.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+
+
+@pytest.mark.parametrize("n", [1, 4])
+def test_the_target_of_a_merge_is_not_shuffled(spark, tmp_path, n):
+    kinds = {"id": "bigint", "k": "string", "v": "bigint"}
+    old = spark.range(300).select(F.col("id"), F.concat(F.lit("k"), "id").alias("k"), (F.col("id") * 2).alias("v"))
+    new = spark.range(200, 500).select(F.concat(F.lit("k"), "id").alias("k"), F.col("id").alias("v"))
+    buckets.write(old.repartition(n, "k"), str(tmp_path / "old"), ["k"], n)
+    one, differ = one_row_per_key(new.unionByName(new), ["k"], n)
+    assert one.where(differ).count() == 0 and plan_of(one).count("Exchange") == 1  # the source, once
+    buckets.write(one.select("k", "_row.*"), str(tmp_path / "new"), ["k"], n)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        with buckets.opened(spark, str(tmp_path / "old"), kinds, ["k"], n) as target, \
+                buckets.opened(spark, str(tmp_path / "new"), {"k": "string", "v": "bigint"}, ["k"], n) as source:
+            assert "Exchange" not in plan_of(source.join(target.select("k"), "k", "left_anti"))
+            ids = spark.range(300, 500).select(F.concat(F.lit("k"), "id").alias("k"), "id")
+            merged = merge_by_outer_join(target, source, ids, ["k"], ["v"], "id")
+            assert plan_of(merged).count("Exchange") == 1  # the new ids
+            assert {r[0]: r[1] for r in merged.groupBy("merge_action").count().collect()} == {"INSERT": 200, "UPDATE": 100, "KEEP": 200}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bucket_counts():
+    assert [buckets.bucket_count(n, per_bucket=10) for n in (0, 10, 11, 41, 80)] == [1, 1, 2, 8, 8]
+    assert [buckets.bucket_count(n, 2, per_bucket=10) for n in (1, 40, 41)] == [2, 2, 8]
+
+
+def test_buckets_are_dealt_anew_when_they_grow(store, staged, monkeypatch):
+    few = staged.orderBy("employee_id").limit(10)
+    store.load(few, m.AS_OF)
+    counts = buckets.bucket_count
+    monkeypatch.setattr(buckets, "bucket_count", lambda rows, held=None: counts(rows, held, per_bucket=20))
+    store.load(staged, m.AS_OF)
+    assert store.current().buckets == 8
+    store.load(staged, m.AS_OF)
+    people = store.star().dimension("employee")
+    assert people.count() == staged.count() == people.select("employee_key").distinct().count() == store.star().fact.count()
+    old = {r["employee_id"]: r["employee_key"] for r in store.star(1).dimension("employee").collect()}
+    now = {r["employee_id"]: r["employee_key"] for r in people.collect()}
+    assert all(now[i] == k for i, k in old.items())
+    assert not [t for t in store.spark.catalog.listTables() if t.name.startswith("rostermart_")]
 
 
 def test_placeholders_do_not_reset_curated_values(spark, staged, tmp_path):
