@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pickle
+import zlib
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -36,12 +37,25 @@ def training_sample(documents: DataFrame, labels: DataFrame, label: str, per_cla
 
 def fitted(sample: DataFrame, fit: Callable[[pd.DataFrame], Any]) -> Any:
     """What ``fit`` makes of the sample's rows, in the order of doc_id, in one task; the driver gets the result alone."""
+    return unpacked(fitted_bytes(sample, fit))
+
+
+def packed(made: Any) -> bytes:
+    return zlib.compress(pickle.dumps(made, pickle.HIGHEST_PROTOCOL), 1)
+
+
+def unpacked(made: bytes) -> Any:
+    return pickle.loads(zlib.decompress(made))
+
+
+def fitted_bytes(sample: DataFrame, fit: Callable[[pd.DataFrame], Any]) -> bytes:
+    """As ``fitted``, for results that the driver only passes on: they stay packed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some = list(batches)
         rows = (pa.Table.from_batches(some) if some else schema.empty_table()).to_pandas().sort_values("doc_id", ignore_index=True)
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(rows))], pa.binary())], names=["made"])
+        yield pa.RecordBatch.from_arrays([pa.array([packed(fit(rows))], pa.binary())], names=["made"])
 
     sample = sample.select(F.col("doc_id").cast("string").alias("doc_id"), "text", "y")
     schema = pa.schema([("doc_id", pa.string()), ("text", pa.string()), ("y", pa.int32())])
     made = sample.coalesce(1).mapInArrow(tidy(run), "made binary").first()
-    return pickle.loads(made.made) if made else fit(schema.empty_table().to_pandas())
+    return bytes(made.made) if made else packed(fit(schema.empty_table().to_pandas()))

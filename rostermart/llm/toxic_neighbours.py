@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rostermart.llm.labelled import fitted, training_sample
+from rostermart.llm.labelled import fitted, fitted_bytes, training_sample, unpacked
 from rostermart.llm.texts import (BYTE_VALUES, LETTERS, U64, _powers, find_words, held_out_expr, mix, slices)
 from rostermart.llm.tidy import tidy
 
@@ -123,6 +124,29 @@ class Index:
     weights: np.ndarray
     slope: float = 1.0
     offset: float = 0.0
+    tf: np.ndarray | None = None
+    length: np.ndarray | None = None
+
+    def __getstate__(self) -> dict:
+        """Postings as example and count; the weights and the rows of common terms are made from them again."""
+        small = lambda x: x.astype(np.min_scalar_type(int(x.max(initial=0))))
+        held = {k: v for k, v in self.__dict__.items() if k not in ("blocks", "largest", "weights", "ids", "tf", "pointer")}
+        return held | {"ids": small(self.ids), "tf": small(self.tf), "many": small(np.diff(self.pointer))}
+
+    def __setstate__(self, held: dict) -> None:
+        many, held = held["many"], {k: v for k, v in held.items() if k != "many"}
+        self.__dict__.update(held, pointer=np.append(0, np.cumsum(many, dtype=np.int64)))
+        self._weigh()
+
+    def _weigh(self) -> None:
+        """Weights of the postings, and the rows of the common terms with their largest weights in each block."""
+        t = np.repeat(np.arange(len(self.terms)), np.diff(self.pointer))
+        self.ids, self.tf = self.ids.astype(np.int32), self.tf.astype(np.int64)
+        self.weights = (1 + np.log(self.tf)) * self.factor[t] / self.length[self.ids]
+        often = self.common[t] >= 0
+        self.blocks = np.zeros((-(-len(self.y) // BLOCK), int((self.common >= 0).sum()), BLOCK))
+        self.blocks[self.ids[often] // BLOCK, self.common[t[often]], self.ids[often] % BLOCK] = self.weights[often]
+        self.largest = self.blocks.max(2).T
 
     def vectors(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
         """For runs of rows: first row, number of rows, and row, term and weight of each part of their vectors."""
@@ -137,6 +161,15 @@ class Index:
             length = np.sqrt(np.bincount(r, w * w, minlength=n))
             yield lo, n, r, t, w / length[r]
 
+    def counted(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, term and count of each part of the vectors of all rows."""
+        parts = []
+        for lo, _, rows, hashes in terms_of(column):
+            r, t = _known(rows, hashes, self.terms)
+            key, tf = np.unique(r * len(self.terms) + t, return_counts=True)
+            parts.append((key // len(self.terms) + lo, key % len(self.terms), tf))
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
     def nearest(self, t: np.ndarray, w: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The K examples of highest similarity above 0 and these similarities."""
         return next(self.nearest_of(1, np.zeros(len(t), np.int64), t, w, np.array([skip])))
@@ -216,33 +249,31 @@ def build(sample: pd.DataFrame, terms: np.ndarray, df: np.ndarray, n: int, share
     idf = np.log((1 + n) / (1 + df[sort])) + 1 if len(terms) else np.zeros(0)
     y = sample["y"].to_numpy(np.int64)
     index = Index(terms.view(U64)[sort], idf, share, y, [], np.zeros(0), np.full(len(terms), -1), np.zeros((0, 0, BLOCK)), np.zeros((0, 0)),
-                  np.zeros(len(terms) + 1, np.int64), np.zeros(0, np.int32), np.zeros(0))
+                  np.zeros(len(terms) + 1, np.int64), np.zeros(0, np.int32), np.zeros(0), tf=np.zeros(0, np.int64), length=np.zeros(0))
     if not len(y) or y.min() == y.max():
         index.slope, index.offset = 0.0, 0.0 if not len(y) else 30.0 if y[0] else -30.0
         return index
     if len(terms):
         index.factor = idf * (1 + np.log1p(label_dependence(sample, index.terms)))
-    parts = [(r + lo, t, w) for lo, _, r, t, w in index.vectors(pa.array(sample["text"], pa.string()))]
-    r, t, w = (np.concatenate(x) for x in zip(*parts, strict=True))
+    r, t, tf = index.counted(pa.array(sample["text"], pa.string()))
+    w = (1 + np.log(tf)) * index.factor[t]
+    length = np.sqrt(np.bincount(r, w * w, minlength=len(y)))
+    w = w / length[r]
     heaviest = np.full(len(y), len(terms))
     by_weight = np.lexsort((w, r))
     heaviest[r[by_weight]] = t[by_weight]  # the last of a row is its largest
     order = np.lexsort((np.arange(len(y)), y, heaviest))
     place = np.empty(len(y), np.int64)
     place[order] = np.arange(len(y))
-    index.y, index.names = y[order], sample["doc_id"].to_numpy()[order].tolist()
+    index.y, index.names, index.length = y[order], sample["doc_id"].to_numpy()[order].tolist(), length[order]
     index.vote = np.where(index.y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
     e = place[r]
-    blocks = -(-len(y) // BLOCK)
     often = np.flatnonzero(np.bincount(t, minlength=len(terms)) > len(y) * COMMON)
     index.common[often] = np.arange(len(often))
-    index.blocks = np.zeros((blocks, len(often), BLOCK))
-    rare = index.common[t] < 0
-    index.blocks[e[~rare] // BLOCK, index.common[t[~rare]], e[~rare] % BLOCK] = w[~rare]
-    index.largest = index.blocks.max(2).T
-    by_posting = np.flatnonzero(rare)[np.lexsort((e[rare], t[rare]))]
-    index.ids, index.weights = e[by_posting].astype(np.int32), w[by_posting]
+    by_posting = np.lexsort((e, t))
+    index.ids, index.tf = e[by_posting], tf[by_posting]
     index.pointer = np.searchsorted(t[by_posting], np.arange(len(terms) + 1))
+    index._weigh()
     by_example = np.lexsort((t, e))
     raw = np.array([index.raw(*near) for near in index.nearest_of(len(y), e[by_example], t[by_example], w[by_example], np.arange(len(y)))])
     index.slope, index.offset = _calibrated(raw, index.y, index.vote)
@@ -262,21 +293,27 @@ def _calibrated(raw: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[flo
     return float(a), float(b)
 
 
-def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 3000) -> Index:
-    """Terms and examples from a bounded sample, document frequencies from all documents."""
+def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 3000) -> bytes:
+    """The packed index: terms and examples from a bounded sample, document frequencies from all documents. The driver does not open it."""
     sample, share = training_sample(documents, labels, label, per_class)
     terms = fitted(sample, choose_terms)
     df, n = count_documents(documents, terms)
-    return fitted(sample, lambda rows: build(rows, terms, df, n, share))
+    return fitted_bytes(sample, lambda rows: build(rows, terms, df, n, share))
+
+
+@lru_cache(maxsize=1)
+def _opened(index: bytes) -> Index:
+    """The index of a worker, opened once for all its tasks."""
+    return unpacked(index)
 
 
-def judge(documents: DataFrame, index: Index) -> DataFrame:
+def judge(documents: DataFrame, index: bytes) -> DataFrame:
     """All columns of the documents as ``row``, with score and evidence (doc_id, similarity and label of the nearest examples)."""
     sent = documents.sparkSession.sparkContext.broadcast(index)
     kind = pa.list_(pa.struct([("doc_id", pa.string()), ("similarity", pa.float64()), ("label", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = sent.value
+        index = _opened(sent.value)
         alone = index.raw(np.zeros(0), np.zeros(0, np.int64)) if index.slope else 0.0
         for batch in batches:
             rows = batch.column("row")
