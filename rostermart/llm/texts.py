@@ -167,5 +167,6 @@ def held_out_expr(doc_id: Column, mod: int) -> Column:
 
 
 def row_key(*columns: Column) -> Column:
-    """A 64-bit key of a row's contents; equal rows share it and get equal results."""
-    return F.xxhash64(*columns)
+    """A 64-bit key of a row's contents, of which null is one; equal rows share it and get equal results."""
+    known = F.concat(*[F.when(c.isNull(), "0").otherwise("1") for c in columns])
+    return F.xxhash64(known, *columns)

@@ -120,3 +120,13 @@ def test_components(spark, task_edges):
     sets = [set(range(21)), {*range(100, 150), 200}, {300, 301}]
     assert {bytes(r.node): bytes(r.root) for r in rows} == {digest(i): min(map(digest, s)) for s in sets for i in s}
     assert len(rows) == sum(map(len, sets))
+
+
+def test_text_ids_and_null_texts_are_told_apart(spark):
+    docs = spark.createDataFrame([("a", None, 1), (None, "a", 2), ("b", "one two three four five six", 3), ("c", "one two three four five six", 4)],
+                                 "doc_id string, text string, n int")
+    kept = near_dedup.deduplicate(docs, k=5, percent=80).collect()
+    assert sorted(r.n for r in kept) == [1, 2, 3]
+    items = spark.createDataFrame([("x", "a")], "item_id string, text string")
+    found = {r.doc_id: (r.n_words, r.n_hit) for r in decontaminate.find_contamination(docs, items).collect()}
+    assert found == {"a": (0, 0), None: (1, 1), "b": (6, 0), "c": (6, 0)}
