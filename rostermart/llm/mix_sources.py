@@ -1,7 +1,9 @@
 """Mixing sources to target weights: fixed-length blocks, multinomial shards, permuted indices.
 
 1. The words of a source's documents, in the order of a hash, form one stream that
-   is packed into blocks of ``block_words``; a block names its documents' word
+   is packed into blocks of ``block_words``, in a small source of as many fewer as
+   make it LEAST_BLOCKS blocks (one word each at the least), so that rounding to
+   whole blocks leaves it near its target too; a block names its documents' word
    ranges. Places in the stream come from sums over hash buckets, so that no
    source goes through one task.
 2. Each output shard draws how many of its slots each source gets (multinomial,
@@ -28,10 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rostermart.llm.texts import U64, mix
+from rostermart.llm.texts import U64, mix, row_key
 from rostermart.sources.scratch import saved
 
 BUCKETS = 1024
+LEAST_BLOCKS = 64
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -41,6 +44,7 @@ class Source:
     name: str | None
     size: int
     target: float
+    block_words: int
     blocks: int
     slots: int
 
@@ -85,12 +89,12 @@ class Mix:
     documents: DataFrame
     sources: list[Source]
     slots: DataFrame
-    block_words: int
 
     def pieces(self) -> DataFrame:
         """source_no, block, key, start, first (word of the document), words."""
-        size = F.lit(self.block_words).cast("long")
-        docs = self.documents.where("size > 0")
+        spark, size = self.documents.sparkSession, F.col("block_words")
+        lengths = F.broadcast(spark.createDataFrame([(s.number, s.block_words) for s in self.sources], "source_no int, block_words long"))
+        docs = self.documents.where("size > 0").join(lengths, "source_no")
         last = F.col("start") + F.col("size") - 1
         cut = docs.select("*", F.explode(F.sequence(F.floor(F.col("start") / size).cast("long"), F.floor(last / size).cast("long"))).alias("block"))
         first = F.greatest("start", F.col("block") * size)
@@ -111,7 +115,7 @@ class Mix:
 
 
 def _key():
-    return F.xxhash64("doc_id", "text").alias("key")
+    return row_key(F.col("doc_id"), F.col("text")).alias("key")
 
 
 def _placed(documents: DataFrame) -> tuple[DataFrame, list[tuple[str | None, int]]]:
@@ -180,8 +184,9 @@ def mix_sources(documents: DataFrame, weights: Sequence[float] = (3, 1, 2), shar
     goals = targets([n for _, n in sizes], [weights[i % len(weights)] for i in range(len(sizes))], share, most)
     sources = []
     for i, ((name, size), goal) in enumerate(zip(sizes, goals, strict=True)):
-        blocks = -(-size // block_words)
-        sources.append(Source(i, name, size, goal, blocks, round(goal * blocks / size) if size else 0))
+        words = max(1, min(block_words, size // LEAST_BLOCKS))
+        blocks = -(-size // words)
+        sources.append(Source(i, name, size, goal, words, blocks, round(goal * blocks / size) if size else 0))
     blocks, total = np.array([max(s.blocks, 1) for s in sources], np.int64), sum(s.slots for s in sources)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,11 +200,11 @@ def mix_sources(documents: DataFrame, weights: Sequence[float] = (3, 1, 2), shar
 
     kinds = "shard long, slot string, source_no int, pass long, block long"
     if not total:
-        return Mix(placed, sources, spark.createDataFrame([], kinds), block_words)
+        return Mix(placed, sources, spark.createDataFrame([], kinds))
     ranges = _draws(spark, sources, -(-total // shard_slots), shard_slots, seed)
     each = ranges.select("shard", "source_no", F.explode(F.sequence(F.col("lo"), F.col("hi") - 1)).alias("j"))
     named = each.select("shard", F.concat_ws("-", "source_no", "j").alias("slot"), "source_no", "j")
-    return Mix(placed, sources, named.mapInArrow(deal, kinds), block_words)
+    return Mix(placed, sources, named.mapInArrow(deal, kinds))
 
 
 def taken(mixed: Mix) -> DataFrame:

@@ -54,3 +54,20 @@ def test_empty(spark):
     docs, _ = documents(spark)
     assert m.taken(m.mix_sources(docs.limit(0))).count() == 0
     assert {r.taken for r in m.taken(m.mix_sources(docs.where("text is null"))).collect()} == {0}
+
+
+def test_small_sources_come_near_their_targets(spark):
+    rows = [(10 * i + j, f"{s}{j} " * 6, s, 1, 2) for i, s in enumerate("abcdef") for j in range(10)]
+    got = m.taken(m.mix_sources(spark.createDataFrame(rows, KIND))).collect()
+    taken, wanted = dict.fromkeys(range(6), 0), {}
+    for r in got:
+        taken[r.doc_id // 10] += r.taken
+        wanted[r.doc_id // 10] = r.target
+    assert [round(wanted[i]) for i in range(6)] == [120, 50, 100, 120, 50, 100] and all(abs(taken[i] - wanted[i]) <= 1 for i in range(6))
+    assert all(r.taken <= 2 * r.size for r in got)
+
+
+def test_keys_tell_nulls_apart(spark):
+    rows = [("a", None, "s"), (None, "a", "s")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, source string")
+    assert sorted((str(r.doc_id), r.size, r.taken) for r in m.taken(m.mix_sources(docs)).collect()) == [("None", 1, 2), ("a", 0, 0)]
