@@ -11,10 +11,12 @@ exact and ties are broken by the smaller id.
 
 Defined cases: vectors that are null or hold a null, infinite or NaN component
 take no part, neither as query nor as candidate; nor do null ids. Vectors of
-another length than a query's never meet it. Rows that repeat an id are
-candidates of their own and a repeated query id is asked once for each distinct
-vector; a query's own id is never its candidate. Fewer than k candidates give
-fewer rows; an empty table gives none; other columns are ignored.
+another length than a query's never meet it; empty ones meet each other with
+score 0. Every row is a candidate and a query of its own, whatever id others
+have: rows that repeat an id are asked one by one, and only the row itself is not its
+candidate. Components of 2**52 or more after scaling are an error, and so is a
+pair of vectors whose score might not fit a long. Fewer than k candidates give fewer rows; an empty
+table gives none; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from rostermart.sources.scratch import saved
 
 LEAF = 256
 EXACT = 2 ** 53  # whole numbers below it are exact as doubles
+LIMIT = 2.0 ** 52
 
 
 @dataclass
@@ -59,7 +62,7 @@ class BallTree:
         rows = self.vectors[self.order[lo:hi]].astype(np.float64)
         centre = rows.mean(0)
         away = np.sqrt(((rows - centre) ** 2).sum(1))
-        node = Node(centre, float(away.max()), lo, hi, float(np.abs(centre).max()))
+        node = Node(centre, float(away.max()), lo, hi, float(np.abs(centre).max(initial=0)))
         if hi - lo > self.leaf and node.radius > 0:
             far = rows[int(away.argmax())]
             other = rows[int(((rows - far) ** 2).sum(1).argmax())]
@@ -88,8 +91,8 @@ class _Best:
             self.scores, self.ids = scores[first], ids[first]
 
 
-def search(tree: BallTree, ids: np.ndarray, query: np.ndarray, own: int, best: _Best) -> None:
-    """Nodes go from the highest bound down; the search ends at the first bound below the k-th score."""
+def search(tree: BallTree, ids: np.ndarray, rows: np.ndarray, query: np.ndarray, own: int, best: _Best) -> None:
+    """Nodes go from the highest bound down; the search ends at the first bound below the k-th score. ``own`` is the query's row."""
     import heapq
 
     length, q = float(np.sqrt((query.astype(np.float64) ** 2).sum())), query.astype(np.float64)
@@ -98,7 +101,10 @@ def search(tree: BallTree, ids: np.ndarray, query: np.ndarray, own: int, best: _
         b = float(q @ node.centre) + length * node.radius
         return b + 1e-9 * (abs(b) + length * (node.radius + node.reach) + 1)
 
-    floats = tree.floats if tree.most * float(np.abs(query).sum()) < EXACT else None
+    largest = tree.most * float(np.abs(query).sum())
+    if largest >= 2.0 ** 63:
+        raise OverflowError("a score may not fit a long")
+    floats = tree.floats if largest < EXACT else None
     heap = [(-bound(tree.root), 0, tree.root)] if tree.root else []
     made = 1
     while heap:
@@ -118,9 +124,8 @@ def search(tree: BallTree, ids: np.ndarray, query: np.ndarray, own: int, best: _
                 scores = tree.vectors[node.lo:node.hi] @ query
             near = np.flatnonzero(scores >= best.kth())
             if len(near):
-                mine = ids[node.lo + near]
-                other = mine != own
-                best.add(scores[near[other]], mine[other])
+                near = near[rows[node.lo + near] != own]
+                best.add(scores[near], ids[node.lo + near])
 
 
 def integer_vectors(table: DataFrame, scale: int) -> DataFrame:
@@ -128,7 +133,8 @@ def integer_vectors(table: DataFrame, scale: int) -> DataFrame:
     x = F.col("embedding")
     finite = F.forall(x, lambda e: F.coalesce(~F.isnan(e) & (F.abs(e.cast("double")) < F.lit(float("inf"))), F.lit(False)))
     return (table.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").where(F.col("vec_id").isNotNull() & x.isNotNull() & finite)
-            .select("vec_id", F.transform(x, lambda e: F.floor(e.cast("double") * scale).cast("long")).alias("v")))
+            .select("vec_id", F.transform(x, lambda e: F.when(F.abs(e.cast("double") * scale) < LIMIT, F.floor(e.cast("double") * scale).cast("long"))
+                                          .otherwise(F.raise_error(F.lit("a component of an embedding is too large")).cast("long"))).alias("v")))
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
@@ -145,14 +151,14 @@ def _searched(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         if left.num_rows and right.num_rows:
             ids = np.asarray(left["vec_id"])
             tree = BallTree(_matrix(left["v"], width))
-            ids = ids[tree.order]
+            ids, rows_of = ids[tree.order], np.asarray(left["row"])[tree.order]
             vectors = _matrix(right["q"], width)
             floors = right["floor"].to_pylist()
-            for i, own in enumerate(right["query_id"].to_pylist()):
+            for i, (asked, own) in enumerate(zip(right["query_id"].to_pylist(), right["key"].to_pylist(), strict=True)):
                 best = _Best(k, floors[i])
-                search(tree, ids, vectors[i], own, best)
-                out[0] += [own] * len(best.ids)
-                out[1] += [right["key"][i].as_py()] * len(best.ids)
+                search(tree, ids, rows_of, vectors[i], own, best)
+                out[0] += [asked] * len(best.ids)
+                out[1] += [own] * len(best.ids)
                 out[2] += best.ids.tolist()
                 out[3] += best.scores.tolist()
         return pa.table([pa.array(c, pa.int64()) for c in out], names=["query_id", "key", "vec_id", "score"])
@@ -167,15 +173,14 @@ def top_k(table: DataFrame, is_query: Column, k: int = 5, scale: int = 256, shar
     ``shard_rows`` bounds a shard, ``block`` the queries that meet a shard in one
     task; both are sizes of pieces, and every block meets every shard.
     """
-    vectors = saved(integer_vectors(table, scale), "vectors")
+    vectors = saved(integer_vectors(table, scale).withColumn("row", F.monotonically_increasing_id()), "vectors")
     n = vectors.count()
     asked = vectors.where(is_query)
     n_shards, n_parts = max(1, -(-n // shard_rows)), max(1, -(-asked.count() // block))
-    shard = F.pmod(F.xxhash64("vec_id", "v"), F.lit(n_shards)).cast("int")
-    rows = vectors.select("vec_id", "v", F.size("v").alias("width"), shard.alias("shard"))
-    queries = asked.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")).distinct().select(
-        "query_id", "q", F.size("q").alias("width"), F.xxhash64("query_id", "q").alias("key"),
-        F.pmod(F.xxhash64("q", "query_id"), F.lit(n_parts)).cast("int").alias("part"))
+    shard = F.pmod(F.xxhash64("row"), F.lit(n_shards)).cast("int")
+    rows = vectors.select("vec_id", "v", "row", F.size("v").alias("width"), shard.alias("shard"))
+    queries = asked.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.size("v").alias("width"), F.col("row").alias("key"),
+                           F.pmod(F.xxhash64("row", "vec_id"), F.lit(n_parts)).cast("int").alias("part"))
 
     def against(shards: Column, some: DataFrame) -> DataFrame:
         return some.select("query_id", "key", "q", "width", "part", "floor", F.explode(shards).alias("shard"))
