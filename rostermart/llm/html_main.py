@@ -63,7 +63,8 @@ OTHER_WORDS = ("ad ads advert adverts advertisement advertising adbox sponsor sp
 MAIN_WORDS = "article articlebody main content contents post entry story body text prose page".split()
 OTHER, MAIN = frozenset(OTHER_WORDS), frozenset(MAIN_WORDS)
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.S)
+OPENING = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*)")
+TAG_PART = re.compile("[>\"']")
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-label|itemprop)\b\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 MARKS = re.compile(r"[.,;:!?]")
@@ -97,6 +98,39 @@ def attribute_flags(text: str) -> int:
     return out
 
 
+class Marks:
+    """Where tags of a source end. Places from which no end was found are kept, so that a page is looked through a bounded number of times."""
+
+    def __init__(self, source: str) -> None:
+        self.source, self.dry, self.lost = source, len(source) + 1, set()
+
+    def next_end(self, at: int) -> int:
+        """The next ``>``, or -1."""
+        if at >= self.dry:
+            return -1
+        end = self.source.find(">", at)
+        if end < 0:
+            self.dry = at
+        return end
+
+    def tag_end(self, at: int) -> int:
+        """The next ``>`` outside quotes that begin at or after ``at``, or -1."""
+        if self.next_end(at) < 0:
+            return -1
+        seen = []
+        while True:
+            m = TAG_PART.search(self.source, at) if at < self.dry else None
+            place = m.start() if m else -1
+            if m and m.group() == ">":
+                return place
+            other = self.source.find(m.group(), place + 1) if m and place not in self.lost else -1
+            if other < 0:
+                self.lost.update(seen, [place])
+                return -1
+            seen.append(place)
+            at = other + 1
+
+
 def parse(source: str) -> Page:
     page = Page()
 
@@ -125,18 +159,29 @@ def parse(source: str) -> Page:
     names: list[str] = []
     children, silent, fresh, at = [0], 0, True, 0
     start("body", "")
+    marks, unended = Marks(source), set()
     while at < len(source):
-        m = TOKEN.match(source, at)
-        if m is None:  # a tag that never ends
-            page.runs.append((stack[-1], source[at], fresh))
-            fresh, at = False, at + 1
+        if source[at] != "<":
+            end = source.find("<", at)
+            end = len(source) if end < 0 else end
+            page.runs.append((stack[-1], source[at:end], fresh))
+            fresh, at = False, end
             continue
-        at = m.end()
-        closing, tag, attributes, text = m.groups()
-        if text is not None:
-            page.runs.append((stack[-1], text, fresh))
-            fresh = False
+        if source.startswith("<!--", at):
+            end = source.find("-->", at + 4)
+            at = len(source) if end < 0 else end + 3
+            continue
+        m = OPENING.match(source, at)
+        if m:
+            end = marks.tag_end(m.end())
+        else:
+            end = marks.next_end(at) if source[at + 1:at + 2] in ("!", "?") else -1
+        if end < 0:  # no tag, or one that never ends
+            page.runs.append((stack[-1], "<", fresh))
+            fresh, at = False, at + 1
             continue
+        closing, tag, attributes = (*m.groups(), source[m.end():end]) if m else (None, None, None)
+        at = end + 1
         if tag is None:
             continue
         tag = tag.lower()
@@ -154,9 +199,11 @@ def parse(source: str) -> Page:
             fresh = fresh or tag not in INLINE
             continue
         if tag == "head" or tag in SILENT:
-            end = re.compile(rf"</{tag}(?![^\s/>])[^>]*>?", re.I | re.A).search(source, at)
+            end = None if tag in unended else re.compile(rf"</{tag}(?![^\s/>])[^>]*>?", re.I | re.A).search(source, at)
             if end:
                 at = end.end()
+            else:  # nor will a later one end
+                unended.add(tag)
             continue
         if tag in CLOSES_P and "p" in names:
             close(len(names) - 1 - names[::-1].index("p"))

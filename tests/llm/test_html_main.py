@@ -100,3 +100,20 @@ def test_pages_of_a_table(spark, sources):
         (str(i), str(u), article(s) if s and i != 61 else "\n\n".join(["some words, here."] * 4000) if s else "") for i, u, s, _, _ in rows)
     assert all(r.n_chars == len(r.text) for r in got)
     assert h.main_texts(table.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("piece", ["<a title='x", "<a title='x\"", "<option>x", "<!x", "<b", "<p class=\"a'>", "<a b='>' c=\"", "<select><p>t"])
+def test_long_broken_markup_takes_time_in_proportion(piece):
+    import time
+
+    page = "<article><p>before</p>" + piece * (1_000_000 // len(piece))
+    start = time.monotonic()
+    found = h.parse(page)
+    assert time.monotonic() - start < 10 and found.runs[0][1] == "before"
+
+
+def test_tags_end_outside_quotes():
+    found = h.parse("<p title='a > b' class=x>one<b t=\">\">two</b> 3 < 4 <a href='x>three</p><p>it's</p>")
+    assert "".join(t for _, t, _ in found.runs).replace("<", "|") == "onetwo 3 | 4 "
+    lost = h.parse("<p>one <i a='b>two")
+    assert "".join(t for _, t, _ in lost.runs) == "one <i a='b>two"
