@@ -13,7 +13,7 @@ from rostermart.functions.parsing import parse_number
 from rostermart.functions.places import place_parts
 from rostermart.functions.dates import calendar_rows, dense_calendar
 from rostermart.operators.clean import coerce_types, coercion_log, feature_log
-from rostermart.operators.encode import bucket_columns, label_encode, model_frame, onehot_encode
+from rostermart.operators.encode import bucket_columns, label_encode, model_frame, onehot_encode, onehot_vector
 from rostermart.operators.features import derive_features
 from rostermart.operators.latest import drop_repeated_rows, keep_latest
 from rostermart.operators.nulls import null_counts, null_rows, treat_nulls
@@ -224,6 +224,24 @@ def onehot_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.unpivot([], wide.columns, "column_name", "ones")
 
 
+@query("order_key:i buyer_width:i buyer_place:i priority_place:i ones:i", """
+  WITH texts AS (SELECT o_orderkey, 'o' || CAST(o_orderkey AS VARCHAR) AS buyer, CASE WHEN o_orderkey % 4 > 0 THEN o_orderpriority END AS priority FROM orders)
+  SELECT o_orderkey AS order_key, (SELECT count(DISTINCT buyer) FROM texts) AS buyer_width, dense_rank() OVER (ORDER BY buyer) - 1 AS buyer_place,
+    CASE WHEN priority IS NULL THEN -1 ELSE dense_rank() OVER (ORDER BY priority NULLS LAST) - 1 END AS priority_place,
+    CASE WHEN priority IS NULL THEN 1 ELSE 2 END AS ones FROM texts""")
+def onehot_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A value for every row, and a column with nulls: where each row's sparse vectors hold their one."""
+    rows = m.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_key"), F.concat(F.lit("o"), "o_orderkey").alias("buyer"),
+        F.when(F.col("o_orderkey") % 4 > 0, F.col("o_orderpriority")).alias("priority"))
+    parts = onehot_vector(rows, ["buyer", "priority"]).select(
+        "order_key", *[F.from_json(F.to_json(F.struct(F.col(f"{c}_vec").alias("v"))), "v struct<size:int,indices:array<int>>")["v"].alias(c)
+                       for c in ("buyer", "priority")])
+    place = lambda c: F.coalesce(F.get(f"{c}.indices", F.lit(0)), F.lit(-1))
+    return parts.select("order_key", F.col("buyer.size").alias("buyer_width"), place("buyer").alias("buyer_place"),
+                        place("priority").alias("priority_place"), (F.size("buyer.indices") + F.size("priority.indices")).alias("ones"))
+
+
 @query("column_name:s misfits:i", """
   SELECT 'salary' AS column_name, count(*) AS misfits FROM orders WHERE o_totalprice * 100000 >= 9999999999.995
   UNION ALL SELECT 'satisfaction_score', count(*) FROM orders WHERE o_custkey % 200 >= 100""")
@@ -236,25 +254,26 @@ def staging_misfits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("form:s lines:i failed:i", """
-  SELECT 'short' AS form, count(*) AS lines, 0 AS failed FROM nation UNION ALL SELECT 'long', count(*), 1 FROM nation""")
+  SELECT 'short' AS form, count(*) AS lines, 0 AS failed FROM orders UNION ALL SELECT 'long', count(*), 1 FROM orders""")
 def csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines with too few cells are filled, one line with too many fails the read."""
-    nation = m.table(spark, sf_dir, "nation")
+    """Many files with headers: lines with too few cells are filled, one line with too many in a late file fails the read."""
+    orders = m.table(spark, sf_dir, "orders")
+    last = orders.agg(F.max("o_orderkey")).first()[0]
     found = []
-    for form, cells in (("short", 1), ("long", 3)):
-        line = F.when(F.col("n_nationkey") == 7, F.array_join(F.array_repeat("n_name", cells), ",")).otherwise(
-            F.concat_ws(",", "n_name", "n_nationkey"))
+    for form, odd in (("short", F.col("o_orderkey") % 3 == 0), ("long", F.col("o_orderkey") == last)):
+        cells = F.concat_ws(",", "o_orderpriority", "o_custkey")
+        line = F.when(odd, F.col("o_orderpriority") if form == "short" else F.concat(cells, F.lit(",more"))).otherwise(cells)
         path = scratch.new_path(spark, f"csv-{form}")
-        lines = nation.select(F.lit(1).alias("place"), line.alias("line")).unionByName(
-            spark.createDataFrame([(0, "name,key")], "place int, line string"))
-        lines.coalesce(1).sortWithinPartitions("place").select("line").write.text(path)
+        # No quotes: the commas of a line are its cells; the header is that of the one column.
+        lines = orders.repartitionByRange(12, "o_orderkey").sortWithinPartitions("o_orderkey").select(line.alias("name,key"))
+        lines.write.option("header", True).option("quote", "\u0000").option("sep", "\u0001").csv(path)
         try:
-            read = read_employees(spark, path, form="csv").where("name IS NOT NULL").count()
+            read = read_employees(spark, path, form="csv").agg(F.count("name").alias("n")).first()["n"]
             found.append((form, read, 0))
         except Exception as error:  # the message says which line
             if "More than 2 cells" not in str(error):
                 raise
-            found.append((form, nation.count(), 1))
+            found.append((form, orders.count(), 1))
     return spark.createDataFrame(found, "form string, lines long, failed int")
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.feature import OneHotEncoder
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +19,8 @@ from rostermart.sources import scratch
 log = logging.getLogger(__name__)
 
 CODE = "_code_"
+#: Columns of so many values at most carry their values as names of a vector's places.
+NAMED_VALUES = 1000
 
 
 def text_columns(df: DataFrame, but: Sequence[str] = ()) -> list[str]:
@@ -47,17 +50,29 @@ def label_codes(df: DataFrame, columns: Sequence[str], order: Sequence[Column])
     melted = _melted(df, columns, keys)
     seen = melted.groupBy("slot", "value").agg(
         F.min(F.struct(*[F.col(f"k{i}") for i in range(len(order))])).alias("first"))
-    placed = positions(seen, ["slot", "first", "value"])
-    starts = {r["slot"]: r["start"]
-              for r in placed.groupBy("slot").agg(F.min("position").alias("start")).collect()}
-    path = scratch.new_path(df.sparkSession, "codes")
-    start = F.coalesce(*[F.when(F.col("slot") == s, F.lit(n)) for s, n in starts.items()], F.lit(0))
+    return _code_tables(positions(seen, ["slot", "first", "value"]), columns)[0]
+
+
+def category_index(df: DataFrame, columns: Sequence[str]) -> tuple[dict[str, DataFrame], list[int]]:
+    """Code table ``(value, code)`` per column, codes in value order, and the number of values of each.
+
+    Values are numbered where they lie; only their numbers per column reach the driver.
+    """
+    return _code_tables(positions(_melted(df, columns).distinct(), ["slot", "value"]), columns)
+
+
+def _code_tables(placed: DataFrame, columns: Sequence[str]) -> tuple[dict[str, DataFrame], list[int]]:
+    spark = placed.sparkSession
+    found = {r["slot"]: (r["start"], r["n"])
+             for r in placed.groupBy("slot").agg(F.min("position").alias("start"), F.count("*").alias("n")).collect()}
+    path = scratch.new_path(spark, "codes")
+    start = F.coalesce(*[F.when(F.col("slot") == s, F.lit(first)) for s, (first, _) in found.items()], F.lit(0))
     (placed.select("slot", "value", (F.col("position") - start).alias("code"))
      .write.partitionBy("slot").parquet(path))
-    spark = df.sparkSession
-    return {c: spark.read.schema("value string, code long").parquet(f"{path}/slot={i}")
-            if i in starts else spark.createDataFrame([], "value string, code long")
-            for i, c in enumerate(columns)}
+    tables = {c: spark.read.schema("value string, code long").parquet(f"{path}/slot={i}")
+              if i in found else spark.createDataFrame([], "value string, code long")
+              for i, c in enumerate(columns)}
+    return tables, [found.get(i, (0, 0))[1] for i in range(len(columns))]
 
 
 def label_encode(df: DataFrame, columns: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -88,29 +103,41 @@ def onehot_encode(df: DataFrame, columns: Sequence[str], max_categories: int | N
 
 
 def onehot_vector(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Wide form: one sparse vector ``<column>_vec`` per column, null as all zeros."""
-    indexed = [f"{c}_idx" for c in columns]
-    indexer = StringIndexer(inputCols=list(columns), outputCols=indexed, handleInvalid="keep",
-                            stringOrderType="alphabetAsc")
-    indexes = indexer.fit(df).transform(df)
+    """Replace each text column by one sparse vector ``<column>_vec`` with a place per value, in value order; null is all zeros.
+
+    Any number of values: the index is a table that is joined, and a vector holds one number.
+    The places of a column of up to NAMED_VALUES values carry these as names. A column without
+    values gives vectors of one place.
+    """
+    codes, sizes = category_index(df, columns)
+    rows, indexed = df, [f"{c}_idx" for c in columns]
+    for column, index, size in zip(columns, indexed, sizes, strict=True):
+        named = codes[column].select(F.col("value").alias(column), F.col("code").cast("double").alias(index))
+        # The place after the last value stands for null, and is the one that the encoder drops.
+        known = {"type": "nominal", "name": index, "num_vals": max(size, 1) + 1}
+        if 0 < size <= NAMED_VALUES:
+            values = [r["value"] for r in codes[column].orderBy("code").collect()]
+            known = {"type": "nominal", "name": index, "vals": [*values, "\0"]}
+        rows = rows.join(named, column, "left").withColumn(index, F.coalesce(index, F.lit(float(max(size, 1))))).withMetadata(index, {"ml_attr": known})
     encoder = OneHotEncoder(inputCols=indexed, outputCols=[f"{c}_vec" for c in columns], dropLast=True)
-    return encoder.fit(indexes).transform(indexes).drop(*indexed, *columns)
+    kept = [c for c in df.columns if c not in columns]
+    return encoder.fit(rows).transform(rows).select(*[F.col(f"`{c}`") for c in kept], *[f"`{c}_vec`" for c in columns])
 
 
 def encode_categoricals(df: DataFrame, strategy: str, columns: Sequence[str],
                         order: Sequence[Column]) -> DataFrame:
-    """``onehot`` or, for any other name, label codes."""
+    """``onehot`` (sparse vectors) or, for any other name, label codes."""
     if not columns:
         return df
     if strategy == "onehot":
-        return onehot_encode(df, columns)
+        return onehot_vector(df, columns)
     if strategy != "label":
         log.warning("Unknown encoding %s: label codes are used", strategy)
     return label_encode(df, columns, order)
 
 
 def model_columns(df: DataFrame, buckets: dict[str, list[str]], but: Sequence[str] = ()) -> list[Column]:
-    """The numeric columns; bucket labels as codes, null as 0, dates and texts left out.
+    """The numeric and vector columns; bucket labels as codes, null as 0, dates and texts left out.
 
     A column ``_code_<name>`` gives ``<name>``: that is how codes stand beside their text.
     Dots in a name, as a one-hot value may bring, become underscores, since the
@@ -121,7 +148,9 @@ def model_columns(df: DataFrame, buckets: dict[str, list[str]], but: Sequence[st
         if f.name in but:
             continue
         value = F.col(f"`{f.name}`")
-        if f.name in buckets:
+        if isinstance(f.dataType, VectorUDT):
+            chosen.append(value.alias(f.name.removeprefix(CODE).replace(".", "_")))
+        elif f.name in buckets:
             chosen.append(bucket_code(value, buckets[f.name]).alias(f.name))
         elif isinstance(f.dataType, T.NumericType):
             filled = F.coalesce(value, F.lit(0).cast(f.dataType))

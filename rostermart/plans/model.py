@@ -15,6 +15,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -137,9 +138,23 @@ def exact_auc(scored: DataFrame, score: str, label: str = LABEL) -> float:
 
 
 def feature_columns(df: DataFrame, identity: Sequence[str] = IDENTITY) -> list[str]:
-    """All numeric columns but the label and the identity columns."""
+    """All numeric and vector columns but the label and the identity columns."""
     return [f.name for f in df.schema.fields
-            if isinstance(f.dataType, NumericType) and f.name not in (LABEL, *identity)]
+            if isinstance(f.dataType, (NumericType, VectorUDT)) and f.name not in (LABEL, *identity)]
+
+
+def feature_names(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """A name for each place of the assembled features: ``<column>_<value>`` where a vector names its places, else ``<column>[place]``."""
+    wide = [c for c in columns if isinstance(df.schema[c].dataType, VectorUDT)]
+    sizes = df.select(*wide).first() if wide else {}
+
+    def places(c: str) -> list[str]:
+        named = df.schema[c].metadata.get("ml_attr", {}).get("attrs", {}).get("binary", [])
+        if len(named) == sizes[c].size and all("name" in a for a in named):
+            return [f"{c.removesuffix('_vec')}_{a['name']}" for a in sorted(named, key=lambda a: a["idx"])]
+        return [f"{c}[{i}]" for i in range(sizes[c].size)]
+
+    return [n for c in columns for n in (places(c) if c in wide else [c])]
 
 
 def feature_importance(model: PipelineModel, features: Sequence[str], spark) -> DataFrame:
@@ -177,7 +192,7 @@ def train(df: DataFrame, spec: ModelSpec, key: Sequence[str] = ("employee_id",),
     key = [k for k in key if k in df.columns] or list(df.columns)
     training, test = stratified_split(df, LABEL, spec.test_size, spec.seed, key, exact_split)
     n = partitions or training_partitions(total)
-    order = [*key, *[c for c in df.columns if c not in key]]
+    order = [*key, *[f.name for f in df.schema.fields if f.name not in key and not isinstance(f.dataType, VectorUDT)]]
     placed = training.repartition(n, *order).sortWithinPartitions(*order).persist(
         StorageLevel.MEMORY_AND_DISK)
     features = feature_columns(df, identity)
@@ -185,6 +200,7 @@ def train(df: DataFrame, spec: ModelSpec, key: Sequence[str] = ("employee_id",),
     models: dict[str, PipelineModel] = {}
     try:
         rows = placed.count()
+        names = feature_names(placed, features)
         for algorithm in spec.algorithms:
             fitted = _without_summary(Pipeline(stages=[
                 VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error"),
@@ -205,7 +221,7 @@ def train(df: DataFrame, spec: ModelSpec, key: Sequence[str] = ("employee_id",),
         [(i, a, *[metrics[a][m] for m in METRICS]) for i, a in enumerate(ranked)],
         "place int, model_name string, " + ", ".join(f"{m} double" for m in METRICS))
     best = ranked[0]
-    return TrainingResult(comparison, best, feature_importance(models[best], features, spark),
+    return TrainingResult(comparison, best, feature_importance(models[best], names, spark),
                           metrics, models, features)
 
 

@@ -5,10 +5,11 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from rostermart.config import JobSpec
+from rostermart.config import JobSpec, ModelSpec
 from rostermart.operators.encode import (
     bucket_columns, encode_categoricals, label_encode, model_frame, onehot_encode, onehot_vector)
 from rostermart.operators.ordering import dense_ids, positions, quantiles
+from rostermart.plans.model import score, train
 from tests.conftest import plan_of
 
 
@@ -54,9 +55,34 @@ def test_onehot_bound_and_vector_form(spark, people):
         assert list(row["grp_vec"].toArray()) == [float(i == hot) for i in range(3)]
 
 
+def test_onehot_vector_of_many_values(spark):
+    """A value per row, a column with null last in order, and one without any value."""
+    rows = spark.range(100_000).select(
+        "id", F.format_string("v%06d", (F.col("id") * 7919) % 100_000).alias("wide"),
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("g"), F.col("id") % 3)).alias("few"), F.lit(None).cast("string").alias("none"))
+    got = onehot_vector(rows, ["wide", "few", "none"])
+    assert got.columns == ["id", "wide_vec", "few_vec", "none_vec"]
+    for r in got.where("id % 9973 = 0").collect():
+        assert (r["wide_vec"].size, r["wide_vec"].indices.tolist()) == (100_000, [(r["id"] * 7919) % 100_000])
+        assert (r["few_vec"].size, r["few_vec"].indices.tolist()) == (2, [r["id"] % 3 - 1] if r["id"] % 3 else [])
+        assert (r["none_vec"].size, r["none_vec"].numNonzeros()) == (1, 0)
+    assert got.count() == 100_000
+
+
+def test_models_take_sparse_vectors(spark):
+    rows = spark.range(600).select(
+        F.col("id").cast("string").alias("employee_id"), (F.col("id") % 7).alias("age"),
+        F.concat(F.lit("d"), F.col("id") % 40).alias("team"), F.when(F.col("id") % 40 < 12, 1).otherwise(0).alias("attrition"))
+    spec = ModelSpec(algorithms=("logistic_regression",), params={}, test_size=0.2, seed=1)
+    done = train(onehot_vector(rows, ["team"]), spec)
+    assert done.metrics["logistic_regression"]["auc_roc"] > 0.99
+    names = [r["feature"] for r in done.importances.collect()]
+    assert len(names) == 41 and set(names) == {"age", *[f"team_d{i}" for i in range(40)]}
+    assert score(done.models[done.best_name], onehot_vector(rows, ["team"])).count() == 600
+
+
 def test_dispatch(spark, people, caplog):
-    assert encode_categoricals(people, "onehot", ["grp"], [F.col("id")]).columns == [
-        "id", "name", "grp_x", "grp_y", "grp_z"]
+    assert encode_categoricals(people, "onehot", ["grp"], [F.col("id")]).columns == ["id", "name", "grp_vec"]
     assert dict(encode_categoricals(people, "other", ["grp"], [F.col("id")]).dtypes)["grp"] == "bigint"
     assert "other" in caplog.text
     assert encode_categoricals(people, "label", [], []) is people

@@ -68,8 +68,9 @@ def test_onehot_model_input(spark):
         rows, "employee_id string, hire_date date, job_role string, age_group string, age double, left boolean"
     ).selectExpr("* except (left)", "cast(left as int) as attrition")
     frame = encoded_frame(featured, job)
-    assert frame.columns == ["employee_id", "age_group", "age", "attrition", "job_role_Lead", "job_role_Sr_ Dev"]
+    assert frame.columns == ["employee_id", "age_group", "age", "attrition", "job_role_vec"]
     result = train(frame, ModelSpec(("logistic_regression",), 0.2, 42, {}))
+    assert {r["feature"] for r in result.importances.collect()} == {"age_group", "age", "job_role_Lead", "job_role_Sr. Dev"}
     scored = score(result.models["logistic_regression"], frame)
     assert scored.where("attrition_probability between 0 and 1").count() == 200
 
