@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from rostermart.llm.texts import BYTE_VALUES, LETTERS, U64, Slice, held_out_expr, mix, slices
 from rostermart.llm.tidy import tidy
+from rostermart.sources.scratch import saved
 
 BUCKETS, VECTOR = 1 << 15, 16
 SIZES = (2, 3, 4)
@@ -182,10 +183,13 @@ def training_bags(documents: DataFrame, per_lang: int, rows: int, mod: int = 5)
     """doc_id, lang, buckets, counts of the sampled documents, from their whole texts."""
     known = documents.select("doc_id", "lang", "text").where(
         F.col("lang").isNotNull() & ~held_out_expr(F.col("doc_id"), mod) & F.coalesce(F.col("text").rlike(LETTER), F.lit(False)))
-    order = (F.xxhash64("doc_id"), F.col("doc_id"))
-    ids = known.select("doc_id", "lang").distinct()
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
-    chosen = ids.withColumn("nth", nth).where(F.col("nth") <= per_lang).orderBy("nth", "lang").limit(rows).drop("nth")
+    ids = saved(known.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).distinct(), "language-ids")
+    # Before rows of a language are ranked, only those with a hash in its first part stay, which holds twice as many as are wanted.
+    many = ids.groupBy("lang").agg(F.count("*").alias("n"))
+    part = F.col("h") / F.lit(2.0 ** 64) + 0.5
+    first = ids.join(many, "lang").where(part * F.col("n") < 2 * per_lang + 64)
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
+    chosen = first.withColumn("nth", nth).where(F.col("nth") <= per_lang).orderBy("nth", "lang").limit(rows).select("doc_id", "lang")
     texts = (known.join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("doc_id", "lang")
              .agg(F.min_by("text", F.xxhash64("text")).alias("text")))
 
