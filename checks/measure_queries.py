@@ -123,12 +123,12 @@ def sliced_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"day:s {SCORE_SHAPE}", _sql(f"""
   SELECT CAST(full_date AS VARCHAR) AS day, {SCORECARD} FROM wide
-  WHERE full_date IN (DATE '2000-03-15', DATE '2000-03-16', DATE '1993-05-05')
-    AND full_date BETWEEN DATE '2000-01-01' AND DATE '2000-12-31' GROUP BY full_date"""))
+  WHERE full_date IN (DATE '2001-06-14', DATE '2001-06-21', DATE '2001-07-05', DATE '2001-07-12', DATE '2001-07-19', DATE '2001-07-26', DATE '2001-05-31', DATE '1993-05-05')
+    AND full_date BETWEEN DATE '2001-06-01' AND DATE '2001-07-31' GROUP BY full_date"""))
 def sliced_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A range on the day and chosen days hold together."""
-    context = (FilterContext().between("full_date", dt.date(2000, 1, 1), dt.date(2000, 12, 31))
-               .where(full_date=[dt.date(2000, 3, 15), dt.date(2000, 3, 16), dt.date(1993, 5, 5)]))
+    days = [dt.date(2001, 6, 14), dt.date(2001, 6, 21), *[dt.date(2001, 7, d) for d in (5, 12, 19, 26)], dt.date(2001, 5, 31), dt.date(1993, 5, 5)]
+    context = FilterContext().between("full_date", dt.date(2001, 6, 1), dt.date(2001, 7, 31)).where(full_date=days)
     return g.evaluate(m.star(spark, sf_dir), g.SCORECARD, ["full_date"], context).withColumnRenamed(
         "full_date", "day").withColumn("day", F.col("day").cast("string"))
 
