@@ -185,7 +185,8 @@ def training_bags(documents: DataFrame, per_lang: int, rows: int, mod: int = 5)
         F.col("lang").isNotNull() & ~held_out_expr(F.col("doc_id"), mod) & F.coalesce(F.col("text").rlike(LETTER), F.lit(False)))
     ids = saved(known.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).distinct(), "language-ids")
     # Before rows of a language are ranked, only those with a hash in its first part stay, which holds twice as many as are wanted.
-    many = ids.groupBy("lang").agg(F.count("*").alias("n"))
+    # The sizes are a written table: a few languages are joined without dealing the rows by language before the cut.
+    many = saved(ids.groupBy("lang").agg(F.count("*").alias("n")), "language-sizes")
     part = F.col("h") / F.lit(2.0 ** 64) + 0.5
     first = ids.join(many, "lang").where(part * F.col("n") < 2 * per_lang + 64)
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
