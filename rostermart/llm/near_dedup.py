@@ -10,13 +10,16 @@
    pairs with one pivot, not all pairs. Pairs whose sizes or signatures cannot
    reach the threshold go (signature agreement more than seven deviations below
    it); the others are compared on their full sets. Links form components.
-4. A pivot has met its whole bucket and leaves it. For members of buckets that still
-   hold several components, the shingles that no other such member has are counted:
-   they are in no intersection, which bounds the similarity to any partner. Members
-   that the bound rules out for their whole bucket leave it, and pairs that it rules
-   out are not sent. Further pivots follow, those with the fewest such shingles
-   first and four times as many in each round, until every pair of a bucket is
-   compared, ruled out or in one component.
+4. Classes that met the same pivot and are in several components are joined by what
+   they differ in from it. D(x) is the symmetric difference of x and the pivot; that
+   of x and y has |D(x)| + |D(y)| - 2 |D(x) and D(y)| shingles. If x and y reach the
+   threshold and one of them is not linked to the pivot, D(x) and D(y) therefore
+   share a stated least number of shingles, always one at least. So each class
+   offers the rarest shingles of D(x), as many as that number needs (prefix filter),
+   and pairs meet on those, under bounds on sizes, differences and positions. What a
+   whole group shares, the pivot's own shingles included, is in nobody's prefix:
+   texts that are alike and not linked make no pairs. Such a pair is sent once,
+   whatever bands it shares, and is confirmed on full sets.
 
 A link is missed only if no band agrees: at similarity 0.85, with 25 bands of 5,
 that has a probability of 4e-7; at 0.8 of 5e-5.
@@ -34,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rostermart.llm.bitmaps import bitmap, sifted
@@ -141,17 +144,22 @@ def _plausible(pairs: DataFrame, least: int) -> DataFrame:
     return pairs.mapInArrow(tidy(agree), "a binary, b binary")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int, group: int = 64) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold.
+def _beside(pairs: DataFrame, texts: DataFrame, group: int = 64) -> DataFrame:
+    """a, salt, side, b, text: for the pairs (a, b) the text of ``a`` (side 0) right before those of its partners (side 1).
 
     The text of ``a`` travels once for every ``group`` partners, that of each
-    partner once for each pair; rows of a group arrive in order, ``a`` first.
+    partner once for each pair; rows of a group arrive in order.
     """
     dealt = pairs.join(pairs.groupBy("a").agg(F.count("*").alias("many")), "a").select(
         "a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("many") / group)).cast("int").alias("salt"))
     heads = dealt.select("a", "salt").distinct().join(texts.withColumnRenamed("cls", "a"), "a").select(
         "a", "salt", F.lit(0).alias("side"), F.col("a").alias("b"), "text")
     members = dealt.join(texts.withColumnRenamed("cls", "b"), "b").select("a", "salt", F.lit(1).alias("side"), "b", "text")
+    return heads.unionByName(members).repartition("a", "salt").sortWithinPartitions("a", "salt", "side")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = np.zeros(0, U64)
@@ -171,8 +179,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int, group: i
             near = pa.array(near)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(near), batch.column("b").filter(near)], names=["a", "b"])
 
-    together = heads.unionByName(members).repartition("a", "salt").sortWithinPartitions("a", "salt", "side")
-    return together.mapInArrow(tidy(verify), "a binary, b binary")
+    return _beside(pairs, texts).mapInArrow(tidy(verify), "a binary, b binary")
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,20 +232,56 @@ def components(links: DataFrame, task_edges: int = 1 << 18) -> DataFrame:
         edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def _own_shingles(texts: DataFrame, k: int) -> DataFrame:
-    """cls, own: how many shingles of a class no other class of the table has."""
+def _differences(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """pivot, cls, shingles: for the pairs (a, b) the sorted shingles that only one of the two has."""
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = np.zeros(0, U64)
         for batch in batches:
+            side = np.asarray(batch.column("side"))
             for lo, values, first in shingle_sets(batch.column("text"), k):
-                owner = pa.array(np.repeat(np.arange(lo, lo + len(first) - 1), np.diff(first)))
-                for at in range(0, len(values), 1 << 16):
-                    yield pa.RecordBatch.from_arrays([batch.column("cls").take(owner[at:at + (1 << 16)]),
-                                                      pa.array(values[at:at + (1 << 16)].view(np.int64))], names=["cls", "shingle"])
-
-    alone = (texts.mapInArrow(tidy(spread), "cls binary, shingle long").groupBy("shingle").agg(F.count("*").alias("many"), F.min("cls").alias("cls"))
-             .where("many = 1"))
-    return alone.groupBy("cls").agg(F.count("*").alias("own"))
+                rows, found = [], []
+                for i in range(len(first) - 1):
+                    own = values[first[i]:first[i + 1]]
+                    if side[lo + i] == 0:
+                        head = own
+                    else:
+                        rows.append(lo + i)
+                        found.append(np.setxor1d(head, own, assume_unique=True).view(np.int64))
+                at = pa.array(rows, pa.int64())
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *found])))
+                yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at), lists], names=["pivot", "cls", "shingles"])
+
+    return _beside(pairs, texts).mapInArrow(tidy(compare), "pivot binary, cls binary, shingles array<long>")
+
+
+def _prefix_pairs(members: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """a, b: pairs of one pivot's ``members`` (pivot, cls, n, root) in several components that their differences from it do not rule out."""
+    apart = saved(_differences(members.select(F.col("pivot").alias("a"), F.col("cls").alias("b")), texts, k), "differences")
+    spread = apart.select("pivot", "cls", F.explode("shingles").alias("shingle")).withColumn("shingle", F.xxhash64("pivot", "shingle"))
+    common = spread.groupBy("shingle").agg(F.count("*").alias("many")).where("many > 1")
+
+    def most(n: Column) -> Column:
+        """The largest symmetric difference of two linked sets of ``n`` shingles together."""
+        return F.floor((100 - percent) * n / (100 + percent))
+
+    # Shingles that one member alone has come first in its prefix and meet nobody; of the others the rarest follow.
+    sized = members.join(apart.select("pivot", "cls", F.size("shingles").cast("long").alias("d")), ["pivot", "cls"])
+    shared = spread.join(common, "shingle")
+    order = Window.partitionBy("pivot", "cls").orderBy("many", "shingle")
+    ranked = (shared.withColumn("no", F.row_number().over(order))
+              .withColumn("of", F.count("*").over(Window.partitionBy("pivot", "cls"))).join(sized, ["pivot", "cls"])
+              .withColumn("at", F.col("d") - F.col("of") + F.col("no")))
+    needed = F.greatest(F.lit(1), F.col("d") - most(F.col("n") + F.floor(100 * F.col("n") / percent)))
+    prefix = saved(ranked.where(F.col("at") <= F.col("d") - needed + 1).select("shingle", "cls", "n", "d", "at", "root"), "prefixes")
+    x, y = (prefix.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("cls", "n", "d", "at", "root")]) for side in "xy")
+    room = most(F.col("n_x") + F.col("n_y"))
+    rest = F.least(F.col("d_x") - F.col("at_x"), F.col("d_y") - F.col("at_y")) + 1
+    alike = ((F.col("cls_x") < F.col("cls_y")) & (F.col("root_x") != F.col("root_y"))
+             & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
+             & (F.abs(F.col("d_x") - F.col("d_y")) <= room) & (F.col("d_x") + F.col("d_y") - 2 * rest <= room))
+    return x.join(y, "shingle").where(alike).select(F.col("cls_x").alias("a"), F.col("cls_y").alias("b"))
 
 
 def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -275,36 +318,17 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
         wanted = near.select(F.col("a").alias("cls")).unionByName(near.select(F.col("b").alias("cls"))).distinct()
         return saved(_verified(near, texts_for(wanted), k, percent), "links")
 
-    def still_open(members: DataFrame) -> DataFrame:
-        """Members (band, cls, n, own, root) of bands that hold several components, without those that can have no partner there."""
-        known = members.select("band", "cls", "n", "own").join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-        several = known.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("least_n")).where("lo <> hi")
-        partner = F.greatest(F.ceil(F.col("n") * percent / 100), F.col("least_n"))
-        return known.join(several.select("band", "least_n"), "band").where(
-            (100 + percent) * (F.col("n") - F.col("own")) >= percent * (F.col("n") + partner)).drop("least_n")
-
     fits = 100 * F.least("n", "n_pivot") >= percent * F.greatest("n", "n_pivot")
     links = linked(met.where(fits).select(F.col("pivot").alias("a"), F.col("cls").alias("b")))
     roots = saved(components(links), "roots")
-    # The first pivots have met their buckets and are settled.
-    buckets = saved(still_open(met.select("band", "cls", "n", F.lit(0).cast("long").alias("own"))), "buckets")
-    own = _own_shingles(texts_for(buckets.select("cls").distinct()), k)
-    counted = saved(buckets.drop("own").join(own, "cls", "left").withColumn("own", F.coalesce("own", F.lit(0).cast("long"))), "counted")
-    buckets = saved(still_open(counted), "buckets")
-    pivots = 4
-    while not buckets.isEmpty():
-        order = Window.partitionBy("band").orderBy(F.col("own") / F.col("n"), "cls")
-        lead = saved(buckets.withColumn("no", F.row_number().over(order)).where(F.col("no") <= pivots).select(
-            "band", F.col("cls").alias("pivot"), F.col("n").alias("n_pivot"), F.col("own").alias("own_pivot"), F.col("root").alias("root_pivot")), "pivots")
-        shared = F.least(F.col("n") - F.col("own"), F.col("n_pivot") - F.col("own_pivot"))
-        apart = (F.col("root") != F.col("root_pivot")) & ((100 + percent) * shared >= percent * (F.col("n") + F.col("n_pivot")))
-        new = linked(buckets.join(lead, "band").where(fits & apart).select(F.least("pivot", "cls").alias("a"), F.greatest("pivot", "cls").alias("b")))
-        if not new.isEmpty():
-            links = links.unionByName(new)
-            roots = saved(components(links), "roots")
-        left = buckets.join(lead.select("band", F.col("pivot").alias("cls")), ["band", "cls"], "left_anti")
-        buckets = saved(still_open(left), "buckets")
-        pivots *= 4
+    # A pivot has met all classes of its buckets. What is in one component needs no further pairs.
+    grouped = met.select("pivot", "cls", "n").distinct().join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    grouped = saved(grouped, "grouped")
+    several = grouped.groupBy("pivot").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("pivot")
+    members = saved(grouped.join(several, "pivot"), "members")
+    wanted = members.select("cls").unionByName(members.select(F.col("pivot").alias("cls"))).distinct()
+    new = linked(_prefix_pairs(members, texts_for(wanted), k, percent))
+    roots = saved(components(links.unionByName(new)), "roots")
 
     rooted = classes.join(roots, classes["cls"] == roots["node"], "left").select("cls", "lead", F.coalesce("root", "cls").alias("root"))
     first = rooted.groupBy("root").agg(F.min("lead").alias("lead"))
