@@ -41,6 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rostermart.llm.texts import LOWER, SPACED, U64, Slice, find_words, hash_words, held_out_expr, slices
+from rostermart.llm.tidy import release, tidy
 from rostermart.sources.scratch import saved
 
 DEPTH = 5
@@ -156,7 +157,7 @@ def _needs(blocked: DataFrame, parts: int) -> DataFrame:
                             names=["part", "block", "kind", "keys", "n"])
 
     return blocked.select("block", F.col("learn").cast("int").alias("learn"), "text").mapInArrow(
-        count, "part int, block long, kind byte, keys binary, n binary")
+        tidy(count), "part int, block long, kind byte, keys binary, n binary")
 
 
 def _totals(needs: DataFrame) -> DataFrame:
@@ -173,6 +174,7 @@ def _totals(needs: DataFrame) -> DataFrame:
             part = rows["part"][0].as_py()
             out.append(pa.table({"part": pa.array(np.full(len(keys), part, np.int32)), "kind": pa.array(np.full(len(keys), kind, np.int8)),
                                  "key": pa.array(keys.view(np.int64)), "n": pa.array(n.astype(np.int64))}))
+        release()
         return pa.concat_tables(out)
 
     return needs.groupBy("part").applyInArrow(total, "part int, kind byte, key long, n long")
@@ -191,6 +193,7 @@ def _answered(needs: DataFrame, values: DataFrame) -> DataFrame:
         for k, packed in zip(rows["kind"].to_pylist(), rows["keys"].to_pylist(), strict=True):
             keys, of = tables[k]
             found.append(of[np.searchsorted(keys, unpack(packed))].astype(np.float32 if k == STRING else np.float64).tobytes())
+        release()
         return pa.table({"block": rows["block"], "kind": rows["kind"], "keys": rows["keys"], "found": pa.array(found, pa.binary())})
 
     return needs.drop("n").groupBy("part").cogroup(values.groupBy("part")).applyInArrow(answer, "block long, kind byte, keys binary, found binary")
@@ -309,7 +312,7 @@ def learn(counts: DataFrame, parts: int) -> DataFrame:
     """part, key, value: the log10 of every string's last byte; ``counts`` (key, n) has each string once, n = 0 if not learned from."""
     together = counts.repartition(F.shiftrightunsigned("key", 8 * (DEPTH - 1)))
     sums = [np.zeros(256 * 256) for _ in range(3)]
-    tops = together.mapInArrow(_tops, "slot long, n0 double, n1 double, below double").groupBy("slot").agg(
+    tops = together.mapInArrow(tidy(_tops), "slot long, n0 double, n1 double, below double").groupBy("slot").agg(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("below").alias("below")).toPandas()
     for name, into in zip(("n0", "n1", "below"), sums, strict=True):
         into[tops["slot"].to_numpy()] = tops[name].to_numpy()
@@ -321,7 +324,7 @@ def learn(counts: DataFrame, parts: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(part_of(keys, parts).astype(np.int32)), pa.array(keys.view(np.int64)), pa.array(log10_of(keys, n, top))],
                                              names=["part", "key", "value"])
 
-    return together.mapInArrow(predict, "part int, key long, value double")
+    return together.mapInArrow(tidy(predict), "part int, key long, value double")
 
 
 class Lookup:
@@ -366,7 +369,7 @@ def _blocked(documents: DataFrame, held_out: int, block_bytes: int) -> tuple[Dat
     return docs.select("doc_id", "text", F.xxhash64("split", share).alias("block"), out.alias("held_out"), (~out).alias("learn")), sizes["all"] or 0
 
 
-def score(documents: DataFrame, held_out: int = 10, block_bytes: int = 48 << 20) -> DataFrame:
+def score(documents: DataFrame, held_out: int = 10, block_bytes: int = 32 << 20) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte."""
     blocked, size = _blocked(documents, held_out, block_bytes)
     parts = max(1, -(-size // PART_BYTES))
@@ -387,6 +390,7 @@ def score(documents: DataFrame, held_out: int = 10, block_bytes: int = 48 << 20)
             keys = [unpack(p) for p in rows["keys"].to_pylist()]
             values = [np.frombuffer(p, form) for p in rows["found"].to_pylist()]
             find.append(Lookup(np.concatenate([np.zeros(0, U64), *keys]), np.concatenate([np.zeros(0, form), *values])))
+            del rows, keys, values
         out: list[list[np.ndarray]] = [[], [], [], [], []]
         for part in slices(docs["text"], SLICE):
             keys, first = words_of(part)
@@ -397,6 +401,8 @@ def score(documents: DataFrame, held_out: int = 10, block_bytes: int = 48 << 20)
                                         np.add.reduceat(find[STRING](strings).astype(np.float64), begin[:-1]), np.diff(begin)), strict=True):
                 into.append(what)
         n, known, base, scored, size = (np.concatenate(x) if x else np.zeros(0) for x in out)
+        find.clear()
+        release()
         return pa.table({"doc_id": docs["doc_id"], "held_out": docs["held_out"], "n_tokens": pa.array(n, pa.int64()), "n_known": pa.array(known, pa.int64()),
                          "base_score": pa.array(base, pa.float64()), "score": pa.array(scored, pa.float64()), "n_bytes": pa.array(size, pa.int64())})
 
