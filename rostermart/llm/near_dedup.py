@@ -16,7 +16,7 @@
    threshold and one of them is not linked to the pivot, D(x) and D(y) therefore
    share a stated least number of shingles, always one at least. So each class
    offers the rarest shingles of D(x), as many as that number needs (prefix filter),
-   and pairs meet on those, under bounds on sizes, differences and positions. What a
+   and pairs meet on those, under bounds on sizes, differences, positions and meetings. What a
    whole group shares, the pivot's own shingles included, is in nobody's prefix:
    texts that are alike and not linked make no pairs. Such a pair is sent once,
    whatever bands it shares, and is confirmed on full sets.
@@ -48,6 +48,8 @@ from rostermart.sources.scratch import saved
 PLACES = 128
 BANDS, BAND_ROWS = 25, 5
 USED = BANDS * BAND_ROWS
+#: Prefixes are so many shingles longer, less one, and pairs have to meet on as many more of them.
+DEEP = 4
 
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -273,15 +275,22 @@ def _prefix_pairs(members: DataFrame, texts: DataFrame, k: int, percent: int) ->
     ranked = (shared.withColumn("no", F.row_number().over(order))
               .withColumn("of", F.count("*").over(Window.partitionBy("pivot", "cls"))).join(sized, ["pivot", "cls"])
               .withColumn("at", F.col("d") - F.col("of") + F.col("no")))
-    needed = F.greatest(F.lit(1), F.col("d") - most(F.col("n") + F.floor(100 * F.col("n") / percent)))
-    prefix = saved(ranked.where(F.col("at") <= F.col("d") - needed + 1).select("shingle", "cls", "n", "d", "at", "root"), "prefixes")
-    x, y = (prefix.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("cls", "n", "d", "at", "root")]) for side in "xy")
+    least = F.greatest(F.lit(1), F.col("d") - most(F.col("n") + F.floor(100 * F.col("n") / percent)))
+    ranked = ranked.withColumn("least", least).withColumn("deep", F.least(F.lit(DEEP), "least"))
+    prefix = saved(ranked.where(F.col("at") <= F.col("d") - F.col("least") + F.col("deep"))
+                   .select("shingle", "pivot", "cls", "n", "d", "at", "root", "least", "deep"), "prefixes")
+    x, y = (prefix.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in prefix.columns[1:]]) for side in "xy")
+    # Of ``shared`` common shingles all but the last ``least - deep`` of either side lie in its prefix.
     room = most(F.col("n_x") + F.col("n_y"))
-    rest = F.least(F.col("d_x") - F.col("at_x"), F.col("d_y") - F.col("at_y")) + 1
+    shared_least = F.ceil((F.col("d_x") + F.col("d_y") - room) / 2)
+    met_least = F.greatest(F.lit(1), shared_least - F.greatest(F.col("least_x") - F.col("deep_x"), F.col("least_y") - F.col("deep_y")))
     alike = ((F.col("cls_x") < F.col("cls_y")) & (F.col("root_x") != F.col("root_y"))
-             & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
-             & (F.abs(F.col("d_x") - F.col("d_y")) <= room) & (F.col("d_x") + F.col("d_y") - 2 * rest <= room))
-    return x.join(y, "shingle").where(alike).select(F.col("cls_x").alias("a"), F.col("cls_y").alias("b"))
+             & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) & (F.abs(F.col("d_x") - F.col("d_y")) <= room))
+    rest = F.least(F.col("d_x") - F.col("at_x"), F.col("d_y") - F.col("at_y")) + 1
+    found = x.join(y, "shingle").where(alike).select(
+        "pivot_x", F.col("cls_x").alias("a"), F.col("cls_y").alias("b"), met_least.alias("met_least"), (rest >= shared_least).alias("first_fits"))
+    return found.groupBy("pivot_x", "a", "b").agg(F.count("*").alias("met"), F.max("met_least").alias("met_least"), F.max("first_fits").alias("first_fits")).where(
+        "met >= met_least and first_fits").select("a", "b")
 
 
 def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
