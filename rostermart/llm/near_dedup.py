@@ -18,8 +18,9 @@
    offers the rarest shingles of D(x), as many as that number needs (prefix filter),
    and pairs meet on those, under bounds on sizes, differences, positions and meetings. What a
    whole group shares, the pivot's own shingles included, is in nobody's prefix:
-   texts that are alike and not linked make no pairs. Such a pair is sent once,
-   whatever bands it shares, and is confirmed on full sets.
+   texts that are alike and not linked make few pairs. A pair that meets is
+   sent once in this round, whatever bands and pivots it shares (and at most once in
+   the first), and is confirmed on full sets.
 
 A link is missed only if no band agrees: at similarity 0.85, with 25 bands of 5,
 that has a probability of 4e-7; at 0.8 of 5e-5.
