@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from rostermart.operators.latest import drop_repeated_rows, keep_latest
 from rostermart.operators.nulls import null_counts, null_rows, treat_nulls
 from rostermart.operators.quality import check_rules, orphans, repeated_keys
 from rostermart.plans.measures import employee_profile
-from rostermart.plans.run import first_seen_order
+from rostermart.plans.run import first_seen_order, ingest_file, named_and_formats
 from rostermart.plans.star import misfits
 from rostermart.schemas import Constraints
 from rostermart.sources import scratch
@@ -277,6 +279,43 @@ def csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(found, "form string, lines long, failed int")
 
 
+@query("employee_id:i bonus_points:d team_size:i badge:s kinds:s", with_level("cur", """
+  SELECT employee_id, CASE WHEN src_ordinal % 9 <> 0 THEN (src_ordinal % 1000) * 0.25 END AS bonus_points, src_ordinal % 17 AS team_size,
+    CASE WHEN employee_id = (SELECT min(employee_id) FROM cur) THEN 'none yet' ELSE CAST(src_ordinal AS VARCHAR) END AS badge,
+    'double bigint string' AS kinds FROM cur"""))
+def run_extra_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns that no job names: numbers with gaps, whole numbers, and digits with one text among them."""
+    people, source = scratch.saved(m.employees(spark, sf_dir), "people"), scratch.new_path(spark, "source")
+    first, place = people.agg(F.min("employee_id")).first()[0], F.col("src_ordinal")
+    people.withColumns({
+        "Bonus Points": F.when(place % 9 != 0, (place % 1000) * 0.25), "Team-Size": place % 17,
+        "Badge": F.when(F.col("employee_id") == first, "none yet").otherwise(place.cast("string")),
+    }).drop("src_ordinal", "attrition_probability").write.csv(source, header=True)
+    named, options = named_and_formats(ingest_file(spark, m.JOB, source), m.JOB)
+    typed, asked = coerce_types(named, **options), ["bonus_points", "team_size", "badge"]
+    kinds = dict(typed.dtypes)
+    return typed.select("employee_id", *asked, F.lit(" ".join(kinds[c] for c in asked)).alias("kinds"))
+
+
+@query("employee_id:i hire_date:s promotion_date:s review_date:s lost:i", with_level("cur", """
+  SELECT employee_id, hire_date, promotion_date, CASE WHEN iso = (SELECT iso FROM first) THEN review END AS review_date,
+    (SELECT count(*) FROM t WHERE iso <> (SELECT iso FROM first)) AS lost FROM t""", """
+t AS (SELECT *, hire_date + CAST(src_ordinal % 300 AS INT) AS review, src_ordinal % 3 = 0 AS iso FROM cur)""", """
+first AS (SELECT iso FROM t ORDER BY strftime(hire_date, '%m/%d/%Y') DESC, CAST(employee_id AS VARCHAR) DESC LIMIT 1)"""))
+def run_us_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates month first, dates with dots, and a column of two formats, whose first row decides."""
+    source, review = scratch.new_path(spark, "source"), F.expr("date_add(hire_date, cast(src_ordinal % 300 as int))")
+    m.employees(spark, sf_dir).withColumns({
+        "Hire Date": F.date_format("hire_date", "MM/dd/yyyy"), "Promotion Date": F.date_format("promotion_date", "dd.MM.yyyy"),
+        "Review Date": F.when(F.col("src_ordinal") % 3 == 0, F.date_format(review, "yyyy-MM-dd")).otherwise(F.date_format(review, "M/d/yyyy")),
+    }).drop("hire_date", "promotion_date", "src_ordinal", "attrition_probability").write.csv(source, header=True)
+    ingest = dataclasses.replace(m.JOB.ingest, latest_by="Hire Date", required=("employee_id", "Hire Date"))
+    job = dataclasses.replace(m.JOB, ingest=ingest)
+    named, options = named_and_formats(ingest_file(spark, job, source), job)
+    lost = coercion_log(named, **options).where("column_name = 'review_date'").first()["values_imputed"]
+    return coerce_types(named, **options).select("employee_id", "hire_date", "promotion_date", "review_date", F.lit(lost).alias("lost"))
+
+
 @query("employee_id:i department:i age:i salary:d age_group:i salary_band:i promotion_recency:d attrition:i",
        with_level("feat", """SELECT f.employee_id, code_department.code AS department, age, salary,
   CASE age_group WHEN 'Under 25' THEN 0 WHEN '25-34' THEN 1 WHEN '35-44' THEN 2 WHEN '45-54' THEN 3

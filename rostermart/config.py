@@ -8,7 +8,6 @@ from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
 
-from rostermart.functions.parsing import DEFAULT_DATE_FORMATS
 from rostermart.operators.nulls import NUMERIC_COLUMNS
 
 # The default job. Bin edges, labels, thresholds and model
@@ -71,10 +70,14 @@ class FeatureSpec:
 
 @dataclass(frozen=True)
 class CleanSpec:
+    """``number_columns`` are converted whatever they hold; with ``infer_numbers`` further columns
+    that hold nothing but numbers are, too. Without ``date_formats`` each date column's is found in its values."""
+
     encoding: str = "label"
     features: tuple[FeatureSpec, ...] = ()
     number_columns: tuple[str, ...] = NUMERIC_COLUMNS
-    date_formats: tuple[str, ...] = DEFAULT_DATE_FORMATS
+    infer_numbers: bool = True
+    date_formats: tuple[str, ...] | None = None
 
 
 @dataclass(frozen=True)
@@ -114,7 +117,8 @@ class JobSpec:
                     for f in clean.get("feature_derivations", [])
                 ),
                 number_columns=tuple(clean.get("number_columns", NUMERIC_COLUMNS)),
-                date_formats=tuple(clean.get("date_formats", DEFAULT_DATE_FORMATS)),
+                infer_numbers=bool(clean.get("infer_numbers", True)),
+                date_formats=tuple(clean["date_formats"]) if clean.get("date_formats") else None,
             ),
             model=ModelSpec(
                 algorithms=tuple(model["algorithms"]),

@@ -16,6 +16,12 @@ NULL_TOKENS = (
 
 DEFAULT_DATE_FORMATS = ("yyyy-MM-dd",)
 
+# Formats that are looked for in a column; one letter stands for one or two digits.
+KNOWN_DATE_FORMATS = (
+    "yyyy-MM-dd", "yyyy/MM/dd", "M/d/yyyy", "d/M/yyyy", "M-d-yyyy", "d-M-yyyy", "d.M.yyyy",
+    "yyyy-MM-dd HH:mm:ss", "M/d/yyyy HH:mm:ss", "d/M/yyyy HH:mm:ss",
+)
+
 _NUMBER = r"^\s*[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
 _FIELD_WIDTH = re.compile(r"y+|M+|d+|H+|m+|s+")
 
@@ -26,10 +32,12 @@ def null_if_token(text: Column) -> Column:
 
 
 def _shape_of(date_format: str) -> str:
-    """The regular expression a text must meet: fixed digits for each field."""
+    """The regular expression a text must meet: as many digits as a field has letters, one or two for one letter."""
     pattern, at = "", 0
     for field in _FIELD_WIDTH.finditer(date_format):
-        pattern += re.escape(date_format[at:field.start()]).replace("'", "") + rf"\d{{{len(field.group())}}}"
+        width = len(field.group())
+        digits = rf"\d{{{width}}}" if width > 1 else r"\d{1,2}"
+        pattern += re.escape(date_format[at:field.start()]).replace("'", "") + digits
         at = field.end()
     return "^" + pattern + re.escape(date_format[at:]) + "$"
 

@@ -24,18 +24,25 @@ class Coercion:
     value: Column
 
 
+def date_texts(df: DataFrame) -> list[str]:
+    """The text columns with ``date`` in their name."""
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and "date" in f.name]
+
+
 def planned_coercions(df: DataFrame, date_columns: Sequence[str] | None = None,
                       numeric_columns: Sequence[str] = NUMERIC_COLUMNS,
-                      date_formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> list[Coercion]:
+                      date_formats: Sequence[str] | Mapping[str, Sequence[str]] = DEFAULT_DATE_FORMATS) -> list[Coercion]:
     """The text columns to convert: dates first, then numbers.
 
-    By default every text column with ``date`` in its name is a date. Columns
-    that already have a type need no conversion and are not listed.
+    By default every text column with ``date`` in its name is a date. The formats
+    are those of all date columns, or a mapping has those of each. Columns that
+    already have a type need no conversion and are not listed.
     """
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    dates = [c for c in text if "date" in c] if date_columns is None else [
-        c for c in date_columns if c in text]
-    plans = [Coercion(c, "convert_to_datetime", parse_date(F.col(c), date_formats)) for c in dates]
+    dates = date_texts(df) if date_columns is None else [c for c in date_columns if c in text]
+    formats = date_formats if isinstance(date_formats, Mapping) else dict.fromkeys(dates, date_formats)
+    plans = [Coercion(c, "convert_to_datetime", parse_date(F.col(c), formats.get(c, DEFAULT_DATE_FORMATS)))
+             for c in dates]
     plans += [Coercion(c, "convert_to_numeric", parse_number(F.col(c)))
               for c in text if c in numeric_columns and c not in dates]
     return plans

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 from rostermart.config import JobSpec
 from rostermart.functions.naming import renamed_columns, snake_case, standardize_columns
 from rostermart.functions.parsing import parse_number
-from rostermart.operators.clean import change_log, coerce_types, coercion_log, feature_log
+from rostermart.operators.clean import change_log, coerce_types, coercion_log, date_texts, feature_log
 from rostermart.operators.encode import (
     CODE, bucket_columns, encode_categoricals, model_columns, text_columns)
 from rostermart.operators.features import derive_features
+from rostermart.operators.kinds import (
+    date_formats, number_kinds, number_metrics, text_names, with_numbers)
 from rostermart.operators.latest import drop_repeated_rows, keep_latest
 from rostermart.operators.nulls import treat_nulls
 from rostermart.plans.model import PROBABILITY, TrainingResult, save_model, score, train
@@ -64,12 +66,57 @@ def first_seen_order(job: JobSpec) -> list:
     return [day, F.col(snake_case(job.ingest.key))]
 
 
-def ingest(raw: DataFrame, job: JobSpec) -> DataFrame:
-    """Nulls treated and the latest row per key kept."""
-    known = treat_nulls(raw, job.ingest.null_strategy, job.ingest.required, (*job.clean.number_columns, "attrition"))
+def ingest(raw: DataFrame, job: JobSpec, numbers: Sequence[str] = ()) -> DataFrame:
+    """Nulls treated and the latest row per key kept; ``numbers`` are further columns of numbers."""
+    number_texts = (*job.clean.number_columns, "attrition", *map(snake_case, numbers))
+    known = treat_nulls(raw, job.ingest.null_strategy, job.ingest.required, number_texts)
     return keep_latest(known, job.ingest.key, job.ingest.latest_by)
 
 
+@dataclass(frozen=True)
+class Ingested:
+    """The stored rows as text, their number, and which columns hold numbers of which kind."""
+
+    table: DataFrame
+    rows: int
+    kinds: Mapping[str, int] = field(default_factory=dict)
+
+
+def ingest_file(spark: SparkSession, job: JobSpec, source: str) -> Ingested:
+    """Read, ingest and store; what the columns hold is found in all rows that are read.
+
+    It is observed by the job that stores the rows. Only filling nulls has to
+    know before, so that strategy reads the source once more. The key, the label
+    and dates are left out.
+    """
+    raw = read_employees(spark, source, job.ingest.required)
+    columns = [c for c in text_names(raw, but=[job.ingest.key])
+               if snake_case(c) != "attrition" and "date" not in snake_case(c)] if job.clean.infer_numbers else []
+    if not columns:
+        return Ingested(*counted_save(ingest(raw, job), "ingested"))
+    metrics = number_metrics(columns)
+    if job.ingest.null_strategy == "drop":
+        seen = Observation()
+        table, rows = counted_save(ingest(raw.observe(seen, *metrics), job), "ingested")
+        return Ingested(table, rows, number_kinds(columns, seen.get))
+    kinds = number_kinds(columns, raw.agg(*metrics).first().asDict())
+    return Ingested(*counted_save(ingest(raw, job, list(kinds)), "ingested"), kinds)
+
+
+def named_and_formats(ingested: Ingested, job: JobSpec) -> tuple[DataFrame, dict]:
+    """Rows with clean names and the numbers found, and the options of their conversion.
+
+    Date formats that the job does not give are found in the stored rows, the
+    latest of which counts as the first.
+    """
+    named = standardize_columns(with_numbers(ingested.table, ingested.kinds))
+    formats: Sequence[str] | Mapping[str, Sequence[str]] | None = job.clean.date_formats
+    if formats is None:
+        first_by = [c for c in map(snake_case, (job.ingest.latest_by, job.ingest.key)) if c in named.columns]
+        formats = date_formats(named, date_texts(named), first_by or named.columns)
+    return named, {"numeric_columns": job.clean.number_columns, "date_formats": formats}
+
+
 def counted_save(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     seen = Observation()
     table = scratch.saved(df.observe(seen, F.count("*").alias("rows")), label)
@@ -112,21 +159,20 @@ def run_job(spark: SparkSession, job: JobSpec, source: str, store_root: str, as_
     began = time.monotonic()
     store, key = StarStore(spark, store_root), snake_case(job.ingest.key)
     tables: dict[str, DataFrame] = {}
+    found: list[Ingested] = []
 
     def ingestion() -> int:
-        raw = read_employees(spark, source, job.ingest.required)
-        tables["ingested"], n = counted_save(ingest(raw, job), "ingested")
-        return n
+        found.append(ingest_file(spark, job, source))
+        return found[0].rows
 
     def transformation() -> int:
-        named = standardize_columns(tables["ingested"])
-        options = {"numeric_columns": job.clean.number_columns, "date_formats": job.clean.date_formats}
+        named, options = named_and_formats(found[0], job)
         typed = drop_repeated_rows(coerce_types(named, **options)).transform(_typed_label)
         derived = derive_features(typed, job.clean.features, as_of)
         tables["featured"], n = counted_save(derived, "featured")
         buckets = bucket_columns(job.clean.features)
         result.log = change_log(
-            renamed_columns(tables["ingested"]), coercion_log(named, **options), result.stages[0].row_count, n,
+            renamed_columns(found[0].table), coercion_log(named, **options), result.stages[0].row_count, n,
             feature_log(tables["featured"], job.clean.features), job.clean.encoding,
             text_columns(tables["featured"], but=[*buckets, "name", key]))
         return n

@@ -1,6 +1,9 @@
 import datetime as dt
+import re
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rostermart.config import CleanSpec, FeatureSpec, JobSpec
@@ -18,12 +21,19 @@ from rostermart.operators.latest import drop_repeated_rows
 AS_OF = dt.date(2024, 6, 1)
 
 
-@pytest.mark.parametrize(("old", "new"), [
-    ("Cost Centre", "cost_centre"), ("start-week", "start_week"), ("BadgeNo", "badgeno"),
-    ("Night-Shift Bonus", "night_shift_bonus"), ("wage(€)", "wage"), ("load%", "load"),
-    ("shift_no", "shift_no"), ("  a  - b__c ", "a_b_c"), ("A.B", "ab")])
-def test_snake_case(old, new):
-    assert snake_case(old) == new
+WORD = st.text("abcxyz0189", min_size=1, max_size=6)
+
+
+@given(st.text(max_size=40))
+def test_names_hold_nothing_else_and_stay(text):
+    name = snake_case(text)
+    assert re.fullmatch("([a-z0-9]+(_[a-z0-9]+)*)?", name)
+    assert snake_case(name) == name
+
+
+@given(st.lists(WORD, min_size=1, max_size=5), st.text("_ -\t", min_size=1, max_size=4), st.text(".$%()/é€", max_size=3))
+def test_words_are_joined_and_signs_fall_out(words, between, signs):
+    assert snake_case(between + between.join(w[:1].upper() + signs + w[1:] for w in words) + between) == "_".join(words)
 
 
 def test_standardize(spark):

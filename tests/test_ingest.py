@@ -1,3 +1,6 @@
+import datetime as dt
+import random
+
 import pytest
 
 from rostermart.functions.parsing import NULL_TOKENS
@@ -20,20 +23,26 @@ def csv(tmp_path):
     return write
 
 
-VALID = ("employee_id,name,department,hire_date,shift\n"
-         "k7,Ines,Foundry,1998-11-02,early\nk9,Jarek,Harbour,2004-02-29,late\n")
-GAPS = ("employee_id,name,department,hire_date\nm1,Olu,Foundry,1999-09-09\n"
-        "m2,,Harbour,2000-10-10\nm3,Priya,,2001-11-11\nm4,Quinn,Kiln,2002-12-12\n")
-REPEATS = ("employee_id,name,department,hire_date,shift\nk7,Ines,Foundry,1998-11-02,early\n"
-           "k7,Ines,Kiln,2003-05-30,night\nk9,Jarek,Harbour,2004-02-29,late\n"
-           "k9,Jarek,Harbour,2001-01-31,early\nk9,Jarek,Foundry,2006-07-07,night\nk8,Tove,Kiln,2005-08-15,late\n")
+def records(seed, rows, gap=0.0, keys=None):
+    """Random records, with a share of empty cells in any column; few ``keys`` repeat."""
+    rng, base = random.Random(seed), dt.date(1990, 1, 1)
+    made = []
+    for i in range(rows):
+        cells = [f"k{rng.randrange(keys) if keys else i}", f"n{rng.randrange(50)}", rng.choice(["Kiln", "Harbour", "Foundry"]),
+                 str(base + dt.timedelta(days=i * 37 % 9973)), f"s{i}"]
+        made.append([None if rng.random() < gap else c for c in cells])
+    return made
+
+
+def as_csv(made):
+    return "\n".join([",".join([*REQUIRED, "shift"]), *[",".join(c or "" for c in row) for row in made]]) + "\n"
 
 
-def test_valid_csv(spark, csv):
-    df = read_employees(spark, csv(VALID), REQUIRED)
-    assert df.count() == 2
-    assert set(REQUIRED) <= set(df.columns)
-    assert {t for _, t in df.dtypes} == {"string"}
+def test_cells_are_read_as_they_are(spark, csv):
+    made = records(3, 300, gap=0.1)
+    df = read_employees(spark, csv(as_csv(made)), REQUIRED)
+    assert df.columns == [*REQUIRED, "shift"] and {t for _, t in df.dtypes} == {"string"}
+    assert sorted(map(tuple, df.collect()), key=str) == sorted(map(tuple, made), key=str)
 
 
 def test_missing_columns_are_named_in_order(spark, csv):
@@ -99,15 +108,15 @@ def test_row_index_follows_the_file(spark, csv):
     assert sorted((r["row_index"], r["n"]) for r in df.collect()) == [(i, f"v{i}") for i in range(500)]
 
 
-def test_drop(spark, csv):
-    df = treat_nulls(read_employees(spark, csv(GAPS), REQUIRED), "drop", REQUIRED)
-    assert {r["employee_id"] for r in df.collect()} == {"m1", "m4"}
-
-
-def test_fill(spark, csv):
-    df = treat_nulls(read_employees(spark, csv(GAPS), REQUIRED), "fill_default", REQUIRED)
-    rows = {r["employee_id"]: r for r in df.collect()}
-    assert len(rows) == 4 and rows["m2"]["name"] == "" and rows["m3"]["department"] == ""
+@pytest.mark.parametrize("strategy", ["drop", "fill_default"])
+def test_gaps_in_required_columns(spark, csv, strategy):
+    made = records(4, 400, gap=0.15)
+    df = treat_nulls(read_employees(spark, csv(as_csv(made)), REQUIRED), strategy, REQUIRED)
+    if strategy == "drop":
+        wanted = [tuple(r) for r in made if None not in r[:4]]
+    else:
+        wanted = [(*[c or "" for c in r[:4]], r[4]) for r in made]
+    assert sorted(map(tuple, df.collect()), key=str) == sorted(wanted, key=str)
 
 
 def test_fill_number_columns_that_are_still_text(spark, csv):
@@ -126,11 +135,12 @@ def test_unknown_strategy(spark):
 
 
 def test_null_report(spark, csv):
-    df = with_row_index(read_employees(spark, csv(GAPS), REQUIRED, file_order=True))
+    made = records(5, 300, gap=0.08)
+    gaps = [[c for c, cell in zip(REQUIRED, row) if cell is None] for row in made]
+    df = with_row_index(read_employees(spark, csv(as_csv(made)), REQUIRED, file_order=True))
     found = {r["row_index"]: r["null_columns"] for r in null_rows(df, REQUIRED).collect()}
-    assert found == {1: ["name"], 2: ["department"]}
-    assert {tuple(r) for r in null_counts(df, REQUIRED).collect()} == {
-        ("employee_id", 0), ("name", 1), ("department", 1), ("hire_date", 0)}
+    assert found == {i: g for i, g in enumerate(gaps) if g}
+    assert dict(map(tuple, null_counts(df, REQUIRED).collect())) == {c: sum(c in g for g in gaps) for c in REQUIRED}
 
 
 def test_nan_counts_as_null(spark):
@@ -140,9 +150,12 @@ def test_nan_counts_as_null(spark):
 
 
 def test_keep_latest(spark, csv):
-    df = keep_latest(read_employees(spark, csv(REPEATS), REQUIRED), "employee_id", "hire_date")
-    rows = {r["employee_id"]: (r["hire_date"], r["shift"]) for r in df.collect()}
-    assert rows == {"k7": ("2003-05-30", "night"), "k8": ("2005-08-15", "late"), "k9": ("2006-07-07", "night")}
+    made = records(6, 500, keys=40)
+    df = keep_latest(read_employees(spark, csv(as_csv(made)), REQUIRED), "employee_id", "hire_date")
+    latest = {}
+    for row in sorted(made, key=lambda r: r[3]):
+        latest[row[0]] = tuple(row)
+    assert {r["employee_id"]: tuple(r) for r in df.collect()} == latest
 
 
 def test_keep_latest_edges(spark):
