@@ -121,9 +121,17 @@ def require_same_count(sent: int, stored: int, what: str) -> None:
 
 
 def class_counts(df: DataFrame, label: str) -> dict[int, int]:
-    """Rows per class; warns below 100 rows and raises if a class has fewer than two."""
-    counts = {int(r[label]): r["count"] for r in df.groupBy(label).count().collect()}
-    total = sum(counts.values())
+    """Rows per class, 0 and 1, from one aggregate of fixed size.
+
+    Raises if the label is null or anything else in some row, or if a class has
+    fewer than two rows; warns below 100 rows. A class without rows is left out.
+    """
+    value = F.col(label)
+    found = df.agg(F.count_if(value == 0).alias("no"), F.count_if(value == 1).alias("yes"), F.count("*").alias("rows")).first()
+    total = found["rows"]
+    if found["no"] + found["yes"] < total:
+        raise ValueError(f"{label} is neither 0 nor 1 in {total - found['no'] - found['yes']} rows")
+    counts = {c: n for c, n in ((0, found["no"]), (1, found["yes"])) if n}
     if total < SMALL_DATA:
         warnings.warn(f"Only {total} rows: a model on fewer than {SMALL_DATA} records may be "
                       "unreliable", UserWarning, stacklevel=3)

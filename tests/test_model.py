@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rostermart.config import ModelSpec
+from rostermart.operators.quality import class_counts
 from rostermart.plans import model as ml
 from rostermart.sources import scratch
 
@@ -104,6 +105,16 @@ def test_unsupported(spark):
     assert "min_samples_split" in str(seen[0].message)
 
 
+def test_a_label_of_many_values_is_counted_and_not_collected(spark):
+    df = spark.range(300).selectExpr("id", "cast(id as int) as attrition", "nullif(id % 3, 2) as gaps", "id % 2 as fine", "1 as ones")
+    with pytest.raises(ValueError, match="attrition is neither 0 nor 1 in 298 rows"):
+        class_counts(df, "attrition")
+    with pytest.raises(ValueError, match="gaps is neither 0 nor 1 in 100 rows"):
+        class_counts(df, "gaps")
+    assert class_counts(df, "fine") == {0: 150, 1: 150}
+    assert class_counts(df, "ones") == {1: 300}
+
+
 def test_split_is_stable_and_stratified(spark):
     df = frame(spark, 5000)
     train, test = ml.stratified_split(df, "attrition", 0.2, 7, ["employee_id"])
