@@ -18,8 +18,9 @@ from rostermart.operators.clean import coerce_types, coercion_log, feature_log
 from rostermart.operators.encode import bucket_columns, label_encode, model_frame, onehot_encode, onehot_vector
 from rostermart.operators.features import derive_features
 from rostermart.operators.latest import drop_repeated_rows, keep_latest
-from rostermart.operators.nulls import null_counts, null_rows, treat_nulls
-from rostermart.operators.quality import check_rules, orphans, repeated_keys
+from rostermart.operators.nulls import null_counts, null_rows, require_columns, treat_nulls
+from rostermart.operators.quality import (
+    CountMismatchError, check_rules, class_counts, orphans, repeated_keys, require_rows, require_same_count, with_defaults)
 from rostermart.plans.measures import employee_profile
 from rostermart.plans.run import first_seen_order, ingest_file, named_and_formats
 from rostermart.plans.star import misfits
@@ -391,6 +392,47 @@ def quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(repeats).unionByName(lost)
 
 
+@query("o_orderkey:i o_orderpriority:s region:s", """
+  SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'none' ELSE o_orderpriority END AS o_orderpriority, 'Unknown' AS region FROM orders""")
+def defaults_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gaps in a column and a column that is not there get their default."""
+    rows = m.table(spark, sf_dir, "orders").withColumn("o_orderpriority", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderpriority")))
+    return with_defaults(rows, {"o_orderpriority": "none", "region": "Unknown"})
+
+
+@query("label:i rows:i", "SELECT CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS label, count(*) AS rows FROM orders GROUP BY ALL")
+def label_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = m.from_orders(m.table(spark, sf_dir, "orders"))
+    return spark.createDataFrame(list(class_counts(rows, "attrition").items()), "label int, rows long")
+
+
+@query("refused:s because:s", """
+  SELECT 'columns' AS refused, 'Missing required columns: badge, o_week' AS because
+  UNION ALL SELECT 'empty', 'No rows in orders of status X; the load is given up'
+  UNION ALL SELECT 'counts', 'orders: ' || count(*) || ' rows sent, ' || count(*) FILTER (o_orderstatus = 'F') || ' stored' FROM orders
+  UNION ALL SELECT 'label', 'o_custkey is neither 0 nor 1 in ' || count(*) FILTER (o_custkey NOT IN (0, 1)) || ' rows' FROM orders
+  UNION ALL SELECT 'path', 'there is no such file'""")
+def refused_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the checks of inputs say about the orders."""
+    orders, nowhere = m.table(spark, sf_dir, "orders"), scratch.new_path(spark, "nowhere")
+    done = orders.where("o_orderstatus = 'F'")
+    cases = {
+        "columns": lambda: require_columns(orders, ["o_week", "o_orderkey", "badge"]),
+        "empty": lambda: require_rows(orders.where("o_orderstatus = 'X'"), "orders of status X"),
+        "counts": lambda: require_same_count(orders.count(), done.count(), "orders"),
+        "label": lambda: class_counts(orders, "o_custkey"),
+        "path": lambda: read_employees(spark, nowhere)}
+    found = []
+    for name, check in cases.items():
+        try:
+            check()
+        except FileNotFoundError as error:
+            found.append((name, "there is no such file" if str(error) == nowhere else str(error)))
+        except (ValueError, CountMismatchError) as error:
+            found.append((name, str(error)))
+    return spark.createDataFrame(found, "refused string, because string")
+
+
 def _described(column: str) -> str:
     parts = {"count": f"CAST(count({column}) AS DOUBLE)", "mean": f"sum({column})::DOUBLE / count({column})",
              "std": f"stddev_samp({column}::DOUBLE)", "min": f"min({column})::DOUBLE",
