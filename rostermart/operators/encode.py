@@ -5,7 +5,6 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.ml.feature import OneHotEncoder
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +20,9 @@ log = logging.getLogger(__name__)
 CODE = "_code_"
 #: Columns of so many values at most carry their values as names of a vector's places.
 NAMED_VALUES = 1000
+#: Metadata of a vector whose places are called by their numbers: how many there are.
+NUMBERED = "numbered_places"
+VECTORS = "_vectors_"
 
 
 def text_columns(df: DataFrame, but: Sequence[str] = ()) -> list[str]:
@@ -110,18 +112,27 @@ def onehot_vector(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     values gives vectors of one place.
     """
     codes, sizes = category_index(df, columns)
-    rows, indexed = df, [f"{c}_idx" for c in columns]
-    for column, index, size in zip(columns, indexed, sizes, strict=True):
-        named = codes[column].select(F.col("value").alias(column), F.col("code").cast("double").alias(index))
-        # The place after the last value stands for null, and is the one that the encoder drops.
-        known = {"type": "nominal", "name": index, "num_vals": max(size, 1) + 1}
+    rows, vectors, described = df, {}, {}
+    for column, size in zip(columns, sizes, strict=True):
+        index, width = f"{column}_idx", max(size, 1)
+        known: dict = {"num_attrs": width}
         if 0 < size <= NAMED_VALUES:
             values = [r["value"] for r in codes[column].orderBy("code").collect()]
-            known = {"type": "nominal", "name": index, "vals": [*values, "\0"]}
-        rows = rows.join(named, column, "left").withColumn(index, F.coalesce(index, F.lit(float(max(size, 1))))).withMetadata(index, {"ml_attr": known})
-    encoder = OneHotEncoder(inputCols=indexed, outputCols=[f"{c}_vec" for c in columns], dropLast=True)
+            known["attrs"] = {"binary": [{"idx": i, "name": v} for i, v in enumerate(values)]}
+        named = codes[column].select(F.col("value").alias(column), F.col("code").cast("int").alias(index))
+        rows = rows.join(named, column, "left")
+        hot = F.col(f"`{index}`").isNotNull()
+        vectors[f"{column}_vec"] = F.struct(
+            F.lit(0).alias("type"), F.lit(width).alias("size"),
+            F.when(hot, F.array(f"`{index}`")).otherwise(F.array().cast("array<int>")).alias("indices"),
+            F.when(hot, F.array(F.lit(1.0))).otherwise(F.array().cast("array<double>")).alias("values"))
+        described[f"{column}_vec"] = {"ml_attr": known} | ({} if "attrs" in known else {NUMBERED: width})
+    # A vector is read from its parts: MLlib's encoder lists the name of every place on the driver.
+    kind = T.StructType([T.StructField(name, VectorUDT()) for name in vectors])
+    read = F.from_json(F.to_json(F.struct(*[parts.alias(name) for name, parts in vectors.items()])), kind)
     kept = [c for c in df.columns if c not in columns]
-    return encoder.fit(rows).transform(rows).select(*[F.col(f"`{c}`") for c in kept], *[f"`{c}_vec`" for c in columns])
+    return rows.withColumn(VECTORS, read).select(*[F.col(f"`{c}`") for c in kept], *[
+        F.col(VECTORS).getField(name).alias(name, metadata=known) for name, known in described.items()])
 
 
 def encode_categoricals(df: DataFrame, strategy: str, columns: Sequence[str],

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from rostermart.config import ModelSpec
+from rostermart.operators.encode import NUMBERED
 from rostermart.operators.ordering import quantiles
 from rostermart.operators.quality import class_counts
 from rostermart.sources import scratch
@@ -150,6 +151,8 @@ def feature_names(df: DataFrame, columns: Sequence[str]) -> list[str]:
 
     def places(c: str) -> list[str]:
         named = df.schema[c].metadata.get("ml_attr", {}).get("attrs", {}).get("binary", [])
+        if df.schema[c].metadata.get(NUMBERED) == sizes[c].size:
+            return [f"{c.removesuffix('_vec')}_{i}" for i in range(sizes[c].size)]
         if len(named) == sizes[c].size and all("name" in a for a in named):
             return [f"{c.removesuffix('_vec')}_{a['name']}" for a in sorted(named, key=lambda a: a["idx"])]
         return [f"{c}[{i}]" for i in range(sizes[c].size)]

@@ -9,7 +9,7 @@ from rostermart.config import JobSpec, ModelSpec
 from rostermart.operators.encode import (
     bucket_columns, encode_categoricals, label_encode, model_frame, onehot_encode, onehot_vector)
 from rostermart.operators.ordering import dense_ids, positions, quantiles
-from rostermart.plans.model import score, train
+from rostermart.plans.model import feature_names, score, train
 from tests.conftest import plan_of
 
 
@@ -69,6 +69,14 @@ def test_onehot_vector_of_many_values(spark):
     assert got.count() == 100_000
 
 
+def test_onehot_places_are_not_listed(spark):
+    """A vector of many places carries their number and not a name for each, which would lie on the driver."""
+    rows = spark.range(3000).select(F.concat(F.lit("v"), "id").alias("wide"), F.concat(F.lit("g"), F.col("id") % 2).alias("few"))
+    got = onehot_vector(rows, ["wide", "few"])
+    assert len(got.schema["wide_vec"].json()) < 1000
+    assert feature_names(got, ["wide_vec", "few_vec"]) == [*[f"wide_{i}" for i in range(3000)], "few_g0", "few_g1"]
+
+
 def test_models_take_sparse_vectors(spark):
     rows = spark.range(600).select(
         F.col("id").cast("string").alias("employee_id"), (F.col("id") % 7).alias("age"),
