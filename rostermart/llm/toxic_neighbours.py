@@ -43,6 +43,10 @@ from rostermart.llm.tidy import tidy
 PREFIXES = (4, 5, 6)
 BLOCK, K, SOFT, PRIOR = 64, 15, 0.1, 1.0
 COMMON, FIRST, AT_ONCE = 0.1, 8, 128
+#: Counts sent in one batch, and postings that are weighed at once.
+SENT, WEIGHED = 1 << 16, 1 << 17
+#: Postings of a text that are added up at once.
+PIECE = 12_000
 
 
 def terms_of(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -81,15 +85,18 @@ def count_documents(documents: DataFrame, terms: np.ndarray) -> tuple[np.ndarray
     sent = documents.sparkSession.sparkContext.broadcast(np.sort(terms.view(U64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = sent.value
+        known, n = sent.value, 0
+        doors, total = _doors(known), np.zeros(len(known), np.int64)
         for batch in batches:
-            total = np.zeros(len(known), np.int64)
+            n += batch.num_rows
             for _, _, rows, hashes in terms_of(batch.column(0)):
-                r, t = _known(rows, hashes, known)
+                r, t = _known(rows, hashes, known, doors)
                 total += np.bincount(np.unique(r * len(known) + t) % len(known), minlength=len(known))
-            found = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(known[found].view(np.int64), 0)), pa.array(np.append(total[found], 0)),
-                                              pa.array(np.append(np.zeros(len(found), np.int64), batch.num_rows))], names=["term", "df", "n"])
+        found = np.flatnonzero(total)
+        for lo in range(0, len(found) + 1, SENT):
+            part = found[lo:lo + SENT]
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(known[part].view(np.int64), 0)), pa.array(np.append(total[part], 0)),
+                                              pa.array(np.append(np.zeros(len(part), np.int64), 0 if lo else n))], names=["term", "df", "n"])
 
     counted = documents.select("text").mapInArrow(tidy(run), "term long, df long, n long").groupBy("term").agg(F.sum("df").alias("df"), F.sum("n").alias("n")).toArrow()
     term, df = counted.column("term").to_numpy(), counted.column("df").to_numpy()
@@ -101,11 +108,27 @@ def count_documents(documents: DataFrame, terms: np.ndarray) -> tuple[np.ndarray
     return out, int(counted.column("n").to_numpy().sum())
 
 
-def _known(rows: np.ndarray, hashes: np.ndarray, sorted_terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _doors(sorted_terms: np.ndarray) -> tuple[np.ndarray, np.uint64]:
+    """Where the terms of each run of upper bits begin, about one term to a run, and the shift that gives a hash's run."""
+    bits = max(1, int(len(sorted_terms)).bit_length())
+    shift = U64(64 - bits)
+    return np.searchsorted(sorted_terms, np.arange(1 << bits, dtype=U64) << shift).astype(np.int32), shift
+
+
+def _known(rows: np.ndarray, hashes: np.ndarray, sorted_terms: np.ndarray, doors: tuple[np.ndarray, np.uint64] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The occurrences of known terms, as rows and places in ``sorted_terms``."""
-    at = np.minimum(np.searchsorted(sorted_terms, hashes), len(sorted_terms) - 1)
-    same = sorted_terms[at] == hashes
-    return rows[same], at[same]
+    first, shift = doors or _doors(sorted_terms)
+    last = len(sorted_terms) - 1
+    at = np.minimum(first[(hashes >> shift).view(np.int64)], last)
+    found = sorted_terms[at]
+    behind = np.flatnonzero(found < hashes)
+    while len(behind):  # hashes are spread, so a run has few terms
+        behind = behind[at[behind] < last]
+        at[behind] += 1
+        found[behind] = sorted_terms[at[behind]]
+        behind = behind[found[behind] < hashes[behind]]
+    same = found == hashes
+    return rows[same], at[same].astype(np.int64)
 
 
 @dataclass
@@ -126,11 +149,12 @@ class Index:
     offset: float = 0.0
     tf: np.ndarray | None = None
     length: np.ndarray | None = None
+    doors: tuple[np.ndarray, np.uint64] | None = None
 
     def __getstate__(self) -> dict:
         """Postings as example and count; the weights and the rows of common terms are made from them again."""
         small = lambda x: x.astype(np.min_scalar_type(int(x.max(initial=0))))
-        held = {k: v for k, v in self.__dict__.items() if k not in ("blocks", "largest", "weights", "ids", "tf", "pointer")}
+        held = {k: v for k, v in self.__dict__.items() if k not in ("blocks", "largest", "weights", "ids", "tf", "pointer", "doors")}
         return held | {"ids": small(self.ids), "tf": small(self.tf), "many": small(np.diff(self.pointer))}
 
     def __setstate__(self, held: dict) -> None:
@@ -140,12 +164,16 @@ class Index:
 
     def _weigh(self) -> None:
         """Weights of the postings, and the rows of the common terms with their largest weights in each block."""
-        t = np.repeat(np.arange(len(self.terms)), np.diff(self.pointer))
-        self.ids, self.tf = self.ids.astype(np.int32), self.tf.astype(np.int64)
-        self.weights = (1 + np.log(self.tf)) * self.factor[t] / self.length[self.ids]
-        often = self.common[t] >= 0
+        self.ids, self.weights = self.ids.astype(np.int32), np.empty(len(self.ids))
         self.blocks = np.zeros((-(-len(self.y) // BLOCK), int((self.common >= 0).sum()), BLOCK))
-        self.blocks[self.ids[often] // BLOCK, self.common[t[often]], self.ids[often] % BLOCK] = self.weights[often]
+        for lo in range(0, len(self.ids), WEIGHED):  # a worker opens the index beside others: no copies as long as all postings
+            own = slice(lo, min(lo + WEIGHED, len(self.ids)))
+            t = np.searchsorted(self.pointer, np.arange(own.start, own.stop), "right") - 1
+            ids = self.ids[own]
+            w = self.weights[own] = (1 + np.log(self.tf[own].astype(np.int64))) * self.factor[t] / self.length[ids]
+            often = self.common[t] >= 0
+            self.blocks[ids[often] // BLOCK, self.common[t[often]], ids[often] % BLOCK] = w[often]
+        self.doors = _doors(self.terms)
         self.largest = self.blocks.max(2).T
 
     def vectors(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -154,7 +182,7 @@ class Index:
             if not len(self.terms):
                 yield lo, n, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
                 continue
-            r, t = _known(rows, hashes, self.terms)
+            r, t = _known(rows, hashes, self.terms, self.doors)
             key, tf = np.unique(r * len(self.terms) + t, return_counts=True)
             r, t = key // len(self.terms), key % len(self.terms)
             w = (1 + np.log(tf)) * self.factor[t]
@@ -193,12 +221,16 @@ class Index:
         dense[r[often], self.common[t[often]]] = w[often]
         r, t, w = r[~often], t[~often], w[~often]
         lo, many = self.pointer[t], self.pointer[t + 1] - self.pointer[t]
-        edges = np.searchsorted(r, np.arange(n + 1))
+        edges, ends, counting = np.searchsorted(r, np.arange(n + 1)), np.cumsum(many), np.arange(PIECE + len(self.y))
         for i in np.flatnonzero(np.diff(edges)):
             own = slice(edges[i], edges[i + 1])
-            before = np.cumsum(many[own]) - many[own]
-            at = np.repeat(lo[own] - before, many[own]) + np.arange(many[own].sum())
-            sims[i] = np.bincount(self.ids[at], self.weights[at] * np.repeat(w[own], many[own]), minlength=sims.shape[1])
+            for piece in self._pieces(own.start, own.stop, ends):
+                last = np.cumsum(many[piece])
+                at = np.repeat(lo[piece] - last + many[piece], many[piece])
+                at += counting[:len(at)]
+                weights = np.repeat(w[piece], many[piece])
+                weights *= self.weights.take(at)
+                sims[i] += np.bincount(self.ids.take(at), weights, minlength=sims.shape[1])
         skipped = np.flatnonzero(skip >= 0)
         bound = sims.reshape(n, many_blocks, BLOCK).max(2) + dense @ self.largest
         best = np.argsort(-bound, axis=1, kind="stable")[:, :FIRST]
@@ -215,6 +247,15 @@ class Index:
                 wanted = closed & (bound > 0) & (bound >= floor[:, None] - 1e-11)
         return sims
 
+    @staticmethod
+    def _pieces(lo: int, hi: int, ends: np.ndarray) -> Iterator[slice]:
+        """Runs of the terms ``lo`` to ``hi`` of about PIECE postings, of which ``ends`` has the running number, so that they stay in the cache."""
+        while lo < hi:
+            start = int(ends[lo - 1]) if lo else 0
+            upto = min(hi, max(lo + 1, int(np.searchsorted(ends, start + PIECE, "right"))))
+            yield slice(lo, upto)
+            lo = upto
+
     def raw(self, sims: np.ndarray, ids: np.ndarray) -> float:
         """The log odds of the votes."""
         v = self.vote[ids] / (1 - np.minimum(sims, 1) + SOFT) * sims
