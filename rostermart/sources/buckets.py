@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rostermart.schemas import ddl
 
-#: Rows that a bucket is meant to have; a table of twice as many is dealt anew.
-BUCKET_ROWS = 1_000_000
+#: Rows that a bucket is meant to have; a table of twice as many is dealt anew. One task sorts a bucket.
+BUCKET_ROWS = 125_000
 
 
 def bucket_count(rows: int, held: int | None = None, per_bucket: int = BUCKET_ROWS) -> int:
