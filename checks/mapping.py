@@ -52,7 +52,7 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     key = F.col("c_custkey")
-    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+    return customer.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).select(
         key.alias("employee_id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("department"),
         (20 + key % 45).cast("int").alias("age"),
         F.when(key % 3 == 0, "Male").when(key % 3 == 1, "Female").otherwise("Non-Binary").alias("gender"),
@@ -68,7 +68,7 @@ def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest record per person; repeats go before the join, so a hot person does not reach it."""
     records = from_orders(table(spark, sf_dir, "orders"))
     latest = keep_latest(records, "employee_id", "hire_date", [F.col("src_ordinal").desc()])
-    return latest.join(people(spark, sf_dir), "employee_id")
+    return latest.join(people(spark, sf_dir).hint("merge"), "employee_id")  # as many people as records, too many to broadcast
 
 
 def featured(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,12 +11,22 @@ from pyspark.sql import functions as F
 from rostermart.operators.ordering import dense_ids
 
 ACTION = "merge_action"
+#: A side of a join with more rows is not sent through the driver, however small its files are.
+SENT_ROWS = 50_000
 
 
 class RepeatedSourceKeyError(ValueError):
     """The merge source holds a key more than once."""
 
 
+def beside(side: DataFrame, rows: int) -> DataFrame:
+    """A join's side of at most ``rows`` rows, which Spark may broadcast only if these are few.
+
+    Spark goes by the size of files, and those of keys are small even for millions of rows.
+    """
+    return side.hint("merge") if rows > SENT_ROWS else side
+
+
 def require_unique(source: DataFrame, keys: Sequence[str], equal_rows: bool = False) -> None:
     """Raise if a fully known key has two rows; with ``equal_rows``, two different ones.
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rostermart.functions.dates import calendar_rows, date_key
 from rostermart.functions.places import UNKNOWN, place_parts
+from rostermart.operators.merge import beside
 from rostermart.schemas import DIMENSIONS, FACT, KEY_OF, STAGING
 
 # Attributes the staging data does not carry.
@@ -134,11 +135,12 @@ RESOLVED_FROM_STAGING = (
 
 
 def resolve_keys(staging: DataFrame, dimensions: dict[str, DataFrame],
-                 collation: str | None = None) -> DataFrame:
+                 collation: str | None = None, employees: int = 0) -> DataFrame:
     """Staging rows with the five dimension keys and ``reject_reasons`` (the dimensions missed).
 
     One pass of left joins; rows with an empty reason list are facts. With a
-    ``collation`` such as ``UTF8_LCASE`` the text keys match by it.
+    ``collation`` such as ``UTF8_LCASE`` the text keys match by it. ``employees`` is the
+    number of rows of the employee dimension, if known: a large one is shuffled.
     """
     place = place_parts(F.col("location"))
     keyed = staging.withColumns({
@@ -152,7 +154,7 @@ def resolve_keys(staging: DataFrame, dimensions: dict[str, DataFrame],
             keyed = keyed.withColumns({c: F.collate(c, collation) for c in text})
             lookup = lookup.withColumns({c: F.collate(c, collation) for c in text})
         found = f"_has_{name}"
-        keyed = keyed.join(lookup.withColumn(found, F.lit(True)), list(on), "left")
+        keyed = keyed.join(beside(lookup.withColumn(found, F.lit(True)), employees if name == "employee" else 0), list(on), "left")
     misses = F.filter(F.array(*[F.when(F.col(f"_has_{n}").isNull(), F.lit(n)) for n in LOOKUPS]),
                       lambda r: r.isNotNull())
     return keyed.withColumn("reject_reasons", misses).select(

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rostermart.operators.merge import (
-    ACTION, RepeatedSourceKeyError, merge_by_outer_join, merge_type1, one_row_per_key, require_unique)
+    ACTION, RepeatedSourceKeyError, beside, merge_by_outer_join, merge_type1, one_row_per_key, require_unique)
 from rostermart.operators.ordering import positions
 from rostermart.operators.quality import EmptyInputError, broken_rules, check_rules, require_same_count
 from rostermart.plans import star as s
@@ -240,7 +240,7 @@ class StarStore:
         dealt = buckets.bucket_count(max(water.get("employee", 0), result.staging_rows), state.buckets if state else None)
         tables = self._merge_dimensions(staged, as_of, run_id, state, result, water, reset_constants, keep_first, dealt)
         written = {n: self.spark.read.schema(ddl(DIMENSIONS[n])).parquet(f"{self.root}/{p}") for n, p in tables.items()}
-        resolved = s.resolve_keys(staged, written, collation)
+        resolved = s.resolve_keys(staged, written, collation, water["employee"])
         fact = self._merge_fact(resolved, run_id, state, result, water)
         return {"tables": tables, "fact": fact_layers.to_state(fact), "high_water": water, "buckets": dealt,
                 "history_rows": self._keep_history(run_id, as_of)}
@@ -267,7 +267,7 @@ class StarStore:
                 f"{self.root}/{tables[name]}", name)
 
         def merge_employees() -> tuple[dict[str, int], dict[str, int]]:
-            return self._merge_employees(s.employee_source(staged, as_of), run_id, state, water.get("employee", 0), dealt, keep_first)
+            return self._merge_employees(s.employee_source(staged, as_of), run_id, state, water.get("employee", 0), dealt, keep_first, result.staging_rows)
 
         def add_dates() -> tuple[dict[str, int], dict[str, int]]:
             known = self._dimension("date", state)
@@ -289,7 +289,7 @@ class StarStore:
         return tables
 
     def _merge_employees(self, source: DataFrame, run_id: str, state: State | None, water: int, dealt: int,
-                         keep_first: bool) -> tuple[dict[str, int], dict[str, int]]:
+                         keep_first: bool, rows: int) -> tuple[dict[str, int], dict[str, int]]:
         """The one dimension that grows with the facts lies in buckets by its natural key.
 
         The source is shuffled once, into the same buckets; the target is joined as it lies.
@@ -313,8 +313,8 @@ class StarStore:
                 target = self._dimension("employee", state).repartition(dealt, *keys)
             fresh = lying.select(*keys)
             if target is not None:
-                fresh = fresh.join(target.select(*keys), keys, "left_anti")
-            ids = positions(fresh, keys, key, first=water + 1)
+                fresh = fresh.join(beside(target.select(*keys), water), keys, "left_anti")
+            ids = beside(positions(fresh, keys, key, first=water + 1), rows)
             merged = merge_by_outer_join(target, lying, ids, keys, [c for c in given if c not in keys], key,
                                          ["termination_date"] if keep_first else []).select(*columns, ACTION)
             return self._write_merged(merged, self._path(run_id, "dim_employee"), "employee", partial(buckets.write, keys=keys, buckets=dealt))
@@ -352,9 +352,9 @@ class StarStore:
             touched = {p: v for p, v in touched.items() if p in hit}
         fresh, known = source.select(*KEYS), None
         if touched:
-            known = fact_layers.read(self.spark, self.root, touched, ["metric_id"]).select(*KEYS, F.col("metric_id").alias("_old"))
+            known = beside(fact_layers.read(self.spark, self.root, touched, ["metric_id"]).select(*KEYS, F.col("metric_id").alias("_old")), water["fact"])
             fresh = fresh.join(known, list(KEYS), "left_anti")
-        ids = positions(fresh, ["date_key", "employee_key"], "_new", first=water.get("fact", 0) + 1)
+        ids = beside(positions(fresh, ["date_key", "employee_key"], "_new", first=water.get("fact", 0) + 1), result.staging_rows)
         rows = source.join(ids, list(KEYS), "left")
         number = F.col("_new")
         if known is not None:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from checks import mapping as m
 from rostermart.operators.merge import (
-    RepeatedSourceKeyError, insert_absent, merge_by_outer_join, merge_type1, one_row_per_key, require_unique)
+    RepeatedSourceKeyError, beside, insert_absent, merge_by_outer_join, merge_type1, one_row_per_key, require_unique)
 from rostermart.operators.quality import EmptyInputError, check_rules, check_star, require_same_count, with_defaults
 from rostermart.plans.star import resolve_keys, to_staging
 from rostermart.schemas import STAGING_RULES
@@ -298,6 +298,19 @@ def test_bucket_counts():
     assert [buckets.bucket_count(n, 2, per_bucket=10) for n in (1, 40, 41)] == [2, 2, 8]
 
 
+def test_a_bucket_is_work_for_one_task():
+    """Some hundred thousand employees are not sorted by a single task."""
+    assert all(n / buckets.bucket_count(n) <= 250_000 for n in (899_940, 5_400_000))
+    assert 1_500_000 / buckets.bucket_count(1_500_000, buckets.bucket_count(300_000)) <= 250_000
+
+
+def test_a_large_side_is_not_sent_through_the_driver(spark):
+    rows, few = spark.range(100), spark.range(50)
+    assert "BroadcastHashJoin" in plan_of(rows.join(beside(few, 50), "id"))
+    assert "SortMergeJoin" in plan_of(rows.join(beside(few, 900_000), "id", "left"))
+    assert plan_of(rows.join(beside(few, 900_000), "id", "left_anti")).count("Broadcast") == 0
+
+
 def test_buckets_are_dealt_anew_when_they_grow(store, staged, monkeypatch):
     few = staged.orderBy("employee_id").limit(10)
     store.load(few, m.AS_OF)
