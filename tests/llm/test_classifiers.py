@@ -1,6 +1,7 @@
 """The byte network and the nearest labelled examples: held-out accuracy, exactness, defined cases."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -162,6 +163,22 @@ def test_terms_of_few_examples_count():
     assert raw["w1 w2 w3 vile7"] > raw["w1 w2 w3"] and index.score(raw["vile7"]) > 0.5
 
 
+def test_an_index_is_opened_without_copies_of_all_postings():
+    """Two million postings take 24 MB as examples and weights; what is made on the way stays small beside that."""
+    many, examples, terms = 1 << 21, 4096, 1 << 14
+    index = toxic_neighbours.Index(
+        np.arange(terms, dtype=np.uint64) << np.uint64(50), np.ones(terms), 0.5, np.zeros(examples, np.int64), [], np.zeros(0), np.full(terms, -1),
+        np.zeros((0, 0, 64)), np.zeros((0, 0)), np.arange(terms + 1) * (many // terms), np.tile(np.arange(many // terms, dtype=np.uint16), terms),
+        np.zeros(0), tf=np.ones(many, np.uint8), length=np.ones(examples))
+    tracemalloc.start()
+    try:
+        index._weigh()
+        assert tracemalloc.get_traced_memory()[1] < 48 << 20
+    finally:
+        tracemalloc.stop()
+    assert (index.weights == 1).all()
+
+
 def test_nearest_equals_a_scan_over_rare_terms():
     sample = rare_words(4)
     terms = toxic_neighbours.choose_terms(sample)
