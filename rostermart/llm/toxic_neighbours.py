@@ -28,7 +28,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -166,11 +165,13 @@ class Index:
         """Weights of the postings, and the rows of the common terms with their largest weights in each block."""
         self.ids, self.weights = self.ids.astype(np.int32), np.empty(len(self.ids))
         self.blocks = np.zeros((-(-len(self.y) // BLOCK), int((self.common >= 0).sum()), BLOCK))
+        logs = 1 + np.log(np.arange(1, int(self.tf.max(initial=1)) + 1))
         for lo in range(0, len(self.ids), WEIGHED):  # a worker opens the index beside others: no copies as long as all postings
             own = slice(lo, min(lo + WEIGHED, len(self.ids)))
-            t = np.searchsorted(self.pointer, np.arange(own.start, own.stop), "right") - 1
+            first, last = np.searchsorted(self.pointer, [own.start, own.stop - 1], "right") - 1
+            t = np.repeat(np.arange(first, last + 1), np.diff(self.pointer[first:last + 2].clip(own.start, own.stop)))
             ids = self.ids[own]
-            w = self.weights[own] = (1 + np.log(self.tf[own].astype(np.int64))) * self.factor[t] / self.length[ids]
+            w = self.weights[own] = logs[self.tf[own].astype(np.int64) - 1] * self.factor[t] / self.length[ids]
             often = self.common[t] >= 0
             self.blocks[ids[often] // BLOCK, self.common[t[often]], ids[often] % BLOCK] = w[often]
         self.doors = _doors(self.terms)
@@ -342,28 +343,29 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", per_class
     return fitted_bytes(sample, lambda rows: build(rows, terms, df, n, share))
 
 
-@lru_cache(maxsize=1)
-def _opened(index: bytes) -> Index:
-    """The index of a worker, opened once for all its tasks."""
-    return unpacked(index)
-
-
 def judge(documents: DataFrame, index: bytes) -> DataFrame:
     """All columns of the documents as ``row``, with score and evidence (doc_id, similarity and label of the nearest examples)."""
     sent = documents.sparkSession.sparkContext.broadcast(index)
-    kind = pa.list_(pa.struct([("doc_id", pa.string()), ("similarity", pa.float64()), ("label", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = _opened(sent.value)
+        index = unpacked(sent.value)  # for this task alone: an executor has more workers than tasks at a time, and those that wait must not hold it
+        names = pa.array(index.names, pa.string())
         alone = index.raw(np.zeros(0), np.zeros(0, np.int64)) if index.slope else 0.0
         for batch in batches:
             rows = batch.column("row")
-            raw, evidence = np.full(len(rows), alone), [[] for _ in range(len(rows))]
+            raw, many = np.full(len(rows), alone), np.zeros(len(rows) + 1, np.int32)
+            near, their = [np.zeros(0)], [np.zeros(0, np.int64)]
             for lo, n, r, t, w in index.vectors(rows.field("text")):
                 for i, (sims, ids) in enumerate(index.nearest_of(n, r, t, w)) if index.slope else ():
                     raw[lo + i] = index.raw(sims, ids)
-                    evidence[lo + i] = [{"doc_id": index.names[e], "similarity": float(s), "label": int(index.y[e])} for s, e in zip(sims, ids, strict=True)]
-            yield pa.RecordBatch.from_arrays([rows, pa.array(index.score(raw)), pa.array(evidence, kind)], names=["row", "score", "evidence"])
+                    many[lo + i + 1] = len(ids)
+                    near.append(sims)
+                    their.append(ids)
+            ids = np.concatenate(their)
+            each = pa.StructArray.from_arrays([names.take(pa.array(ids)), pa.array(np.concatenate(near)), pa.array(index.y[ids].astype(np.int32))],
+                                              names=["doc_id", "similarity", "label"])
+            evidence = pa.ListArray.from_arrays(pa.array(np.cumsum(many, dtype=np.int32)), each)
+            yield pa.RecordBatch.from_arrays([rows, pa.array(index.score(raw)), evidence], names=["row", "score", "evidence"])
 
     packed = documents.select(F.struct(*documents.columns).alias("row"))
     return packed.mapInArrow(tidy(run), f"row {dict(packed.dtypes)['row']}, score double, evidence array<struct<doc_id:string,similarity:double,label:int>>")

@@ -230,3 +230,19 @@ def test_filters_look_at_every_byte():
     for row, at in enumerate((100, 101)):
         chunks[row, at:at + 30] = np.arange(97, 127)
     assert np.allclose(*net.largest(chunks), atol=1e-5) and np.allclose(*net.pooled(chunks)[0], atol=1e-5)
+
+
+def test_workers_that_wait_hold_no_index(spark):
+    docs = spark.createDataFrame([(i, f"{'idiot' if i % 2 else 'kind'} word{i}") for i in range(40)], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    scored = toxic_neighbours.judged(docs, labels).collect()
+    assert all(r.evidence and r.evidence[0].label == r.predicted == r.doc_id % 2 for r in scored)
+
+    def held(batches):
+        import gc
+
+        list(batches)
+        yield pa.RecordBatch.from_arrays([pa.array([sum(type(o).__name__ == "Index" and hasattr(o, "ids") for o in gc.get_objects())])], names=["n"])
+
+    for _ in range(3):
+        assert {r.n for r in spark.range(0, 8, 1, 8).mapInArrow(held, "n long").collect()} == {0}
