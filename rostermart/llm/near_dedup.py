@@ -9,14 +9,18 @@
 3. Bands of ``rows`` signature values put classes into buckets. Each bucket sends
    pairs with one pivot, not all pairs. Pairs whose sizes or signatures cannot
    reach the threshold go (signature agreement more than seven deviations below
-   it); the others are compared on their full sets. Links form components.
+   it), and those whose parities, a bit for each of 1,024 hashes, differ in more
+   bits than linked sets differ in shingles; the others are compared on their full
+   sets. Links form components.
 4. Classes that met the same pivot and are in several components are joined by what
    they differ in from it. D(x) is the symmetric difference of x and the pivot; that
    of x and y has |D(x)| + |D(y)| - 2 |D(x) and D(y)| shingles. If x and y reach the
    threshold and one of them is not linked to the pivot, D(x) and D(y) therefore
-   share a stated least number of shingles, always one at least. So each class
+   share a stated least number of shingles, always one at least; that of a class
+   linked to the pivot is more than about half of its own. So each class
    offers the rarest shingles of D(x), as many as that number needs (prefix filter),
-   and pairs meet on those, under bounds on sizes, differences, positions and meetings. What a
+   and pairs meet on those, if what follows in both has room for all that this
+   pair has to share (positional filter), under bounds on sizes and differences. What a
    whole group shares, the pivot's own shingles included, is in nobody's prefix:
    texts that are alike and not linked make few pairs. A pair that meets is
    sent once in this round, whatever bands and pivots it shares (and at most once in
@@ -49,8 +53,9 @@ from rostermart.sources.scratch import saved
 PLACES = 128
 BANDS, BAND_ROWS = 25, 5
 USED = BANDS * BAND_ROWS
-#: Prefixes are so many shingles longer, less one, and pairs have to meet on as many more of them.
-DEEP = 4
+#: Bits of a set's parities; a multiple of 32.
+PARITIES = 1024
+WIDTH = USED + PARITIES // 32
 
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -112,8 +117,15 @@ def super_minhash(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
+def parities(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For each set PARITIES bits as 4-byte values: the parity of its members by a hash. Two sets differ in at least as many members as bits."""
+    n = len(first) - 1
+    at = np.repeat(np.arange(n), np.diff(first)) * PARITIES + (mix(values ^ U64(0x3C3C3C3CC3C3C3C3)) % U64(PARITIES)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=n * PARITIES) & 1).astype(np.uint8).reshape(n, PARITIES), axis=1).view(np.uint32)
+
+
 def _signed(documents: DataFrame, k: int) -> DataFrame:
-    """doc_id, row, n (set size), cls (16 bytes that name the set), sig (USED 4-byte values)."""
+    """doc_id, row, n (set size), cls (16 bytes that name the set), sig (WIDTH 4-byte values: the signature and the parities)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,7 +135,7 @@ def _signed(documents: DataFrame, k: int) -> DataFrame:
                 np.cumsum(mix(values), out=sums[0, 1:])
                 np.cumsum(mix(values ^ U64(0xA5A5A5A55A5A5A5A)), out=sums[1, 1:])
                 names = np.ascontiguousarray((sums[:, first[1:]] - sums[:, first[:-1]]).T)
-                signature = mix(super_minhash(values, first)[:, :USED]).astype(np.uint32)
+                signature = np.hstack([mix(super_minhash(values, first)[:, :USED]).astype(np.uint32), parities(values, first)])
                 head = batch.slice(lo, n)
                 yield pa.RecordBatch.from_arrays(
                     [head.column("doc_id"), head.column("row"), pa.array(np.diff(first)),
@@ -135,13 +147,14 @@ def _signed(documents: DataFrame, k: int) -> DataFrame:
 
 
 def _plausible(pairs: DataFrame, least: int) -> DataFrame:
-    """The pairs (a, b, sig_a, sig_b) whose signatures agree in at least ``least`` places."""
+    """The pairs (a, b, sig_a, sig_b, most) whose signatures agree in at least ``least`` places and whose parities differ in at most ``most``."""
 
     def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, USED) for c in ("sig_a", "sig_b"))
-                near = pa.array((a == b).sum(1) >= least)
+                a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, WIDTH) for c in ("sig_a", "sig_b"))
+                odd = np.bitwise_count(a[:, USED:] ^ b[:, USED:]).sum(1, dtype=np.int64)
+                near = pa.array(((a[:, :USED] == b[:, :USED]).sum(1) >= least) & (odd <= np.asarray(batch.column("most"))))
                 yield pa.RecordBatch.from_arrays([batch.column("a").filter(near), batch.column("b").filter(near)], names=["a", "b"])
 
     return pairs.mapInArrow(tidy(agree), "a binary, b binary")
@@ -259,39 +272,43 @@ def _differences(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     return _beside(pairs, texts).mapInArrow(tidy(compare), "pivot binary, cls binary, shingles array<long>")
 
 
+def _most(n: Column, percent: int) -> Column:
+    """The largest symmetric difference of two linked sets of ``n`` shingles together."""
+    return F.floor((100 - percent) * n / (100 + percent))
+
+
 def _prefix_pairs(members: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """a, b: pairs of one pivot's ``members`` (pivot, cls, n, root) in several components that their differences from it do not rule out."""
-    apart = saved(_differences(members.select(F.col("pivot").alias("a"), F.col("cls").alias("b")), texts, k), "differences")
-    spread = apart.select("pivot", "cls", F.explode("shingles").alias("shingle")).withColumn("shingle", F.xxhash64("pivot", "shingle"))
+    """a, b: pairs of one pivot's ``members`` (pivot, cls, n, n_pivot, root) in several components that their differences from it do not rule out."""
+    apart = saved(_differences(members.select(F.col("pivot").alias("a"), F.col("cls").alias("b")), texts, k)
+                  .withColumn("id", F.monotonically_increasing_id()), "differences")
+    # Members go by a number of 8 bytes, and roots by a hash.
+    sized = saved(members.join(apart.select("pivot", "cls", "id", F.size("shingles").cast("long").alias("d")), ["pivot", "cls"])
+                  .select("id", "pivot", "cls", "n", "n_pivot", "d", F.xxhash64("root").alias("root")), "sized")
+    spread = apart.select("id", "pivot", F.explode("shingles").alias("shingle")).select("id", F.xxhash64("pivot", "shingle").alias("shingle"))
     common = spread.groupBy("shingle").agg(F.count("*").alias("many")).where("many > 1")
 
-    def most(n: Column) -> Column:
-        """The largest symmetric difference of two linked sets of ``n`` shingles together."""
-        return F.floor((100 - percent) * n / (100 + percent))
-
     # Shingles that one member alone has come first in its prefix and meet nobody; of the others the rarest follow.
-    sized = members.join(apart.select("pivot", "cls", F.size("shingles").cast("long").alias("d")), ["pivot", "cls"])
-    shared = spread.join(common, "shingle")
-    order = Window.partitionBy("pivot", "cls").orderBy("many", "shingle")
-    ranked = (shared.withColumn("no", F.row_number().over(order))
-              .withColumn("of", F.count("*").over(Window.partitionBy("pivot", "cls"))).join(sized, ["pivot", "cls"])
+    order = Window.partitionBy("id").orderBy("many", "shingle")
+    ranked = (spread.join(common, "shingle").withColumn("no", F.row_number().over(order))
+              .withColumn("of", F.count("*").over(Window.partitionBy("id"))).join(sized.drop("pivot", "cls"), "id")
               .withColumn("at", F.col("d") - F.col("of") + F.col("no")))
-    least = F.greatest(F.lit(1), F.col("d") - most(F.col("n") + F.floor(100 * F.col("n") / percent)))
-    ranked = ranked.withColumn("least", least).withColumn("deep", F.least(F.lit(DEEP), "least"))
-    prefix = saved(ranked.where(F.col("at") <= F.col("d") - F.col("least") + F.col("deep"))
-                   .select("shingle", "pivot", "cls", "n", "d", "at", "root", "least", "deep"), "prefixes")
+    n, d, both = F.col("n"), F.col("d"), 100 + percent
+    # One of a pair at least is not linked to the pivot: its difference is above (100 - percent) * (n + n_pivot) / (100 + percent). So linked sets
+    # share more than half of (the other's difference + (100 - percent) * (n_pivot - n) / (100 + percent)), of whichever of the two is linked to it.
+    half = F.floor((both * d + (100 - percent) * (F.col("n_pivot") - n)) / (2 * both)) + 1
+    whole = d - _most(n + F.floor(100 * n / percent), percent)
+    least = F.greatest(F.lit(1), F.when(d <= _most(n + F.col("n_pivot"), percent), half).otherwise(whole))
+    prefix = saved(ranked.where(F.col("at") <= d - least + 1).select("shingle", "id", "n", "d", "at", "root"), "prefixes")
     x, y = (prefix.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in prefix.columns[1:]]) for side in "xy")
-    # Of ``shared`` common shingles all but the last ``least - deep`` of either side lie in its prefix.
-    room = most(F.col("n_x") + F.col("n_y"))
-    shared_least = F.ceil((F.col("d_x") + F.col("d_y") - room) / 2)
-    met_least = F.greatest(F.lit(1), shared_least - F.greatest(F.col("least_x") - F.col("deep_x"), F.col("least_y") - F.col("deep_y")))
-    alike = ((F.col("cls_x") < F.col("cls_y")) & (F.col("root_x") != F.col("root_y"))
-             & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) & (F.abs(F.col("d_x") - F.col("d_y")) <= room))
+    # The first shingle that two linked sets meet on leaves room for all the others that they have to share.
+    room = _most(F.col("n_x") + F.col("n_y"), percent)
     rest = F.least(F.col("d_x") - F.col("at_x"), F.col("d_y") - F.col("at_y")) + 1
-    found = x.join(y, "shingle").where(alike).select(
-        "pivot_x", F.col("cls_x").alias("a"), F.col("cls_y").alias("b"), met_least.alias("met_least"), (rest >= shared_least).alias("first_fits"))
-    return found.groupBy("pivot_x", "a", "b").agg(F.count("*").alias("met"), F.max("met_least").alias("met_least"), F.max("first_fits").alias("first_fits")).where(
-        "met >= met_least and first_fits").select("a", "b")
+    alike = ((F.col("id_x") < F.col("id_y")) & (F.col("root_x") != F.col("root_y"))
+             & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) & (F.abs(F.col("d_x") - F.col("d_y")) <= room)
+             & (2 * rest >= F.col("d_x") + F.col("d_y") - room))
+    found = saved(x.join(y, "shingle").where(alike).select("id_x", "id_y").distinct(), "found")
+    a, b = (sized.select(F.col("id").alias(f"id_{side}"), F.col("cls").alias(name)) for side, name in (("x", "a"), ("y", "b")))
+    return found.join(a, "id_x").join(b, "id_y").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -301,7 +318,6 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("lead"),
         F.max("n").alias("n"), F.max("sig").alias("sig")).withColumn("row", F.col("lead.row")), "classes")
     least = int(USED * (percent / 100 - 7 * (percent / 100 * (1 - percent / 100) / USED) ** 0.5))
-    side = classes.select("cls", "sig")
 
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
                         lambda i: F.xxhash64(i, F.substring("sig", i * 4 * BAND_ROWS + 1, F.lit(4 * BAND_ROWS))))
@@ -310,20 +326,22 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     met = saved(banded.join(first.select("band", F.col("p.cls").alias("pivot"), F.col("p.n").alias("n_pivot")), "band").where("cls <> pivot"), "buckets")
 
     # One text of each class that shares a bucket; only rows that a bitmap of their keys lets through are shuffled.
-    pooled = met.select("cls").unionByName(met.select(F.col("pivot").alias("cls"))).distinct().join(classes.select("cls", "row"), "cls")
-    pooled = saved(pooled, "pooled")
+    named = saved(met.select("cls").unionByName(met.select(F.col("pivot").alias("cls"))).distinct(), "named")
+    some = sifted(classes.select("cls", "row", "n", "sig", F.xxhash64("cls").alias("key")), "key", bitmap(named.select(F.xxhash64("cls").alias("key"))))
+    pooled = saved(some.drop("key").join(named, "cls"), "pooled")
+    side = pooled.select("cls", "n", "sig")
     texts_of = documents.select(row_key(F.col("doc_id"), F.col("text")).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
-    pool = saved(sifted(texts_of, "row", bitmap(pooled.select("row"))).join(pooled, "row").dropDuplicates(["cls"]), "pool")
+    pool = saved(sifted(texts_of, "row", bitmap(pooled.select("row"))).join(pooled.select("row", "cls"), "row").dropDuplicates(["cls"]), "pool")
 
     def texts_for(wanted: DataFrame) -> DataFrame:
         """cls, text for some classes."""
-        rows = saved(wanted.join(pooled, "cls").select("row", "cls"), "wanted")
+        rows = saved(wanted.join(pooled.select("row", "cls"), "cls").select("row", "cls"), "wanted")
         return sifted(pool.select("row", "text"), "row", bitmap(rows.select("row"))).join(rows, "row").select("cls", "text")
 
     def linked(pairs: DataFrame) -> DataFrame:
         """Of the pairs (a, b), those that reach the threshold."""
-        sized = (pairs.distinct().join(side.select(F.col("cls").alias("a"), F.col("sig").alias("sig_a")), "a")
-                 .join(side.select(F.col("cls").alias("b"), F.col("sig").alias("sig_b")), "b"))
+        a, b = (side.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}")) for x in "ab")
+        sized = pairs.distinct().join(a, "a").join(b, "b").select("a", "b", "sig_a", "sig_b", _most(F.col("n_a") + F.col("n_b"), percent).alias("most"))
         near = saved(_plausible(sized, least), "plausible")
         wanted = near.select(F.col("a").alias("cls")).unionByName(near.select(F.col("b").alias("cls"))).distinct()
         return saved(_verified(near, texts_for(wanted), k, percent), "links")
@@ -332,7 +350,7 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     links = linked(met.where(fits).select(F.col("pivot").alias("a"), F.col("cls").alias("b")))
     roots = saved(components(links), "roots")
     # A pivot has met all classes of its buckets. What is in one component needs no further pairs.
-    grouped = met.select("pivot", "cls", "n").distinct().join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    grouped = met.select("pivot", "cls", "n", "n_pivot").distinct().join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     grouped = saved(grouped, "grouped")
     several = grouped.groupBy("pivot").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("pivot")
     members = saved(grouped.join(several, "pivot"), "members")

@@ -119,6 +119,48 @@ def test_texts_that_are_alike_and_not_linked_make_few_pairs(spark, monkeypatch):
     assert sum(sent) < 300 * 299 / 2 / 4
 
 
+def test_parities_bound_the_difference():
+    rng = np.random.default_rng(4)
+    pool = rng.integers(0, 2 ** 63, 3000).astype(np.uint64)
+    sets = [np.sort(rng.choice(pool, n, replace=False)) for n in (0, 1, 50, 60, 2900, 2950)]
+    bits = near_dedup.parities(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))
+    assert bits.shape == (6, near_dedup.PARITIES // 32) and not bits[0].any()
+    for x, a in zip(sets, bits, strict=True):
+        for y, b in zip(sets, bits, strict=True):
+            odd, differ = int(np.bitwise_count(a ^ b).sum()), len(np.setxor1d(x, y))
+            assert odd <= differ and (odd - differ) % 2 == 0
+
+
+def test_full_sets_are_compared_for_pairs_near_the_threshold_only(spark, monkeypatch):
+    rng, compared, met = random.Random(9), [], []
+    verified, prefix_pairs = near_dedup._verified, near_dedup._prefix_pairs
+
+    def counted(pairs, texts, k, percent):
+        links = verified(pairs, texts, k, percent)
+        compared.append((pairs.count(), links.count()))
+        return links
+
+    def counted_pairs(*args):
+        pairs = prefix_pairs(*args)
+        met.append(pairs.distinct().count())
+        return pairs
+
+    monkeypatch.setattr(near_dedup, "_verified", counted)
+    monkeypatch.setattr(near_dedup, "_prefix_pairs", counted_pairs)
+    base, texts = [f"b{i}" for i in range(120)], []
+    for _ in range(250):  # words that go leave shingles which all share that lost the same one
+        own = list(base)
+        for at in sorted(rng.sample(range(120), rng.randrange(2, 8)), reverse=True):
+            own[at:at + 1] = [f"n{rng.randrange(40)}"] * rng.randrange(2)
+        texts.append(" ".join(own))
+    by_id = dict(enumerate(texts))
+    rows = near_dedup.near_duplicates(spark.createDataFrame(list(by_id.items()), "doc_id long, text string"), 3, 85).collect()
+    expected = brute.grouped(by_id, 3, 85)
+    assert {r.doc_id: r.component_id for r in rows} == expected
+    assert sum(pairs for pairs, _ in compared) <= 2 * sum(links for _, links in compared) + 20
+    assert sum(met) < 250 * 249 / 2 / 20
+
+
 @pytest.mark.parametrize(("k", "percent"), [(1, 50), (2, 80), (3, 85)])
 def test_groups_of_random_edits(spark, k, percent):
     rng, texts = random.Random(100 * k + percent), []
