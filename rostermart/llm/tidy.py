@@ -6,8 +6,10 @@ import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 Batches = Iterator[pa.RecordBatch]
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def release() -> None:
@@ -18,6 +20,16 @@ def release() -> None:
         trim(0)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python in batches of 4 MB, unless the session has a size of its own.
+
+    With Spark's 10,000 rows a batch was as long as a task's texts, and the buffers that an executor had sent them from
+    were freed by its next garbage collection only, a hundred MB a task. Results do not depend on batches.
+    """
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, str(4 << 20))
+
+
 def tidy(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
     """A function for mapInArrow that releases memory after its last batch."""
     def tidied(batches: Batches) -> Batches:

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from rostermart.llm.labelled import fitted, fitted_bytes, training_sample, unpacked
 from rostermart.llm.texts import (BYTE_VALUES, LETTERS, U64, _powers, find_words, held_out_expr, mix, slices)
-from rostermart.llm.tidy import tidy
+from rostermart.llm.tidy import small_batches, tidy
 
 PREFIXES = (4, 5, 6)
 BLOCK, K, SOFT, PRIOR = 64, 15, 0.1, 1.0
@@ -81,6 +81,7 @@ def count_documents(documents: DataFrame, terms: np.ndarray) -> tuple[np.ndarray
     """In how many documents each term occurs, over all of them, and the number of documents."""
     if not len(terms):
         return np.zeros(0), 0
+    small_batches(documents.sparkSession)
     sent = documents.sparkSession.sparkContext.broadcast(np.sort(terms.view(U64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,7 +91,7 @@ def count_documents(documents: DataFrame, terms: np.ndarray) -> tuple[np.ndarray
             n += batch.num_rows
             for _, _, rows, hashes in terms_of(batch.column(0)):
                 r, t = _known(rows, hashes, known, doors)
-                total += np.bincount(np.unique(r * len(known) + t) % len(known), minlength=len(known))
+                total += np.bincount(_distinct(r * len(known) + t) % len(known), minlength=len(known))
         found = np.flatnonzero(total)
         for lo in range(0, len(found) + 1, SENT):
             part = found[lo:lo + SENT]
@@ -107,6 +108,12 @@ def count_documents(documents: DataFrame, terms: np.ndarray) -> tuple[np.ndarray
     return out, int(counted.column("n").to_numpy().sum())
 
 
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    """The sorted keys, each once: sorting them costs a tenth of numpy's own way, a table of hashes."""
+    keys = np.sort(keys)
+    return keys[np.append(True, keys[1:] != keys[:-1])[:len(keys)]]
+
+
 def _doors(sorted_terms: np.ndarray) -> tuple[np.ndarray, np.uint64]:
     """Where the terms of each run of upper bits begin, about one term to a run, and the shift that gives a hash's run."""
     bits = max(1, int(len(sorted_terms)).bit_length())
@@ -149,31 +156,40 @@ class Index:
     tf: np.ndarray | None = None
     length: np.ndarray | None = None
     doors: tuple[np.ndarray, np.uint64] | None = None
+    rare: np.ndarray | None = None
+    begin: np.ndarray | None = None
 
     def __getstate__(self) -> dict:
         """Postings as example and count; the weights and the rows of common terms are made from them again."""
-        small = lambda x: x.astype(np.min_scalar_type(int(x.max(initial=0))))
-        held = {k: v for k, v in self.__dict__.items() if k not in ("blocks", "largest", "weights", "ids", "tf", "pointer", "doors")}
-        return held | {"ids": small(self.ids), "tf": small(self.tf), "many": small(np.diff(self.pointer))}
+        held = {k: v for k, v in self.__dict__.items() if k not in ("blocks", "largest", "weights", "rare", "begin", "ids", "tf", "pointer", "doors")}
+        return held | {"ids": _small(self.ids), "tf": _small(self.tf), "many": _small(np.diff(self.pointer))}
 
     def __setstate__(self, held: dict) -> None:
+        """Opens the index to search it; what only packing needs is let go."""
         many, held = held["many"], {k: v for k, v in held.items() if k != "many"}
         self.__dict__.update(held, pointer=np.append(0, np.cumsum(many, dtype=np.int64)))
         self._weigh()
+        self.ids = self.tf = self.pointer = None
 
     def _weigh(self) -> None:
-        """Weights of the postings, and the rows of the common terms with their largest weights in each block."""
-        self.ids, self.weights = self.ids.astype(np.int32), np.empty(len(self.ids))
+        """Examples and weights of the rare terms' postings, and the rows of the common terms with their largest weights in each block."""
+        many = np.where(self.common < 0, np.diff(self.pointer), 0)
+        self.begin = np.append(0, np.cumsum(many))
+        self.rare, self.weights = np.empty(self.begin[-1], np.int32), np.empty(self.begin[-1])
         self.blocks = np.zeros((-(-len(self.y) // BLOCK), int((self.common >= 0).sum()), BLOCK))
         logs = 1 + np.log(np.arange(1, int(self.tf.max(initial=1)) + 1))
+        to = 0
         for lo in range(0, len(self.ids), WEIGHED):  # a worker opens the index beside others: no copies as long as all postings
             own = slice(lo, min(lo + WEIGHED, len(self.ids)))
             first, last = np.searchsorted(self.pointer, [own.start, own.stop - 1], "right") - 1
             t = np.repeat(np.arange(first, last + 1), np.diff(self.pointer[first:last + 2].clip(own.start, own.stop)))
-            ids = self.ids[own]
-            w = self.weights[own] = logs[self.tf[own].astype(np.int64) - 1] * self.factor[t] / self.length[ids]
+            ids = self.ids[own].astype(np.int32)
+            w = logs[self.tf[own].astype(np.int64) - 1] * self.factor[t] / self.length[ids]
             often = self.common[t] >= 0
             self.blocks[ids[often] // BLOCK, self.common[t[often]], ids[often] % BLOCK] = w[often]
+            upto = to + len(t) - int(often.sum())
+            self.rare[to:upto], self.weights[to:upto] = ids[~often], w[~often]
+            to = upto
         self.doors = _doors(self.terms)
         self.largest = self.blocks.max(2).T
 
@@ -190,38 +206,30 @@ class Index:
             length = np.sqrt(np.bincount(r, w * w, minlength=n))
             yield lo, n, r, t, w / length[r]
 
-    def counted(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Row, term and count of each part of the vectors of all rows."""
-        parts = []
-        for lo, _, rows, hashes in terms_of(column):
-            r, t = _known(rows, hashes, self.terms)
-            key, tf = np.unique(r * len(self.terms) + t, return_counts=True)
-            parts.append((key // len(self.terms) + lo, key % len(self.terms), tf))
-        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
-
     def nearest(self, t: np.ndarray, w: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The K examples of highest similarity above 0 and these similarities."""
         return next(self.nearest_of(1, np.zeros(len(t), np.int64), t, w, np.array([skip])))
 
     def nearest_of(self, n: int, r: np.ndarray, t: np.ndarray, w: np.ndarray, skip: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """``nearest`` of each of ``n`` vectors, whose parts are sorted by vector."""
-        for lo in range(0, n, AT_ONCE):
-            hi = min(n, lo + AT_ONCE)
+        edges = np.linspace(0, n, -(-n // AT_ONCE) + 1).astype(np.int64)  # groups of one size: a small last one costs nearly as much
+        for lo, hi in zip(edges, edges[1:], strict=False):
             own = slice(*np.searchsorted(r, [lo, hi]))
-            sims = self._similarities(hi - lo, r[own] - lo, t[own], w[own], np.full(hi - lo, -1) if skip is None else skip[lo:hi]).round(12)
-            for mine in sims:
-                some = np.flatnonzero(mine >= max(_kth(mine), 1e-12))
-                some = some[np.lexsort((some, -mine[some]))[:K]]
-                yield mine[some], some
-
-    def _similarities(self, n: int, r: np.ndarray, t: np.ndarray, w: np.ndarray, skip: np.ndarray) -> np.ndarray:
-        """Similarities to all examples; exact in each block that may hold one of the K nearest."""
+            for mine, floor in zip(*self._similarities(hi - lo, r[own] - lo, t[own], w[own], np.full(hi - lo, -1) if skip is None else skip[lo:hi]), strict=True):
+                some = np.flatnonzero(mine >= floor - 1e-11)
+                near = mine[some].round(12)
+                best = np.flatnonzero(near >= max(_kth(near), 1e-12))
+                best = best[np.lexsort((some[best], -near[best]))[:K]]
+                yield near[best], some[best]
+
+    def _similarities(self, n: int, r: np.ndarray, t: np.ndarray, w: np.ndarray, skip: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Similarities to all examples, exact in each block that may hold one of the K nearest, and for each vector a number that K of them reach."""
         many_blocks = self.largest.shape[1]
         sims, dense = np.zeros((n, many_blocks * BLOCK)), np.zeros((n, len(self.largest)))
         often = self.common[t] >= 0
         dense[r[often], self.common[t[often]]] = w[often]
         r, t, w = r[~often], t[~often], w[~often]
-        lo, many = self.pointer[t], self.pointer[t + 1] - self.pointer[t]
+        lo, many = self.begin[t], self.begin[t + 1] - self.begin[t]
         edges, ends, counting = np.searchsorted(r, np.arange(n + 1)), np.cumsum(many), np.arange(PIECE + len(self.y))
         for i in np.flatnonzero(np.diff(edges)):
             own = slice(edges[i], edges[i + 1])
@@ -230,8 +238,8 @@ class Index:
                 at = np.repeat(lo[piece] - last + many[piece], many[piece])
                 at += counting[:len(at)]
                 weights = np.repeat(w[piece], many[piece])
-                weights *= self.weights.take(at)
-                sims[i] += np.bincount(self.ids.take(at), weights, minlength=sims.shape[1])
+                weights *= self.weights.take(at, mode="clip")  # no place is outside; looking for one takes as long as the rest
+                sims[i] += np.bincount(self.rare.take(at, mode="clip"), weights, minlength=sims.shape[1])
         skipped = np.flatnonzero(skip >= 0)
         bound = sims.reshape(n, many_blocks, BLOCK).max(2) + dense @ self.largest
         best = np.argsort(-bound, axis=1, kind="stable")[:, :FIRST]
@@ -241,12 +249,13 @@ class Index:
         for last in (False, True):
             for block in np.flatnonzero(wanted.any(0)):
                 q = np.flatnonzero(wanted[:, block])
-                sims[q, block * BLOCK:(block + 1) * BLOCK] += dense[q] @ self.blocks[block]
+                opened = dense[q] @ self.blocks[block] if 2 * len(q) < n else (dense @ self.blocks[block])[q]  # most rows: none are copied
+                sims[q, block * BLOCK:(block + 1) * BLOCK] += opened
             sims[skipped, skip[skipped]] = -1
             if not last:
                 floor = np.array([_kth(mine) for mine in sims])
                 wanted = closed & (bound > 0) & (bound >= floor[:, None] - 1e-11)
-        return sims
+        return sims, floor
 
     @staticmethod
     def _pieces(lo: int, hi: int, ends: np.ndarray) -> Iterator[slice]:
@@ -272,15 +281,43 @@ def _kth(sims: np.ndarray) -> float:
     return float(np.partition(sims, -K)[-K])
 
 
-def label_dependence(sample: pd.DataFrame, sorted_terms: np.ndarray) -> np.ndarray:
-    """The chi-square of each term's presence and the label."""
-    y, many = sample["y"].to_numpy(np.int64), len(sorted_terms)
-    in_any, in_one = np.zeros(many), np.zeros(many)
-    for lo, _, rows, hashes in terms_of(pa.array(sample["text"], pa.string())):
-        r, t = _known(rows, hashes, sorted_terms)
-        key = np.unique(r * many + t)
-        in_any += np.bincount(key % many, minlength=many)
-        in_one += np.bincount(key % many, y[lo + key // many], minlength=many)
+@dataclass
+class Parts:
+    """The vectors of the examples, not weighed yet: those of row i have terms ``t`` and counts ``tf`` from ``edges[i]`` to ``edges[i + 1]``."""
+
+    t: np.ndarray
+    tf: np.ndarray
+    edges: np.ndarray
+
+    @classmethod
+    def of(cls, column: pa.Array, sorted_terms: np.ndarray) -> Parts:
+        doors, terms, counts, many = _doors(sorted_terms), [np.zeros(0, np.int32)], [np.zeros(0, np.uint8)], np.zeros(len(column) + 1, np.int64)
+        for lo, n, rows, hashes in terms_of(column):
+            r, t = _known(rows, hashes, sorted_terms, doors)
+            key, tf = np.unique(r * len(sorted_terms) + t, return_counts=True)
+            terms.append((key % len(sorted_terms)).astype(np.int32))
+            counts.append(_small(tf))
+            many[lo + 1:lo + n + 1] = np.bincount(key // len(sorted_terms), minlength=n)
+        return cls(np.concatenate(terms), np.concatenate(counts), np.cumsum(many))
+
+    def rows(self, which: np.ndarray, factor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Place in ``which``, term and weight, before it is divided by the length, of each part of these rows."""
+        many = self.edges[which + 1] - self.edges[which]
+        at = np.repeat(self.edges[which] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        t = self.t[at].astype(np.int64)
+        return np.repeat(np.arange(len(which)), many), t, (1 + np.log(self.tf[at].astype(np.int64))) * factor[t]
+
+
+def _small(x: np.ndarray) -> np.ndarray:
+    """In the smallest type that holds the numbers, which are not negative."""
+    return x.astype(np.min_scalar_type(int(x.max(initial=0))))
+
+
+def label_dependence(y: np.ndarray, parts: Parts, many: int) -> np.ndarray:
+    """The chi-square of each of ``many`` terms' presence and the label."""
+    in_any, in_one = np.bincount(parts.t, minlength=many).astype(float), np.zeros(many)
+    for i in np.flatnonzero(y):
+        in_one[parts.t[parts.edges[i]:parts.edges[i + 1]]] += 1
     n, ones = float(len(y)), float(y.sum())
     return n * (n * in_one - ones * in_any) ** 2 / np.maximum(ones * (n - ones) * in_any * (n - in_any), 1e-9)
 
@@ -295,33 +332,46 @@ def build(sample: pd.DataFrame, terms: np.ndarray, df: np.ndarray, n: int, share
     if not len(y) or y.min() == y.max():
         index.slope, index.offset = 0.0, 0.0 if not len(y) else 30.0 if y[0] else -30.0
         return index
+    parts = Parts.of(pa.array(sample["text"], pa.string()), index.terms)
     if len(terms):
-        index.factor = idf * (1 + np.log1p(label_dependence(sample, index.terms)))
-    r, t, tf = index.counted(pa.array(sample["text"], pa.string()))
-    w = (1 + np.log(tf)) * index.factor[t]
-    length = np.sqrt(np.bincount(r, w * w, minlength=len(y)))
-    w = w / length[r]
-    heaviest = np.full(len(y), len(terms))
-    by_weight = np.lexsort((w, r))
-    heaviest[r[by_weight]] = t[by_weight]  # the last of a row is its largest
+        index.factor = idf * (1 + np.log1p(label_dependence(y, parts, len(terms))))
+    length, heaviest = np.zeros(len(y)), np.full(len(y), len(terms))
+    for own in _runs(len(y)):
+        r, t, w = parts.rows(own, index.factor)
+        length[own] = np.sqrt(np.bincount(r, w * w, minlength=len(own)))
+        w = w / length[own][r]
+        most = np.zeros(len(own))
+        np.maximum.at(most, r, w)
+        largest = w == most[r]
+        heaviest[own[r[largest]]] = t[largest]  # the last of equal ones
     order = np.lexsort((np.arange(len(y)), y, heaviest))
-    place = np.empty(len(y), np.int64)
-    place[order] = np.arange(len(y))
     index.y, index.names, index.length = y[order], sample["doc_id"].to_numpy()[order].tolist(), length[order]
     index.vote = np.where(index.y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
-    e = place[r]
-    often = np.flatnonzero(np.bincount(t, minlength=len(terms)) > len(y) * COMMON)
+    many = np.bincount(parts.t, minlength=len(terms))
+    often = np.flatnonzero(many > len(y) * COMMON)
     index.common[often] = np.arange(len(often))
-    by_posting = np.lexsort((e, t))
-    index.ids, index.tf = e[by_posting], tf[by_posting]
-    index.pointer = np.searchsorted(t[by_posting], np.arange(len(terms) + 1))
+    index.pointer = np.append(0, np.cumsum(many))
+    index.ids, index.tf, free = np.empty(len(parts.t), np.int32), np.empty(len(parts.t), parts.tf.dtype), index.pointer[:-1].copy()
+    for e, i in enumerate(order):  # a term's examples in their order; an example has a term once
+        own = slice(parts.edges[i], parts.edges[i + 1])
+        at = free[parts.t[own]]
+        index.ids[at], index.tf[at] = e, parts.tf[own]
+        free[parts.t[own]] += 1
     index._weigh()
-    by_example = np.lexsort((t, e))
-    raw = np.array([index.raw(*near) for near in index.nearest_of(len(y), e[by_example], t[by_example], w[by_example], np.arange(len(y)))])
+    raw = np.zeros(len(y))
+    for own in _runs(len(y)):
+        r, t, w = parts.rows(order[own], index.factor)
+        raw[own] = [index.raw(*near) for near in index.nearest_of(len(own), r, t, w / index.length[own][r], own)]
     index.slope, index.offset = _calibrated(raw, index.y, index.vote)
     return index
 
 
+def _runs(n: int) -> Iterator[np.ndarray]:
+    """The numbers below ``n`` in runs of AT_ONCE."""
+    for lo in range(0, n, AT_ONCE):
+        yield np.arange(lo, min(n, lo + AT_ONCE))
+
+
 def _calibrated(raw: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """Slope and offset of a logistic curve, by Newton steps with a little pull towards slope 1; the slope stays positive."""
     a, b = 1.0, 0.0
@@ -353,20 +403,21 @@ def judge(documents: DataFrame, index: bytes) -> DataFrame:
         alone = index.raw(np.zeros(0), np.zeros(0, np.int64)) if index.slope else 0.0
         for batch in batches:
             rows = batch.column("row")
-            raw, many = np.full(len(rows), alone), np.zeros(len(rows) + 1, np.int32)
-            near, their = [np.zeros(0)], [np.zeros(0, np.int64)]
-            for lo, n, r, t, w in index.vectors(rows.field("text")):
+            for lo, n, r, t, w in index.vectors(rows.field("text")):  # sent run by run: what goes back is held in pieces only
+                raw, many = np.full(n, alone), np.zeros(n + 1, np.int32)
+                near, their = [np.zeros(0)], [np.zeros(0, np.int64)]
                 for i, (sims, ids) in enumerate(index.nearest_of(n, r, t, w)) if index.slope else ():
-                    raw[lo + i] = index.raw(sims, ids)
-                    many[lo + i + 1] = len(ids)
+                    raw[i] = index.raw(sims, ids)
+                    many[i + 1] = len(ids)
                     near.append(sims)
                     their.append(ids)
-            ids = np.concatenate(their)
-            each = pa.StructArray.from_arrays([names.take(pa.array(ids)), pa.array(np.concatenate(near)), pa.array(index.y[ids].astype(np.int32))],
-                                              names=["doc_id", "similarity", "label"])
-            evidence = pa.ListArray.from_arrays(pa.array(np.cumsum(many, dtype=np.int32)), each)
-            yield pa.RecordBatch.from_arrays([rows, pa.array(index.score(raw)), evidence], names=["row", "score", "evidence"])
+                ids = np.concatenate(their)
+                each = pa.StructArray.from_arrays([names.take(pa.array(ids)), pa.array(np.concatenate(near)), pa.array(index.y[ids].astype(np.int32))],
+                                                  names=["doc_id", "similarity", "label"])
+                evidence = pa.ListArray.from_arrays(pa.array(np.cumsum(many, dtype=np.int32)), each)
+                yield pa.RecordBatch.from_arrays([rows.slice(lo, n), pa.array(index.score(raw)), evidence], names=["row", "score", "evidence"])
 
+    small_batches(documents.sparkSession)
     packed = documents.select(F.struct(*documents.columns).alias("row"))
     return packed.mapInArrow(tidy(run), f"row {dict(packed.dtypes)['row']}, score double, evidence array<struct<doc_id:string,similarity:double,label:int>>")
 

@@ -179,6 +179,70 @@ def test_an_index_is_opened_without_copies_of_all_postings():
     assert (index.weights == 1).all()
 
 
+def test_an_index_is_built_in_little_more_than_it_takes():
+    """Two million postings, with the rows of common terms beside them: 83 MB at most at a time, 279 before."""
+    rng = np.random.default_rng(8)
+    rows = [(f"{i}", " ".join(f"q{x}" for x in rng.integers(10_000, 30_000, 500)), i % 2) for i in range(2000)]
+    sample = pd.DataFrame(rows, columns=["doc_id", "text", "y"])
+    terms = toxic_neighbours.choose_terms(sample)
+    tracemalloc.start()
+    try:
+        index = toxic_neighbours.build(sample, terms, np.full(len(terms), 8.0), 5000, 0.5)
+        assert tracemalloc.get_traced_memory()[1] < 120 << 20
+    finally:
+        tracemalloc.stop()
+    assert len(index.ids) > 2_000_000
+
+
+def test_an_open_index_holds_only_what_is_searched():
+    sample = rare_words(5)
+    terms = toxic_neighbours.choose_terms(sample)
+    index = toxic_neighbours.build(sample, terms, np.full(len(terms), 8.0), 1000, 0.5)
+    opened = labelled.unpacked(labelled.packed(index))
+    assert opened.ids is None and opened.tf is None and len(opened.rare) == len(opened.weights) < len(index.ids)
+    ((_, n, r, t, w),) = index.vectors(pa.array(sample["text"]))
+    for a, b in zip(index.nearest_of(n, r, t, w), opened.nearest_of(n, r, t, w), strict=True):
+        assert np.array_equal(a[0], b[0]) and np.array_equal(a[1], b[1])
+
+
+def test_groups_of_texts_have_one_size(monkeypatch):
+    sample = rare_words(6)
+    terms = toxic_neighbours.choose_terms(sample)
+    index = toxic_neighbours.build(sample, terms, np.full(len(terms), 8.0), 1000, 0.5)
+    sizes, real = [], toxic_neighbours.Index._similarities
+    monkeypatch.setattr(toxic_neighbours.Index, "_similarities", lambda self, n, *rest: sizes.append(n) or real(self, n, *rest))
+    ((_, n, r, t, w),) = index.vectors(pa.array(sample["text"][:130]))
+    assert len(list(index.nearest_of(n, r, t, w))) == 130 and sizes == [65, 65]
+    assert not list(index.nearest_of(0, r[:0], t[:0], w[:0]))
+
+
+def test_rows_come_back_whole_from_all_runs(spark):
+    texts = [f"{'idiot' if i % 2 else 'kind'} word{i} " * 20_000 for i in range(8)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, toxic int")
+    rows = toxic_neighbours.judge(docs, toxic_neighbours.fit(docs, labels)).collect()
+    assert sorted((r.row.doc_id, r.row.text == texts[r.row.doc_id], bool(r.evidence)) for r in rows) == [(i, True, i < 8) for i in range(10)]
+
+
+def test_texts_come_in_small_batches(spark):
+    docs = spark.createDataFrame([(i, "some words " * 10_000) for i in range(200)], "doc_id long, text string").coalesce(1)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, toxic int")
+    toxic_neighbours.judge(docs, toxic_neighbours.fit(docs, labels))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    rows = [r.n for r in docs.mapInArrow(sizes, "n long").collect()]
+    assert sum(rows) == 200 and max(rows) <= 60
+
+
+def test_distinct_keys():
+    for keys in ([], [3], [5, 1, 5, 1, 2], list(range(50)) * 2):
+        keys = np.array(keys, np.int64)
+        assert np.array_equal(toxic_neighbours._distinct(keys), np.unique(keys))
+
+
 def test_nearest_equals_a_scan_over_rare_terms():
     sample = rare_words(4)
     terms = toxic_neighbours.choose_terms(sample)
