@@ -13,6 +13,7 @@ in each block and their largest weight there. A text's bound for a block is its
 largest sum over the rare terms in the block and its weights times these largest
 ones; the FIRST blocks of highest bound are opened, then all whose bound reaches
 the K-th similarity found, so the K nearest are exact (ties to the earlier example).
+Where the rare terms' sums leave most blocks open, all are opened at once.
 
 Neighbours vote by ``1 / (1 - similarity + SOFT)``, weighted so that the sample's
 label shares become those of all labels, next to a vote for the overall share. A
@@ -45,7 +46,7 @@ COMMON, FIRST, AT_ONCE = 0.1, 8, 128
 #: Counts sent in one batch, and postings that are weighed at once.
 SENT, WEIGHED = 1 << 16, 1 << 17
 #: Postings of a text that are added up at once.
-PIECE = 12_000
+PIECE = 24_000
 
 
 def terms_of(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -176,7 +177,8 @@ class Index:
         many = np.where(self.common < 0, np.diff(self.pointer), 0)
         self.begin = np.append(0, np.cumsum(many))
         self.rare, self.weights = np.empty(self.begin[-1], np.int32), np.empty(self.begin[-1])
-        self.blocks = np.zeros((-(-len(self.y) // BLOCK), int((self.common >= 0).sum()), BLOCK))
+        many_blocks = -(-len(self.y) // BLOCK)
+        self.blocks = np.zeros((int((self.common >= 0).sum()), many_blocks * BLOCK))
         logs = 1 + np.log(np.arange(1, int(self.tf.max(initial=1)) + 1))
         to = 0
         for lo in range(0, len(self.ids), WEIGHED):  # a worker opens the index beside others: no copies as long as all postings
@@ -186,12 +188,12 @@ class Index:
             ids = self.ids[own].astype(np.int32)
             w = logs[self.tf[own].astype(np.int64) - 1] * self.factor[t] / self.length[ids]
             often = self.common[t] >= 0
-            self.blocks[ids[often] // BLOCK, self.common[t[often]], ids[often] % BLOCK] = w[often]
+            self.blocks[self.common[t[often]], ids[often]] = w[often]
             upto = to + len(t) - int(often.sum())
             self.rare[to:upto], self.weights[to:upto] = ids[~often], w[~often]
             to = upto
         self.doors = _doors(self.terms)
-        self.largest = self.blocks.max(2).T
+        self.largest = self.blocks.reshape(len(self.blocks), many_blocks, BLOCK).max(2)
 
     def vectors(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
         """For runs of rows: first row, number of rows, and row, term and weight of each part of their vectors."""
@@ -242,6 +244,12 @@ class Index:
                 sims[i] += np.bincount(self.rare.take(at, mode="clip"), weights, minlength=sims.shape[1])
         skipped = np.flatnonzero(skip >= 0)
         bound = sims.reshape(n, many_blocks, BLOCK).max(2) + dense @ self.largest
+        sims[skipped, skip[skipped]] = -1
+        floor = np.array([_kth(mine) for mine in sims])
+        if 2 * np.count_nonzero(bound >= floor[:, None]) > bound.size:  # rare terms alone rule few blocks out: one product of all costs less than the blocks one by one
+            sims += dense @ self.blocks
+            sims[skipped, skip[skipped]] = -1
+            return sims, floor
         best = np.argsort(-bound, axis=1, kind="stable")[:, :FIRST]
         wanted = np.zeros(bound.shape, bool)
         np.put_along_axis(wanted, best, True, 1)
@@ -249,8 +257,8 @@ class Index:
         for last in (False, True):
             for block in np.flatnonzero(wanted.any(0)):
                 q = np.flatnonzero(wanted[:, block])
-                opened = dense[q] @ self.blocks[block] if 2 * len(q) < n else (dense @ self.blocks[block])[q]  # most rows: none are copied
-                sims[q, block * BLOCK:(block + 1) * BLOCK] += opened
+                own = slice(block * BLOCK, (block + 1) * BLOCK)
+                sims[q, own] += dense[q] @ self.blocks[:, own]
             sims[skipped, skip[skipped]] = -1
             if not last:
                 floor = np.array([_kth(mine) for mine in sims])
