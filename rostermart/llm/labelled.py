@@ -51,7 +51,8 @@ def unpacked(made: bytes) -> Any:
 def fitted_bytes(sample: DataFrame, fit: Callable[[pd.DataFrame], Any]) -> bytes:
     """As ``fitted``, for results that the driver only passes on: they stay packed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(batches, schema).to_pandas().sort_values("doc_id", ignore_index=True)  # the batches are gone when the fit begins
+        # Columns that cannot be null arrive as such, so batches take the schema before they meet; they are gone when the fit begins.
+        rows = pa.Table.from_batches((b.cast(schema) for b in batches), schema).to_pandas().sort_values("doc_id", ignore_index=True)
         yield pa.RecordBatch.from_arrays([pa.array([packed(fit(rows))], pa.binary())], names=["made"])
 
     sample = sample.select(F.col("doc_id").cast("string").alias("doc_id"), "text", "y")

@@ -7,6 +7,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from rostermart.llm import labelled, quality_net, toxic_neighbours
 from tests.llm import brute
@@ -224,6 +225,16 @@ def test_rows_come_back_whole_from_all_runs(spark):
     assert sorted((r.row.doc_id, r.row.text == texts[r.row.doc_id], bool(r.evidence)) for r in rows) == [(i, True, i < 8) for i in range(10)]
 
 
+@pytest.mark.parametrize("never", [True, False])
+def test_samples_whose_columns_are_never_null_are_fitted(spark, never):
+    rows = spark.range(40, numPartitions=3).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit(1).alias("y"))
+    sample = rows if never else rows.select(*[F.when(F.col("doc_id") >= 0, F.col(c)).alias(c) for c in rows.columns])
+    assert all(f.nullable != never for f in sample.schema)
+    got = labelled.fitted(sample, lambda s: (list(s["doc_id"]), s["text"][0], int(s["y"].sum())))
+    assert got == (sorted(str(i) for i in range(40)), "text 0", 40)
+    assert labelled.fitted(sample.limit(0), len) == 0
+
+
 def test_texts_come_in_small_batches(spark):
     docs = spark.createDataFrame([(i, "some words " * 10_000) for i in range(200)], "doc_id long, text string").coalesce(1)
     labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, toxic int")
