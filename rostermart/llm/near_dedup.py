@@ -20,11 +20,16 @@
    linked to the pivot is more than about half of its own. So each class
    offers the rarest shingles of D(x), as many as that number needs (prefix filter),
    and pairs meet on those, if what follows in both has room for all that this
-   pair has to share (positional filter), under bounds on sizes and differences. What a
-   whole group shares, the pivot's own shingles included, is in nobody's prefix:
-   texts that are alike and not linked make few pairs. A pair that meets is
-   sent once in this round, whatever bands and pivots it shares (and at most once in
-   the first), and is confirmed on full sets.
+   pair has to share (positional filter), under bounds on sizes and differences, and
+   if their parities do not rule them out. What a whole group shares, the pivot's own
+   shingles included, is in nobody's prefix: texts that are alike and not linked make
+   few pairs.
+5. Of the pairs that meet between the same two components, the one whose parities
+   leave most room is confirmed on full sets first. What this joins up needs no
+   other pair, so that the links inside a group of near copies, whose number grows
+   with its square, are not all compared; every pair between components that are
+   still apart is. A pair is sent once, whatever bands and pivots it shares (and at
+   most once in the first round).
 
 A link is missed only if no band agrees: at similarity 0.85, with 25 bands of 5,
 that has a probability of 4e-7; at 0.8 of 5e-5.
@@ -39,6 +44,7 @@ give no rows; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +61,8 @@ BANDS, BAND_ROWS = 25, 5
 USED = BANDS * BAND_ROWS
 #: Bits of a set's parities; a multiple of 32.
 PARITIES = 1024
+#: Bits of the parities that prefixes carry; a multiple of 64 that divides PARITIES.
+FOLDED = 512
 WIDTH = USED + PARITIES // 32
 
 
@@ -166,8 +174,8 @@ def _beside(pairs: DataFrame, texts: DataFrame, group: int = 64) -> DataFrame:
     The text of ``a`` travels once for every ``group`` partners, that of each
     partner once for each pair; rows of a group arrive in order.
     """
-    dealt = pairs.join(pairs.groupBy("a").agg(F.count("*").alias("many")), "a").select(
-        "a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("many") / group)).cast("int").alias("salt"))
+    dealt = saved(pairs.join(pairs.groupBy("a").agg(F.count("*").alias("many")), "a").select(
+        "a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("many") / group)).cast("int").alias("salt")), "dealt")
     heads = dealt.select("a", "salt").distinct().join(texts.withColumnRenamed("cls", "a"), "a").select(
         "a", "salt", F.lit(0).alias("side"), F.col("a").alias("b"), "text")
     members = dealt.join(texts.withColumnRenamed("cls", "b"), "b").select("a", "salt", F.lit(1).alias("side"), "b", "text")
@@ -277,20 +285,32 @@ def _most(n: Column, percent: int) -> Column:
     return F.floor((100 - percent) * n / (100 + percent))
 
 
-def _prefix_pairs(members: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """a, b: pairs of one pivot's ``members`` (pivot, cls, n, n_pivot, root) in several components that their differences from it do not rule out."""
+def _odd(sig: Column) -> list[Column]:
+    """A signature's parities, folded into FOLDED bits, as longs: two sets still differ in at least as many members as bits."""
+    longs = [F.conv(F.hex(F.substring(sig, 4 * USED + 8 * i + 1, 8)), 16, -10).cast("long") for i in range(PARITIES // 64)]
+    step = FOLDED // 64
+    return [reduce(Column.bitwiseXOR, longs[i::step]).alias(f"odd{i}") for i in range(step)]
+
+
+def _prefix_pairs(members: DataFrame, signatures: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs of one pivot's ``members`` (pivot, cls, n, n_pivot, root) in several components that neither their differences from it nor parities rule out.
+
+    a, b, low and high (hashes of their roots), slack (by how many bits their parities stay below the largest difference of linked sets).
+    """
     apart = saved(_differences(members.select(F.col("pivot").alias("a"), F.col("cls").alias("b")), texts, k)
                   .withColumn("id", F.monotonically_increasing_id()), "differences")
+    odd = [f"odd{i}" for i in range(FOLDED // 64)]
     # Members go by a number of 8 bytes, and roots by a hash.
     sized = saved(members.join(apart.select("pivot", "cls", "id", F.size("shingles").cast("long").alias("d")), ["pivot", "cls"])
-                  .select("id", "pivot", "cls", "n", "n_pivot", "d", F.xxhash64("root").alias("root")), "sized")
+                  .join(signatures.select("cls", *_odd(F.col("sig"))), "cls")
+                  .select("id", "cls", "n", "n_pivot", "d", F.xxhash64("root").alias("root"), *odd), "sized")
     spread = apart.select("id", "pivot", F.explode("shingles").alias("shingle")).select("id", F.xxhash64("pivot", "shingle").alias("shingle"))
     common = spread.groupBy("shingle").agg(F.count("*").alias("many")).where("many > 1")
 
     # Shingles that one member alone has come first in its prefix and meet nobody; of the others the rarest follow.
     order = Window.partitionBy("id").orderBy("many", "shingle")
     ranked = (spread.join(common, "shingle").withColumn("no", F.row_number().over(order))
-              .withColumn("of", F.count("*").over(Window.partitionBy("id"))).join(sized.drop("pivot", "cls"), "id")
+              .withColumn("of", F.count("*").over(Window.partitionBy("id"))).join(sized.drop("cls"), "id")
               .withColumn("at", F.col("d") - F.col("of") + F.col("no")))
     n, d, both = F.col("n"), F.col("d"), 100 + percent
     # One of a pair at least is not linked to the pivot: its difference is above (100 - percent) * (n + n_pivot) / (100 + percent). So linked sets
@@ -298,17 +318,19 @@ def _prefix_pairs(members: DataFrame, texts: DataFrame, k: int, percent: int) ->
     half = F.floor((both * d + (100 - percent) * (F.col("n_pivot") - n)) / (2 * both)) + 1
     whole = d - _most(n + F.floor(100 * n / percent), percent)
     least = F.greatest(F.lit(1), F.when(d <= _most(n + F.col("n_pivot"), percent), half).otherwise(whole))
-    prefix = saved(ranked.where(F.col("at") <= d - least + 1).select("shingle", "id", "n", "d", "at", "root"), "prefixes")
+    prefix = saved(ranked.where(F.col("at") <= d - least + 1).select("shingle", "id", "n", "d", "at", "root", *odd), "prefixes")
     x, y = (prefix.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in prefix.columns[1:]]) for side in "xy")
     # The first shingle that two linked sets meet on leaves room for all the others that they have to share.
     room = _most(F.col("n_x") + F.col("n_y"), percent)
     rest = F.least(F.col("d_x") - F.col("at_x"), F.col("d_y") - F.col("at_y")) + 1
+    slack = room - sum(F.bit_count(F.col(f"{c}_x").bitwiseXOR(F.col(f"{c}_y"))) for c in odd)
     alike = ((F.col("id_x") < F.col("id_y")) & (F.col("root_x") != F.col("root_y"))
              & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) & (F.abs(F.col("d_x") - F.col("d_y")) <= room)
-             & (2 * rest >= F.col("d_x") + F.col("d_y") - room))
-    found = saved(x.join(y, "shingle").where(alike).select("id_x", "id_y").distinct(), "found")
+             & (2 * rest >= F.col("d_x") + F.col("d_y") - room) & (slack >= 0))
+    found = x.join(y, "shingle").where(alike).select(
+        "id_x", "id_y", F.least("root_x", "root_y").alias("low"), F.greatest("root_x", "root_y").alias("high"), slack.alias("slack")).distinct()
     a, b = (sized.select(F.col("id").alias(f"id_{side}"), F.col("cls").alias(name)) for side, name in (("x", "a"), ("y", "b")))
-    return found.join(a, "id_x").join(b, "id_y").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return found.join(a, "id_x").join(b, "id_y").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "low", "high", "slack").distinct()
 
 
 def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -355,8 +377,15 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     several = grouped.groupBy("pivot").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("pivot")
     members = saved(grouped.join(several, "pivot"), "members")
     wanted = members.select("cls").unionByName(members.select(F.col("pivot").alias("cls"))).distinct()
-    new = linked(_prefix_pairs(members, texts_for(wanted), k, percent))
-    roots = saved(components(links.unionByName(new)), "roots")
+    found = saved(_prefix_pairs(members, side, texts_for(wanted), k, percent), "found")
+    # Of all pairs between two components the likeliest first; then those between components that are still apart.
+    likeliest = saved(found.groupBy("low", "high").agg(F.max(F.struct("slack", "a", "b")).alias("pair")).select("pair.a", "pair.b"), "likeliest")
+    links = links.unionByName(linked(likeliest))
+    roots = saved(components(links), "roots")
+    a, b = (roots.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
+    apart = found.join(a, "a", "left").join(b, "b", "left").where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
+    links = links.unionByName(linked(apart.select("a", "b").join(likeliest, ["a", "b"], "left_anti")))
+    roots = saved(components(links), "roots")
 
     rooted = classes.join(roots, classes["cls"] == roots["node"], "left").select("cls", "lead", F.coalesce("root", "cls").alias("root"))
     first = rooted.groupBy("root").agg(F.min("lead").alias("lead"))

@@ -161,6 +161,27 @@ def test_full_sets_are_compared_for_pairs_near_the_threshold_only(spark, monkeyp
     assert sum(met) < 250 * 249 / 2 / 20
 
 
+def test_links_inside_a_group_are_not_all_compared(spark, monkeypatch):
+    sent, plausible = [], near_dedup._plausible
+
+    def counted(pairs, least):
+        sent.append(pairs.count())
+        return plausible(pairs, least)
+
+    monkeypatch.setattr(near_dedup, "_plausible", counted)
+    rng, base, texts = random.Random(12), [f"b{i}" for i in range(120)], []
+    for i in range(300):  # a third differ little from each other, and the others differ from many of them by about as much as links may
+        own = list(base)
+        for at in rng.sample(range(120), 3 if i % 3 else 1):
+            own[at] = f"n{at}-{rng.randrange(2)}"
+        texts.append(" ".join(own))
+    by_id = dict(enumerate(texts))
+    rows = near_dedup.near_duplicates(spark.createDataFrame(list(by_id.items()), "doc_id long, text string"), 3, 85).collect()
+    expected = brute.grouped(by_id, 3, 85)
+    assert {r.doc_id: r.component_id for r in rows} == expected
+    assert sum(sent[1:]) < 300
+
+
 @pytest.mark.parametrize(("k", "percent"), [(1, 50), (2, 80), (3, 85)])
 def test_groups_of_random_edits(spark, k, percent):
     rng, texts = random.Random(100 * k + percent), []
